@@ -71,6 +71,17 @@ class Benchmark:
         return w.select(grams(F.col("w"), k).alias("g")).select(F.explode(winnow(F.col("g"), spread)).alias("print")).distinct()
 
 
+def _among(hashes: str, known: list[int]) -> Column:
+    return F.filter(hashes, lambda h: h.isin(known))
+
+
+def _around(places: str, n: int, spread: int) -> Column:
+    """Starts of the n-word windows that hold one of the places of k-grams."""
+    last = F.greatest(F.lit(0), F.size("w") - n)
+    each = F.transform(places, lambda p: F.sequence(F.least(last, F.greatest(F.lit(0), p - (spread - 1))), F.least(p, last)))
+    return F.array_distinct(F.flatten(each))
+
+
 def _matched(df: DataFrame, bench: Benchmark) -> DataFrame:
     """`df` (id, th, text, w) with n_words and m<length>: the row's fingerprints that the benchmark also has."""
     df = df.select("*", *(grams(F.col("w"), k).alias(f"g{n}") for n, k, _ in bench.specs))
@@ -80,7 +91,7 @@ def _matched(df: DataFrame, bench: Benchmark) -> DataFrame:
         n = spec[0]
         inline = [r[0] for r in bench.prints(spec).limit(INLINE + 1).collect()]
         if len(inline) <= INLINE:
-            out.append(F.filter(f"f{n}", lambda h, inline=inline: h.isin(inline)).alias(f"m{n}"))
+            out.append(_among(f"f{n}", inline).alias(f"m{n}"))
             continue
         hits = df.select("id", "th", F.explode(f"f{n}").alias("print")).join(bench.prints(spec), "print").groupBy("id", "th").agg(F.collect_set("print").alias(f"m{n}_"))
         df = df.alias("d").join(hits.alias("h"), F.expr("d.id <=> h.id and d.th = h.th"), "left").select("d.*", f"h.m{n}_")
@@ -104,8 +115,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         g = w.select("*", grams(F.col("w"), k).alias("g"))
         at = F.filter(F.transform("g", lambda h, i: F.when(F.array_contains("m", h), i)), lambda i: i.isNotNull())
         g = g.select("id", "th", "w", at.alias("at"))
-        around = F.transform("at", lambda p, spread=spread, n=n: F.sequence(F.greatest(F.lit(0), p - (spread - 1)), F.greatest(F.lit(0), F.least(p, F.size("w") - n))))
-        near = g.select("id", "th", "w", F.explode(F.array_distinct(F.flatten(around))).alias("start"))
+        near = g.select("id", "th", "w", F.explode(_around("at", n, spread)).alias("start"))
         parts.append(near.select("id", "th", F.lit(n).alias("len"), "start", F.array_join(F.slice("w", F.col("start") + 1, n), " ").alias("window")))
     windows = bench.windows if bench.size > BROADCAST else F.broadcast(bench.windows)
     spans = (

@@ -82,13 +82,28 @@ def anchors(placed: DataFrame) -> list[list[int]]:
 
 def _starts(words: list[str], at: list[int], exact: bool) -> Column:
     """Where a template can begin by its anchors."""
-    each = [F.transform(F.filter("anchored", lambda o, i=i: o["word"] == words[i]), lambda o, i=i: o["at"] - i) for i in at]
+    def begin(i: int) -> Column:
+        return F.transform(F.filter("anchored", lambda o: o["word"] == words[i]), lambda o: o["at"] - i)
+
+    each = [begin(i) for i in at]
     out = each[0]
     for more in each[1:]:
         out = F.array_intersect(out, more) if exact else F.array_union(out, more)
     return F.array_distinct(out)
 
 
+def _found(label: str, words: list[str], low: int, high: int, starts: Column, least: float) -> Column:
+    """The starts at which a template's share of words in place is at least `least` and its key phrase is complete."""
+    literal = F.array(*map(F.lit, words))
+
+    def scored(start: Column) -> Column:
+        near = F.filter("occ", lambda o: (o["at"] >= start) & (o["at"] < start + len(words)) & (F.get(literal, o["at"] - start) == o["word"]))
+        key = F.size(F.filter(near, lambda o: (o["at"] >= start + low) & (o["at"] < start + high))) == high - low
+        return F.struct(F.lit(label).alias("label"), start.alias("start"), F.when(key, F.size(near) / len(words)).otherwise(F.lit(0.0)).alias("coverage"))
+
+    return F.filter(F.transform(starts, scored), lambda x: x["coverage"] >= least)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_words, base (starts of phrases with labels) and found (templates: label, start, coverage)."""
     placed = table(places(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "_text"), "licence-words")
@@ -99,15 +114,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = "array<struct<label:string,start:int,coverage:double>>"
     parts: dict[bool, list[Column]] = {True: [], False: []}
     for (label, words, (low, high), exact), at in zip(known, chosen, strict=True):
-        literal = F.array(*map(F.lit, words))
-
-        def scored(start: Column, literal=literal, words=words, low=low, high=high, label=label) -> Column:
-            near = F.filter("occ", lambda o: (o["at"] >= start) & (o["at"] < start + len(words)) & (F.get(literal, o["at"] - start) == o["word"]))
-            key = F.size(F.filter(near, lambda o: (o["at"] >= start + low) & (o["at"] < start + high))) == high - low
-            return F.struct(F.lit(label).alias("label"), start.alias("start"), F.when(key, F.size(near) / len(words)).otherwise(F.lit(0.0)).alias("coverage"))
-
-        least = 1.0 if exact else COVERAGE
-        parts[exact].append(F.filter(F.transform(_starts(words, at, exact), scored), lambda x, least=least: x["coverage"] >= least))
+        parts[exact].append(_found(label, words, low, high, _starts(words, at, exact), 1.0 if exact else COVERAGE))
     some = F.size("anchored") > 0
     none = F.array().cast(kind)
     return anchored.select("id", "n_words", *(F.when(some, F.concat(*parts[e])).otherwise(none).cast(kind).alias(name) for e, name in ((True, "base"), (False, "found"))))

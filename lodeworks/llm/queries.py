@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import decontaminate, license_scan, mixing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_license_scan": license_scan.op7_license_scan,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
+    "op9_mixing": mixing.op9_mixing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,4 +1,4 @@
-"""Toxicity by maximum-scoring segments: token log-odds with an informative Dirichlet prior [Monroe et al. 2008] make
+"""Toxicity by maximum-scoring segments: token log-odds with an informative Dirichlet prior [Monroe et al. 2008] of texts make
 each token a score with negative drift; a linear-time scan finds every maximal-scoring segment [Ruzzo and Tompa 1999];
 extreme-value statistics [Karlin and Altschul 1990] say which are significant in a text of that length, and a logistic
 curve over their summed evidence gives the score.
@@ -21,12 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, alnum_words, byte_codes, runs_of_text
+from .common import Words, alnum_words, byte_codes, mix, runs_of_text, table
 
 #: Bounds of what is learnt: labelled rows read, and words kept (those with the largest |z|).
 MAX_LABELLED, MODEL_WORDS = 20_000, 50_000
-#: Weight of the prior in tokens, least z of a word that counts for toxicity, drift per token, largest log-odds.
-PRIOR, MIN_Z, DRIFT, MOST = 500.0, 3.0, 0.4, 8.0
+#: Weight of the prior as a share of the learning texts, least z of a word that counts for toxicity, drift per token,
+#: largest log-odds.
+PRIOR, MIN_Z, DRIFT, MOST = 0.1, 4.0, 0.3, 8.0
+#: Lengths (bytes) of the beginnings of words that are features too, longest first.
+PREFIXES = (6, 5, 4)
+DOCS, TOKENS = np.uint64(1), np.uint64(2)
 #: Expected number of chance segments below which one is significant.
 MAX_E = 0.05
 BINS = 400
@@ -86,12 +90,13 @@ class Model:
         codes = byte_codes(True, inside)
         for low, high, data, offsets in runs_of_text(texts):
             w = Words(data, offsets, inside, codes)
+            gain = np.zeros(len(w.hash))
             if len(self.words):
-                where = np.minimum(np.searchsorted(self.words, w.hash), len(self.words) - 1)
-                hits = np.flatnonzero(self.words[where] == w.hash)
-                gain = self.gain[where[hits]]
-            else:
-                hits, gain = np.zeros(0, np.int64), np.zeros(0)
+                for f in features(w, codes):  # the word itself, else its longest known beginning
+                    where = np.minimum(np.searchsorted(self.words, f), len(self.words) - 1)
+                    gain = np.where(gain > 0, gain, np.where(self.words[where] == f, self.gain[where], 0.0))
+            hits = np.flatnonzero(gain > 0)
+            gain = gain[hits]
             cut = np.searchsorted(hits, w.first)
             for i in range(high - low):
                 a, b, n = cut[i], cut[i + 1], int(w.first[i + 1] - w.first[i])
@@ -101,33 +106,48 @@ class Model:
                     yield n, *self.evidence(segments(hits[a:b] - w.first[i], gain[a:b], DRIFT), n)
 
 
+def features(w: Words, codes: np.ndarray) -> list[np.ndarray]:
+    """Hashes of each word and, for longer words, of its PREFIXES: so inflected forms that were not learnt still count."""
+    out = [w.hash]
+    size = w.end - w.start
+    for k in PREFIXES:
+        part = np.zeros(len(size), np.uint64)
+        for j in range(k):
+            at = np.minimum(w.start + j, len(w.data) - 1)
+            part = (part + codes[w.data[at]]) * np.uint64(0xD6E8FEB86659FD93)
+        out.append(np.where(size > k, mix(part + np.uint64(k)), np.uint64(0)))
+    return out
+
+
 def _count(batches):
-    """Tokens of each word in toxic and other texts, summed over a partition."""
+    """Texts of each kind in which a feature occurs, summed over a partition; features DOCS and TOKENS hold totals."""
     inside = alnum_words()
     codes = byte_codes(True, inside)
-    words, toxic = [], []
+    hashes, counts = [], []
 
-    def merged():
-        h, t = np.concatenate(words), np.concatenate(toxic)
-        u, back = np.unique(h, return_inverse=True)
-        return u, np.stack([np.bincount(back, weights=t[:, k], minlength=len(u)) for k in (0, 1)], 1)
+    def merge():
+        u, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        t = np.concatenate(counts)
+        hashes[:], counts[:] = [u], [np.stack([np.bincount(back, weights=t[:, k], minlength=len(u)) for k in (0, 1)], 1)]
 
     for batch in batches:
         label = np.asarray(batch.column("y").to_pylist(), np.int64)
         for low, high, data, offsets in runs_of_text(batch.column("text")):
             w = Words(data, offsets, inside, codes)
-            u, back = np.unique(w.hash, return_inverse=True)
-            y = label[low:high][w.doc]
-            words.append(u)
-            toxic.append(np.stack([np.bincount(back, weights=y == k, minlength=len(u)) for k in (0, 1)], 1))
-            if len(words) >= 32:
-                u, t = merged()
-                words, toxic = [u], [t]
-    if words:
-        u, t = merged()
+            every = features(w, codes)
+            for i in range(high - low):
+                part = slice(w.first[i], w.first[i + 1])
+                u = np.unique(np.concatenate([f[part] for f in every]))
+                u = np.concatenate([u[u > TOKENS], np.array([DOCS, TOKENS], np.uint64)])
+                n = np.ones(len(u))
+                n[-1] = w.first[i + 1] - w.first[i]
+                hashes.append(u)
+                counts.append(np.stack([n * (label[low + i] == 0), n * (label[low + i] != 0)], 1))
+            merge()
+    if hashes:
+        u, t = hashes[0], counts[0].astype(np.int64)
         for i in range(0, len(u), 50_000):
-            part = t[i : i + 50_000].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(u[i : i + 50_000].view(np.int64)), pa.array(part[:, 1]), pa.array(part[:, 0])], ["word", "n1", "n0"])
+            yield pa.RecordBatch.from_arrays([pa.array(u[i : i + 50_000].view(np.int64)), pa.array(t[i : i + 50_000, 1]), pa.array(t[i : i + 50_000, 0])], ["word", "n1", "n0"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -146,14 +166,16 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     train = labelled(docs, labels, id_col, text_col, label_col)
-    counts = train.mapInArrow(_count, "word long, n1 long, n0 long").groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    sums = counts.agg(F.sum("n1"), F.sum("n0")).first()
+    counts = table(train.mapInArrow(_count, "word long, n1 long, n0 long").groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "toxic-words")
+    sums = {r.word: r for r in counts.where(F.col("word").isin(int(DOCS), int(TOKENS))).collect()}
     empty = Model(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0)
-    if not sums[0] or not sums[1]:
+    if int(DOCS) not in sums or not sums[int(DOCS)].n1 or not sums[int(DOCS)].n0:
         return empty
-    n1, n0 = float(sums[0]), float(sums[1])
-    prior = PRIOR * (F.col("n1") + F.col("n0")) / (n1 + n0)
-    odds = lambda y, n: F.log((F.col(y) + prior) / (n + PRIOR - F.col(y) - prior))
+    n1, n0, tokens = float(sums[int(DOCS)].n1), float(sums[int(DOCS)].n0), max(1.0, float(sums[int(TOKENS)].n0))
+    counts = counts.where(~F.col("word").isin(int(DOCS), int(TOKENS)))
+    weight = PRIOR * (n1 + n0)
+    prior = PRIOR * (F.col("n1") + F.col("n0"))
+    odds = lambda y, n: F.log((F.col(y) + prior) / F.greatest(F.lit(0.5), n + weight - F.col(y) - prior))
     scored = counts.withColumn("d", odds("n1", n1) - odds("n0", n0)).withColumn("z", F.col("d") / F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior)))
     rows = scored.where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(MODEL_WORDS).select("word", "d", "n0").collect()
     rows = [r for r in rows if min(r.d, MOST) > DRIFT]
@@ -162,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words = np.array([r.word for r in rows], np.int64).view(np.uint64)
     order = np.argsort(words)
     gain = np.minimum(np.array([r.d for r in rows]), MOST)[order] - DRIFT
-    share = np.array([r.n0 + 0.5 for r in rows])[order] / n0
+    share = np.array([r.n0 + 0.5 for r in rows])[order] / tokens
     # lambda: the positive root of sum p e^(lambda s) = 1 over other texts' tokens.
     low, high = 1e-3, 20.0
     for _ in range(80):
