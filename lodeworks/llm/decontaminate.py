@@ -134,6 +134,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns unchanged, without a word in a benchmark window."""
+    bad = contamination(docs, benchmark, id_col, text_col).where("n_hit > 0").select(F.col("id").alias("_id"), F.col("th").alias("_th"))
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_th")), "left_anti")
+
+
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, mixing, quality, secret_scan, toxicity
+from . import decontaminate, license_scan, mixing, ngram_join, quality, secret_scan, toxicity
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_quality_rules": quality.op2_quality_rules,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_license_scan": license_scan.op7_license_scan,
