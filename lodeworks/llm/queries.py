@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, mixing, ngram_join, quality, secret_scan, substring_dedup, toxicity, url_filter
+from . import decontaminate, license_scan, lm_score, mixing, ngram_join, quality, secret_scan, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_lm_score": lm_score.op6_lm_score,
     "op7_license_scan": license_scan.op7_license_scan,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_mixing": mixing.op9_mixing,
