@@ -1,10 +1,10 @@
 """Substring dedup by unit hashing: texts are cut into units, normalised units are grouped by digest over the whole
 corpus, the earliest ranked occurrence stays, and all others are removed with their original offsets retained.
 
-Units are lines, cut further at sentence ends, since repeated passages also stand in the middle of lines: a unit ends
-after a line break, after `.`, `!` or `?`, or after a word whose hash falls on 1 in CUT (so that long sentences are cut
-at places that depend on nearby words only), but never before MIN_WORDS words. The last unit of a text may be shorter;
-it counts as a unit only with MIN_WORDS words. Normalised: words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` lower-cased in
+Units are lines; long ones are cut further, since repeated passages also stand in the middle of lines: after a word that
+is followed by `.`, `!` or `?`, or whose hash falls on 1 in CUT (so that long sentences are cut at places that depend on
+nearby words only), but only where MIN_WORDS words stand on either side of the cut within the line. Lines of fewer than
+LINE_WORDS words are no units and always stay. Normalised: words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` lower-cased in
 A-Z, so spacing and punctuation don't matter. Rank: id (nulls last), then a hash of the text, then place in the text.
 
 Skew: within a mapper's block all but the earliest occurrence of a digest are surely removed, so only that one goes to
@@ -24,46 +24,61 @@ from pyspark.sql import functions as F
 from .common import Words, alnum_words, byte_codes, mix, runs_of_text, table
 from .secret_scan import redact
 
-#: Least words of a unit, and one in how many words a unit may end within a sentence.
-MIN_WORDS, CUT = 6, 8
+#: Least words of a line, and of a part of one; one in how many words a part may end within a sentence.
+LINE_WORDS, MIN_WORDS, CUT = 5, 6, 8
 #: Units that a mapper holds at a time, and that a dealt bucket holds on average.
 FLUSH, BUCKET = 500_000, 500_000
 
 
 def units(texts: pa.Array):
-    """(digests, starts, ends) of each text's units of at least MIN_WORDS words, in code points; a unit ends where the
-    next one starts."""
+    """(digests, starts, ends) of each text's units, in code points; a unit ends where the next word begins."""
     inside = alnum_words()
     codes = byte_codes(True, inside)
-    stop = np.zeros(256, bool)
-    stop[[0x0A, 0x21, 0x2E, 0x3F]] = True
+    stop, line = np.zeros(256, bool), np.zeros(256, bool)
+    stop[[0x21, 0x2E, 0x3F]] = line[0x0A] = True
     for low, high, data, offsets in runs_of_text(texts):
         w = Words(data, offsets, inside, codes)
         n = len(w.hash)
-        stops = np.concatenate([[0], np.cumsum(stop[data])])
         after = np.append(w.start[1:], len(data))[:n]
-        ends = (stops[after] > stops[w.end]) | (w.hash % np.uint64(CUT) == 0)
+        held = lambda table: np.concatenate([[0], np.cumsum(table[data])])
+        stops, lines = held(stop), held(line)
+        soft = np.flatnonzero((stops[after] > stops[w.end]) | (w.hash % np.uint64(CUT) == 0)) + 1
+        hard = lines[after] > lines[w.end]
+        hard[w.first[1:][w.first[1:] > 0] - 1] = True
+        hard = np.flatnonzero(hard) + 1
+        first, at = [], 0
+        keep = []
+        begin = 0
+        for end in hard.tolist():
+            first.append(begin)
+            keep.append(end - begin >= LINE_WORDS)
+            last = begin
+            while at < len(soft) and soft[at] < end:
+                cut = int(soft[at])
+                if cut - last >= MIN_WORDS and end - cut >= MIN_WORDS:
+                    first.append(cut)
+                    keep.append(True)
+                    last = cut
+                at += 1
+            begin = end
+        if not n:
+            yield from ((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(high - low))
+            continue
+        first, keep = np.array(first), np.array(keep)
+        size = np.diff(np.append(first, n))
+        within = np.arange(n) - np.repeat(first, size)
+        digest = mix(np.add.reduceat(mix(w.hash + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first) + size.astype(np.uint64))
         point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        may = np.flatnonzero(ends)
-        cut = np.searchsorted(may, w.first)
+        doc = w.doc[first]
+        origin = point[offsets[:-1]][doc]
+        starts = point[w.start[first]] - origin
+        close = np.append(w.start[first[1:]], len(data))
+        ends = point[np.minimum(close, offsets[1:][doc])] - origin
+        cut = np.searchsorted(first, w.first)
         for i in range(high - low):
-            a, b = int(w.first[i]), int(w.first[i + 1])
-            if b - a < MIN_WORDS:
-                yield np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-                continue
-            begin, last = [a], a
-            for e in may[cut[i] : cut[i + 1]].tolist():
-                if e + 1 - last >= MIN_WORDS and e + 1 < b:
-                    begin.append(e + 1)
-                    last = e + 1
-            first = np.array(begin)
-            size = np.diff(np.append(first, b))
-            within = np.arange(a, b) - np.repeat(first, size)
-            digest = mix(np.add.reduceat(mix(w.hash[a:b] + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first - a) + size.astype(np.uint64))
-            starts = point[w.start[first]] - point[offsets[i]]
-            stops_at = np.append(starts[1:], point[offsets[i + 1]] - point[offsets[i]])
-            ok = size >= MIN_WORDS
-            yield digest[ok], starts[ok], stops_at[ok]
+            part = slice(cut[i], cut[i + 1])
+            ok = keep[part]
+            yield digest[part][ok], starts[part][ok], ends[part][ok]
 
 
 _ROWS = "bucket int, sure boolean, id long, th long, digests binary, starts binary, ends binary"
