@@ -1,54 +1,18 @@
-"""What the training-data operators share: byte-level numpy tokenising and hashing, tables in the
-shared folder, and connected components over distributed edges."""
+"""What the training-data operators share: byte-level numpy tokenising and hashing. Tables in the shared folder and
+connected components are those of the other operators."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ----------------------------------------------------------------- shared folder
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file:///tmp/checkpoints/lodeworks-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def table(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, and lets
-    several consumers read one computation. Files are deleted when the session ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lodeworks-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _forget_later(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _forget_later(spark: SparkSession, path: str) -> None:
-    def forget() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session is gone; the folder belongs to the application and goes with it
-            pass
-
-    atexit.register(forget)
-
-
-def n_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+from lodeworks.operators.shared import components, table
 
+__all__ = ["Words", "alnum_words", "byte_codes", "components", "lower_ascii", "mix", "runs_of_text", "space_words", "table"]
 
 # ----------------------------------------------------------------- byte tables
 
@@ -165,10 +129,6 @@ def runs_of_text(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, i
         low = high
 
 
-def text_of(data: np.ndarray, low: int, high: int) -> str:
-    return data[low:high].tobytes().decode("utf-8", "replace")
-
-
 # ----------------------------------------------------------------- columns
 
 
@@ -176,46 +136,3 @@ def lower_ascii(c: Column | str) -> Column:
     """A-Z to a-z, nothing else (lower() also changes other letters)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def row_key(id_col: str, text_col: str) -> list[Column]:
-    """Columns that tell rows apart when ids may be null or repeated: the id and a hash of the text. Rows equal in both
-    have equal results, whichever of them a result is joined to."""
-    return [F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th")]
-
-
-# ----------------------------------------------------------------- components
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b", label: str = "cc") -> DataFrame:
-    """Connected components of undirected edges: (id, comp), comp the smallest id reachable; ids without an edge are
-    not returned. Alternates large-star and small-star [Kiveris et al., SoCC 2014]: only minima are aggregated (map-side
-    combined), no neighbourhood is collected, and a hub's rows are joined back with a join that Spark may split. Each
-    round is written to the shared folder."""
-    spark = edges.sparkSession
-    now = table(
-        edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u != v").distinct(),
-        label,
-    )
-    while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.*")
-            .where("u != v")
-            .distinct()
-        )
-        after = table(small, label)
-        # Converged when every edge leads straight to a vertex that is nobody's child.
-        deep = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1)
-        if deep.isEmpty() and after.join(after.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).isEmpty():
-            break
-        now = after
-    roots = after.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct()
-    return after.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(roots)

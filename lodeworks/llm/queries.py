@@ -1,4 +1,5 @@
-"""The registered queries of this subpackage and their SQL."""
+"""The registered queries of this subpackage and their SQL, where DuckDB can express it over whole tables. The others are
+held against brute force in tests/llm."""
 
 from __future__ import annotations
 
@@ -17,4 +18,40 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+_OP5 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s FROM b, UNNEST(range(1, len(w) - least(len(w), 10) + 2)) AS u(i) WHERE len(w) > 0),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM d, (SELECT DISTINCT n FROM bw), UNNEST(range(1, len(w) - n + 2)) AS u(i)),
+h AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM h, UNNEST(range(i, i + n)) AS u(p) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+_SPACED = r"[^\x20\x09-\x0D]+"
+_BAD_LINE = f"""CASE WHEN n = 0 THEN false
+WHEN n <= {quality.BOILERPLATE_WORDS} AND regexp_matches(line, '(?i){quality.BOILERPLATE.pattern}') THEN true
+WHEN bars >= 3 AND 4 * bars >= n - bars THEN true
+WHEN 10 * len(regexp_extract_all(line, '[#*$%&|<>{{}}~^=_\\\\@]')) > chars THEN true
+WHEN n >= 10 AND 4 * len(list_distinct(w)) <= n THEN true
+WHEN n >= 5 AND len(regexp_extract_all(line, '\\p{{Lu}}')) > 0 AND 10 * len(regexp_extract_all(line, '\\p{{Lu}}')) > 7 * len(regexp_extract_all(line, '\\p{{L}}')) THEN true
+WHEN n < 3 AND NOT regexp_matches(w[-1], '[.!?:;…。！？।"''”’»)\\]]$') THEN true
+WHEN n >= 30 AND NOT regexp_matches(line, '[.!?,;:…。！？、，।]') THEN true ELSE false END"""
+
+_OP2 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS s FROM d, UNNEST(range(1, len(w) - 6)) AS u(i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM twice, UNNEST(range(i, i + 8)) AS u(p) GROUP BY 1),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d),
+l AS (SELECT doc_id, line, k, regexp_extract_all(line, '{_SPACED}') AS w FROM lines),
+m AS (SELECT *, len(w) AS n, list_sum(list_transform(w, lambda x: length(x))) AS chars, len(regexp_extract_all(line, '[|»›•·→]')) + len(regexp_extract_all(line, '\\s>(?:\\s)')) AS bars FROM l),
+j AS (SELECT doc_id, k, n, coalesce(chars, 0) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth, {_BAD_LINE} AS bad FROM m),
+g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (n > 0 AND nth > 1) AS n_dup_lines, count(*) FILTER (bad) AS n_lines_removed, CAST(coalesce(sum(chars) FILTER (NOT bad), 0) AS BIGINT) AS kept_chars, CAST(coalesce(sum(chars), 0) AS BIGINT) AS word_chars FROM j GROUP BY 1),
+r AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_lines_removed, kept_chars FROM d JOIN g USING (doc_id) LEFT JOIN rep USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND kept_chars >= {quality.MIN_KEPT} * word_chars AS kept FROM r"""
+
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": _OP2, "op5_decontaminate": _OP5}
