@@ -104,7 +104,7 @@ def minnesota(series: np.ndarray, lags: int) -> np.ndarray:
                 tight = TIGHT / (i + 1) * (1.0 if v == eq else CROSS * sd[eq] / sd[v])
                 pen[1 + i * k + v] = (sd[eq] / tight) ** 2 / max(1.0, t)
         centre[1 + eq] = 1.0
-        out[:, eq] = np.linalg.solve(x.T @ x + np.diag(pen), x.T @ y[:, eq] + pen * centre)
+        out[:, eq] = np.linalg.lstsq(x.T @ x + np.diag(pen), x.T @ y[:, eq] + pen * centre, rcond=None)[0]
     return out
 
 

@@ -406,7 +406,10 @@ def snk02(spark, sf_dir):
 
 # ------------------------------------------------------------------ windows
 
-W = Window.partitionBy("o_orderpriority").orderBy("q")
+def w():
+    return Window.partitionBy("o_orderpriority").orderBy("q")
+
+
 OVER = "OVER (PARTITION BY o_orderpriority ORDER BY q)"
 ROWS = "OVER (PARTITION BY o_orderpriority ORDER BY q ROWS BETWEEN {} PRECEDING AND CURRENT ROW)"
 
@@ -414,37 +417,37 @@ ROWS = "OVER (PARTITION BY o_orderpriority ORDER BY q ROWS BETWEEN {} PRECEDING
 @query("win01_lags", f"SELECT o_orderpriority, q, lag(n) {OVER} AS n1, lag(total) {OVER} AS total1, n - lag(n) {OVER} AS dn FROM {QUARTERS}")
 def win01(spark, sf_dir):
     """WIN-01, WIN-02, WIN-04."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.lag("n").over(W).alias("n1"), F.lag("total").over(W).alias("total1"), (F.col("n") - F.lag("n").over(W)).alias("dn"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.lag("n").over(w()).alias("n1"), F.lag("total").over(w()).alias("total1"), (F.col("n") - F.lag("n").over(w())).alias("dn"))
 
 
 @query("win03_ffill", f"SELECT o_orderpriority, q, last_value(CASE WHEN q % 3 = 0 THEN n END IGNORE NULLS) {ROWS.format('UNBOUNDED')} AS n FROM {QUARTERS}")
 def win03(spark, sf_dir):
     """WIN-03."""
-    return quarters(spark, sf_dir).withColumn("n", F.when(F.col("q") % 3 == 0, F.col("n"))).select("o_orderpriority", "q", win.ffill("n", W).alias("n"))
+    return quarters(spark, sf_dir).withColumn("n", F.when(F.col("q") % 3 == 0, F.col("n"))).select("o_orderpriority", "q", win.ffill("n", w()).alias("n"))
 
 
 @query("win05_cumsum", f"SELECT o_orderpriority, q, CAST(sum(n) {ROWS.format('UNBOUNDED')} AS BIGINT) AS n FROM {QUARTERS}")
 def win05(spark, sf_dir):
     """WIN-05."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.sum("n").over(win.running(W)).alias("n"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.sum("n").over(win.running(w())).alias("n"))
 
 
 @query("win06_expanding", f"SELECT o_orderpriority, q, CASE WHEN count(n) {ROWS.format('UNBOUNDED')} >= 8 THEN round(avg(n) {ROWS.format('UNBOUNDED')}, 4) END AS n FROM {QUARTERS}")
 def win06(spark, sf_dir):
     """WIN-06."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.guarded_mean("n", win.running(W), 8), 4).alias("n"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.guarded_mean("n", win.running(w()), 8), 4).alias("n"))
 
 
 @query("win07_rolling", f"SELECT o_orderpriority, q, CASE WHEN count(n) {ROWS.format(3)} >= 2 THEN round(1000 / nullif(avg(n) {ROWS.format(3)}, 0), 4) END AS n FROM {QUARTERS}")
 def win07(spark, sf_dir):
     """WIN-07."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(1000 / F.nullif(win.guarded_mean("n", win.last_n(W, 4), 2), F.lit(0.0)), 4).alias("n"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(1000 / F.nullif(win.guarded_mean("n", win.last_n(w(), 4), 2), F.lit(0.0)), 4).alias("n"))
 
 
 @query("win08_pct_change", f"SELECT o_orderpriority, q, round(n / nullif(lag(n, 4) {OVER}, 0) - 1, 4) AS n FROM {QUARTERS}")
 def win08(spark, sf_dir):
     """WIN-08."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.pct_change("n", W, 4), 4).alias("n"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.pct_change("n", w(), 4), 4).alias("n"))
 
 
 @query("win09_cycle_phase", f"""SELECT o_orderpriority, q, CASE WHEN l IS NULL OR s IS NULL THEN NULL WHEN l > 0 AND s <= 0 THEN 'recovery' WHEN l <= 0 AND s <= 0 THEN 'expansion' WHEN l <= 0 AND s > 0 THEN 'hypersupply' ELSE 'recession' END AS phase
@@ -457,13 +460,13 @@ def win09(spark, sf_dir):
 @query("win10_regime", f"""SELECT o_orderpriority, q, CASE WHEN count(n) {ROWS.format(7)} >= 8 AND stddev_samp(n) {ROWS.format(7)} > 0 THEN abs(n - avg(n) {ROWS.format(7)}) / stddev_samp(n) {ROWS.format(7)} > 1.5 END AS flag FROM {QUARTERS}""")
 def win10(spark, sf_dir):
     """WIN-10, MOD-17."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", win.z_regime("n", W, 8, 1.5).alias("flag"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", win.z_regime("n", w(), 8, 1.5).alias("flag"))
 
 
 @query("win12_compound_product", f"SELECT o_orderpriority, q, round(product(1 + 0.02 * (q % 5) / 4) {ROWS.format('UNBOUNDED')}, 6) AS level FROM {QUARTERS}")
 def win12(spark, sf_dir):
     """WIN-12, MOD-05."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.compound(F.lit(0.02) * (F.col("q") % 5), W), 6).alias("level"))
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.compound(F.lit(0.02) * (F.col("q") % 5), w()), 6).alias("level"))
 
 
 @query("win13_carry_forward", """SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS asked FROM conversations""")

@@ -15,9 +15,9 @@ def fresh(stream: DataFrame, key: str, at: str, late: str = "2 days") -> DataFra
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def counts(stream: DataFrame, at: str, key: str, width: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Rows by key and window, late ones up to the watermark included."""
-    g = stream.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), key).agg(F.count("*").alias("n"))
+def counts(stream: DataFrame, at: str, key: str, width: str = "1 day", late: str | None = "1 day") -> DataFrame:
+    """Rows by key and window, late ones up to the watermark included; `late` is None for a stream that has one."""
+    g = (stream.withWatermark(at, late) if late else stream).groupBy(F.window(at, width).alias("w"), key).agg(F.count("*").alias("n"))
     return g.select(F.col("w.start").alias("start"), key, "n")
 
 
