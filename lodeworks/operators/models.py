@@ -165,7 +165,7 @@ def metrics(bt: DataFrame, keys: list[str], at: str) -> DataFrame:
     e = bt.withColumn("e", F.col("actual") - F.col("predicted")).withColumn("e1", F.lag("e").over(w))
     return e.groupBy(*keys, "model").agg(
         F.count("*").alias("n"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"), F.avg(F.abs("e")).alias("mae"), F.avg("e").alias("bias"),
-        F.corr("e", "e1").alias("acf1"), F.avg(F.col("actual").between(F.col("lo"), F.col("hi")).cast("double")).alias("coverage"),
+        (F.covar_samp("e", "e1") / F.nullif(F.stddev_samp(F.when(F.col("e1").isNotNull(), F.col("e"))) * F.stddev_samp("e1"), F.lit(0.0))).alias("acf1"), F.avg(F.col("actual").between(F.col("lo"), F.col("hi")).cast("double")).alias("coverage"),
     )
 
 
