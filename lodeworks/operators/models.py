@@ -198,3 +198,69 @@ def jarque_bera(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def confidence(rmse, sd):
     """High, Medium or Low by an error's size against the series' deviation."""
     return F.when(rmse <= 0.5 * sd, "High").when(rmse <= sd, "Medium").otherwise("Low")
+
+
+def cascade(df: DataFrame, key: str, at: str, tier: str, y: str, tiers: tuple[str, ...], alphas: tuple[float, ...] = (0.1, 1.0, 10.0), least: int = 12) -> DataFrame:
+    """Tiers in order: each one's growth is fitted by ridge on its own lag and, but for the first, on the lag of what was
+    predicted for the tier above; beside it the fit without that one. (key, tier, rmse, rmse_alone, n). A market is a
+    group of a few hundred rows."""
+    key_type = dict(df.dtypes)[key]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        wide = pdf.pivot_table(index=at, columns=tier, values=y, aggfunc="first").sort_index()
+        above, rows = None, []
+        for name in tiers:
+            if name not in wide:
+                continue
+            own = wide[name]
+            x = pd.DataFrame({"own": own.shift(1)})
+            alone = x.copy()
+            if above is not None:
+                x["above"] = above.shift(1)
+            ok = x.notna().all(axis=1) & own.notna()
+            if ok.sum() < least:
+                continue
+            fit = []
+            for feats in (x, alone):
+                beta, c, _ = ridge_fit(feats[ok].to_numpy(float), own[ok].to_numpy(float), alphas)
+                fit.append(pd.Series(feats[ok].to_numpy(float) @ beta + c, index=own[ok].index))
+            err = [float(np.sqrt(((own[ok] - f) ** 2).mean())) for f in fit]
+            rows.append([pdf[key].iloc[0], name, *err, int(ok.sum())])
+            above = fit[0].reindex(wide.index)
+        return pd.DataFrame(rows, columns=[key, "tier", "rmse", "rmse_alone", "n"])
+
+    return df.groupBy(key).applyInPandas(run, f"{key} {key_type}, tier string, rmse double, rmse_alone double, n long")
+
+
+def boosted(df: DataFrame, y: str, xs: list[str], seed: int = 7, rounds: int = 20) -> DataFrame:
+    """Gradient-boosted trees over the whole frame with a fixed seed: `df` with `predicted`."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    ready = VectorAssembler(inputCols=xs, outputCol="_x", handleInvalid="skip").transform(df.where(F.col(y).isNotNull()))
+    model = GBTRegressor(featuresCol="_x", labelCol=y, predictionCol="predicted", seed=seed, maxIter=rounds, maxDepth=3).fit(ready)
+    return model.transform(ready).drop("_x")
+
+
+def hilbert_phase(df: DataFrame, keys: list[str], at: str, value: str, least: int = 64, low: int = 16, high: int = 32) -> DataFrame:
+    """Phase of the cycle of 16 to 32 quarters: gaps interpolated, detrended, band-passed and made analytic by the Fourier
+    transform (an ideal filter, where others take a Butterworth one). Markets with fewer rows, or more than 30 % gaps,
+    give none. (keys, at, angle, phase)"""
+    key_types = [f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in keys]
+    names = ("expansion", "hypersupply", "recession", "recovery")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(at)
+        out = [*keys, at, "angle", "phase"]
+        if len(pdf) < least or pdf[value].isna().mean() > 0.3:
+            return pd.DataFrame(columns=out)
+        v = pdf[value].astype(float).interpolate(limit_direction="both").to_numpy()
+        t = np.arange(len(v))
+        v = v - np.polyval(np.polyfit(t, v, 1), t)
+        f = np.fft.fftfreq(len(v))
+        z = np.fft.ifft(np.where((f >= 1 / high) & (f <= 1 / low), 2 * np.fft.fft(v), 0))
+        angle = np.angle(z)
+        quarter = (np.floor((angle + np.pi) / (np.pi / 2)).astype(int)) % 4
+        return pdf[keys].assign(**{at: pdf[at].to_numpy(), "angle": angle, "phase": [names[q] for q in quarter]})[out]
+
+    return df.select(*keys, at, value).groupBy(*keys).applyInPandas(run, ", ".join([*key_types, f"{at} {dict(df.dtypes)[at]}", "angle double", "phase string"]))

@@ -240,3 +240,27 @@ def test_extract(spark):
     assert [(r.heading, r.cells) for r in rows] == [("Rents", ["1BR", "$900"]), ("B", ["1", "2"])]
     feed = "<rss><item><title><![CDATA[Flat]]></title><link>u</link></item></rss>"
     assert [(x.title, x.link) for x in extract.rss(spark.createDataFrame([(1, feed)], "k int, x string"), "k", "x").collect()] == [("Flat", "u")]
+
+
+def test_cascade_boosted_phase(spark):
+    rng = np.random.default_rng(1)
+    rows = [("m", q, t, float(rng.normal() + (q % 7))) for q in range(40) for t in ("a", "b", "c")]
+    c = models.cascade(spark.createDataFrame(rows, "m string, q int, t string, y double"), "m", "q", "t", "y", ("a", "b", "c")).collect()
+    assert [r.tier for r in c] == ["a", "b", "c"] and c[0].rmse == c[0].rmse_alone
+    x = spark.createDataFrame([(float(i), float(i % 10 > 4) * 10) for i in range(100)], "x double, y double").withColumn("z", F.col("x") % 10)
+    assert models.boosted(x, "y", ["z"]).select(F.max(F.abs(F.col("y") - F.col("predicted")))).first()[0] < 1
+    wave = [("m", q, float(np.sin(2 * np.pi * q / 20))) for q in range(80)] + [("short", q, 1.0) for q in range(10)]
+    p = models.hilbert_phase(spark.createDataFrame(wave, "m string, q int, v double"), ["m"], "q", "v").collect()
+    assert {r.m for r in p} == {"m"} and len(p) == 80
+    turns = np.unwrap([r.angle for r in sorted(p, key=lambda r: r.q)])
+    assert abs((turns[60] - turns[20]) - 4 * np.pi) < 0.3
+
+
+def test_schemas(spark, tmp_path):
+    from lodeworks.sources import schemas
+
+    assert len(schemas.apply_schema(spark, str(tmp_path / "db"))) == 7 and schemas.apply_schema(spark, str(tmp_path / "db")) == []
+    t = schemas.read_table(spark, str(tmp_path / "db"), "rent_index")
+    assert t.count() == 0 and t.columns == ["zip", "month", "home_type", "value"]
+    twice = spark.sql("SELECT 'z' zip, DATE'2025-01-31' month, 'a' home_type, 1.0D value UNION ALL SELECT 'z', DATE'2025-01-31', 'a', 2.0D")
+    assert schemas.duplicate_keys(twice, "rent_index").first().n == 2
