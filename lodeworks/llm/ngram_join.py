@@ -11,8 +11,8 @@ and the components of its links.
 4. Light nodes (n <= boundary) enumerate all 2-subsets of their extended prefix and meet under equal subsets; a heavy
    node scans the inverted lists of its prefix, which hold light and heavy nodes. The boundary is the one of least
    estimated cost: subsets enumerated and pairs met under them, and pairs met in lists.
-5. Meeting is done in two rounds. First each subset or list links its members to its smallest one, which joins large
-   groups of near copies in linear work. Then only members of different components are paired, which are few where
+5. Members meet only if the hashes from their common one on suffice for the similarity. Meeting is done in two rounds. First each subset or list links its members to the one that can share the largest part of
+   itself (of a group of near copies, one with hardly any hashes of its own), which joins large groups in linear work. Then only members of different components are paired, which are few where
    texts are alike, since those are in one component already. Every candidate is decided by 4 * intersection >=
    3 * union over the whole sets, so the components are exact up to hash collisions.
 
@@ -38,6 +38,8 @@ from .common import Words, byte_codes, components, mix, runs_of_text, space_word
 SHINGLE, OVER, UNDER = 5, 4, 3
 #: Postings that a mapper packs at a time, and that a dealt bucket holds on average.
 FLUSH, BUCKET = 2_000_000, 1_500_000
+#: A hash is hot if at least HOT nodes and 1 in SHARE of all have it; a partition reports those that 1 in LOCAL of its have.
+HOT, SHARE, LOCAL = 50_000, 1024, 2048
 #: Boundaries between light and heavy sets of which the cheapest is taken.
 BOUNDARIES = (0, 4, 8, 12, 16, 24, 32, 48, 64)
 
@@ -68,18 +70,62 @@ def set_key(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def keyed(text: Column | str) -> Column:
-    """Struct (n, key) of a text's set; key is null for an empty one."""
+_KEYED = "id long, n long, key long, hot array<long>, times array<long>"
 
-    @F.arrow_udf("struct<n:long,key:long>")
-    def f(texts: pa.Array) -> pa.Array:
+
+def _keyed(batches):
+    """Each row's size and key; last, of the partition's distinct sets, the hashes that at least 1 in LOCAL of them have,
+    by lossy counting [Manku and Motwani 2002]."""
+    seen: set[int] = set()
+    sets: list[np.ndarray] = []
+    hashes, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held = 0
+
+    def count() -> None:
+        nonlocal hashes, times, held
+        u, n = np.unique(np.concatenate(sets), return_counts=True)
+        often = n > 1
+        both, back = np.unique(np.concatenate([hashes, u[often]]), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([times, n[often]]), minlength=len(both)).astype(np.int64)
+        keep = n * LOCAL >= len(seen)
+        hashes, times = both[keep], n[keep]
+        sets.clear()
+        held = 0
+
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("hot", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+    for batch in batches:
         n, keys = [], []
-        for s in shingle_sets(texts):
+        for s in shingle_sets(batch.column(1)):
             n.append(len(s))
             keys.append(set_key(s) if len(s) else None)
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(keys, pa.int64())], ["n", "key"])
-
-    return f(text)
+            if len(s) and keys[-1] not in seen:
+                seen.add(keys[-1])
+                sets.append(s)
+                held += len(s)
+                if held >= FLUSH:
+                    count()
+        none = pa.nulls(len(n), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), none, none], schema=schema)
+    if sets:
+        count()
+    if len(hashes):
+        null = pa.nulls(1, pa.int64())
+        yield pa.RecordBatch.from_arrays([null, null, null, pa.array([hashes.view(np.int64)], pa.list_(pa.int64())), pa.array([times], pa.list_(pa.int64()))], schema=schema)
+
+
+def hot_hashes(rows: DataFrame) -> np.ndarray:
+    """Hashes that at least HOT nodes and 1 in SHARE of them have: at most SHARE times the mean size of a set, so they go to
+    all tasks. Their postings are dealt by hash and node, not by hash alone."""
+    nodes_ = rows.where("key is not null").agg(F.approx_count_distinct("key")).first()[0]
+    pairs = rows.where("n is null").select(F.explode(F.arrays_zip("hot", "times")).alias("p")).select("p.hot", "p.times")
+    often = pairs.groupBy("hot").agg(F.sum("times").alias("n")).where(F.col("n") >= max(HOT, nodes_ // SHARE))
+    return np.sort(np.array([r.hot for r in often.select("hot").collect()], np.int64).view(np.uint64))
+
+
+def _among(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(hashes), bool)
+    return hot[np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)] == hashes
 
 
 def _packed(bucket: np.ndarray, owner: np.ndarray, columns: dict[str, np.ndarray], per_owner: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -109,8 +155,8 @@ _POSTINGS = "bucket int, lens binary, keys binary, sizes binary, hashes binary"
 _SHARED = "bucket int, lens binary, keys binary, sizes binary, hashes binary, dfs binary"
 
 
-def _post(buckets: int):
-    """Postings of the distinct sets of a partition, packed by buckets of hashes."""
+def _post(buckets: int, hot: np.ndarray):
+    """Postings of the distinct sets of a partition, packed by buckets of hashes (hot ones: of hashes and nodes)."""
 
     def post(batches):
         seen: set[int] = set()
@@ -123,7 +169,8 @@ def _post(buckets: int):
             h = np.concatenate(sets)
             sizes = np.array([len(s) for s in sets], np.int32)
             owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
-            out = _packed((mix(h) % np.uint64(buckets)).astype(np.int32), owner, {"hashes": h}, {"keys": np.array(keys, np.int64), "sizes": sizes})
+            dealt = mix(h + np.where(_among(h, hot), np.array(keys, np.int64).view(np.uint64)[owner], np.uint64(0)))
+            out = _packed((dealt % np.uint64(buckets)).astype(np.int32), owner, {"hashes": h}, {"keys": np.array(keys, np.int64), "sizes": sizes})
             keys.clear(), sets.clear()
             held = 0
             return out
@@ -144,8 +191,9 @@ def _post(buckets: int):
     return post
 
 
-def _share(buckets: int):
-    """Of a bucket of hashes, the postings of hashes that several nodes have, with the number of those, by node."""
+def _share(buckets: int, hot: np.ndarray):
+    """Of a bucket of hashes, the postings of hashes that several nodes have, with the number of those, by node; hot hashes
+    count as more frequent than all others."""
 
     def share(rows: pa.Table) -> pa.Table:
         x = _joined(rows, {"lens": np.int32, "keys": np.int64, "sizes": np.int32, "hashes": np.uint64})
@@ -155,6 +203,7 @@ def _share(buckets: int):
         twice = np.zeros(len(h), bool)
         twice[1:] = h[1:] == h[:-1]
         twice[:-1] |= twice[1:]
+        twice |= _among(h, hot)
         order = order[twice]
         h, key, size = x["hashes"][order], key[order], size[order]
         order = np.lexsort((key, h))  # one posting for each node and hash: a node may come from several partitions
@@ -163,7 +212,7 @@ def _share(buckets: int):
         once[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
         h, key, size = h[once], key[once], size[once]
         _, back, df = np.unique(h, return_inverse=True, return_counts=True)
-        df = df[back]
+        df = np.where(_among(h, hot), np.iinfo(np.int32).max, df[back])
         h, key, size, df = h[df > 1], key[df > 1], size[df > 1], df[df > 1].astype(np.int32)
         if not len(h):
             return pa.Table.from_batches([], _arrow_schema(_SHARED))
@@ -202,12 +251,12 @@ def _gather(rows: pa.Table) -> pa.Table:
     )
 
 
-def nodes(sets: DataFrame, total: int) -> DataFrame:
+def nodes(sets: DataFrame, total: int, hot: np.ndarray) -> DataFrame:
     """(key, n, own, hashes) of the nodes that can link; `sets` has one text column, `total` is its number of shingles."""
     buckets = max(8, total // BUCKET + 1)
     gathered = max(8, buckets // 4)
-    posted = sets.mapInArrow(_post(buckets), _POSTINGS)
-    shared = posted.groupBy("bucket").applyInArrow(_share(gathered), _SHARED)
+    posted = sets.mapInArrow(_post(buckets, hot), _POSTINGS)
+    shared = posted.groupBy("bucket").applyInArrow(_share(gathered, hot), _SHARED)
     return shared.groupBy("bucket").applyInArrow(_gather, _NODES)
 
 
@@ -218,8 +267,10 @@ def _verified(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").where(OVER * both >= UNDER * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def _sizes_fit(a: str, b: str) -> Column:
-    return OVER * F.least(a, b) >= UNDER * F.greatest(a, b)
+def _can_link(na: str, nb: str, most_a: str, most_b: str) -> Column:
+    """Whether sets of these sizes can reach the similarity with at most so many hashes in common (the positional filter
+    of prefix joins): lossless, since a linked pair passes at the first hashes that it shares."""
+    return (OVER + UNDER) * F.least(most_a, most_b) >= UNDER * (F.col(na) + F.col(nb))
 
 
 def boundary(found: DataFrame) -> int:
@@ -233,30 +284,37 @@ def boundary(found: DataFrame) -> int:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of `docs`: id, n_shingles, component_id."""
-    rows = table(docs.select(F.col(id_col).alias("id"), keyed(F.col(text_col)).alias("s")).select("id", "s.n", "s.key"), "sets")
+    keyed = table(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_keyed, _KEYED), "sets")
+    hot = hot_hashes(keyed)
+    rows = keyed.where("n is not null").select("id", "n", "key")
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    found = table(nodes(docs.select(F.col(text_col)), total), "nodes")
+    found = table(nodes(docs.select(F.col(text_col)), total, hot), "nodes")
     n, own = F.col("n"), F.col("own")
     first = n - F.ceil(UNDER * n / OVER).cast("int") + 1 - own
-    prefix = found.select("key", "n", F.slice("hashes", F.lit(1), first).alias("p1"), F.slice("hashes", F.lit(1), F.least(first + 1, F.size("hashes"))).alias("p2"))
+    prefix = found.select("key", "n", "own", F.slice("hashes", F.lit(1), first).alias("p1"), F.slice("hashes", F.lit(1), F.least(first + 1, F.size("hashes"))).alias("p2"))
     limit = boundary(prefix)
     light = F.col("n") <= limit
-    pairs_of = F.flatten(F.transform("p2", lambda x, i: F.transform(F.slice("p2", i + 2, F.size("p2")), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y)))))
-    subsets = prefix.where(light).select("key", "n", F.explode(pairs_of).alias("h"), F.lit(True).alias("sub"), F.lit(True).alias("light"))
-    lists = prefix.select("key", "n", F.explode("p1").alias("h"), F.lit(False).alias("sub"), light.alias("light"))
+    # `most`: how many hashes two sets can share if those that they met by are the first that they share.
+    subset = lambda x, y, at: F.struct(F.xxhash64(F.least(x, y), F.greatest(x, y)).alias("h"), (n - own - at + 1).alias("most"))
+    pairs_of = F.flatten(F.transform("p2", lambda x, i: F.transform(F.slice("p2", i + 2, F.size("p2")), lambda y, j: subset(x, y, i + 1 + j))))
+    each = F.transform("p1", lambda x, i: F.struct(x.alias("h"), (n - own - i).alias("most")))
+    post = lambda df, c, *more: df.select("key", "n", F.explode(c).alias("_p"), *more).select("key", "n", "_p.h", "_p.most", *(m for m in ("sub", "light")))
+    subsets = post(prefix.where(light), pairs_of, F.lit(True).alias("sub"), F.lit(True).alias("light"))
+    lists = post(prefix, each, F.lit(False).alias("sub"), light.alias("light"))
     met = table(subsets.union(lists), "lists")
-    # Round 1: each subset's smallest node, and each list's smallest heavy one, meets the others.
-    hubs = met.where(F.col("sub") | ~F.col("light")).groupBy("sub", "h").agg(F.min("key").alias("a"), F.min_by("n", "key").alias("na"))
-    star = met.join(hubs, ["sub", "h"]).where("key != a").where(_sizes_fit("n", "na"))
+    # Round 1: each subset's most central node, and each list's most central heavy one, meets the others.
+    hubs = met.where(F.col("sub") | ~F.col("light")).groupBy("sub", "h").agg(F.max(F.struct((F.col("most") / F.col("n")).alias("share"), "key", "n", "most")).alias("hub"))
+    hubs = hubs.select("sub", "h", F.col("hub.key").alias("a"), F.col("hub.n").alias("na"), F.col("hub.most").alias("ma"))
+    star = met.join(hubs, ["sub", "h"]).where("key != a").where(_can_link("n", "na", "most", "ma"))
     star = star.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
     links = table(_verified(star, found), "links")
     comp = components(links, label="first")
     # Round 2: members of different components.
-    placed = met.join(comp, met["key"] == comp["id"], "left").select("sub", "h", "key", "n", "light", F.coalesce("comp", "key").alias("comp"))
+    placed = met.join(comp, met["key"] == comp["id"], "left").select("sub", "h", "key", "n", "most", "light", F.coalesce("comp", "key").alias("comp"))
     open_ = placed.groupBy("sub", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sub", "h")
     placed = placed.join(open_, ["sub", "h"], "left_semi")
-    side = lambda k: placed.select("sub", "h", *(F.col(c).alias(f"{c}_{k}") for c in ("key", "n", "light", "comp")))
-    rest = side("a").join(side("b"), ["sub", "h"]).where("comp_a < comp_b").where(_sizes_fit("n_a", "n_b")).where(F.col("sub") | ~F.col("light_a") | ~F.col("light_b"))
+    side = lambda k: placed.select("sub", "h", *(F.col(c).alias(f"{c}_{k}") for c in ("key", "n", "most", "light", "comp")))
+    rest = side("a").join(side("b"), ["sub", "h"]).where("comp_a < comp_b").where(_can_link("n_a", "n_b", "most_a", "most_b")).where(F.col("sub") | ~F.col("light_a") | ~F.col("light_b"))
     rest = rest.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = table(_verified(rest, found), "links")
     if not more.isEmpty():

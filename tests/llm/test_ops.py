@@ -51,8 +51,9 @@ def test_op1_driver_table(spark, sf, texts):
     assert got == {i: (n, c) for i, n, c in brute.components(sorted(texts.items()))}
 
 
-@pytest.mark.parametrize("limit", [None, 0, 64])
-def test_op1_random(spark, limit, monkeypatch):
+@pytest.mark.parametrize(("limit", "hot"), [(None, 50_000), (0, 50_000), (64, 50_000), (64, 2), (0, 2)])
+def test_op1_random(spark, limit, hot, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT", hot)
     if limit is not None:
         monkeypatch.setattr(ngram_join, "boundary", lambda found: limit)
     rows = near_copies(limit or 1)
