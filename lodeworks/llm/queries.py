@@ -54,4 +54,42 @@ g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (n > 0 AND nth > 1) AS
 r AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_lines_removed, kept_chars FROM d JOIN g USING (doc_id) LEFT JOIN rep USING (doc_id))
 SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND kept_chars >= {quality.MIN_KEPT} * word_chars AS kept FROM r"""
 
-ORACLE_SQL: dict[str, str] = {"op2_quality_rules": _OP2, "op5_decontaminate": _OP5}
+
+
+def _matches(kind: str) -> str:
+    """Whole matches, what counts in them, and the pieces between."""
+    quoted = "'" + secret_scan.PATTERNS[kind].replace("'", "''") + "'"
+    group = 2 if kind == "assign" else 0
+    return (
+        f"SELECT doc_id, {secret_scan.KINDS.index(kind)} AS rank, '{kind}' AS kind, regexp_extract_all(text, {quoted}, 0) AS w, regexp_extract_all(text, {quoted}, {group}) AS b, "
+        f"string_split_regex(text, {quoted}) AS p FROM t WHERE regexp_matches(text, {quoted})"
+    )
+
+
+_W = secret_scan.WINDOW
+_OP8 = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(map(_matches, secret_scan.KINDS))}),
+s AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM m),
+sp AS (SELECT doc_id, rank, kind, CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1 : i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(w[i]) AS n, b[i] AS body FROM s),
+base AS (SELECT doc_id, rank, kind, a, a + n AS z FROM sp WHERE kind <> 'entropy' AND (kind <> 'assign' OR length(body) >= 6)),
+cand AS (SELECT doc_id, a, n, body FROM sp WHERE kind = 'entropy' AND NOT regexp_matches(body, '{secret_scan.ALLOWED}') AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = sp.doc_id AND base.a < sp.a + sp.n AND base.z > sp.a)),
+win AS (SELECT doc_id, a, body, unnest(range(0, n - {_W} + 1)) AS j FROM cand),
+ch AS (SELECT doc_id, a, body, j, unnest(string_split(substr(body, j + 1, {_W}), '')) AS c FROM win),
+q AS (SELECT doc_id, a, body, j, c, count(*) AS q FROM ch GROUP BY ALL),
+h AS (SELECT doc_id, a, body, j, -sum(q / {_W} * log2(q / {_W})) AS e FROM q GROUP BY ALL),
+hit AS (SELECT doc_id, a, min(j) AS lo, max(j) + {_W} AS hi FROM h WHERE e >= CASE WHEN regexp_matches(body, '^[0-9a-fA-F]+$') THEN {secret_scan.HEX_BITS} ELSE {secret_scan.OTHER_BITS} END GROUP BY 1, 2),
+every AS (SELECT * FROM base UNION ALL SELECT doc_id, 3, 'entropy', a + lo, a + hi FROM hit),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+string_agg(concat_ws(':', kind, a, z), ',' ORDER BY a, rank, z) FILTER (kind <> 'entropy') AS b, string_agg(concat_ws(':', kind, a, z), ',' ORDER BY a, rank, z) AS x FROM every GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(x, '') AS spans FROM t LEFT JOIN g USING (doc_id)"""
+
+_OP1 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACED}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS g FROM d),
+x AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT p.b AS id, r.c AS c FROM r JOIN p ON r.id = p.a)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.c AS component_id FROM s JOIN (SELECT id, min(c) AS c FROM r GROUP BY 1) m ON m.id = s.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op1_ngram_join": _OP1, "op2_quality_rules": _OP2, "op5_decontaminate": _OP5, "op8_secret_scan": _OP8}
