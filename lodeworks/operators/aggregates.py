@@ -1,4 +1,5 @@
-"""Aggregations. Everything but medians combines on the map side; exact percentiles buffer value counts, not rows."""
+"""Aggregations. Everything but medians combines on the map side. percentile() holds a group's distinct values: use
+large_quantiles where a group has very many."""
 
 from __future__ import annotations
 
@@ -26,6 +27,34 @@ def quartiles(df: DataFrame, keys: list[str], value: str, per: str) -> DataFrame
     return out.select(*keys, "n", *(F.get("_p", F.lit(i)).cast("bigint").alias(n) for i, n in enumerate(("p25", "p50", "p75"))), "median_per")
 
 
+def large_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = 100_000) -> DataFrame:
+    """Exact interpolated quantiles by group (array `quantiles`, with n) in bounded memory, where percentile() would hold
+    every distinct value of a group: mergeable sketches give a bracket around each quantile, one pass counts what lies
+    below and takes the nearest values outside, and only the rows within the brackets (about 4 in `accuracy`) are ranked."""
+    step = 2.0 / accuracy
+    ends = [min(1.0, max(0.0, p + d)) for p in probs for d in (-step, step)]
+    d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*keys, F.col(value).cast("double").alias("_v"))
+    sketch = d.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("_v", ends, accuracy).alias("_e"))
+    on = [F.col(f"_d.{k}").eqNullSafe(F.col(f"_s.{k}")) for k in keys] or F.lit(True)
+    j = d.alias("_d").join(sketch.alias("_s"), on).select(*(F.col(f"_d.{k}").alias(k) for k in keys), "_v", "n", "_e")
+    low, high = (lambda i: F.get("_e", F.lit(2 * i))), (lambda i: F.get("_e", F.lit(2 * i + 1)))
+    v = F.col("_v")
+    out = j.groupBy(*keys).agg(
+        F.first("n").alias("n"),
+        F.array(*(F.struct(F.count_if(v < low(i)).alias("below"), F.max(F.when(v < low(i), v)).alias("prev"), F.min(F.when(v > high(i), v)).alias("next"), F.count_if(v.between(low(i), high(i))).alias("inside")) for i in range(len(probs)))).alias("_o"),
+    )
+    which = F.explode(F.filter(F.array(*(F.when(v.between(low(i), high(i)), F.lit(i)) for i in range(len(probs)))), lambda i: i.isNotNull()))
+    ranked = j.select(*keys, "n", "_v", which.alias("_i")).withColumn("_k", F.row_number().over(Window.partitionBy(*keys, "_i").orderBy("_v")) - 1)
+    p = F.get(F.array(*map(F.lit, map(float, probs))), F.col("_i"))
+    r = (F.col("n") - 1) * p
+    both = ranked.alias("_d").join(out.alias("_s"), on).select(*(F.col(f"_d.{k}").alias(k) for k in keys), F.col("_d.n").alias("n"), "_i", "_v", (F.col("_k") + F.get("_o", F.col("_i"))["below"]).alias("_at"), F.get("_o", F.col("_i")).alias("_o"))
+    hit = lambda at: F.max(F.when(F.col("_at") == at, F.col("_v")))
+    g = both.groupBy(*keys, "n", "_i").agg(hit(F.floor(r)).alias("_a"), hit(F.ceil(r)).alias("_b"), F.first("_o").alias("_o"))
+    a, b = F.coalesce("_a", "_o.prev"), F.coalesce("_b", "_o.next")
+    q = F.struct("_i", (a + (b - a) * (r - F.floor(r))).alias("q"))
+    return g.groupBy(*keys, "n").agg(F.transform(F.array_sort(F.collect_list(q)), lambda x: x["q"]).alias("quantiles"))
+
+
 def concentration(df: DataFrame, key: str, size: Column, n: int) -> DataFrame:
     """The n largest keys by summed size, then rows, then key: a top-k without a full sort."""
     out = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(size).alias("total"), F.count("*").alias("n"))
@@ -148,8 +177,8 @@ def inverse_weights(df: DataFrame, rmse: str, model: str, excluded: tuple[str, .
 
 
 def iqr_outliers(df: DataFrame, keys: list[str], value: str, k: float = 1.5) -> DataFrame:
-    """Quartiles, fences and rows beyond them, by group: two aggregations and a join on the groups."""
-    q = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
+    """Quartiles, fences and rows beyond them, by group, in bounded memory."""
+    q = large_quantiles(df, keys, value, [0.25, 0.75]).withColumnRenamed("quantiles", "_q")
     q = q.select(*keys, F.get("_q", F.lit(0)).alias("q1"), F.get("_q", F.lit(1)).alias("q3")).withColumn("_i", k * (F.col("q3") - F.col("q1")))
     out = (F.col(value) < F.col("q1") - F.col("_i")) | (F.col(value) > F.col("q3") + F.col("_i"))
     return df.join(q, keys).groupBy(*keys).agg(F.round(F.first("q1"), 4).alias("q1"), F.round(F.first("q3"), 4).alias("q3"), F.count_if(out).alias("outliers"), F.count("*").alias("n"))

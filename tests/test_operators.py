@@ -264,3 +264,17 @@ def test_schemas(spark, tmp_path):
     assert t.count() == 0 and t.columns == ["zip", "month", "home_type", "value"]
     twice = spark.sql("SELECT 'z' zip, DATE'2025-01-31' month, 'a' home_type, 1.0D value UNION ALL SELECT 'z', DATE'2025-01-31', 'a', 2.0D")
     assert schemas.duplicate_keys(twice, "rent_index").first().n == 2
+
+
+def test_large_quantiles(spark):
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 4), ("c", 10), ("d", 333), ("e", 2000)) for v in (rng.integers(0, 50, n) if g == "d" else rng.normal(size=n))] + [("a", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    for accuracy in (100_000, 100):
+        got = {r.g: r for r in agg.large_quantiles(df, ["g"], "v", probs, accuracy).collect()}
+        for g in ("a", "b", "c", "d", "e", None):
+            v = [x for k, x in rows if k == g and x is not None]
+            assert got[g].n == len(v) and np.allclose(got[g].quantiles, np.quantile(v, probs))
+    one = agg.large_quantiles(df, [], "v", [0.5]).first()
+    assert np.allclose(one.quantiles, np.median([x for _, x in rows if x is not None]))
