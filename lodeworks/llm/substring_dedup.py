@@ -1,10 +1,10 @@
 """Substring dedup by unit hashing: texts are cut into units, normalised units are grouped by digest over the whole
 corpus, the earliest ranked occurrence stays, and all others are removed with their original offsets retained.
 
-Units are lines; long ones are cut further, since repeated passages also stand in the middle of lines: after a word that
-is followed by `.`, `!` or `?`, or whose hash falls on 1 in CUT (so that long sentences are cut at places that depend on
-nearby words only), but only where MIN_WORDS words stand on either side of the cut within the line. Lines of fewer than
-LINE_WORDS words are no units and always stay. Normalised: words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` lower-cased in
+Units are lines; long ones are cut further, since repeated passages also stand in the middle of lines: before a word whose
+hash is the least of those up to REACH words away on either side in its line. Whether a line is cut at a word thus depends
+on nearby words only, so a passage is cut alike wherever it stands, but for its first and last few words. Cuts lie more
+than REACH words apart and from the line's ends; one word over and over is cut every PIECE words. Lines of fewer than LINE_WORDS words are no units and always stay. Normalised: words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` lower-cased in
 A-Z, so spacing and punctuation don't matter. Rank: id (nulls last), then a hash of the text, then place in the text.
 
 Skew: within a mapper's block all but the earliest occurrence of a digest are surely removed, so only that one goes to
@@ -24,47 +24,43 @@ from pyspark.sql import functions as F
 from .common import Words, alnum_words, byte_codes, mix, runs_of_text, table
 from .secret_scan import redact
 
-#: Least words of a line, and of a part of one; one in how many words a part may end within a sentence.
-LINE_WORDS, MIN_WORDS, CUT = 5, 6, 8
+#: Least words of a line, and words on either side of which a cut has the least hash.
+LINE_WORDS, REACH = 5, 5
+#: One word over and over, at least twice as often, is cut into pieces of so many.
+PIECE = 8
 #: Units that a mapper holds at a time, and that a dealt bucket holds on average.
-FLUSH, BUCKET = 500_000, 500_000
+FLUSH, BUCKET = 150_000, 200_000
 
 
 def units(texts: pa.Array):
     """(digests, starts, ends) of each text's units, in code points; a unit ends where the next word begins."""
     inside = alnum_words()
     codes = byte_codes(True, inside)
-    stop, line = np.zeros(256, bool), np.zeros(256, bool)
-    stop[[0x21, 0x2E, 0x3F]] = line[0x0A] = True
     for low, high, data, offsets in runs_of_text(texts):
         w = Words(data, offsets, inside, codes)
         n = len(w.hash)
-        after = np.append(w.start[1:], len(data))[:n]
-        held = lambda table: np.concatenate([[0], np.cumsum(table[data])])
-        stops, lines = held(stop), held(line)
-        soft = np.flatnonzero((stops[after] > stops[w.end]) | (w.hash % np.uint64(CUT) == 0)) + 1
-        hard = lines[after] > lines[w.end]
-        hard[w.first[1:][w.first[1:] > 0] - 1] = True
-        hard = np.flatnonzero(hard) + 1
-        first, at = [], 0
-        keep = []
-        begin = 0
-        for end in hard.tolist():
-            first.append(begin)
-            keep.append(end - begin >= LINE_WORDS)
-            last = begin
-            while at < len(soft) and soft[at] < end:
-                cut = int(soft[at])
-                if cut - last >= MIN_WORDS and end - cut >= MIN_WORDS:
-                    first.append(cut)
-                    keep.append(True)
-                    last = cut
-                at += 1
-            begin = end
         if not n:
             yield from ((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(high - low))
             continue
-        first, keep = np.array(first), np.array(keep)
+        breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
+        new = np.ones(n, bool)
+        new[1:] = (breaks[w.start[1:]] > breaks[w.end[:-1]]) | (w.doc[1:] != w.doc[:-1])
+        begins = np.flatnonzero(new)
+        line = np.cumsum(new) - 1
+        length = np.diff(np.append(begins, n))
+        at = np.arange(n) - begins[line]
+        cut = (at > REACH) & (length[line] - at > REACH)
+        for d in range(1, REACH + 1):  # within the line: cuts are that far from its ends
+            cut[d:] &= w.hash[d:] < w.hash[:-d]
+            cut[:-d] &= w.hash[:-d] < w.hash[d:]
+        same = np.concatenate([[False], (w.hash[1:] == w.hash[:-1]) & ~new[1:]])
+        heads = np.flatnonzero(~same)
+        run = np.cumsum(~same) - 1
+        long = np.diff(np.append(heads, n)) >= 2 * PIECE
+        cut |= long[run] & ((np.arange(n) - heads[run]) % PIECE == 0)
+        cut[heads[1:]] |= long[:-1]
+        first = np.flatnonzero(new | cut)
+        keep = length[line[first]] >= LINE_WORDS
         size = np.diff(np.append(first, n))
         within = np.arange(n) - np.repeat(first, size)
         digest = mix(np.add.reduceat(mix(w.hash + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first) + size.astype(np.uint64))
@@ -74,67 +70,68 @@ def units(texts: pa.Array):
         starts = point[w.start[first]] - origin
         close = np.append(w.start[first[1:]], len(data))
         ends = point[np.minimum(close, offsets[1:][doc])] - origin
-        cut = np.searchsorted(first, w.first)
+        bounds = np.searchsorted(first, w.first)
         for i in range(high - low):
-            part = slice(cut[i], cut[i + 1])
+            part = slice(bounds[i], bounds[i + 1])
             ok = keep[part]
             yield digest[part][ok], starts[part][ok], ends[part][ok]
 
 
-_ROWS = "bucket int, sure boolean, id long, th long, digests binary, starts binary, ends binary"
+_KINDS = {"lens": np.int32, "nulls": np.uint8, "ids": np.int64, "ths": np.int64, "digests": np.uint64, "starts": np.int32, "ends": np.int32, "sure": np.uint8}
+_ROWS = "bucket int, " + ", ".join(f"{k} binary" for k in _KINDS)
 
 
-def _row(out: dict[str, list], bucket: int, sure: bool, who: tuple, digests, starts, ends) -> None:
-    for k, v in zip(out, (bucket, sure, who[0], who[1], digests.tobytes(), starts.astype(np.int32).tobytes(), ends.astype(np.int32).tobytes()), strict=True):
-        out[k].append(v)
-
-
-def _packed(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
-
-
-def _order(who: list[tuple]) -> np.ndarray:
-    """Rank of each document among `who`: ids ascending with nulls last, then hashes of texts; equal ones share it."""
-    keys = sorted(set(who), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-    rank = {k: i for i, k in enumerate(keys)}
-    return np.array([rank[x] for x in who], np.int64)
+def _rank(nulls: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> np.ndarray:
+    """Rank of each document: ids ascending with nulls last, then hashes of texts; equal ones share it."""
+    order = np.lexsort((ths, ids, nulls))
+    n, i, t = nulls[order], ids[order], ths[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (n[1:] != n[:-1]) | (i[1:] != i[:-1]) | (t[1:] != t[:-1])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
 
 
 def _earlier(digests: np.ndarray, rank: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Which postings have an earlier one with the same digest."""
     order = np.lexsort((starts, rank, digests))
     d, r, s = digests[order], rank[order], starts[order]
-    head = np.concatenate([[True], d[1:] != d[:-1]])
-    at = np.flatnonzero(head)[np.cumsum(head) - 1]
+    head = np.concatenate([[True], d[1:] != d[:-1]]) if len(d) else np.zeros(0, bool)
+    at = np.flatnonzero(head)[np.cumsum(head) - 1] if len(d) else np.zeros(0, np.int64)
     out = np.zeros(len(d), bool)
     out[order] = (r != r[at]) | (s != s[at])
     return out
 
 
 def _deal(buckets: int):
+    """Units packed by buckets of their digests: a row for each bucket and block, with runs of documents. Those that have
+    an earlier equal one in the block are marked as sure to go and take no part in the bucket's contest."""
+
     def deal(batches):
         who, parts, held = [], [], 0
 
-        def flush():
+        def flush() -> pa.RecordBatch:
             d, s, e = (np.concatenate([p[k] for p in parts]) for k in range(3))
             doc = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-            gone = _earlier(d, _order(who)[doc], s)
-            out: dict[str, list] = {c.split()[0]: [] for c in _ROWS.split(", ")}
-            bucket = (mix(d) % np.uint64(buckets)).astype(np.int64)
-            # Rows of a bucket hold runs of documents; what is surely removed goes straight to any bucket.
-            for sure in (True, False):
-                picked = np.flatnonzero(gone == sure)
-                group = doc[picked] if sure else doc[picked] + bucket[picked] * len(parts)
-                order = picked[np.argsort(group, kind="stable")]
-                group = np.sort(group, kind="stable")
-                edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else []
-                for a, b in zip(edge, np.append(edge[1:], len(group)) if len(edge) else [], strict=True):
-                    part = order[a:b]
-                    k = int(doc[part[0]])
-                    _row(out, int(bucket[part[0]]), sure, who[k], d[part], s[part], e[part])
+            nulls = np.array([w[0] is None for w in who], np.uint8)
+            ids, ths = np.array([w[0] or 0 for w in who], np.int64), np.array([w[1] for w in who], np.int64)
+            sure = _earlier(d, _rank(nulls, ids, ths)[doc], s)
+            bucket = (mix(d) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            bucket, doc = bucket[order], doc[order]
+            edge = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (doc[1:] != doc[:-1])]))
+            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            runs, ends = np.append(np.searchsorted(edge, cut), len(edge)), np.append(cut, len(bucket))
+            by_run = {"lens": np.diff(np.append(edge, len(doc))), "nulls": nulls[doc[edge]], "ids": ids[doc[edge]], "ths": ths[doc[edge]]}
+            by_unit = {"digests": d[order], "starts": s[order], "ends": e[order], "sure": sure[order]}
+            out: dict[str, pa.Array] = {"bucket": pa.array(bucket[cut])}
+            for columns, at in ((by_run, runs), (by_unit, ends)):
+                for k, v in columns.items():
+                    v = v.astype(_KINDS[k])
+                    out[k] = pa.array([v[at[i] : at[i + 1]].tobytes() for i in range(len(cut))], pa.binary())
             who.clear(), parts.clear()
-            return _packed(out)
+            pa.default_memory_pool().release_unused()
+            return pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
         for batch in batches:
             ids, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -157,25 +154,21 @@ _GONE = "id long, th long, spans array<struct<start:int,end:int>>"
 
 def _removed(rows: pa.Table) -> pa.Table:
     """Of a bucket, what goes, by document."""
-    who = list(zip(rows.column("id").to_pylist(), rows.column("th").to_pylist(), strict=True))
-    sure = np.array(rows.column("sure").to_pylist(), bool)
-    d, s, e = ([np.frombuffer(x, t) for x in rows.column(k).to_pylist()] for k, t in (("digests", np.uint64), ("starts", np.int32), ("ends", np.int32)))
-    doc = np.repeat(np.arange(len(who)), [len(x) for x in d])
-    rank = _order(who)[doc]
-    d, s, e, sure = np.concatenate(d), np.concatenate(s), np.concatenate(e), sure[doc]
-    gone = sure.copy()
-    contest = np.flatnonzero(~sure)
-    gone[contest] = _earlier(d[contest], rank[contest], s[contest])
-    s, e, doc, rank = s[gone], e[gone], doc[gone], rank[gone]
+    x = {k: np.concatenate([np.frombuffer(v, t) for v in rows.column(k).to_pylist()]) for k, t in _KINDS.items()}
+    rank = np.repeat(_rank(x["nulls"], x["ids"], x["ths"]), x["lens"])
+    gone = x["sure"].astype(bool)
+    contest = np.flatnonzero(~gone)
+    gone[contest] = _earlier(x["digests"][contest], rank[contest], x["starts"][contest])
+    run = np.repeat(np.arange(len(x["lens"])), x["lens"])[gone]
+    s, e, rank = x["starts"][gone], x["ends"][gone], rank[gone]
     order = np.lexsort((s, rank))
-    s, e, doc, rank = s[order], e[order], doc[order], rank[order]
+    s, e, rank, run = s[order], e[order], rank[order], run[order]
     edge = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(rank) else np.zeros(0, np.int64)
     spans = pa.StructArray.from_arrays([pa.array(s, pa.int32()), pa.array(e, pa.int32())], ["start", "end"])
-    offsets = pa.array(np.append(edge, len(rank)) if len(edge) else [0], pa.int32())
-    ids = [who[doc[i]] for i in edge]
-    return pa.Table.from_arrays(
-        [pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()), pa.ListArray.from_arrays(offsets, spans)], names=["id", "th", "spans"]
-    )
+    offsets = pa.array(np.append(edge, len(rank)), pa.int32())
+    first = run[edge]
+    ids = pa.array(x["ids"][first], pa.int64(), mask=x["nulls"][first].astype(bool))
+    return pa.Table.from_arrays([ids, pa.array(x["ths"][first], pa.int64()), pa.ListArray.from_arrays(offsets, spans)], names=["id", "th", "spans"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,12 +184,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def joined(spans: Column) -> Column:
     """Ascending spans with those that touch made one."""
 
-    def step(out: Column, s: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        one = F.concat(F.slice(out, F.lit(1), F.greatest(F.lit(0), F.size(out) - 1)), F.array(F.struct(last["start"].alias("start"), s["end"].alias("end"))))
-        return F.when((F.size(out) > 0) & (last["end"] >= s["start"]), one).otherwise(F.array_append(out, s))
-
-    return F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), step)
+    apart = lambda s, i: (i == 0) | (F.get(spans, i - 1)["end"] < s["start"])
+    ended = lambda s, i: (i == F.size(spans) - 1) | (F.get(spans, i + 1)["start"] > s["end"])
+    starts, ends = F.transform(F.filter(spans, apart), lambda s: s["start"]), F.transform(F.filter(spans, ended), lambda s: s["end"])
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
