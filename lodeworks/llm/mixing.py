@@ -21,13 +21,18 @@ ones (slot, block, position, source rank) are replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table
 
-#: Rows of a block, rows of a bucket within which ranks are counted, and bounds that hold for the weights' table.
-BLOCK, BUCKET, MAX_SOURCES, MAX_PERIOD = 16, 20_000, 1_000, 10_000
+#: Rows of a block, and bounds that hold for the weights' table.
+BLOCK, MAX_SOURCES, MAX_PERIOD = 16, 1_000, 10_000
+#: Least rows of a bucket within which ranks are counted; else it is the square root of all rows, so that neither a
+#: bucket nor a source's list of buckets grows faster than that.
+BUCKET = 256
 #: Target weights of the registered query and of the pipeline, in blocks a period; other sources have 1.
 WEIGHTS, OTHERS = {"src0": 4, "src1": 2, "src2": 2}, 1
 
@@ -106,7 +111,7 @@ def mix(
     period = sizes.agg(F.coalesce(F.sum(_weight(F.col("source"), weights, others)), F.lit(0))).first()[0]
     if n_sources > MAX_SOURCES or period > MAX_PERIOD:
         raise ValueError(f"{n_sources} sources with {period} blocks a period; at most {MAX_SOURCES} and {MAX_PERIOD} can be mixed")
-    bits = min(40, max(0, (total // BUCKET).bit_length()))
+    bits = (total // max(BUCKET, math.isqrt(total))).bit_length()
     keyed = df.withColumn("_h", order).withColumn("_b", F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long"))
     within = Window.partitionBy(source_col, "_b").orderBy("_h", id_col)
     keyed = keyed.withColumn("_rank", F.row_number().over(within).cast("long"))
