@@ -37,9 +37,9 @@ from .common import Words, byte_codes, components, mix, runs_of_text, space_word
 #: Words of a shingle; links need OVER * intersection >= UNDER * union.
 SHINGLE, OVER, UNDER = 5, 4, 3
 #: Postings that a mapper packs at a time, and that a dealt bucket holds on average.
-FLUSH, BUCKET = 2_000_000, 1_500_000
+FLUSH, BUCKET = 500_000, 1_000_000
 #: A hash is hot if at least HOT nodes and 1 in SHARE of all have it; a partition reports those that 1 in LOCAL of its have.
-HOT, SHARE, LOCAL = 50_000, 1024, 2048
+HOT, SHARE, LOCAL = 50_000, 128, 512
 #: Boundaries between light and heavy sets of which the cheapest is taken.
 BOUNDARIES = (0, 4, 8, 12, 16, 24, 32, 48, 64)
 
@@ -173,6 +173,7 @@ def _post(buckets: int, hot: np.ndarray):
             out = _packed((dealt % np.uint64(buckets)).astype(np.int32), owner, {"hashes": h}, {"keys": np.array(keys, np.int64), "sizes": sizes})
             keys.clear(), sets.clear()
             held = 0
+            pa.default_memory_pool().release_unused()
             return out
 
         for batch in batches:
