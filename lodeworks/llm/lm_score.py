@@ -3,14 +3,16 @@ the tokens on both sides; the summed conditional log-probabilities score a docum
 
 Vocabulary: words `[^\\x20\\x09-\\x0D]+` lower-cased in A-Z. Their counts over the whole corpus are summed in Spark; the
 VOCAB - 1 most frequent are tokens of their own, all others share one, whose probability is spread over them by their
-corpus counts (an add-one unigram), so that p(word | context) is a proper distribution over the words of the corpus.
+corpus counts: (n + 1) / (N + K + 1) for a word seen n times, where the K others are seen N times in all, and what is
+left for words the corpus does not hold. So p(word | context) is a proper distribution. The model carries the counts of
+at most KNOWN frequent words; those of all others are joined (`scored`).
 
 Network: the embeddings of SPAN words on either side (zeros beyond the ends) make a hidden tanh layer, and that a
 two-level softmax: the token's class, then the token within its class, CLASS tokens each. Training is one pass over
 all documents: every partition runs minibatch SGD (Adagrad) from the same start over all its tokens, and the
 partitions' parameters are averaged by tokens, dimension by dimension in Spark's aggregation; ROUNDS such passes. What is
 gathered grows with the input (word counts, and one set of parameters a partition); what reaches the driver is one
-set of parameters and VOCAB words.
+set of parameters and at most VOCAB + KNOWN words.
 
 Defined cases: null and empty texts have no tokens, a sum of 0 and a null mean; repeated rows are scored alike; an
 empty table gives an empty result; whole texts are scored whatever their length; extra columns pass by.
@@ -27,6 +29,8 @@ from .common import Words, byte_codes, runs_of_text, space_words, table
 
 #: Tokens, tokens in a class, words seen on either side, sizes of embedding and hidden layer.
 VOCAB, CLASS, SPAN, WIDTH, HIDDEN = 1024, 32, 2, 16, 32
+#: Most words whose counts the model carries.
+KNOWN = 65_536
 #: Passes over the corpus, tokens in a minibatch, learning rate, seed of the common start.
 ROUNDS, BATCH, RATE, SEED = 1, 8192, 0.05, 7
 
@@ -157,8 +161,11 @@ def _count(batches):
 
 
 class Model:
-    def __init__(self, params: np.ndarray, vocab: np.ndarray, ids: np.ndarray, rare_log: float):
-        self.params, self.vocab, self.ids, self.rare_log = params, vocab, ids, rare_log
+    """Parameters; the tokens' words; the words the model carries with their log(n + 1); log(N + K + 1); and the table of
+    the words it does not carry (word, n)."""
+
+    def __init__(self, params: np.ndarray, vocab: np.ndarray, ids: np.ndarray, known: np.ndarray, known_log: np.ndarray, norm: float, rest: DataFrame):
+        self.params, self.vocab, self.ids, self.known, self.known_log, self.norm, self.rest = params, vocab, ids, known, known_log, norm, rest
 
 
 def _train(params: np.ndarray, vocab: np.ndarray, ids: np.ndarray):
@@ -205,42 +212,78 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     words = np.array([r.word for r in top], np.int64).view(np.uint64)
     order = np.argsort(words)
     vocab, ids = words[order], np.arange(len(words), dtype=np.int32)[order]
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.col("n") * F.log(F.col("n"))), F.lit(0.0))).first()
-    rare, kinds = sums[0] - sum(r.n for r in top), max(0, sums[1] - len(top))
-    # Mean log-probability of a rare word among the rare ones, by corpus counts.
-    entropy = sums[2] - float(sum(r.n * np.log(r.n) for r in top))
-    rare_log = entropy / rare - float(np.log(rare)) if rare and kinds else 0.0
+    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    norm = float(np.log(total - sum(r.n for r in top) + kinds - len(top) + 1))
+    # Steps of counts, eight for each power of two: the highest ones that hold at most KNOWN words are carried.
+    step = F.floor(F.log2("n") * 8)
+    least, held = 512, 0
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("k")).collect(), reverse=True):
+        held += r.k
+        if held > KNOWN:
+            break
+        least = r.step
+    more = counts.where(step >= least).collect()
+    known = np.array([r.word for r in more], np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known, known_log = known[order], np.log1p(np.array([r.n for r in more], np.float64)[order])
+    rest = counts.where(step < least)
     params = flat(initial())
     for _ in range(ROUNDS):
         sums = texts.mapInArrow(_train(params, vocab, ids), "i int, x double, n long").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
         if sums:
             params = np.zeros(len(params), np.float32)
             params[[r.i for r in sums]] = [r.x for r in sums]
-    return Model(params, vocab, ids, float(rare_log))
+    return Model(params, vocab, ids, known, known_log, norm, rest)
 
 
 def score(model: Model, text: Column | str) -> Column:
-    """Struct: n_tokens, log_prob (summed), mean_log_prob (null without tokens)."""
+    """Struct: n_tokens, log_prob (summed), mean_log_prob (null without tokens), and rest: the words the model does not
+    carry, here taken as words the corpus does not hold."""
+    params, vocab, ids, known, known_log, norm = model.params, model.vocab, model.ids, model.known, model.known_log, model.norm
 
-    @F.arrow_udf("struct<n_tokens:long,log_prob:double,mean_log_prob:double>")
+    @F.arrow_udf("struct<n_tokens:long,log_prob:double,mean_log_prob:double,rest:array<long>>")
     def f(texts: pa.Array) -> pa.Array:
-        p = shaped(model.params)
-        n, total = [], []
-        for _, _, w, tokens in _tokens(texts, model.vocab, model.ids):
+        p = shaped(params)
+        n, total, rest, n_rest = [], [], [], []
+        for _, _, w, tokens in _tokens(texts, vocab, ids):
             near = contexts(tokens, w.doc)
             logp = np.concatenate([forward(p, near[i : i + BATCH], tokens[i : i + BATCH]) for i in range(0, len(tokens), BATCH)] or [np.zeros(0)])
-            logp = logp.astype(np.float64) + np.where(tokens == VOCAB - 1, model.rare_log, 0.0)
+            logp = logp.astype(np.float64)
+            rare = np.flatnonzero(tokens == VOCAB - 1)
+            hashes = w.hash[rare]
+            logp[rare] -= norm
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                carried = known[at] == hashes
+                logp[rare] += np.where(carried, known_log[at], 0.0)
+                rare, hashes = rare[~carried], hashes[~carried]
             sums = np.concatenate([[0.0], np.cumsum(logp)])
             n.append(np.diff(w.first))
             total.append(sums[w.first[1:]] - sums[w.first[:-1]])
+            rest.append(hashes.view(np.int64))
+            n_rest.append(np.diff(np.searchsorted(rare, w.first)))
         n, total = np.concatenate(n or [np.zeros(0, np.int64)]), np.concatenate(total or [np.zeros(0)])
         total = np.where(n > 0, total, 0.0)
         mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total), mean], ["n_tokens", "log_prob", "mean_log_prob"])
+        ends = np.concatenate([[0], *n_rest]).cumsum().astype(np.int32)
+        words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rest or [np.zeros(0, np.int64)]), pa.int64()))
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total), mean, words], ["n_tokens", "log_prob", "mean_log_prob", "rest"])
 
     return f(text)
 
 
+def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """`docs` without the text, with n_tokens, log_prob and mean_log_prob by the counts of all words of the corpus."""
+    kept = [c for c in docs.columns if c != text_col]
+    part = docs.select(*kept, F.monotonically_increasing_id().alias("_row"), score(model, text_col).alias("_s"))
+    part = table(part.select(*kept, "_row", "_s.*"), "lm-scores")
+    found = part.select("_row", F.explode("rest").alias("word")).join(model.rest, "word")
+    found = found.groupBy("_row").agg(F.sum(F.log1p("n")).alias("_more"))
+    total = F.col("log_prob") + F.coalesce("_more", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
+    return part.join(found, "_row", "left").select(*kept, "n_tokens", total.alias("log_prob"), mean.alias("mean_log_prob"))
+
+
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return docs.select("doc_id", score(fit(docs), F.col("text")).alias("s")).select("doc_id", "s.n_tokens", "s.log_prob", "s.mean_log_prob")
+    return scored(docs, fit(docs))

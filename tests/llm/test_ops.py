@@ -253,6 +253,22 @@ def test_op6_learns_order(spark):
     assert empty.select(lm_score.score(lm_score.fit(empty), "text")).count() == 0
 
 
+@pytest.mark.parametrize("known", [65_536, 1_100])
+def test_op6_rare_words_by_their_counts(spark, tmp_path, monkeypatch, known):
+    monkeypatch.setattr(lm_score, "KNOWN", known)
+    common = [" ".join(f"c{i}" for i in range(lm_score.VOCAB - 1))] * 12
+    fill = " ".join(f"f{i}" for i in range(200))
+    rows = [*common, *["c1 often c2"] * 9, "c1 once c2", "c1 twice c2", "twice", fill, fill, None, ""]
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in lm_score.op6_lm_score(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    at = {t: got[i] for i, t in enumerate(rows)}
+    assert abs(at["c1 often c2"].log_prob - at["c1 once c2"].log_prob - np.log(10 / 2)) < 1e-4
+    assert abs(at["c1 twice c2"].log_prob - at["c1 once c2"].log_prob - np.log(3 / 2)) < 1e-4
+    assert at["c1 once c2"].mean_log_prob == at["c1 once c2"].log_prob / 3
+    assert at[None].log_prob == at[""].log_prob == 0 and at[None].mean_log_prob is None
+
+
 # ------------------------------------------------------------------ op7
 
 
