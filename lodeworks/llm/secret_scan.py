@@ -4,7 +4,8 @@ candidate strings, by incremental counts within each character class, with an al
 One pass, no shuffle. Texts without a candidate cost one regex scan a kind: everything else stands behind a CASE.
 
 Positions are code points, ends exclusive. Regex matches alternate with what `split` leaves between them, so summed
-lengths give their places. Defined cases: a null text is empty; repeated rows are scanned alike; an empty table gives
+lengths give their places. Of a candidate that overlaps spans of the three patterns, what stands between and beside them
+is judged piece by piece. Defined cases: a null text is empty; repeated rows are scanned alike; an empty table gives
 an empty result; whole texts are scanned whatever their length; extra columns pass by.
 """
 
@@ -86,6 +87,23 @@ def _windows(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.char_length(text) - 1), start, step, lambda at: F.struct(at["low"].alias("low"), at["high"].alias("high")))
 
 
+def _pieces(s: Column, base: Column) -> Column:
+    """What of the candidate `s` lies outside the spans `base`: (start, body) of the pieces of at least WINDOW characters."""
+    kind = "array<struct<start:bigint,end:bigint>>"
+
+    def add(out: Column, start: Column, end: Column) -> Column:
+        return F.when(end - start >= WINDOW, F.array_append(out, F.struct(start.alias("start"), end.alias("end")))).otherwise(out).cast(kind)
+
+    def step(at: Column, b: Column) -> Column:
+        return F.struct(F.greatest(at["at"], b["end"]).alias("at"), add(at["out"], at["at"], b["start"]).alias("out"))
+
+    over = F.array_sort(F.filter(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
+    start = F.struct(s["start"].alias("at"), F.array().cast(kind).alias("out"))
+    left = F.aggregate(over, start, step, lambda at: add(at["out"], at["at"], s["end"]))
+    body = lambda p: F.substring(s["body"], (p["start"] - s["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int"))
+    return F.transform(left, lambda p: F.struct(p["start"].alias("start"), body(p).alias("body")))
+
+
 def scan(df: DataFrame, text_col: str = "text", out: str = "spans") -> DataFrame:
     """`df` with a column `out`: array of (start, rank, end, kind), ascending by start and then by the kinds' order.
     The spans of kind entropy overlap none of the others."""
@@ -95,10 +113,8 @@ def scan(df: DataFrame, text_col: str = "text", out: str = "spans") -> DataFrame
     df = df.select("*", *(_placed(kind, *(F.col(f"{tmp}{kind}{i}") for i in range(3))).alias(f"{tmp}{kind}") for kind in KINDS))
     base = F.concat(F.filter(f"{tmp}assign", lambda s: F.char_length(s["body"]) >= 6), F.col(f"{tmp}access"), F.col(f"{tmp}hex"))
     df = df.select("*", base.alias(f"{tmp}base"))
-    fresh = F.filter(
-        f"{tmp}entropy",
-        lambda s: ~s["body"].rlike(ALLOWED) & ~F.exists(f"{tmp}base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
-    )
+    pieces = F.flatten(F.transform(f"{tmp}entropy", lambda s: _pieces(s, F.col(f"{tmp}base"))))
+    fresh = F.filter(pieces, lambda s: ~s["body"].rlike(ALLOWED))
     # The windows are found once a candidate, then shifted to the text's places.
     judged = F.transform(fresh, lambda s: F.struct(s["start"].alias("start"), _windows(s["body"]).alias("w")))
     more = F.transform(
