@@ -2,10 +2,10 @@
 
 One pass keeps, of every text, the places of words that occur in any template (the licence words) in a table in the
 shared folder; all further steps read that. Document frequencies of the licence words over all documents give their
-IDF; each template is looked up by its ANCHORS rarest words. An anchor's place in a text less its place in the template
-is a start; the anchors' starts are intersected (exact templates) or united (texts of which some words may differ),
-every start is scored by the share of the template's words that stand at their relative places, and the template's
-mandatory key phrase must stand complete. No text is joined or shuffled; the only shuffle counts licence words, of
+IDF; each template is looked up by the ANCHORS rarest words of its key phrase. That phrase must stand complete, so no
+text is missed, whichever other words differ. An anchor's place in a text less its place in the template is a start
+(below 0 where a text begins within the template); the anchors' starts are intersected, and every start is scored by the
+share of the template's words that stand at their relative places. No text is joined or shuffled; the only shuffle counts licence words, of
 which there are a few hundred.
 
 Defined cases: null texts are empty; a text without licence words has score 0 and no labels; repeated rows are scanned
@@ -48,7 +48,7 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
     ("all-rights-reserved", "all rights reserved", "all rights reserved"),
 ]
-#: Rarest words by which a template is looked up, and share of a template's words that must stand in their places.
+#: Rarest words of its key phrase by which a template is looked up, and share of a template's words that must stand in their places.
 ANCHORS, COVERAGE = 2, 0.7
 
 
@@ -74,13 +74,13 @@ def places(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def anchors(placed: DataFrame) -> list[list[int]]:
-    """For each template the positions of its ANCHORS words with the highest IDF over all documents."""
+    """For each template the positions of the ANCHORS words of its key phrase with the highest IDF over all documents."""
     found = placed.select(F.explode(F.array_distinct(F.transform("occ", lambda o: o["word"]))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     df = {r.word: r.n for r in found.collect()}  # at most as many rows as there are licence words
-    return [sorted(range(len(w)), key=lambda i, w=w: (df.get(w[i], 0), i))[:ANCHORS] for _, w, _, _ in _templates()]
+    return [sorted(range(*key), key=lambda i, w=w: (df.get(w[i], 0), i))[:ANCHORS] for _, w, key, _ in _templates()]
 
 
-def _starts(words: list[str], at: list[int], exact: bool) -> Column:
+def _starts(words: list[str], at: list[int]) -> Column:
     """Where a template can begin by its anchors."""
     def begin(i: int) -> Column:
         return F.transform(F.filter("anchored", lambda o: o["word"] == words[i]), lambda o: o["at"] - i)
@@ -88,7 +88,7 @@ def _starts(words: list[str], at: list[int], exact: bool) -> Column:
     each = [begin(i) for i in at]
     out = each[0]
     for more in each[1:]:
-        out = F.array_intersect(out, more) if exact else F.array_union(out, more)
+        out = F.array_intersect(out, more)
     return F.array_distinct(out)
 
 
@@ -114,7 +114,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = "array<struct<label:string,start:int,coverage:double>>"
     parts: dict[bool, list[Column]] = {True: [], False: []}
     for (label, words, (low, high), exact), at in zip(known, chosen, strict=True):
-        parts[exact].append(_found(label, words, low, high, _starts(words, at, exact), 1.0 if exact else COVERAGE))
+        parts[exact].append(_found(label, words, low, high, _starts(words, at), 1.0 if exact else COVERAGE))
     some = F.size("anchored") > 0
     none = F.array().cast(kind)
     return anchored.select("id", "n_words", *(F.when(some, F.concat(*parts[e])).otherwise(none).cast(kind).alias(name) for e, name in ((True, "base"), (False, "found"))))

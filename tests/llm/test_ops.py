@@ -294,6 +294,29 @@ def test_op7_templates_and_odd(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_op7_every_start_is_scored(spark):
+    texts = [
+        "the author has waived all copyright and related or neighboring rights to this work",
+        "not use this file except in compliance with the license you may obtain a copy of the license at",
+        "this is free and unencumbered software released into a public domain",
+    ]
+    rng = random.Random(7)
+    for _, words, (low, high), _ in license_scan._templates():
+        for _ in range(6):
+            changed = [w if rng.random() < 0.75 or low <= i < high else "other" for i, w in enumerate(words)]
+            texts.append(" ".join([*["pad"] * rng.randint(0, 2), *changed[rng.choice([0, 0, 2]) :]]))
+    rows = {r.id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, text in enumerate(texts):
+        w, want = text.split(), set()
+        for label, words, (low, high), exact in license_scan._templates():
+            for start in range(-len(words), len(w)):
+                same = [0 <= start + i < len(w) and w[start + i] == x for i, x in enumerate(words)]
+                if not exact and all(same[low:high]) and sum(same) / len(words) >= license_scan.COVERAGE:
+                    want.add((label, start))
+        assert {(x.label, x.start) for x in rows[k].found} == want
+    assert [{x.label for x in rows[k].found} for k in range(3)] == [{"cc0"}, {"apache-2"}, {"unlicense"}]
+
+
 # ------------------------------------------------------------------ op8
 
 
