@@ -1,4 +1,5 @@
-"""Mixing sources to target weights by Pfair scheduling [Baruah et al. 1996] in built-in functions only.
+"""Mixing sources to target weights by Pfair scheduling [Baruah et al. 1996], in built-in functions unless sources or
+weights are too many for one row.
 
 Each source's rows, in an order set by a hash, form blocks of BLOCK rows. Time is counted in slots of one block. In a
 period source s places c_s of its C = sum c_s blocks; its i-th block (from 0) is released at floor(i C / c_s) and due
@@ -9,7 +10,9 @@ c_s is the source's weight while it has that many blocks left, then what it has
 no row is dropped or repeated, and once a source is used up the others share its slots by their weights. So the
 schedule is periodic but for at most two periods a source: of each kind of period one pattern is computed, and a row
 finds its slot by arithmetic. The patterns have at most (2 MAX_SOURCES + 1) * MAX_PERIOD rows, whatever the number of
-rows mixed; that bound allows their broadcast.
+rows mixed; that bound allows their broadcast. Beyond it the same schedule is computed kind of period by kind of period
+with heaps in Python, written out block by block (never more rows than blocks) and joined by source and block; only
+the blocks of one period have to fit in a task.
 
 A row's rank in its source is counted in buckets of hash bits, whose sizes are then summed up: no source, however
 large, lands in one task.
@@ -21,14 +24,17 @@ ones (slot, block, position, source rank) are replaced.
 
 from __future__ import annotations
 
+import heapq
 import math
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table
 
-#: Rows of a block, and bounds that hold for the weights' table.
+#: Rows of a block, and bounds up to which patterns are computed in one row and broadcast.
 BLOCK, MAX_SOURCES, MAX_PERIOD = 16, 1_000, 10_000
 #: Least rows of a bucket within which ranks are counted; else it is the square root of all rows, so that neither a
 #: bucket nor a source's list of buckets grows faster than that.
@@ -37,7 +43,14 @@ BUCKET = 256
 WEIGHTS, OTHERS = {"src0": 4, "src1": 2, "src2": 2}, 1
 
 
+#: Periods that one row lists at a time.
+CHUNK = 4_096
+
+
 def _weight(source: Column, weights: dict[str, int], others: int) -> Column:
+    if len(weights) > 100:  # too deep for a chain of cases
+        known = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair))
+        return F.coalesce(F.try_element_at(known, source), F.lit(others)).cast("long")
     out = F.lit(others)
     for name, w in weights.items():
         out = F.when(source == name, F.lit(w)).otherwise(out)
@@ -96,6 +109,49 @@ def patterns(sizes: DataFrame, weights: dict[str, int], others: int, block: int)
     return rows.withColumn("i", i.cast("long"))
 
 
+def _place(live: pa.Table) -> pa.Table:
+    """The slots of one kind of period: as `_schedule`, with the released blocks and those to come in heaps."""
+    live = live.take(pc.sort_indices(live, sort_keys=[("source", "ascending")], null_placement="at_start"))
+    c = live.column("c").to_pylist()
+    total, done = sum(c), [0] * len(c)
+    later, ready = [(0, k) for k in range(len(c))], []
+    who, nth = [], []
+    for t in range(total):
+        while later and later[0][0] <= t:
+            k = heapq.heappop(later)[1]
+            heapq.heappush(ready, (-(-(done[k] + 1) * total // c[k]), k))
+        k = heapq.heappop(ready)[1]
+        who.append(k), nth.append(done[k])
+        done[k] += 1
+        if done[k] < c[k]:
+            heapq.heappush(later, (done[k] * total // c[k], k))
+    q0 = pa.array([live.column("q0")[0].as_py()] * total, pa.int64())
+    own = live.take(pa.array(who, pa.int64()))
+    return pa.Table.from_arrays([own.column("source"), own.column("w"), q0, pa.array(nth, pa.int64()), pa.array(range(total), pa.int64())], ["source", "w", "q0", "i", "at"])
+
+
+def slots(sizes: DataFrame, weights: dict[str, int], others: int, block: int) -> DataFrame:
+    """For `sizes` (source, n): the slot of every block, rows (source, block, slot), whatever the number of sources."""
+    named = sizes.select("source", _weight(F.col("source"), weights, others).alias("w"), F.ceil(F.col("n") / block).cast("long").alias("blocks"))
+    end = F.floor(F.col("blocks") / F.col("w"))
+    # At most about the square root of eight times all blocks: so many different ends need that many blocks.
+    ends = named.select(F.explode(F.array(F.lit(0).cast("long"), end, end + 1)).alias("e")).distinct().agg(F.sort_array(F.collect_list("e")).alias("bounds"))
+    steps = F.transform("bounds", lambda e, j: F.struct(e.alias("q0"), F.coalesce(F.get("bounds", j + 1), e + 1).alias("q1")))
+    pairs = named.crossJoin(F.broadcast(ends.select(steps.alias("steps"))))  # one row
+    live = pairs.select("source", "w", "blocks", F.explode(F.filter("steps", lambda x: x["q0"] * F.col("w") < F.col("blocks"))).alias("x"))
+    live = table(live.select("source", "w", "x.q0", "x.q1", F.least("w", F.col("blocks") - F.col("x.q0") * F.col("w")).alias("c")), "periods")
+    kinds = live.groupBy("q0", "q1").agg(F.sum("c").alias("per"))
+    before = Window.orderBy("q0").rowsBetween(Window.unboundedPreceding, -1)
+    kinds = kinds.withColumn("base", F.coalesce(F.sum(F.col("per") * (F.col("q1") - F.col("q0"))).over(before), F.lit(0)))
+    kind = dict(sizes.dtypes)["source"]
+    placed = live.groupBy("q0").applyInArrow(_place, f"source {kind}, w long, q0 long, i long, at long").join(kinds, "q0")
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("q1") - F.col("q0") - 1) / CHUNK))
+    placed = placed.select("*", F.explode(chunks).alias("part"))
+    low = F.col("q0") + F.col("part") * CHUNK
+    placed = placed.select("*", F.explode(F.sequence(low, F.least(low + CHUNK, F.col("q1")) - 1)).alias("q"))
+    return placed.select("source", (F.col("q") * F.col("w") + F.col("i")).alias("block"), (F.col("base") + (F.col("q") - F.col("q0")) * F.col("per") + F.col("at")).alias("slot"))
+
+
 def mix(
     df: DataFrame, weights: dict[str, int] = WEIGHTS, others: int = OTHERS, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", text_col: str | None = "text"
 ) -> DataFrame:
@@ -109,8 +165,6 @@ def mix(
     sizes = table(count, "sources")
     total, n_sources = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     period = sizes.agg(F.coalesce(F.sum(_weight(F.col("source"), weights, others)), F.lit(0))).first()[0]
-    if n_sources > MAX_SOURCES or period > MAX_PERIOD:
-        raise ValueError(f"{n_sources} sources with {period} blocks a period; at most {MAX_SOURCES} and {MAX_PERIOD} can be mixed")
     bits = (total // max(BUCKET, math.isqrt(total))).bit_length()
     keyed = df.withColumn("_h", order).withColumn("_b", F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long"))
     within = Window.partitionBy(source_col, "_b").orderBy("_h", id_col)
@@ -122,6 +176,10 @@ def mix(
     ranked = keyed.join(buckets, keyed[source_col].eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_bb")))
     rank = F.col("_before") + F.col("_rank") - 1
     ranked = ranked.withColumn("_rank", rank).withColumn("block", F.floor(F.col("_rank") / block)).withColumn("_w", _weight(F.col(source_col), weights, others))
+    if n_sources > MAX_SOURCES or period > MAX_PERIOD:
+        p = table(slots(sizes, weights, others, block), "slots").select(*(F.col(c).alias(f"p_{c}") for c in ("source", "block", "slot")))
+        on = ranked[source_col].eqNullSafe(p["p_source"]) & (ranked["block"] == p["p_block"])
+        return ranked.join(p, on).select(*df.columns, "block", F.col("p_slot").alias("slot"), (F.col("p_slot") * block + F.col("_rank") % block).alias("position"))
     ranked = ranked.withColumn("_q", F.floor(F.col("block") / F.col("_w"))).withColumn("_i", F.col("block") % F.col("_w"))
     p = F.broadcast(table(patterns(sizes, weights, others, block), "patterns").select(*(F.col(c).alias(f"p_{c}") for c in ("source", "i", "q0", "q1", "per_period", "base", "at"))))
     on = ranked[source_col].eqNullSafe(p["p_source"]) & (ranked["_i"] == p["p_i"]) & (ranked["_q"] >= p["p_q0"]) & (ranked["_q"] < p["p_q1"])

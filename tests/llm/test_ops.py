@@ -401,6 +401,27 @@ def test_op9_deviation(spark, block, sizes):
         assert own == list(range(blocks[s]))
 
 
+@pytest.mark.parametrize("chunk", [4_096, 2])
+def test_op9_beyond_the_bounds_as_within(spark, monkeypatch, chunk):
+    sizes = {"src0": 161, "src1": 20, "src2": 7, "x": 33, "é": 12, None: 5}
+    df = docs_of(spark, [(i, "t", s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))])
+    kept = sorted(map(tuple, mixing.mix(df, block=2).collect()), key=str)
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    assert sorted(map(tuple, mixing.mix(df, block=2).collect()), key=str) == kept
+
+
+def test_op9_many_sources_and_large_weights(spark):
+    rows = [(i, "t", f"site{i // 2 % 1_200}" if i % 2 else "src0") for i in range(6_000)]
+    for weights in (mixing.WEIGHTS, {"src0": 20_000}, {f"site{i}": 1 + i % 3 for i in range(1_200)}):
+        got = mixing.mix(docs_of(spark, rows), weights=weights, block=4).collect()
+        assert sorted(r.doc_id for r in got) == list(range(6_000)) and len({r.position for r in got}) == 6_000
+        at = {r.slot: r.source for r in got}
+        assert sorted(at) == list(range(len(at)))
+        if weights is mixing.WEIGHTS:  # 4 of 1,204 slots in the first period
+            assert all(abs(sum(at[k] == "src0" for k in range(t)) - 4 * t / 1_204) < 1 for t in range(1, 1_205))
+
+
 def test_op9_odd(spark):
     df = docs_of(spark, ODD)
     assert sorted(str(r.doc_id) for r in mixing.mix(df).collect()) == sorted(str(i) for i, _, _ in ODD)
