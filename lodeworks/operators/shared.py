@@ -9,10 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Paths of tables written and not yet deleted, with their sessions.
+_WRITTEN: dict[str, SparkSession] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (tests, timing)
+    gets a folder of its own, as all its tasks run on one machine; a cluster must name one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"file:///tmp/checkpoints/lodeworks-{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -20,24 +27,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 def table(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, and lets
-    several consumers read one computation. Files are deleted when the session ends."""
+    several consumers read one computation. Files are deleted by `forget`, or when the session ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodeworks-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _forget_later(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._lodeworks_path = path
+    return out
+
+
+def forget(written: DataFrame) -> None:
+    """Delete the files of a `table` that nothing will read again."""
+    path = written._lodeworks_path
+    _delete(_WRITTEN.pop(path), path)
+
 
+@atexit.register
+def _forget_all() -> None:
+    for path, spark in _WRITTEN.items():
+        _delete(spark, path)
 
-def _forget_later(spark: SparkSession, path: str) -> None:
-    def forget() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session is gone; the folder belongs to the application and goes with it
-            pass
 
-    atexit.register(forget)
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # the session is gone; the folder belongs to the application and goes with it
+        pass
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", label: str = "cc") -> DataFrame:
@@ -64,6 +81,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", label: str = "cc")
             .distinct()
         )
         after = table(small, label)
+        forget(now)  # only `small`, which is written, read it
         # Converged when every edge leads straight to a vertex that is nobody's child.
         deep = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1)
         if deep.isEmpty() and after.join(after.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).isEmpty():
