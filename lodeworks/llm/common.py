@@ -7,12 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.operators.shared import components, table
 
-__all__ = ["Words", "alnum_words", "byte_codes", "components", "lower_ascii", "mix", "runs_of_text", "space_words", "table"]
+__all__ = ["Words", "alnum_words", "byte_codes", "components", "free_name", "let", "lower_ascii", "mix", "redact", "running", "runs_of_text", "space_words", "table"]
 
 # ----------------------------------------------------------------- byte tables
 
@@ -106,6 +106,21 @@ class Words:
             out = out * _Q + self.hash[j : j + n]
         return mix(out)
 
+    def long_grams(self, k: int) -> np.ndarray:
+        """As `grams`, in about 2 log2 k passes: hashes of 1, 2, 4, ... words are put together."""
+        n = len(self.hash) - k + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        part, size, out, at = self.hash, 1, np.full(n, k, np.uint64), 0
+        while True:
+            if k & size:
+                out = mix(out * _Q + part[at : at + n])
+                at += size
+            if 2 * size > k:
+                return out
+            part = mix(part[:-size] * _P + part[size:])
+            size *= 2
+
 
 def runs_of_text(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after, bytes, offsets) of runs of whole texts of about `most` bytes; nulls are empty. A longer
@@ -136,3 +151,58 @@ def lower_ascii(c: Column | str) -> Column:
     """A-Z to a-z, nothing else (lower() also changes other letters)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# SQL text: one call parses a large expression, while each function call on columns costs a trip to the JVM.
+
+
+def let(x: str, name: str, body: str) -> str:
+    """`body` with `name` for x, which is evaluated once, however often `body` names it."""
+    return f"get(transform(array({x}), {name} -> {body}), 0)"
+
+
+#: Elements that `running` adds up at a time: appending to an array copies it, so arrays grow within blocks only.
+RUN = 128
+
+
+def running(values: str, op: str) -> str:
+    """For each of the longs `values`, `op` (of {a} and {x}) over all before it, from 0: blocks are reduced, their results
+    run up, and each block is then run up from where it begins."""
+    of = lambda a, x: f"cast({op.format(a=a, x=x)} as bigint)"
+
+    def up(xs: str, start: str) -> str:
+        first = f"struct(cast({start} as bigint) as now, cast(array() as array<bigint>) as out)"
+        return f"aggregate({xs}, {first}, (at, x) -> struct({of('at.now', 'x')} as now, array_append(at.out, at.now) as out), at -> at.out)"
+
+    blocks = f"transform(sequence(0, cast(floor((size(xs) - 1) / {RUN}) as int)), b -> slice(xs, b * {RUN} + 1, {RUN}))"
+    totals = f"transform(bs, b -> aggregate(b, cast(0 as bigint), (a, x) -> {of('a', 'x')}))"
+    placed = f"flatten(zip_with(bs, {up(totals, '0')}, (b, s) -> {up('b', 's')}))"
+    return let(values, "xs", f"if(size(xs) > 0, {let(blocks, 'bs', placed)}, cast(array() as array<bigint>))")
+
+
+#: Code points of a piece of text from which spans are cut: finding a place in a string walks there from its beginning.
+PIECE = 2048
+
+
+def redact(text: str, spans: str, mask: str = "") -> Column:
+    """The column `text` with every span of the column `spans` (start, end; ascending by start) replaced by `mask`;
+    overlapping spans become one mask. The work is linear in text and spans."""
+
+    def cut(a: str, b: str) -> str:
+        low = f"cast(floor({a} / {PIECE}) as int)"
+        some = f"array_join(slice(ps, {low} + 1, cast(floor(({b} - 1) / {PIECE}) as int) - {low} + 1), '')"
+        return f"if({b} > {a}, substring({some}, cast({a} - {low} * {PIECE} + 1 as int), cast({b} - {a} as int)), '')"
+
+    before = running(f"transform({spans}, s -> cast(s.end as bigint))", "greatest({a}, {x})")
+    apart = f"filter(zip_with({spans}, {before}, (s, m) -> struct(m as a, cast(s.start as bigint) as b)), y -> y.b >= y.a)"
+    kept = f"array_join(transform({apart}, y -> concat({cut('y.a', 'y.b')}, '{mask}')), '')"
+    rest = let(f"array_max(transform({spans}, s -> cast(s.end as bigint)))", "z", cut("z", f"cast(char_length({text}) as bigint)"))
+    pieces = f"regexp_extract_all({text}, '(?s).{{1,{PIECE}}}', 0)"
+    return F.expr(f"if(size({spans}) > 0, {let(pieces, 'ps', f'concat({kept}, {rest})')}, {text})")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it or begins with it."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
