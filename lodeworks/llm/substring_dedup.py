@@ -1,35 +1,68 @@
 """Substring dedup by unit hashing: texts are cut into units, normalised units are grouped by digest over the whole
 corpus, the earliest ranked occurrence stays, and all others are removed with their original offsets retained.
 
-Units are lines; long ones are cut further, since repeated passages also stand in the middle of lines: before a word whose
-hash is the least of those up to REACH words away on either side in its line. Whether a line is cut at a word thus depends
-on nearby words only, so a passage is cut alike wherever it stands, but for its first and last few words. Cuts lie more
-than REACH words apart and from the line's ends; one word over and over is cut every PIECE words. Lines of fewer than LINE_WORDS words are no units and always stay. Normalised: words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` lower-cased in
-A-Z, so spacing and punctuation don't matter. Rank: id (nulls last), then a hash of the text, then place in the text.
-
-Skew: within a mapper's block all but the earliest occurrence of a digest are surely removed, so only that one goes to
-the digest's bucket; a line that a third of all documents hold costs one posting a block. No text is shuffled.
-
-Defined cases: null and empty texts have no units; rows equal in id and text are one document and get equal results;
-empty tables give empty results; extra columns pass by unread.
+Units are whole lines of at least LINE_WORDS words and, since repeated passages also stand in the middle of lines or run
+over several short ones, runs of RUN consecutive words of a text. Of the runs only those are units whose digest is the
+least of some SPREAD consecutive ones (winnowing), so a passage has the same units wherever it stands. That settles what
+goes: nothing but whole repeated lines and words of a repeated run of RUN words; and of every passage of at least
+RUN + SPREAD - 1 words that stands earlier too, all but at most SPREAD - 1 words at either end. Normalised: words
+`[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` lower-cased in A-Z, so spacing and punctuation don't matter. Rank: id (nulls last),
+then a hash of the text, then place in the text. A later occurrence that overlaps the earliest one in the same text
+(one word over and over) loses what lies beyond that.
+
+Skew: within a mapper's block all but the earliest occurrence of a digest are surely removed; those go on by document,
+made one where they touch, and only the earliest goes to the digest's bucket. A line that a third of all documents
+hold costs its bucket one posting a block. No text is shuffled.
+
+Defined cases: null, empty and short texts have no units; rows equal in id and text are one document and get equal results;
+very long texts are cut whole; empty tables give empty results; extra columns pass by unread, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, alnum_words, byte_codes, mix, runs_of_text, table
-from .secret_scan import redact
-
-#: Least words of a line, and words on either side of which a cut has the least hash.
-LINE_WORDS, REACH = 5, 5
-#: One word over and over, at least twice as often, is cut into pieces of so many.
-PIECE = 8
-#: Units that a mapper holds at a time, and that a dealt bucket holds on average.
-FLUSH, BUCKET = 150_000, 200_000
+from .common import Words, alnum_words, byte_codes, mix, redact, runs_of_text, table
+
+#: Least words of a line, words of a run, and consecutive runs of which the least digest is a unit.
+LINE_WORDS, RUN, SPREAD = 16, 24, 4
+#: Units that a mapper holds at a time, and that a dealt bucket holds on average; characters of text for a unit.
+FLUSH, BUCKET, PER_UNIT = 400_000, 400_000, 16
+
+
+def _runs(w: Words) -> np.ndarray:
+    """First words of the runs that are units, and (all) digests of runs."""
+    g = w.long_grams(RUN)
+    n = len(g)
+    if not n:
+        return np.zeros(0, np.int64), g
+    inside = w.doc[:n] == w.doc[RUN - 1 :]
+    most = np.iinfo(np.uint64).max
+    h = np.concatenate([np.where(inside, g, most), np.full(SPREAD, most, np.uint64)])
+    least = h[:n]
+    for d in range(1, SPREAD):
+        least = np.minimum(least, h[d : d + n])
+    unit = np.zeros(n, bool)
+    for d in range(SPREAD):  # of the SPREAD runs from i - d on, run i has the least digest
+        unit[d:] |= inside[: n - d] & (least[: n - d] == h[d:n])
+    return np.flatnonzero(unit & inside), g
+
+
+def _lines(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words, sizes and digests of lines of at least LINE_WORDS words."""
+    n = len(w.hash)
+    breaks = np.concatenate([[0], np.cumsum(w.data == 0x0A)])
+    new = np.ones(n, bool)
+    new[1:] = (breaks[w.start[1:]] > breaks[w.end[:-1]]) | (w.doc[1:] != w.doc[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, n))
+    within = np.arange(n) - np.repeat(first, size)
+    digest = mix(np.add.reduceat(mix(w.hash + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first) + size.astype(np.uint64))
+    long = size >= LINE_WORDS
+    return first[long], size[long], digest[long]
 
 
 def units(texts: pa.Array):
@@ -38,47 +71,28 @@ def units(texts: pa.Array):
     codes = byte_codes(True, inside)
     for low, high, data, offsets in runs_of_text(texts):
         w = Words(data, offsets, inside, codes)
-        n = len(w.hash)
-        if not n:
+        if not len(w.hash):
             yield from ((np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(high - low))
             continue
-        breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
-        new = np.ones(n, bool)
-        new[1:] = (breaks[w.start[1:]] > breaks[w.end[:-1]]) | (w.doc[1:] != w.doc[:-1])
-        begins = np.flatnonzero(new)
-        line = np.cumsum(new) - 1
-        length = np.diff(np.append(begins, n))
-        at = np.arange(n) - begins[line]
-        cut = (at > REACH) & (length[line] - at > REACH)
-        for d in range(1, REACH + 1):  # within the line: cuts are that far from its ends
-            cut[d:] &= w.hash[d:] < w.hash[:-d]
-            cut[:-d] &= w.hash[:-d] < w.hash[d:]
-        same = np.concatenate([[False], (w.hash[1:] == w.hash[:-1]) & ~new[1:]])
-        heads = np.flatnonzero(~same)
-        run = np.cumsum(~same) - 1
-        long = np.diff(np.append(heads, n)) >= 2 * PIECE
-        cut |= long[run] & ((np.arange(n) - heads[run]) % PIECE == 0)
-        cut[heads[1:]] |= long[:-1]
-        first = np.flatnonzero(new | cut)
-        keep = length[line[first]] >= LINE_WORDS
-        size = np.diff(np.append(first, n))
-        within = np.arange(n) - np.repeat(first, size)
-        digest = mix(np.add.reduceat(mix(w.hash + within.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first) + size.astype(np.uint64))
+        run, grams = _runs(w)
+        line, size, digest = _lines(w)
+        first, after = np.concatenate([run, line]), np.concatenate([run + RUN, line + size])
+        digest = np.concatenate([grams[run], digest])
+        order = np.argsort(first, kind="stable")
+        first, after, digest = first[order], after[order], digest[order]
         point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         doc = w.doc[first]
         origin = point[offsets[:-1]][doc]
         starts = point[w.start[first]] - origin
-        close = np.append(w.start[first[1:]], len(data))
-        ends = point[np.minimum(close, offsets[1:][doc])] - origin
+        ends = point[np.minimum(np.append(w.start, len(data))[after], offsets[1:][doc])] - origin
         bounds = np.searchsorted(first, w.first)
         for i in range(high - low):
             part = slice(bounds[i], bounds[i + 1])
-            ok = keep[part]
-            yield digest[part][ok], starts[part][ok], ends[part][ok]
+            yield digest[part], starts[part], ends[part]
 
 
-_KINDS = {"lens": np.int32, "nulls": np.uint8, "ids": np.int64, "ths": np.int64, "digests": np.uint64, "starts": np.int32, "ends": np.int32, "sure": np.uint8}
-_ROWS = "bucket int, " + ", ".join(f"{k} binary" for k in _KINDS)
+_KINDS = {"lens": np.int32, "nulls": np.uint8, "ids": np.int64, "ths": np.int64, "digests": np.uint64, "starts": np.int32, "ends": np.int32}
+_ROWS = "bucket int, sure boolean, " + ", ".join(f"{k} binary" for k in _KINDS)
 
 
 def _rank(nulls: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> np.ndarray:
@@ -92,46 +106,69 @@ def _rank(nulls: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> np.ndarray:
     return out
 
 
-def _earlier(digests: np.ndarray, rank: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which postings have an earlier one with the same digest."""
+def _later(digests: np.ndarray, rank: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which postings have an earlier one with the same digest, and where what goes of each begins."""
     order = np.lexsort((starts, rank, digests))
     d, r, s = digests[order], rank[order], starts[order]
     head = np.concatenate([[True], d[1:] != d[:-1]]) if len(d) else np.zeros(0, bool)
     at = np.flatnonzero(head)[np.cumsum(head) - 1] if len(d) else np.zeros(0, np.int64)
-    out = np.zeros(len(d), bool)
-    out[order] = (r != r[at]) | (s != s[at])
-    return out
+    later, begin = np.zeros(len(d), bool), starts.copy()
+    later[order] = (r != r[at]) | (s != s[at])
+    begin[order] = np.where(r == r[at], np.maximum(s, np.minimum(ends[order][at], ends[order])), s)
+    return later, np.where(later, begin, starts)
+
+
+def _union(owner: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans made one where they overlap or touch, by ascending owner and start."""
+    order = np.lexsort((s, owner))
+    owner, s, e = owner[order], s[order].astype(np.int64), e[order].astype(np.int64)
+    if not len(s):
+        return owner, s, e
+    base = owner.astype(np.int64) << 32  # the running end starts anew with each owner
+    reach = np.maximum.accumulate(base + e)
+    new = np.ones(len(s), bool)
+    new[1:] = base[1:] + s[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(s)) - 1
+    return owner[first], s[first], (reach - base)[last]
+
+
+def _pack(bucket: np.ndarray, sure: bool, owner: np.ndarray, of: dict[str, np.ndarray], by_unit: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row for each bucket: runs of documents over their units."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, owner = bucket[order], owner[order]
+    edge = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (owner[1:] != owner[:-1])])) if len(owner) else np.zeros(0, np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(owner) else np.zeros(0, np.int64)
+    runs, ends = np.append(np.searchsorted(edge, cut), len(edge)), np.append(cut, len(bucket))
+    by_run = {"lens": np.diff(np.append(edge, len(owner)))} | {k: v[owner[edge]] for k, v in of.items()}
+    out: dict[str, pa.Array] = {"bucket": pa.array(bucket[cut].astype(np.int32)), "sure": pa.array(np.full(len(cut), sure))}
+    for columns, at in ((by_run, runs), ({k: v[order] for k, v in by_unit.items()}, ends)):
+        for k, v in columns.items():
+            v = v.astype(_KINDS[k])
+            out[k] = pa.array([v[at[i] : at[i + 1]].tobytes() for i in range(len(cut))], pa.binary())
+    return pa.RecordBatch.from_arrays([out.get(k, pa.nulls(len(cut), pa.binary())) for k in ("bucket", "sure", *_KINDS)], ["bucket", "sure", *_KINDS])
 
 
 def _deal(buckets: int):
-    """Units packed by buckets of their digests: a row for each bucket and block, with runs of documents. Those that have
-    an earlier equal one in the block are marked as sure to go and take no part in the bucket's contest."""
+    """Units packed by buckets of their digests. Those that have an earlier equal one in the block are sure to go: they take
+    no part in a bucket's contest and are dealt by document."""
 
     def deal(batches):
         who, parts, held = [], [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush():
             d, s, e = (np.concatenate([p[k] for p in parts]) for k in range(3))
             doc = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-            nulls = np.array([w[0] is None for w in who], np.uint8)
-            ids, ths = np.array([w[0] or 0 for w in who], np.int64), np.array([w[1] for w in who], np.int64)
-            sure = _earlier(d, _rank(nulls, ids, ths)[doc], s)
-            bucket = (mix(d) % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            bucket, doc = bucket[order], doc[order]
-            edge = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (doc[1:] != doc[:-1])]))
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            runs, ends = np.append(np.searchsorted(edge, cut), len(edge)), np.append(cut, len(bucket))
-            by_run = {"lens": np.diff(np.append(edge, len(doc))), "nulls": nulls[doc[edge]], "ids": ids[doc[edge]], "ths": ths[doc[edge]]}
-            by_unit = {"digests": d[order], "starts": s[order], "ends": e[order], "sure": sure[order]}
-            out: dict[str, pa.Array] = {"bucket": pa.array(bucket[cut])}
-            for columns, at in ((by_run, runs), (by_unit, ends)):
-                for k, v in columns.items():
-                    v = v.astype(_KINDS[k])
-                    out[k] = pa.array([v[at[i] : at[i + 1]].tobytes() for i in range(len(cut))], pa.binary())
+            of = {"nulls": np.array([w[0] is None for w in who], np.uint8), "ids": np.array([w[0] or 0 for w in who], np.int64), "ths": np.array([w[1] for w in who], np.int64)}
+            later, begin = _later(d, _rank(of["nulls"], of["ids"], of["ths"])[doc], s, e)
+            first = ~later
+            yield _pack((mix(d[first]) % np.uint64(buckets)).astype(np.int32), False, doc[first], of, {"digests": d[first], "starts": s[first], "ends": e[first]})
+            gone, a, b = _union(doc[later], begin[later], e[later])
+            if len(gone):
+                at = mix(of["ids"].view(np.uint64) + mix(of["ths"].view(np.uint64)))[gone]
+                yield _pack((at % np.uint64(buckets)).astype(np.int32), True, gone, of, {"starts": a, "ends": b})
             who.clear(), parts.clear()
             pa.default_memory_pool().release_unused()
-            return pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
         for batch in batches:
             ids, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -141,64 +178,81 @@ def _deal(buckets: int):
                     parts.append(part)
                     held += len(part[0])
                     if held >= FLUSH:
-                        yield flush()
+                        yield from flush()
                         held = 0
         if parts:
-            yield flush()
+            yield from flush()
 
     return deal
 
 
-_GONE = "id long, th long, spans array<struct<start:int,end:int>>"
+_GONE = "id long, th long, starts binary, ends binary"
 
 
 def _removed(rows: pa.Table) -> pa.Table:
     """Of a bucket, what goes, by document."""
-    x = {k: np.concatenate([np.frombuffer(v, t) for v in rows.column(k).to_pylist()]) for k, t in _KINDS.items()}
-    rank = np.repeat(_rank(x["nulls"], x["ids"], x["ths"]), x["lens"])
-    gone = x["sure"].astype(bool)
-    contest = np.flatnonzero(~gone)
-    gone[contest] = _earlier(x["digests"][contest], rank[contest], x["starts"][contest])
-    run = np.repeat(np.arange(len(x["lens"])), x["lens"])[gone]
-    s, e, rank = x["starts"][gone], x["ends"][gone], rank[gone]
-    order = np.lexsort((s, rank))
-    s, e, rank, run = s[order], e[order], rank[order], run[order]
-    edge = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(rank) else np.zeros(0, np.int64)
-    spans = pa.StructArray.from_arrays([pa.array(s, pa.int32()), pa.array(e, pa.int32())], ["start", "end"])
-    offsets = pa.array(np.append(edge, len(rank)), pa.int32())
-    first = run[edge]
+    sure = rows.column("sure").to_numpy()
+    held = {}
+    for k, t in _KINDS.items():
+        held[k] = [np.frombuffer(v, t) if v is not None else np.zeros(0, t) for v in rows.column(k).to_pylist()]
+    x = {k: np.concatenate(v) for k, v in held.items() if k != "digests"}
+    certain = np.repeat(np.repeat(sure, [len(v) for v in held["lens"]]), x["lens"])
+    run = np.repeat(np.arange(len(x["lens"])), x["lens"])
+    who = _rank(x["nulls"], x["ids"], x["ths"])
+    open_ = np.flatnonzero(~certain)
+    later, begin = _later(np.concatenate(held["digests"]), who[run[open_]], x["starts"][open_], x["ends"][open_])
+    gone = np.concatenate([np.flatnonzero(certain), open_[later]])
+    a = np.concatenate([x["starts"][certain], begin[later]])
+    owner, s, e = _union(who[run[gone]], a, x["ends"][gone])
+    edge = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+    ends = np.append(edge[1:], len(owner)) if len(owner) else edge
+    first = np.zeros(len(edge), np.int64)
+    if len(edge):
+        ranks, at = np.unique(who, return_index=True)
+        first = at[np.searchsorted(ranks, owner[edge])]
+    pack = lambda v: pa.array([v[i:j].astype(np.int32).tobytes() for i, j in zip(edge, ends, strict=True)], pa.binary())
     ids = pa.array(x["ids"][first], pa.int64(), mask=x["nulls"][first].astype(bool))
-    return pa.Table.from_arrays([ids, pa.array(x["ths"][first], pa.int64()), pa.ListArray.from_arrays(offsets, spans)], names=["id", "th", "spans"])
+    return pa.Table.from_arrays([ids, pa.array(x["ths"][first], pa.int64()), pack(s), pack(e)], names=["id", "th", "starts", "ends"])
+
+
+_SPANS = "array<struct<start:int,end:int>>"
+
+
+def _merged(starts: pa.Array, ends: pa.Array) -> pa.Array:
+    """Each document's packed spans as ascending spans that don't touch."""
+    lists, s, e = [0], [], []
+    for a, b in zip(starts.to_pylist(), ends.to_pylist(), strict=True):
+        a, b = (np.frombuffer(b"".join(v), np.int32) for v in (a, b))
+        _, a, b = _union(np.zeros(len(a), np.int64), a, b)
+        s.append(a), e.append(b)
+        lists.append(lists[-1] + len(a))
+    flat = [np.concatenate(v).astype(np.int32) if v else np.zeros(0, np.int32) for v in (s, e)]
+    return pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.StructArray.from_arrays([pa.array(v) for v in flat], ["start", "end"]))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document of which something is removed: id, th (a hash of the text), spans (start, end ascending)."""
+    """Per document of which something is removed: id, th (a hash of the text), spans (start, end; ascending, apart)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.char_length(text_col)), F.lit(0))).first()[0]
-    buckets = max(8, chars // (BUCKET * 50) + 1)
+    buckets = max(8, chars // (BUCKET * PER_UNIT) + 1)
     dealt = rows.mapInArrow(_deal(buckets), _ROWS)
     gone = dealt.groupBy("bucket").applyInArrow(_removed, _GONE)
-    return gone.groupBy("id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
-
+    gone = gone.groupBy("id", "th").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
-def joined(spans: Column) -> Column:
-    """Ascending spans with those that touch made one."""
+    @F.arrow_udf(_SPANS)
+    def merged(starts: pa.Array, ends: pa.Array) -> pa.Array:
+        return _merged(starts, ends)
 
-    apart = lambda s, i: (i == 0) | (F.get(spans, i - 1)["end"] < s["start"])
-    ended = lambda s, i: (i == F.size(spans) - 1) | (F.get(spans, i + 1)["start"] > s["end"])
-    starts, ends = F.transform(F.filter(spans, apart), lambda s: s["start"]), F.transform(F.filter(spans, ended), lambda s: s["end"])
-    return F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+    return gone.select("id", "th", merged("starts", "ends").alias("spans"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """Per row: id, n_chars, n_removed (units), spans (removed, made one where they touch) and, if asked, the text left."""
+    """Per row: id, n_chars, n_removed (passages), spans (those, which don't touch) and, if asked, the text left."""
     gone = table(repeats(docs, id_col, text_col), "repeats").select(F.col("id").alias("_id"), F.col("th").alias("_th"), "spans")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.coalesce(F.char_length(text_col), F.lit(0)).alias("n_chars"), *([F.col(text_col).alias("text")] if with_text else []))
-    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
-    out = rows.join(gone, F.expr("id <=> _id and th = _th"), "left").withColumn("spans", spans)
-    out = out.withColumn("n_removed", F.size("spans").cast("long")).withColumn("spans", joined(F.col("spans")))
-    left = [redact(F.col("text"), F.col("spans"), "").alias("text")] if with_text else []
-    return out.select("id", F.col("n_chars").cast("long").alias("n_chars"), "n_removed", "spans", *left)
+    out = rows.join(gone, F.expr("id <=> _id and th = _th"), "left").withColumn("spans", F.coalesce("spans", F.array().cast(_SPANS)))
+    left = [redact("text", "spans").alias("text")] if with_text else []
+    return out.select("id", F.col("n_chars").cast("long").alias("n_chars"), F.size("spans").cast("long").alias("n_removed"), "spans", *left)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
