@@ -1,11 +1,13 @@
-"""Toxicity by maximum-scoring segments: token log-odds with an informative Dirichlet prior [Monroe et al. 2008] of texts make
-each token a score with negative drift; a linear-time scan finds every maximal-scoring segment [Ruzzo and Tompa 1999];
-extreme-value statistics [Karlin and Altschul 1990] say which are significant in a text of that length, and a logistic
-curve over their summed evidence gives the score.
+"""Toxicity by maximum-scoring segments: token log-odds with an informative Dirichlet prior [Monroe et al. 2008] of texts,
+of either sign where they are MIN_Z standard errors away from zero, less a drift, make each token's score; a linear-time scan
+finds every maximal-scoring segment [Ruzzo and Tompa 1999]; extreme-value statistics [Karlin and Altschul 1990], whose
+lambda and K are fitted to the segments of texts labelled 0, say which are significant in a text of that length, and a
+logistic curve over their summed evidence gives the score.
 
 Learning reads labelled rows outside the held-out fold only, and of those at most MAX_LABELLED (the ones with the
-smallest hash of the id), so that their ids may be broadcast and no text is shuffled. Scoring is one pass over all
-texts with a model of at most MODEL_WORDS words.
+smallest hash of the id), so that their ids may be broadcast and no text is shuffled. The model holds every word of those
+texts, and beginning of one, with such log-odds; the bound on rows bounds it. Scoring is one pass over
+all texts.
 
 Defined cases: null and empty texts have no segments and get the score of a text without any; a null id is not held
 out and never learnt from; of several labels of an id the largest counts, null labels count as none; without labels of
@@ -23,14 +25,14 @@ from pyspark.sql import functions as F
 
 from .common import Words, alnum_words, byte_codes, mix, runs_of_text, table
 
-#: Bounds of what is learnt: labelled rows read, and words kept (those with the largest |z|).
-MAX_LABELLED, MODEL_WORDS = 20_000, 50_000
-#: Weight of the prior as a share of the learning texts, least z of a word that counts for toxicity, drift per token,
-#: largest log-odds.
+#: Most labelled rows that are read for learning.
+MAX_LABELLED = 20_000
+#: Weight of the prior as a share of the learning texts, standard errors that log-odds must be away from zero, drift per
+#: token, largest log-odds.
 PRIOR, MIN_Z, DRIFT, MOST = 0.1, 4.0, 0.3, 8.0
 #: Lengths (bytes) of the beginnings of words that are features too, longest first.
 PREFIXES = (6, 5, 4)
-DOCS, TOKENS = np.uint64(1), np.uint64(2)
+DOCS = np.uint64(1)
 #: Expected number of chance segments below which one is significant.
 MAX_E = 0.05
 BINS = 400
@@ -41,17 +43,15 @@ def folds(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
 
 
-def segments(at: np.ndarray, gain: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (start, end exclusive, score) of a sequence whose tokens score -drift, but those at
-    the ascending positions `at`, which score gain > 0. Linear in len(at): Ruzzo and Tompa's list with links back."""
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (start, end exclusive, score) of a sequence. Linear in its length: Ruzzo and Tompa's
+    list with links back, over the positive scores only."""
     found: list[list[float]] = []  # start, end, total before, total after
     link: list[int] = []
-    total, last = 0.0, -1
-    for i, s in zip(at.tolist(), gain.tolist(), strict=True):
-        total -= drift * (i - last - 1)
-        now = [i, i + 1, total, total + s]
-        total += s
-        last = i
+    total = np.concatenate([[0.0], np.cumsum(scores)])
+    at = np.flatnonzero(scores > 0)
+    for i, before, after in zip(at.tolist(), total[at].tolist(), total[at + 1].tolist(), strict=True):
+        now = [i, i + 1, before, after]
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= now[2]:
@@ -66,10 +66,10 @@ def segments(at: np.ndarray, gain: np.ndarray, drift: float) -> list[tuple[int,
 
 
 class Model:
-    """Word hashes (ascending) with their scores, and the constants of the extreme-value law and the logistic curve."""
+    """Word hashes (ascending) with their log-odds, and the constants of the extreme-value law and the logistic curve."""
 
-    def __init__(self, words: np.ndarray, gain: np.ndarray, lam: float, k: float, a: float = 0.0, b: float = 1.0):
-        self.words, self.gain, self.lam, self.k, self.a, self.b = words, gain, lam, k, a, b
+    def __init__(self, words: np.ndarray, odds: np.ndarray, lam: float = 1.0, k: float = 1.0, a: float = 0.0, b: float = 1.0):
+        self.words, self.odds, self.lam, self.k, self.a, self.b = words, odds, lam, k, a, b
 
     def evidence(self, found: list[tuple[int, int, float]], n: int) -> tuple[float, list]:
         """Summed -ln E of the significant segments, and those."""
@@ -84,26 +84,30 @@ class Model:
     def score(self, x: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.a + self.b * x)))) if len(self.words) else 0.0
 
-    def scan(self, texts: pa.Array):
-        """(n words, evidence, significant segments) of each text."""
+    def found(self, texts: pa.Array):
+        """(n words, maximal segments) of each text."""
         inside = alnum_words()
         codes = byte_codes(True, inside)
         for low, high, data, offsets in runs_of_text(texts):
             w = Words(data, offsets, inside, codes)
-            gain = np.zeros(len(w.hash))
+            score = np.zeros(len(w.hash))
             if len(self.words):
+                open_ = np.ones(len(score), bool)
                 for f in features(w, codes):  # the word itself, else its longest known beginning
                     where = np.minimum(np.searchsorted(self.words, f), len(self.words) - 1)
-                    gain = np.where(gain > 0, gain, np.where(self.words[where] == f, self.gain[where], 0.0))
-            hits = np.flatnonzero(gain > 0)
-            gain = gain[hits]
-            cut = np.searchsorted(hits, w.first)
+                    known = open_ & (self.words[where] == f)
+                    score[known] = self.odds[where[known]]
+                    open_ &= ~known
+            score -= DRIFT
+            some = np.concatenate([[0], np.cumsum(score > 0)])
             for i in range(high - low):
-                a, b, n = cut[i], cut[i + 1], int(w.first[i + 1] - w.first[i])
-                if a == b:
-                    yield n, 0.0, []
-                else:
-                    yield n, *self.evidence(segments(hits[a:b] - w.first[i], gain[a:b], DRIFT), n)
+                a, b = int(w.first[i]), int(w.first[i + 1])
+                yield b - a, segments(score[a:b]) if some[b] > some[a] else []
+
+    def scan(self, texts: pa.Array):
+        """(n words, evidence, significant segments) of each text."""
+        for n, found in self.found(texts):
+            yield n, *self.evidence(found, n)
 
 
 def features(w: Words, codes: np.ndarray) -> list[np.ndarray]:
@@ -120,7 +124,7 @@ def features(w: Words, codes: np.ndarray) -> list[np.ndarray]:
 
 
 def _count(batches):
-    """Texts of each kind in which a feature occurs, summed over a partition; features DOCS and TOKENS hold totals."""
+    """Texts of each kind in which a feature occurs, summed over a partition; the feature DOCS holds their totals."""
     inside = alnum_words()
     codes = byte_codes(True, inside)
     hashes, counts = [], []
@@ -138,9 +142,8 @@ def _count(batches):
             for i in range(high - low):
                 part = slice(w.first[i], w.first[i + 1])
                 u = np.unique(np.concatenate([f[part] for f in every]))
-                u = np.concatenate([u[u > TOKENS], np.array([DOCS, TOKENS], np.uint64)])
+                u = np.append(u[u > DOCS], DOCS)
                 n = np.ones(len(u))
-                n[-1] = w.first[i + 1] - w.first[i]
                 hashes.append(u)
                 counts.append(np.stack([n * (label[low + i] == 0), n * (label[low + i] != 0)], 1))
             merge()
@@ -165,33 +168,46 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    train = labelled(docs, labels, id_col, text_col, label_col)
+    train = table(labelled(docs, labels, id_col, text_col, label_col), "toxic-rows")
     counts = table(train.mapInArrow(_count, "word long, n1 long, n0 long").groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "toxic-words")
-    sums = {r.word: r for r in counts.where(F.col("word").isin(int(DOCS), int(TOKENS))).collect()}
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0)
+    sums = {r.word: r for r in counts.where(F.col("word") == int(DOCS)).collect()}
+    empty = Model(np.zeros(0, np.uint64), np.zeros(0))
     if int(DOCS) not in sums or not sums[int(DOCS)].n1 or not sums[int(DOCS)].n0:
         return empty
-    n1, n0, tokens = float(sums[int(DOCS)].n1), float(sums[int(DOCS)].n0), max(1.0, float(sums[int(TOKENS)].n0))
-    counts = counts.where(~F.col("word").isin(int(DOCS), int(TOKENS)))
+    n1, n0 = float(sums[int(DOCS)].n1), float(sums[int(DOCS)].n0)
     weight = PRIOR * (n1 + n0)
     prior = PRIOR * (F.col("n1") + F.col("n0"))
-    odds = lambda y, n: F.log((F.col(y) + prior) / F.greatest(F.lit(0.5), n + weight - F.col(y) - prior))
-    scored = counts.withColumn("d", odds("n1", n1) - odds("n0", n0)).withColumn("z", F.col("d") / F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior)))
-    rows = scored.where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(MODEL_WORDS).select("word", "d", "n0").collect()
-    rows = [r for r in rows if min(r.d, MOST) > DRIFT]
-    if not rows:
+    log_odds = lambda y, n: F.log((F.col(y) + prior) / F.greatest(F.lit(0.5), n + weight - F.col(y) - prior))
+    d = F.least(F.lit(MOST), F.greatest(F.lit(-MOST), log_odds("n1", n1) - log_odds("n0", n0)))
+    error = F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior))
+    scored = counts.where(F.col("word") != int(DOCS)).withColumn("odds", d).where(F.abs("odds") >= MIN_Z * error)
+    rows = scored.select("word", "odds").collect()  # words of at most MAX_LABELLED texts
+    if not any(r.odds > DRIFT for r in rows):
         return empty
     words = np.array([r.word for r in rows], np.int64).view(np.uint64)
     order = np.argsort(words)
-    gain = np.minimum(np.array([r.d for r in rows]), MOST)[order] - DRIFT
-    share = np.array([r.n0 + 0.5 for r in rows])[order] / tokens
-    # lambda: the positive root of sum p e^(lambda s) = 1 over other texts' tokens.
-    low, high = 1e-3, 20.0
-    for _ in range(80):
-        mid = (low + high) / 2
-        low, high = (mid, high) if float((share * np.exp(mid * gain)).sum()) + (1 - share.sum()) * math.exp(-mid * DRIFT) < 1 else (low, mid)
-    model = Model(words[order], gain, low, 0.1)
-    return _calibrated(model, train)
+    model = Model(words[order], np.array([r.odds for r in rows])[order])
+    return _calibrated(_extreme_values(model, train), train)
+
+
+def _extreme_values(model: Model, train: DataFrame) -> Model:
+    """Fit lambda and K to the segments of the texts labelled 0: a text of n words is expected to hold
+    K n exp(-lambda x) segments that score beyond x, for x from their least score on. So 1 / lambda is their mean score
+    beyond that, and K exp(-lambda x) at it their number a word."""
+
+    @F.arrow_udf("struct<n:long,k:long,total:double,least:double>")
+    def sums(texts: pa.Array) -> pa.Array:
+        every = [(n, [s for *_, s in found]) for n, found in model.found(texts)]
+        n, k = pa.array([n for n, _ in every], pa.int64()), pa.array([len(x) for _, x in every], pa.int64())
+        total, least = pa.array([sum(x, 0.0) for _, x in every], pa.float64()), pa.array([min(x, default=None) for _, x in every], pa.float64())
+        return pa.StructArray.from_arrays([n, k, total, least], ["n", "k", "total", "least"])
+
+    other = train.where("y = 0").select(sums("text").alias("s"))
+    n, k, total, least = other.agg(F.sum("s.n"), F.sum("s.k"), F.sum("s.total"), F.min("s.least")).first()
+    if k:
+        model.lam = 1 / max(total / k - least, 0.1 * least)
+        model.k = k / n * math.exp(model.lam * least)
+    return model
 
 
 def _calibrated(model: Model, train: DataFrame) -> Model:
@@ -201,9 +217,9 @@ def _calibrated(model: Model, train: DataFrame) -> Model:
     def bins(texts: pa.Array) -> pa.Array:
         return pa.array([min(BINS - 1, int(4 * x)) for _, x, _ in model.scan(texts)], pa.int32())
 
-    table = train.select(bins("text").alias("bin"), "y").groupBy("bin").agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")).collect()
-    x = np.array([r.bin / 4 for r in table])
-    n1, n0 = (np.array([float(r[k]) for r in table]) for k in ("n1", "n0"))
+    binned = train.select(bins("text").alias("bin"), "y").groupBy("bin").agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")).collect()
+    x = np.array([r.bin / 4 for r in binned])
+    n1, n0 = (np.array([float(r[k]) for r in binned]) for k in ("n1", "n0"))
     a, b = 0.0, 0.5
     for _ in range(200):  # Newton with a small ridge
         p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
