@@ -1,20 +1,22 @@
 """License scans over a positional rare-token index, in built-in functions only.
 
-One pass keeps, of every text, the places of words that occur in any template (the licence words) in a table in the
-shared folder; all further steps read that. Document frequencies of the licence words over all documents give their
-IDF; each template is looked up by the ANCHORS rarest words of its key phrase. That phrase must stand complete, so no
-text is missed, whichever other words differ. An anchor's place in a text less its place in the template is a start
-(below 0 where a text begins within the template); the anchors' starts are intersected, and every start is scored by the
-share of the template's words that stand at their relative places. No text is joined or shuffled; the only shuffle counts licence words, of
-which there are a few hundred.
+One pass keeps every text as a codes array in a table in the shared folder: for each word its hash if it occurs in any
+template (a licence word), else 0; all further steps read that. Document frequencies of the licence words over all
+documents give their IDF; each template is looked up by the ANCHORS rarest words of its key phrase. That phrase must stand
+complete, so no text is missed, whichever other words differ. An anchor's place in a text less its place in the template
+is a start (below 0 where a text begins within the template); the anchors' starts are intersected, and every start is
+scored by the share of the template's words that stand at their relative places, which the codes array tells at once: the
+work is linear in a text's length. No text is joined or shuffled; the only shuffle counts licence words, of which there
+are a few hundred.
 
 Defined cases: null texts are empty; a text without licence words has score 0 and no labels; repeated rows are scanned
-alike, each by itself; empty tables give empty results; extra columns pass by unread.
+alike, each by itself; very long texts are scanned whole; empty tables give empty results; extra columns pass by unread,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, table
@@ -66,58 +68,57 @@ def licence_words() -> list[str]:
     return sorted({w for _, words, _, _ in _templates() for w in words})
 
 
-def places(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """`df` with n_words and occ, the places of licence words: array of (at, word)."""
-    df = df.withColumn("_w", F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), SEPARATORS), ""))
-    marked = F.transform("_w", lambda w, i: F.when(w.isin(licence_words()), F.struct(i.alias("at"), w.alias("word"))))
-    return df.select("*", F.size("_w").cast("long").alias("n_words"), F.filter(marked, lambda x: x.isNotNull()).alias("occ")).drop("_w", text_col)
+def places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_words and codes: for each word its hash if it is a licence word, else 0; empty without any of those."""
+    df = docs.select(F.col(id_col).alias("id"), F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), SEPARATORS), "").alias("w"))
+    known = ", ".join(f"'{w}'" for w in licence_words())
+    df = df.select("id", F.size("w").cast("long").alias("n_words"), F.expr(f"transform(w, x -> if(x in ({known}), hash(x), 0))").alias("codes"))
+    return df.withColumn("codes", F.expr("if(exists(codes, c -> c != 0), codes, cast(array() as array<int>))"))
 
 
-def anchors(placed: DataFrame) -> list[list[int]]:
-    """For each template the positions of the ANCHORS words of its key phrase with the highest IDF over all documents."""
-    found = placed.select(F.explode(F.array_distinct(F.transform("occ", lambda o: o["word"]))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    df = {r.word: r.n for r in found.collect()}  # at most as many rows as there are licence words
-    return [sorted(range(*key), key=lambda i, w=w: (df.get(w[i], 0), i))[:ANCHORS] for _, w, key, _ in _templates()]
+def anchors(placed: DataFrame) -> tuple[dict[str, int], list[list[int]]]:
+    """The licence words' hashes; and for each template the positions of the ANCHORS words of its key phrase with the
+    highest IDF over all documents."""
+    words = licence_words()
+    code = dict(zip(words, placed.sparkSession.range(1).select(*(F.hash(F.lit(w)) for w in words)).first(), strict=True))
+    found = placed.select(F.explode(F.array_distinct("codes")).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+    df = {r.code: r.n for r in found.collect()}  # at most as many rows as there are licence words
+    return code, [sorted(range(*key), key=lambda i, w=w: (df.get(code[w[i]], 0), i))[:ANCHORS] for _, w, key, _ in _templates()]
 
 
-def _starts(words: list[str], at: list[int]) -> Column:
+def _starts(codes: list[int], at: list[int]) -> str:
     """Where a template can begin by its anchors."""
-    def begin(i: int) -> Column:
-        return F.transform(F.filter("anchored", lambda o: o["word"] == words[i]), lambda o: o["at"] - i)
-
-    each = [begin(i) for i in at]
+    each = [f"transform(filter(anchored, o -> o.code = {codes[i]}), o -> o.at - {i})" for i in at]
     out = each[0]
     for more in each[1:]:
-        out = F.array_intersect(out, more)
-    return F.array_distinct(out)
+        out = f"array_intersect({out}, {more})"
+    return f"array_distinct({out})"
 
 
-def _found(label: str, words: list[str], low: int, high: int, starts: Column, least: float) -> Column:
+def _found(label: str, codes: list[int], low: int, high: int, at: list[int], least: float) -> str:
     """The starts at which a template's share of words in place is at least `least` and its key phrase is complete."""
-    literal = F.array(*map(F.lit, words))
-
-    def scored(start: Column) -> Column:
-        near = F.filter("occ", lambda o: (o["at"] >= start) & (o["at"] < start + len(words)) & (F.get(literal, o["at"] - start) == o["word"]))
-        key = F.size(F.filter(near, lambda o: (o["at"] >= start + low) & (o["at"] < start + high))) == high - low
-        return F.struct(F.lit(label).alias("label"), start.alias("start"), F.when(key, F.size(near) / len(words)).otherwise(F.lit(0.0)).alias("coverage"))
-
-    return F.filter(F.transform(starts, scored), lambda x: x["coverage"] >= least)
+    template = f"array({', '.join(map(str, codes))})"
+    same = f"get(codes, s + k) = get({template}, k)"
+    key = f"coalesce(forall(sequence({low}, {high - 1}), k -> {same}), false)"
+    share = f"size(filter(sequence(0, {len(codes) - 1}), k -> {same})) / {len(codes)}D"
+    scored = f"transform({_starts(codes, at)}, s -> struct('{label}' as label, s as start, if({key}, {share}, 0D) as coverage))"
+    return f"filter({scored}, x -> x.coverage >= {least})"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_words, base (starts of phrases with labels) and found (templates: label, start, coverage)."""
-    placed = table(places(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")), "_text"), "licence-words")
-    chosen = anchors(placed)
+    placed = table(places(docs, id_col, text_col), "licence-words")
+    code, chosen = anchors(placed)
     known = _templates()
-    rare = sorted({w[i] for (_, w, _, _), at in zip(known, chosen, strict=True) for i in at})
-    anchored = placed.withColumn("anchored", F.filter("occ", lambda o: o["word"].isin(rare)))
+    rare = sorted({code[w[i]] for (_, w, _, _), at in zip(known, chosen, strict=True) for i in at})
+    anchored = f"filter(transform(codes, (c, i) -> if(c in ({', '.join(map(str, rare))}), struct(i as at, c as code), null)), x -> x is not null)"
+    df = placed.withColumn("anchored", F.expr(anchored))
     kind = "array<struct<label:string,start:int,coverage:double>>"
-    parts: dict[bool, list[Column]] = {True: [], False: []}
+    parts: dict[bool, list[str]] = {True: [], False: []}
     for (label, words, (low, high), exact), at in zip(known, chosen, strict=True):
-        parts[exact].append(_found(label, words, low, high, _starts(words, at), 1.0 if exact else COVERAGE))
-    some = F.size("anchored") > 0
-    none = F.array().cast(kind)
-    return anchored.select("id", "n_words", *(F.when(some, F.concat(*parts[e])).otherwise(none).cast(kind).alias(name) for e, name in ((True, "base"), (False, "found"))))
+        parts[exact].append(_found(label, [code[w] for w in words], low, high, at, 1.0 if exact else COVERAGE))
+    every = lambda e: F.expr(f"if(size(anchored) > 0, cast(concat({', '.join(parts[e])}) as {kind}), cast(array() as {kind}))")
+    return df.select("id", "n_words", every(True).alias("base"), every(False).alias("found"))
 
 
 def op7_license_scan(spark, sf_dir: str) -> DataFrame:
