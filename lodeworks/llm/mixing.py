@@ -9,17 +9,17 @@ less than one block away from its exact share c_s / C after every slot, and exac
 c_s is the source's weight while it has that many blocks left, then what it has left, then 0: all rows are placed once,
 no row is dropped or repeated, and once a source is used up the others share its slots by their weights. So the
 schedule is periodic but for at most two periods a source: of each kind of period one pattern is computed, and a row
-finds its slot by arithmetic. The patterns have at most (2 MAX_SOURCES + 1) * MAX_PERIOD rows, whatever the number of
-rows mixed; that bound allows their broadcast. Beyond it the same schedule is computed kind of period by kind of period
-with heaps in Python, written out block by block (never more rows than blocks) and joined by source and block; only
+finds its slot by arithmetic. S sources with C blocks a period have at most (2 S + 1) * C rows of patterns, whatever the
+number of rows mixed; up to MAX_PATTERN rows they are computed in one row and broadcast. Beyond that the same schedule is
+computed kind of period by kind of period with heaps in Python, written out block by block (never more rows than blocks) and joined by source and block; only
 the blocks of one period have to fit in a task.
 
 A row's rank in its source is counted in buckets of hash bits, whose sizes are then summed up: no source, however
 large, lands in one task.
 
 Defined cases: a null source is a source of its own; rows with equal ids and texts tie and are placed in either order;
-an empty table gives an empty result; weights must be whole numbers of at least 1; extra columns pass by, and clashing
-ones (slot, block, position, source rank) are replaced.
+an empty table gives an empty result; weights must be whole numbers of at least 1; extra columns pass by, whatever their
+names, but for block, slot and position, which are replaced.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free_name, table
 
-#: Rows of a block, and bounds up to which patterns are computed in one row and broadcast.
-BLOCK, MAX_SOURCES, MAX_PERIOD = 16, 1_000, 10_000
+#: Rows of a block, and most rows of patterns that are computed in one row and broadcast.
+BLOCK, MAX_PATTERN = 16, 200_000
 #: Least rows of a bucket within which ranks are counted; else it is the square root of all rows, so that neither a
 #: bucket nor a source's list of buckets grows faster than that.
 BUCKET = 256
@@ -159,32 +159,37 @@ def mix(
     the block): ordered by position, every prefix holds the sources by their weights to within a block each."""
     if others < 1 or any(w < 1 or w != int(w) for w in weights.values()):
         raise ValueError("weights must be whole numbers of at least 1")
-    df = df.drop("block", "slot", "position", "_h", "_b", "_rank")
+    df = df.drop("block", "slot", "position")
+    t = free_name(df, "_mix_")
     order = F.xxhash64(F.col(id_col), F.xxhash64(text_col)) if text_col else F.xxhash64(id_col)
     count = df.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n"))
     sizes = table(count, "sources")
     total, n_sources = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     period = sizes.agg(F.coalesce(F.sum(_weight(F.col("source"), weights, others)), F.lit(0))).first()[0]
     bits = (total // max(BUCKET, math.isqrt(total))).bit_length()
-    keyed = df.withColumn("_h", order).withColumn("_b", F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long"))
-    within = Window.partitionBy(source_col, "_b").orderBy("_h", id_col)
-    keyed = keyed.withColumn("_rank", F.row_number().over(within).cast("long"))
-    buckets = df.select(F.col(source_col).alias("_s"), (F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")).alias("_bb"))
-    buckets = buckets.groupBy("_s", "_bb").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("_s").orderBy("_bb").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select("_s", "_bb", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    ranked = keyed.join(buckets, keyed[source_col].eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_bb")))
-    rank = F.col("_before") + F.col("_rank") - 1
-    ranked = ranked.withColumn("_rank", rank).withColumn("block", F.floor(F.col("_rank") / block)).withColumn("_w", _weight(F.col(source_col), weights, others))
-    if n_sources > MAX_SOURCES or period > MAX_PERIOD:
-        p = table(slots(sizes, weights, others, block), "slots").select(*(F.col(c).alias(f"p_{c}") for c in ("source", "block", "slot")))
-        on = ranked[source_col].eqNullSafe(p["p_source"]) & (ranked["block"] == p["p_block"])
-        return ranked.join(p, on).select(*df.columns, "block", F.col("p_slot").alias("slot"), (F.col("p_slot") * block + F.col("_rank") % block).alias("position"))
-    ranked = ranked.withColumn("_q", F.floor(F.col("block") / F.col("_w"))).withColumn("_i", F.col("block") % F.col("_w"))
-    p = F.broadcast(table(patterns(sizes, weights, others, block), "patterns").select(*(F.col(c).alias(f"p_{c}") for c in ("source", "i", "q0", "q1", "per_period", "base", "at"))))
-    on = ranked[source_col].eqNullSafe(p["p_source"]) & (ranked["_i"] == p["p_i"]) & (ranked["_q"] >= p["p_q0"]) & (ranked["_q"] < p["p_q1"])
-    slot = F.col("p_base") + (F.col("_q") - F.col("p_q0")) * F.col("p_per_period") + F.col("p_at")
-    return ranked.join(p, on).select(*df.columns, "block", slot.alias("slot"), (slot * block + F.col("_rank") % block).alias("position"))
+    bucket = F.shiftrightunsigned(order, 64 - bits) if bits else F.lit(0).cast("long")
+    keyed = df.withColumn(f"{t}h", order).withColumn(f"{t}b", bucket)
+    within = Window.partitionBy(source_col, f"{t}b").orderBy(f"{t}h", id_col)
+    keyed = keyed.withColumn(f"{t}rank", F.row_number().over(within).cast("long"))
+    buckets = df.select(F.col(source_col).alias(f"{t}s"), bucket.alias(f"{t}bb")).groupBy(f"{t}s", f"{t}bb").agg(F.count("*").alias(f"{t}n"))
+    before = Window.partitionBy(f"{t}s").orderBy(f"{t}bb").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.select(f"{t}s", f"{t}bb", F.coalesce(F.sum(f"{t}n").over(before), F.lit(0)).alias(f"{t}before"))
+    ranked = keyed.join(buckets, F.col(source_col).eqNullSafe(F.col(f"{t}s")) & (F.col(f"{t}b") == F.col(f"{t}bb")))
+    rank = F.col(f"{t}before") + F.col(f"{t}rank") - 1
+    ranked = ranked.withColumn(f"{t}rank", rank).withColumn("block", F.floor(F.col(f"{t}rank") / block)).withColumn(f"{t}w", _weight(F.col(source_col), weights, others))
+    named = lambda p: p.select(*(F.col(c).alias(f"{t}p_{c}") for c in p.columns))
+    p = lambda c: F.col(f"{t}p_{c}")
+    same = F.col(source_col).eqNullSafe(p("source"))
+    if (2 * n_sources + 1) * period > MAX_PATTERN:
+        at = named(table(slots(sizes, weights, others, block), "slots"))
+        found, slot = ranked.join(at, same & (F.col("block") == p("block"))), p("slot")
+    else:
+        ranked = ranked.withColumn(f"{t}q", F.floor(F.col("block") / F.col(f"{t}w"))).withColumn(f"{t}i", F.col("block") % F.col(f"{t}w"))
+        at = F.broadcast(named(table(patterns(sizes, weights, others, block), "patterns")))
+        q = F.col(f"{t}q")
+        found = ranked.join(at, same & (F.col(f"{t}i") == p("i")) & (q >= p("q0")) & (q < p("q1")))
+        slot = p("base") + (q - p("q0")) * p("per_period") + p("at")
+    return found.select(*df.columns, "block", slot.alias("slot"), (slot * block + F.col(f"{t}rank") % block).alias("position"))
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
