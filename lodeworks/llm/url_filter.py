@@ -6,11 +6,12 @@ meet their template again in one join, whose page side Spark may split where a h
 are compared with the sum over all of them, never with each other.
 
 Steps, for the segments of a path: (1) typed: runs of digits become #, long hexadecimal ones {hex}, UUIDs {uuid}, very
-long ones {long}; (2) a node with more than CHILDREN children none of which has MAJORITY of its pages is variable: its
-children become *; (3) children of a node whose pages are spread over the same remainders (cosine with the node's at
-least SIMILAR) and whose share of bad labels does not differ from the node's (two-proportion |z| < Z) become *;
-(4) a template is rejected if (bad + STRENGTH * prior) / (labelled + STRENGTH) >= REJECT, the prior being its host's
-share, smoothed by that of all pages likewise.
+long ones {long}; from the DEPTH-th segment on a path is one segment. Then level by level from the root, each on the
+templates as the levels above left them: (2) a node with more than CHILDREN children none of which has MAJORITY of its
+pages is variable: its children become *; (3) children of a node whose pages are spread over the same remainders (cosine
+with the node's at least SIMILAR) and whose share of bad labels does not differ from the node's (two-proportion |z| < Z)
+become *. (4) A template is rejected if (bad + STRENGTH * prior) / (labelled + STRENGTH) >= REJECT, the prior being its
+host's share, smoothed by that of all pages likewise.
 
 Defined cases: a null url, or one without ://, has an empty host and path and the verdict of that empty template (no
 rule fits); null labels count as none; repeated pages count as often as they occur; empty tables give empty results;
@@ -27,6 +28,8 @@ from .common import lower_ascii, table
 #: Rules of the registered query: verdict and host/path prefix.
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 CHILDREN, MAJORITY, SIMILAR, Z = 32, 0.5, 0.9, 1.96
+#: Segments that are levels of the tree; the last one holds the rest of the path.
+DEPTH = 12
 STRENGTH, REJECT = 10.0, 0.5
 
 
@@ -40,7 +43,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest rule that fits, else nulls. Equally long ones: the first of the list."""
     rule = verdict = None
-    for kind, text in sorted(rules, key=lambda r: len(r[1])):
+    for kind, text in sorted(reversed(rules), key=lambda r: len(r[1])):
         at, slash, rest = text.partition("/")
         fits = ((host == at) | host.endswith("." + at)) & path.startswith(slash + rest)
         rule = F.when(fits, F.lit(text)).otherwise(rule if rule is not None else F.lit(None).cast("string"))
@@ -60,57 +63,61 @@ def typed(path: Column) -> Column:
             .otherwise(F.regexp_replace(s, "[0-9]+", "#"))
         )
 
-    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), kind)
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", DEPTH), kind)
 
 
-def _levels(templates: DataFrame) -> DataFrame:
-    """A row for each template and place: what stands before, there and after."""
-    at = templates.select("*", F.posexplode("shape").alias("at", "here"))
-    return at.select("*", F.slice("shape", F.lit(1), F.col("at")).alias("before"), F.slice("shape", F.col("at") + 2, F.size("shape")).alias("after"))
+def _level(templates: DataFrame, at: int) -> DataFrame:
+    """The templates that reach a level, with what stands before, there and after."""
+    here = templates.where(F.size("shape") > at)
+    return here.select("*", F.slice("shape", 1, at).alias("before"), F.get("shape", F.lit(at)).alias("here"), F.expr(f"slice(shape, {at + 2}, size(shape))").alias("after"))
 
 
-def _generalised(templates: DataFrame, marks: DataFrame) -> DataFrame:
-    """Templates with the marked places (host, shape, at) as *, and counts summed up; `origin` follows."""
-    stars = marks.groupBy("host", "shape").agg(F.collect_set("at").alias("stars")).withColumnsRenamed({"host": "_host", "shape": "_shape"})
-    out = templates.join(stars, (F.col("host") == F.col("_host")) & (F.col("shape") == F.col("_shape")), "left")
-    starred = F.transform("shape", lambda s, i: F.when(F.array_contains("stars", i), F.lit("*")).otherwise(s))
-    return out.select("host", F.when(F.col("stars").isNull(), F.col("shape")).otherwise(starred).alias("shape"), "origin", "n", "labelled", "bad")
+def _starred(origins: DataFrame, nodes: DataFrame, at: int) -> DataFrame:
+    """Templates in which the level's segment is * below the nodes (host, before and perhaps here)."""
+    on = [c for c in ("host", "before", "here") if c in nodes.columns]
+    marks = nodes.select(*on, F.lit(True).alias("_star"))
+    out = _level(origins, at).join(marks, on, "left")
+    shape = F.when(F.col("_star"), F.concat("before", F.array(F.lit("*")), "after")).otherwise(F.col("shape"))
+    return out.select("host", shape.alias("shape"), "origin", "n", "labelled", "bad").union(origins.where(F.size("shape") <= at))
 
 
 def _summed(origins: DataFrame) -> DataFrame:
     return origins.groupBy("host", "shape").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
 
 
+def _variable(level: DataFrame) -> DataFrame:
+    """(2) Nodes (host, before) with many children and no dominant one."""
+    children = level.groupBy("host", "before", "here").agg(F.sum("n").alias("n"))
+    spread = children.groupBy("host", "before").agg(F.count("*").alias("k"), (F.max("n") / F.sum("n")).alias("top"))
+    return spread.where((F.col("k") > CHILDREN) & (F.col("top") < MAJORITY)).select("host", "before")
+
+
+def _similar(level: DataFrame) -> DataFrame:
+    """(3) Children (host, before, here) that are like the sum over all children of their node."""
+    level = level.where("here != '*'")
+    own = level.groupBy("host", "before", "here", "after").agg(F.sum("n").alias("c"))
+    node = level.groupBy("host", "before", "after").agg(F.sum("n").alias("p"))
+    square = node.groupBy("host", "before").agg(F.sum(F.col("p").cast("double") * F.col("p")).alias("pp"))
+    products = own.join(node, ["host", "before", "after"]).groupBy("host", "before", "here")
+    cosine = products.agg(F.sum(F.col("c").cast("double") * F.col("p")).alias("cp"), F.sum(F.col("c").cast("double") * F.col("c")).alias("cc")).join(square, ["host", "before"])
+    rates = level.groupBy("host", "before", "here").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
+    sums = rates.groupBy("host", "before").agg(F.sum("l").alias("sl"), F.sum("b").alias("sb"), F.count("*").alias("k"))
+    p1, p0 = F.col("b") / F.col("l"), (F.col("sb") - F.col("b")) / (F.col("sl") - F.col("l"))
+    pool = F.col("sb") / F.col("sl")
+    error = F.sqrt(pool * (1 - pool) * (1 / F.col("l") + 1 / (F.col("sl") - F.col("l"))))
+    told = (F.col("l") > 0) & (F.col("sl") > F.col("l")) & (pool > 0) & (pool < 1)
+    alike = rates.join(sums, ["host", "before"]).where("k > 1").where(F.when(told, F.abs(p1 - p0) / error).otherwise(F.lit(0.0)) < Z)
+    alike = alike.join(cosine, ["host", "before", "here"]).where(F.col("cp") / F.sqrt(F.col("cc") * F.col("pp")) >= SIMILAR)
+    return alike.select("host", "before", "here")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """From (host, shape, y) rows: (host, origin, template, purity, reject) for every distinct typed path `origin`."""
     counted = pages.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("y").alias("labelled"), F.coalesce(F.sum("y"), F.lit(0)).alias("bad"))
     origins = table(counted.select("host", "shape", F.col("shape").alias("origin"), "n", "labelled", "bad"), "paths")
-    # (2) variable nodes
-    levels = _levels(_summed(origins))
-    children = levels.groupBy("host", "at", "before", "here").agg(F.sum("n").alias("n"))
-    variable = children.groupBy("host", "at", "before").agg(F.count("*").alias("k"), (F.max("n") / F.sum("n")).alias("top")).where((F.col("k") > CHILDREN) & (F.col("top") < MAJORITY))
-    marks = levels.join(variable.select("host", "at", "before"), ["host", "at", "before"], "left_semi").select("host", "shape", "at")
-    origins = table(_generalised(origins, marks), "paths")
-    # (3) similar branches
-    levels = table(_levels(_summed(origins)), "paths").where("here != '*'")
-    own = levels.groupBy("host", "at", "before", "here", "after").agg(F.sum("n").alias("c"))
-    node = levels.groupBy("host", "at", "before", "after").agg(F.sum("n").alias("p"))
-    square = node.groupBy("host", "at", "before").agg(F.sum(F.col("p").cast("double") * F.col("p")).alias("pp"))
-    cosine = (
-        own.join(node, ["host", "at", "before", "after"])
-        .groupBy("host", "at", "before", "here")
-        .agg(F.sum(F.col("c").cast("double") * F.col("p")).alias("cp"), F.sum(F.col("c").cast("double") * F.col("c")).alias("cc"))
-        .join(square, ["host", "at", "before"])
-    )
-    rates = levels.groupBy("host", "at", "before", "here").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
-    sums = rates.groupBy("host", "at", "before").agg(F.sum("l").alias("sl"), F.sum("b").alias("sb"), F.count("*").alias("k"))
-    p1, p0 = F.col("b") / F.col("l"), (F.col("sb") - F.col("b")) / (F.col("sl") - F.col("l"))
-    pool = F.col("sb") / F.col("sl")
-    z = F.when((F.col("l") > 0) & (F.col("sl") > F.col("l")) & (pool > 0) & (pool < 1), F.abs(p1 - p0) / F.sqrt(pool * (1 - pool) * (1 / F.col("l") + 1 / (F.col("sl") - F.col("l"))))).otherwise(F.lit(0.0))
-    similar = rates.join(sums, ["host", "at", "before"]).where("k > 1").withColumn("z", z).where(F.col("z") < Z).join(cosine, ["host", "at", "before", "here"])
-    similar = similar.where(F.col("cp") / F.sqrt(F.col("cc") * F.col("pp")) >= SIMILAR).select("host", "at", "before", "here")
-    marks = levels.join(similar, ["host", "at", "before", "here"], "left_semi").select("host", "shape", "at")
-    origins = table(_generalised(origins, marks), "paths")
+    for at in range(origins.agg(F.coalesce(F.max(F.size("shape")), F.lit(0))).first()[0]):  # at most DEPTH
+        origins = table(_starred(origins, _variable(_level(_summed(origins), at)), at), "paths")
+        origins = table(_starred(origins, _similar(_level(_summed(origins), at)), at), "paths")
     # (4) purity
     final = _summed(origins)
     every = final.agg(F.sum("bad").alias("ab"), F.sum("labelled").alias("al"))
