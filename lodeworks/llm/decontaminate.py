@@ -5,28 +5,28 @@ least one common fingerprint. Training fingerprints are joined with the test one
 10-word windows around it, and those are compared word for word. An item of fewer than 10 words is a window of its
 own length, found by its whole-length hash.
 
-How it scales: the benchmark's fingerprints go into the scan as an IN set while they are at most INLINE (a checked
-bound); beyond that they are joined by hash. Texts are read and split once; only rows with a hit keep their text, in a
-table in the shared folder, and only the windows around hits are exploded. Nothing depends on how often a passage or a
-source occurs, as rows are joined with benchmark windows only and never with each other.
+How it scales: one plan for every size of benchmark. A Bloom filter of its fingerprints (two bits each, 32 bits a print up
+to 2^MOST_BITS bits, built by aggregation) goes into the scan as a constant. What passes it is carried on as the windows
+around it, which are joined with the benchmark's windows word for word; so texts are read and split once and never
+shuffled, nor kept. The larger the benchmark beyond that, the more windows pass for nothing; none is lost. Nothing depends
+on how often a passage or a source occurs, as rows are joined with benchmark windows only and never with each other.
 
 Defined cases: null texts have no words; null item ids are ignored, repeated items count once; rows that repeat an id
-are judged each by its own text; empty tables give empty or clean results; extra columns pass by unread.
+are judged each by its own text; very long texts are read whole; empty tables give empty or clean results; extra columns
+pass by unread, whatever their names.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table
+from .common import free_name, lower_ascii, table
 
 #: Window (words), hashed k-gram, and hashes of which the smallest is kept: WINDOW = K + SPREAD - 1.
 WINDOW, K = 10, 4
-#: Most fingerprints of the benchmark that are put into the plan, and most of its windows that are broadcast.
-INLINE, BROADCAST = 30_000, 500_000
+#: Bits of a Bloom filter as a power of two, at least and at most, and most windows of the benchmark that are broadcast.
+LEAST_BITS, MOST_BITS, BROADCAST = 12, 26, 500_000
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -71,55 +71,54 @@ class Benchmark:
         return w.select(grams(F.col("w"), k).alias("g")).select(F.explode(winnow(F.col("g"), spread)).alias("print")).distinct()
 
 
-def _among(hashes: str, known: list[int]) -> Column:
-    return F.filter(hashes, lambda h: h.isin(known))
+def _places(h: str, bits: int) -> list[tuple[str, str]]:
+    """The two bits that stand for a hash: which long of the filter, and which bit of that."""
+    mask = (1 << (bits - 6)) - 1
+    return [
+        (f"cast(shiftrightunsigned({h}, {64 - (bits - 6)}) as int)", f"cast({h} & 63 as int)"),
+        (f"cast(shiftrightunsigned({h}, 6) & {mask} as int)", f"cast(shiftrightunsigned({h}, 32) & 63 as int)"),
+    ]
 
 
-def _around(places: str, n: int, spread: int) -> Column:
-    """Starts of the n-word windows that hold one of the places of k-grams."""
-    last = F.greatest(F.lit(0), F.size("w") - n)
-    each = F.transform(places, lambda p: F.sequence(F.least(last, F.greatest(F.lit(0), p - (spread - 1))), F.least(p, last)))
-    return F.array_distinct(F.flatten(each))
+def bloom(prints: DataFrame) -> str:
+    """SQL text that tells whether the hash `h` may be one of `prints` (column print)."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (32 * prints.count()).bit_length()))
+    both = ", ".join(f"struct({at} as at, {bit} as bit)" for at, bit in _places("print", bits))
+    longs = prints.select(F.expr(f"explode(array({both})) as b")).groupBy("b.at").agg(F.expr("bit_or(shiftleft(1L, b.bit)) as x"))
+    held = {r["at"]: r["x"] for r in longs.collect()}  # at most 2^(MOST_BITS - 6) rows
+    text = ",".join(str(held.get(i, 0)) for i in range(1 << (bits - 6)))
+    # Folded into one literal when the query is planned.
+    return " and ".join(f"(shiftrightunsigned(get(cast(split('{text}', ',') as array<bigint>), {at}), {bit}) & 1) = 1" for at, bit in _places("h", bits))
 
 
-def _matched(df: DataFrame, bench: Benchmark) -> DataFrame:
-    """`df` (id, th, text, w) with n_words and m<length>: the row's fingerprints that the benchmark also has."""
-    df = df.select("*", *(grams(F.col("w"), k).alias(f"g{n}") for n, k, _ in bench.specs))
-    df = df.select("*", *(winnow(F.col(f"g{n}"), spread).alias(f"f{n}") for n, _, spread in bench.specs))
-    out = []
-    for spec in bench.specs:
-        n = spec[0]
-        inline = [r[0] for r in bench.prints(spec).limit(INLINE + 1).collect()]
-        if len(inline) <= INLINE:
-            out.append(_among(f"f{n}", inline).alias(f"m{n}"))
-            continue
-        hits = df.select("id", "th", F.explode(f"f{n}").alias("print")).join(bench.prints(spec), "print").groupBy("id", "th").agg(F.collect_set("print").alias(f"m{n}_"))
-        df = df.alias("d").join(hits.alias("h"), F.expr("d.id <=> h.id and d.th = h.th"), "left").select("d.*", f"h.m{n}_")
-        out.append(F.coalesce(f"m{n}_", F.array().cast("array<bigint>")).alias(f"m{n}"))
-    return df.select("id", "th", "text", F.size("w").cast("long").alias("n_words"), *out)
+def _around(places: Column, n: int, spread: int) -> Column:
+    """The n-word windows (len, start, window) of `w` that hold one of the places of k-grams."""
+    last = F.greatest(F.lit(0), F.size("w") - n)
+    each = F.transform(places, lambda p: F.sequence(F.least(last, F.greatest(F.lit(0), p - (spread - 1))), F.least(p, last)))
+    starts = F.array_distinct(F.flatten(each))
+    return F.transform(starts, lambda s: F.struct(F.lit(n).alias("len"), s.alias("start"), F.array_join(F.slice("w", s + 1, n), " ").alias("window")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, th (a hash of the text), n_words, n_hit, items (those that occur, as ascending strings)."""
     bench = Benchmark(benchmark)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"), words(F.col(text_col)).alias("w"))
+    df = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words(F.col(text_col)).alias("w"))
     none = F.array().cast("array<string>")
     if not bench.specs:
-        return rows.select("id", "th", F.size("w").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), none.alias("items"))
-    hit = reduce(Column.__or__, (F.size(f"m{n}") > 0 for n, _, _ in bench.specs))
-    found = table(_matched(rows, bench).withColumn("text", F.when(hit, F.col("text"))), "prints")
-
-    parts = []
-    for n, k, spread in bench.specs:
-        w = found.where(F.size(f"m{n}") > 0).select("id", "th", F.col(f"m{n}").alias("m"), words(F.col("text")).alias("w"))
-        g = w.select("*", grams(F.col("w"), k).alias("g"))
-        at = F.filter(F.transform("g", lambda h, i: F.when(F.array_contains("m", h), i)), lambda i: i.isNotNull())
-        g = g.select("id", "th", "w", at.alias("at"))
-        near = g.select("id", "th", "w", F.explode(_around("at", n, spread)).alias("start"))
-        parts.append(near.select("id", "th", F.lit(n).alias("len"), "start", F.array_join(F.slice("w", F.col("start") + 1, n), " ").alias("window")))
+        return df.select("id", "th", F.size("w").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), none.alias("items"))
+    df = df.select("*", *(grams(F.col("w"), k).alias(f"g{n}") for n, k, _ in bench.specs))
+    df = df.select("*", *(winnow(F.col(f"g{n}"), spread).alias(f"f{n}") for n, _, spread in bench.specs))
+    df = df.select("*", *(F.expr(f"filter(f{spec[0]}, h -> {bloom(bench.prints(spec))})").alias(f"m{spec[0]}") for spec in bench.specs))
+    near = []
+    for n, _, spread in bench.specs:
+        at = F.expr(f"filter(transform(g{n}, (h, i) -> if(array_contains(m{n}, h), i, null)), i -> i is not null)")
+        near.append(F.when(F.size(f"m{n}") > 0, _around(at, n, spread)).otherwise(F.array().cast("array<struct<len:int,start:int,window:string>>")))
+    found = table(df.select("id", "th", F.size("w").cast("long").alias("n_words"), F.concat(*near).alias("near")), "prints")
+
     windows = bench.windows if bench.size > BROADCAST else F.broadcast(bench.windows)
     spans = (
-        reduce(DataFrame.union, parts)
+        found.select("id", "th", F.explode("near").alias("x"))
+        .select("id", "th", "x.*")
         .join(windows, ["len", "window"])
         .groupBy("id", "th")
         .agg(F.collect_set(F.struct("start", "len")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
@@ -136,8 +135,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns unchanged, without a word in a benchmark window."""
-    bad = contamination(docs, benchmark, id_col, text_col).where("n_hit > 0").select(F.col("id").alias("_id"), F.col("th").alias("_th"))
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_th")), "left_anti")
+    t = free_name(docs, "_bad_")
+    bad = contamination(docs, benchmark, id_col, text_col).where("n_hit > 0").select(F.col("id").alias(f"{t}id"), F.col("th").alias(f"{t}th"))
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(f"{t}id")) & (F.xxhash64(text_col) == F.col(f"{t}th")), "left_anti")
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
