@@ -11,15 +11,23 @@ and the components of its links.
 4. Light nodes (n <= boundary) enumerate all 2-subsets of their extended prefix and meet under equal subsets; a heavy
    node scans the inverted lists of its prefix, which hold light and heavy nodes. The boundary is the one of least
    estimated cost: subsets enumerated and pairs met under them, and pairs met in lists.
-5. Members meet only if the hashes from their common one on suffice for the similarity. Meeting is done in two rounds. First each subset or list links its members to the one that can share the largest part of
-   itself (of a group of near copies, one with hardly any hashes of its own), which joins large groups in linear work. Then only members of different components are paired, which are few where
-   texts are alike, since those are in one component already. Every candidate is decided by 4 * intersection >=
-   3 * union over the whole sets, so the components are exact up to hash collisions.
+5. Members meet only if the hashes from their common one on suffice for the similarity. Meeting is done in two rounds. First
+   each subset or list links its members to the one that can share the largest part of itself (of a group of near copies,
+   one with hardly any hashes of its own), which joins large groups in linear work. Then only members of different
+   components are paired, which are few where texts are alike, since those are in one component already; and of those only
+   ones whose sizes can go together: a member looks for smaller ones in bins of sizes, between 3/4 of its own and what
+   the hashes left to it allow. Pages of one template that share too little find no bin of each other at all. Every
+   candidate is decided by 4 * intersection >= 3 * union over the whole sets, so the components are exact up to hash
+   collisions.
 
 Defined cases: null, empty or wordless texts have no shingles and form components of their own; texts of fewer than 5
-words have one shingle, the whole sequence; repeated rows and ids are each returned; a null id takes part in links but
-never names a component (a component of null ids only is null); empty tables give empty results; extra columns pass by
-unread. What is held in memory: a block of FLUSH postings, or one dealt bucket of about BUCKET postings.
+words have one shingle, the whole sequence; very long texts are read whole; repeated rows and ids are each returned; a null
+id takes part in links but never names a component (a component of null ids only is null); empty tables give empty
+results; extra columns pass by unread, whatever their names.
+
+What a task holds: a block of FLUSH postings and the keys of its partition's distinct sets; or one dealt bucket of about
+BUCKET postings, of which no hash has more than 1 in SHARE of all nodes. Rows of one key or component are dealt over SALTS
+tasks where keys and components meet their names.
 """
 
 from __future__ import annotations
@@ -32,16 +40,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, byte_codes, components, mix, runs_of_text, space_words, table
+from .common import Words, byte_codes, components, free_name, mix, runs_of_text, space_words, table
 
 #: Words of a shingle; links need OVER * intersection >= UNDER * union.
 SHINGLE, OVER, UNDER = 5, 4, 3
 #: Postings that a mapper packs at a time, and that a dealt bucket holds on average.
 FLUSH, BUCKET = 500_000, 1_000_000
 #: A hash is hot if at least HOT nodes and 1 in SHARE of all have it; a partition reports those that 1 in LOCAL of its have.
-HOT, SHARE, LOCAL = 50_000, 128, 512
+HOT, SHARE, LOCAL = 50_000, 1_024, 4_096
 #: Boundaries between light and heavy sets of which the cheapest is taken.
-BOUNDARIES = (0, 4, 8, 12, 16, 24, 32, 48, 64)
+BOUNDARIES = (0, 4, 8, 12, 16, 24, 32, 48, *(2**k for k in range(6, 25)))
+#: Tasks over which the rows of one key or component are dealt, and bins of sizes for each doubling.
+SALTS, BINS = 64, 8
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -276,13 +286,26 @@ def _can_link(na: str, nb: str, most_a: str, most_b: str) -> Column:
 
 def boundary(found: DataFrame) -> int:
     """The cheapest of BOUNDARIES. Cost: subsets that light nodes enumerate, and members met in lists by heavy ones."""
-    lists = found.select("n", F.explode("p1").alias("h")).groupBy("h").agg(F.count("*").alias("m"), *(F.sum((F.col("n") > b).cast("long")).alias(f"h{b}") for b in BOUNDARIES))
-    scans = lists.agg(*(F.sum(F.col(f"h{b}") * F.col("m")).alias(f"s{b}") for b in BOUNDARIES)).first()
-    k = F.size("p2").cast("double")
-    subsets = found.agg(*(F.sum(F.when(F.col("n") <= b, k * (k - 1) / 2)).alias(f"u{b}") for b in BOUNDARIES)).first()
+    lists = found.select("n", F.explode("p1").alias("h")).groupBy("h").agg(F.count("*").alias("m"), *(F.expr(f"sum(if(n > {b}, 1L, 0L)) AS h{b}") for b in BOUNDARIES))
+    scans = lists.agg(*(F.expr(f"sum(h{b} * m) AS s{b}") for b in BOUNDARIES)).first()
+    found = found.select("n", F.expr("size(p2) * (size(p2) - 1) / 2 AS k"))
+    subsets = found.agg(*(F.expr(f"sum(if(n <= {b}, k, 0D)) AS u{b}") for b in BOUNDARIES)).first()
     return min(BOUNDARIES, key=lambda b: ((subsets[f"u{b}"] or 0) + (scans[f"s{b}"] or 0), b))
 
 
+def _salted(big: DataFrame, small: DataFrame, key: str, salt: Column, only: Column, names: list[str]) -> DataFrame:
+    """`big` left joined with `small` (one row for each `key`, with n, the number of rows of `big` that it meets): rows of
+    one key are dealt by `salt` over SALTS tasks. Where only one row meets a key, `only` is that row's salt."""
+    dealt = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS))
+    salts = F.when(F.col("n") == 1, F.array(dealt(only))).otherwise(F.expr(f"sequence(0L, {SALTS - 1}L)"))
+    copies = small.select(F.col(key), *names, F.explode(salts).alias("_salt"))
+    return big.withColumn("_salt", dealt(salt)).join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def _bin(n: Column) -> Column:
+    return F.floor(F.log2(n.cast("double")) * BINS).cast("int")
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of `docs`: id, n_shingles, component_id."""
     keyed = table(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_keyed, _KEYED), "sets")
@@ -314,27 +337,40 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     placed = met.join(comp, met["key"] == comp["id"], "left").select("sub", "h", "key", "n", "most", "light", F.coalesce("comp", "key").alias("comp"))
     open_ = placed.groupBy("sub", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("sub", "h")
     placed = placed.join(open_, ["sub", "h"], "left_semi")
-    side = lambda k: placed.select("sub", "h", *(F.col(c).alias(f"{c}_{k}") for c in ("key", "n", "most", "light", "comp")))
-    rest = side("a").join(side("b"), ["sub", "h"]).where("comp_a < comp_b").where(_can_link("n_a", "n_b", "most_a", "most_b")).where(F.col("sub") | ~F.col("light_a") | ~F.col("light_b"))
+    of = lambda k, *more: placed.select("sub", "h", *(F.col(c).alias(f"{c}_{k}") for c in ("key", "n", "most", "light", "comp")), *more)
+    # a looks for b no larger than itself: 4 n_b >= 3 n_a, and 3 n_b <= 7 most_a - 3 n_a.
+    most = F.least(F.col("n"), F.floor(((OVER + UNDER) * F.col("most") - UNDER * F.col("n")) / UNDER))
+    least = F.greatest(F.lit(1), F.ceil(UNDER * F.col("n") / OVER))
+    bins = F.when(most >= least, F.sequence(_bin(least), _bin(F.greatest(most, least)))).otherwise(F.array().cast("array<int>"))
+    smaller = (F.col("n_b") < F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("key_b") < F.col("key_a")))
+    rest = of("a", F.explode(bins).alias("bin")).join(of("b", _bin(F.col("n")).alias("bin")), ["sub", "h", "bin"]).where(smaller & (F.col("comp_a") != F.col("comp_b")))
+    rest = rest.where(_can_link("n_a", "n_b", "most_a", "most_b")).where(F.col("sub") | ~F.col("light_a") | ~F.col("light_b"))
     rest = rest.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = table(_verified(rest, found), "links")
     if not more.isEmpty():
         comp = components(links.union(more), label="second")
-    named = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least")).join(comp, F.col("key") == comp["id"], "left")
-    named = named.select("key", "least", F.coalesce("comp", "key").alias("comp"))
-    ids = named.groupBy("comp").agg(F.min("least").alias("component_id")).join(named.select("key", "comp"), "comp").select("key", "component_id")
-    out = rows.join(ids, "key", "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    # Names: least ids are aggregated map-side; where many rows meet one name, they are dealt over several tasks.
+    worded = rows.where("key is not null")
+    named = worded.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    named = named.join(comp.withColumnRenamed("id", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    named = table(named, "named")
+    of_comp = named.groupBy("comp").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    keys = _salted(named.select("key", "least", F.col("n").alias("rows"), "comp"), of_comp, "comp", F.col("key"), F.col("comp"), ["component_id"])
+    keys = keys.select("key", "least", F.col("rows").alias("n"), "component_id")
+    out = _salted(worded.withColumnRenamed("n", "n_shingles"), keys, "key", F.col("id"), F.col("least"), ["component_id"])
+    alone = rows.where("key is null").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    return out.select("id", "n_shingles", "component_id").union(alone)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns unchanged, that stay: of each component the one with the smallest id, of rows
     equal in id and text one. Rows with a null id stay, as nothing names them."""
-    stay = join(docs, id_col, text_col).where("id = component_id").select(F.col("id").alias("_id")).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col("_id"), "left_semi")
-    same = Window.partitionBy(id_col, "_th").orderBy("_th")
-    named = named.withColumn("_th", F.xxhash64(text_col)).withColumn("_n", F.row_number().over(same)).where("_n = 1").select(*docs.columns)
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    t = free_name(docs, "_stay_")
+    stay = join(docs, id_col, text_col).where("id = component_id").select(F.col("id").alias(f"{t}id")).distinct()
+    named = docs.where(F.col(id_col).isNotNull()).join(stay, F.col(id_col) == F.col(f"{t}id"), "left_semi")
+    same = Window.partitionBy(id_col, f"{t}th").orderBy(f"{t}th")
+    named = named.withColumn(f"{t}th", F.xxhash64(text_col)).withColumn(f"{t}n", F.row_number().over(same)).where(F.col(f"{t}n") == 1)
+    return named.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op1_ngram_join(spark, sf_dir: str) -> DataFrame:
