@@ -8,31 +8,40 @@ left for words the corpus does not hold. So p(word | context) is a proper distri
 at most KNOWN frequent words; those of all others are joined (`scored`).
 
 Network: the embeddings of SPAN words on either side (zeros beyond the ends) make a hidden tanh layer, and that a
-two-level softmax: the token's class, then the token within its class, CLASS tokens each. Training is one pass over
-all documents: every partition runs minibatch SGD (Adagrad) from the same start over all its tokens, and the
-partitions' parameters are averaged by tokens, dimension by dimension in Spark's aggregation; ROUNDS such passes. What is
-gathered grows with the input (word counts, and one set of parameters a partition); what reaches the driver is one
-set of parameters and at most VOCAB + KNOWN words.
+two-level softmax: the token's class, then the token within its class, CLASS tokens each. It begins as the corpus's
+unigram model (output weights 0, biases the logarithms of the counts) and is warmed up on WARM tokens, those of the documents
+with the smallest hashes of their texts, so that all partitions start in the same basin. Training then is one pass over
+all documents: every partition runs minibatch SGD (Adagrad) from that start over all its tokens, and the partitions'
+parameters are averaged by tokens, packed and in two steps, so that no task adds up more than FAN sets. In how many
+partitions the corpus comes therefore matters little; a test and the README say how much. What is gathered grows with
+the input (word counts, and one set of parameters a partition); what reaches the driver is one set of parameters and at
+most VOCAB + KNOWN words.
 
 Defined cases: null and empty texts have no tokens, a sum of 0 and a null mean; repeated rows are scored alike; an
-empty table gives an empty result; whole texts are scored whatever their length; extra columns pass by.
+empty table gives an empty result; whole texts are scored whatever their length; extra columns pass by, whatever their
+names, but for the three results, which are replaced; equally frequent words enter the vocabulary by their hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, byte_codes, runs_of_text, space_words, table
+from .common import Words, byte_codes, free_name, runs_of_text, space_words, table
 
 #: Tokens, tokens in a class, words seen on either side, sizes of embedding and hidden layer.
 VOCAB, CLASS, SPAN, WIDTH, HIDDEN = 1024, 32, 2, 16, 32
 #: Most words whose counts the model carries.
 KNOWN = 65_536
-#: Passes over the corpus, tokens in a minibatch, learning rate, seed of the common start.
-ROUNDS, BATCH, RATE, SEED = 1, 8192, 0.05, 7
+#: Tokens in a minibatch, learning rate, seed of the common start.
+BATCH, RATE, SEED = 4096, 0.05, 7
+#: Documents and tokens of the warm-up, at most, with its minibatch and rate.
+WARM_DOCS, WARM, WARM_BATCH, WARM_RATE = 4_000, 1_000_000, 1024, 0.1
+#: Pieces in which parameters are sent, and sets of them that one task adds up.
+PIECES, FAN = 16, 256
 
 _SHAPES = {
     "e": (VOCAB + 1, WIDTH),  # the last row is the padding
@@ -45,9 +54,15 @@ _SHAPES = {
 }
 
 
-def initial() -> dict[str, np.ndarray]:
+def initial(counts: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """The common start: random embeddings and hidden layer, and the tokens' counts as the output."""
     rng = np.random.default_rng(SEED)
-    return {k: (np.zeros(s) if k.endswith("b") else rng.normal(0, 0.1, s)).astype(np.float32) for k, s in _SHAPES.items()}
+    p = {k: (rng.normal(0, 0.1, s) if k in ("e", "h") else np.zeros(s)).astype(np.float32) for k, s in _SHAPES.items()}
+    p["e"][VOCAB] = 0
+    if counts is not None:
+        by_class = (counts + 0.5).reshape(VOCAB // CLASS, CLASS)
+        p["cb"], p["wb"] = (np.log(x).astype(np.float32) for x in (by_class.sum(1) / by_class.sum(), by_class / by_class.sum(1, keepdims=True)))
+    return p
 
 
 def flat(p: dict[str, np.ndarray]) -> np.ndarray:
@@ -75,52 +90,54 @@ def contexts(tokens: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(-1, keepdims=True))
-    return x / x.sum(-1, keepdims=True)
-
-
 def forward(p: dict, near: np.ndarray, tokens: np.ndarray, grads: bool = False):
     """Log-probability of each token given those around it; with `grads`, also the gradients of their negated mean."""
-    n = len(tokens)
-    e = p["e"].copy()
-    e[VOCAB] = 0
-    x = e[near].reshape(n, -1)
-    h = np.tanh(x @ p["h"] + p["hb"])
-    pc = _softmax(h @ p["c"] + p["cb"])
+    n, rows, kind = len(tokens), np.arange(len(tokens)), p["e"].dtype
+    order = np.argsort((tokens // CLASS).astype(np.uint8), kind="stable")  # class by class
+    tokens, near = tokens[order], near[order]
     group, within = tokens // CLASS, tokens % CLASS
-    logp = np.log(pc[np.arange(n), group] + 1e-12)
-    order = np.argsort(group, kind="stable")
-    cut = np.searchsorted(group[order], np.arange(VOCAB // CLASS + 1))
+    cut = np.searchsorted(group, np.arange(VOCAB // CLASS + 1))
+    x = p["e"][near].reshape(n, -1)
+    h = np.tanh(x @ p["h"] + p["hb"])
+
+    def softmax(z: np.ndarray, at: tuple) -> np.ndarray:
+        """Log-probabilities at `at`; `z` becomes their gradients over n."""
+        picked = z[at]
+        np.exp(np.clip(z, -60, 60, out=z), out=z)
+        total = z @ np.ones(z.shape[1], kind)
+        if grads:
+            z /= (total * n)[:, None]
+            z[at] -= 1 / n
+        return picked - np.log(total)
+
+    z = h @ p["c"] + p["cb"]
+    logp = softmax(z, (rows, group))
     if grads:
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        dc = pc.copy()
-        dc[np.arange(n), group] -= 1
-        dc /= n
-        g["c"], g["cb"] = h.T @ dc, dc.sum(0)
-        dh = dc @ p["c"].T
+        g["c"], g["cb"], dh = h.T @ z, z.sum(0), z @ p["c"].T
     for k in range(VOCAB // CLASS):
-        rows = order[cut[k] : cut[k + 1]]
-        if not len(rows):
+        part = slice(cut[k], cut[k + 1])
+        if cut[k] == cut[k + 1]:
             continue
-        hk = h[rows]
-        pw = _softmax(hk @ p["w"][k] + p["wb"][k])
-        logp[rows] += np.log(pw[np.arange(len(rows)), within[rows]] + 1e-12)
+        z = h[part] @ p["w"][k] + p["wb"][k]
+        logp[part] += softmax(z, (rows[: len(z)], within[part]))
         if grads:
-            pw[np.arange(len(rows)), within[rows]] -= 1
-            pw /= n
-            g["w"][k], g["wb"][k] = hk.T @ pw, pw.sum(0)
-            dh[rows] += pw @ p["w"][k].T
+            g["w"][k], g["wb"][k] = h[part].T @ z, z.sum(0)
+            dh[part] += z @ p["w"][k].T
+    out = np.empty_like(logp)
+    out[order] = logp
     if not grads:
-        return logp
+        return out
     dz = dh * (1 - h * h)
     g["h"], g["hb"] = x.T @ dz, dz.sum(0)
     dx = (dz @ p["h"].T).reshape(-1, WIDTH)
-    flat_near = near.ravel()
-    for d in range(WIDTH):
-        g["e"][:, d] = np.bincount(flat_near, weights=dx[:, d], minlength=VOCAB + 1)
+    seen = near.ravel().astype(np.uint16)
+    order = np.argsort(seen, kind="stable")
+    seen = seen[order]
+    first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]]))
+    g["e"][seen[first]] = np.add.reduceat(dx[order], first, axis=0)
     g["e"][VOCAB] = 0
-    return logp, g
+    return out, g
 
 
 def _tokens(texts: pa.Array, vocab: np.ndarray, ids: np.ndarray):
@@ -168,43 +185,89 @@ class Model:
         self.params, self.vocab, self.ids, self.known, self.known_log, self.norm, self.rest = params, vocab, ids, known, known_log, norm, rest
 
 
-def _train(params: np.ndarray, vocab: np.ndarray, ids: np.ndarray):
+class _Trainer:
+    """Adagrad over minibatches of the tokens that come in."""
+
+    def __init__(self, params: np.ndarray, squares: np.ndarray, batch: int, rate: float):
+        self.p, self.squares, self.batch, self.rate = shaped(params), shaped(squares), batch, rate
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.total = 0
+
+    def add(self, tokens: np.ndarray, near: np.ndarray) -> None:
+        self.held.append((tokens, near))
+        self.size += len(tokens)
+        self.total += len(tokens)
+        if self.size >= self.batch:
+            self._steps(self.batch)
+
+    def finish(self) -> None:
+        if self.size:
+            self._steps(1)
+
+    def _steps(self, least: int) -> None:
+        tokens, near = (np.concatenate([x[k] for x in self.held]) for k in (0, 1))
+        at = 0
+        while at < len(tokens) and len(tokens) - at >= least:
+            part = slice(at, at + self.batch)
+            at += len(tokens[part])
+            _, g = forward(self.p, near[part], tokens[part], True)
+            for k in self.p:
+                self.squares[k] += g[k] * g[k]
+                self.p[k] -= self.rate * g[k] / np.sqrt(self.squares[k])
+        self.held = [(tokens[at:], near[at:])]
+        self.size = len(tokens) - at
+
+
+def _train(params: np.ndarray, squares: np.ndarray, vocab: np.ndarray, ids: np.ndarray):
     def train(batches):
-        p = shaped(params)
-        seen = {k: np.full_like(v, 1e-6) for k, v in p.items()}
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = total = 0
-
-        def steps(least: int):
-            nonlocal size
-            tokens, near = np.concatenate([t for t, _ in held]), np.concatenate([c for _, c in held])
-            at = 0
-            while len(tokens) - at >= least and at < len(tokens):
-                t, c = tokens[at : at + BATCH], near[at : at + BATCH]
-                at += len(t)
-                _, g = forward(p, c, t, True)
-                for k in p:
-                    seen[k] += g[k] * g[k]
-                    p[k] -= RATE * g[k] / np.sqrt(seen[k])
-            held[:] = [(tokens[at:], near[at:])]
-            size = len(tokens) - at
-
+        trainer = _Trainer(params, squares, BATCH, RATE)
         for batch in batches:
             for _, _, w, tokens in _tokens(batch.column(0), vocab, ids):
-                held.append((tokens, contexts(tokens, w.doc)))
-                size += len(tokens)
-                total += len(tokens)
-                if size >= BATCH:
-                    steps(BATCH)
-        if size:
-            steps(1)
-        if total:
-            x = flat(p)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x.astype(np.float64) * total), pa.array(np.full(len(x), total, np.int64))], ["i", "x", "n"])
+                trainer.add(tokens, contexts(tokens, w.doc))
+        trainer.finish()
+        if trainer.total:
+            salt = TaskContext.get().partitionId() // FAN
+            pieces = [x.tobytes() for x in np.array_split(flat(trainer.p).astype(np.float64) * trainer.total, PIECES)]
+            full = lambda v, t: pa.array(np.full(PIECES, v), t)
+            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), full(salt, pa.int32()), pa.array(pieces, pa.binary()), full(trainer.total, pa.int64())], ["piece", "salt", "x", "n"])
 
     return train
 
 
+def _warmed(params: np.ndarray, vocab: np.ndarray, ids: np.ndarray):
+    def warm(batches):
+        trainer = _Trainer(params, np.full(len(params), 1e-6, np.float32), WARM_BATCH, WARM_RATE)
+        for batch in batches:
+            for _, _, w, tokens in _tokens(batch.column(0), vocab, ids):
+                part = slice(0, WARM - trainer.total)
+                if trainer.total < WARM:
+                    trainer.add(tokens[part], contexts(tokens, w.doc)[part])
+        trainer.finish()
+        yield pa.RecordBatch.from_arrays([pa.array([flat(x).tobytes()], pa.binary()) for x in (trainer.p, trainer.squares)], ["params", "squares"])
+
+    return warm
+
+
+def warm_start(texts: DataFrame, text_col: str, params: np.ndarray, vocab: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parameters and sums of squared gradients after the warm-up, which runs in one task."""
+    h = F.xxhash64(text_col)
+    last = texts.where(F.col(text_col).isNotNull()).select(h.alias("h")).orderBy("h").limit(WARM_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
+        return params, np.full(len(params), 1e-6, np.float32)
+    few = texts.where(F.col(text_col).isNotNull() & (h <= last)).orderBy(h, text_col).coalesce(1)
+    row = few.mapInArrow(_warmed(params, vocab, ids), "params binary, squares binary").collect()[0]
+    return tuple(np.frombuffer(row[c], np.float32) for c in ("params", "squares"))
+
+
+_SUMS = "piece int, salt int, x binary, n long"
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    x = np.sum([np.frombuffer(v, np.float64) for v in rows.column("x").to_pylist()], axis=0)
+    head = [rows.column(c).combine_chunks()[:1] for c in ("piece", "salt")]
+    return pa.Table.from_arrays([*head, pa.array([x.tobytes()], pa.binary()), pa.array([sum(rows.column("n").to_pylist())], pa.int64())], ["piece", "salt", "x", "n"])
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
     texts = docs.select(F.col(text_col))
     counts = table(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
@@ -227,12 +290,15 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     order = np.argsort(known)
     known, known_log = known[order], np.log1p(np.array([r.n for r in more], np.float64)[order])
     rest = counts.where(step < least)
-    params = flat(initial())
-    for _ in range(ROUNDS):
-        sums = texts.mapInArrow(_train(params, vocab, ids), "i int, x double, n long").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
-        if sums:
-            params = np.zeros(len(params), np.float32)
-            params[[r.i for r in sums]] = [r.x for r in sums]
+    seen = np.zeros(VOCAB)
+    seen[: len(top)] = [r.n for r in top]
+    seen[VOCAB - 1] = total - seen.sum()
+    params = flat(initial(seen))
+    params, squares = warm_start(texts, text_col, params, vocab, ids)
+    trained = texts.mapInArrow(_train(params, squares, vocab, ids), _SUMS)
+    sums = trained.groupBy("piece", "salt").applyInArrow(_added, _SUMS).groupBy("piece").applyInArrow(_added, _SUMS).collect()
+    if sums:
+        params = np.concatenate([np.frombuffer(r.x, np.float64) / r.n for r in sorted(sums, key=lambda r: r.piece)]).astype(np.float32)
     return Model(params, vocab, ids, known, known_log, norm, rest)
 
 
@@ -274,14 +340,15 @@ def score(model: Model, text: Column | str) -> Column:
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """`docs` without the text, with n_tokens, log_prob and mean_log_prob by the counts of all words of the corpus."""
-    kept = [c for c in docs.columns if c != text_col]
-    part = docs.select(*kept, F.monotonically_increasing_id().alias("_row"), score(model, text_col).alias("_s"))
-    part = table(part.select(*kept, "_row", "_s.*"), "lm-scores")
-    found = part.select("_row", F.explode("rest").alias("word")).join(model.rest, "word")
-    found = found.groupBy("_row").agg(F.sum(F.log1p("n")).alias("_more"))
-    total = F.col("log_prob") + F.coalesce("_more", F.lit(0.0))
-    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
-    return part.join(found, "_row", "left").select(*kept, "n_tokens", total.alias("log_prob"), mean.alias("mean_log_prob"))
+    kept = [F.col(c) for c in docs.columns if c not in (text_col, "n_tokens", "log_prob", "mean_log_prob")]
+    t = free_name(docs, "_lm_")
+    part = table(docs.select(*kept, F.monotonically_increasing_id().alias(f"{t}row"), score(model, text_col).alias(f"{t}s")), "lm-scores")
+    found = part.select(f"{t}row", F.explode(f"{t}s.rest").alias("word")).join(model.rest, "word")
+    found = found.groupBy(f"{t}row").agg(F.sum(F.log1p("n")).alias(f"{t}more"))
+    s = F.col(f"{t}s")
+    total = s["log_prob"] + F.coalesce(f"{t}more", F.lit(0.0))
+    mean = F.when(s["n_tokens"] > 0, total / s["n_tokens"])
+    return part.join(found, f"{t}row", "left").select(*kept, s["n_tokens"].alias("n_tokens"), total.alias("log_prob"), mean.alias("mean_log_prob"))
 
 
 def op6_lm_score(spark, sf_dir: str) -> DataFrame:
