@@ -33,7 +33,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
 _SPACED = r"[^\x20\x09-\x0D]+"
 _BAD_LINE = f"""CASE WHEN n = 0 THEN false
-WHEN n <= {quality.BOILERPLATE_WORDS} AND regexp_matches(line, '(?i){quality.BOILERPLATE.pattern}') THEN true
+WHEN n <= {quality.BOILERPLATE_WORDS} AND regexp_matches(line, '(?i){quality.BOILERPLATE.pattern.replace("'", "''")}') THEN true
 WHEN bars >= 3 AND 4 * bars >= n - bars THEN true
 WHEN 10 * len(regexp_extract_all(line, '[#*$%&|<>{{}}~^=_\\\\@]')) > chars THEN true
 WHEN n >= 10 AND 4 * len(list_distinct(w)) <= n THEN true
@@ -49,9 +49,9 @@ rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM twice, UNNEST(ra
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d),
 l AS (SELECT doc_id, line, k, regexp_extract_all(line, '{_SPACED}') AS w FROM lines),
 m AS (SELECT *, len(w) AS n, list_sum(list_transform(w, lambda x: length(x))) AS chars, len(regexp_extract_all(line, '[|»›•·→]')) + len(regexp_extract_all(line, '\\s>(?:\\s)')) AS bars FROM l),
-j AS (SELECT doc_id, k, n, coalesce(chars, 0) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth, {_BAD_LINE} AS bad FROM m),
-g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (n > 0 AND nth > 1) AS n_dup_lines, count(*) FILTER (bad) AS n_lines_removed, CAST(coalesce(sum(chars) FILTER (NOT bad), 0) AS BIGINT) AS kept_chars, CAST(coalesce(sum(chars), 0) AS BIGINT) AS word_chars FROM j GROUP BY 1),
-r AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_lines_removed, kept_chars FROM d JOIN g USING (doc_id) LEFT JOIN rep USING (doc_id))
+j AS (SELECT doc_id, line, k, n, coalesce(chars, 0) AS chars, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth, {_BAD_LINE} AS bad FROM m),
+g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (n > 0 AND nth > 1) AS n_dup_lines, count(*) FILTER (bad) AS n_lines_removed, CAST(coalesce(sum(chars) FILTER (NOT bad), 0) AS BIGINT) AS kept_chars, CAST(coalesce(sum(chars), 0) AS BIGINT) AS word_chars, sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT bad), '')) AS clean_sha256 FROM j GROUP BY 1),
+r AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, word_chars, CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_lines_removed, kept_chars, clean_sha256 FROM d JOIN g USING (doc_id) LEFT JOIN rep USING (doc_id))
 SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND kept_chars >= {quality.MIN_KEPT} * word_chars AS kept FROM r"""
 
 
@@ -78,7 +78,7 @@ win AS (SELECT doc_id, a, body, unnest(range(0, n - {_W} + 1)) AS j FROM cand),
 ch AS (SELECT doc_id, a, body, j, unnest(string_split(substr(body, j + 1, {_W}), '')) AS c FROM win),
 q AS (SELECT doc_id, a, body, j, c, count(*) AS q FROM ch GROUP BY ALL),
 h AS (SELECT doc_id, a, body, j, -sum(q / {_W} * log2(q / {_W})) AS e FROM q GROUP BY ALL),
-hit AS (SELECT doc_id, a, min(j) AS lo, max(j) + {_W} AS hi FROM h WHERE e >= CASE WHEN regexp_matches(body, '^[0-9a-fA-F]+$') THEN {secret_scan.HEX_BITS} ELSE {secret_scan.OTHER_BITS} END GROUP BY 1, 2),
+hit AS (SELECT doc_id, a, min(j) AS lo, max(j) + {_W} AS hi FROM h WHERE e >= CASE {" ".join(f"WHEN regexp_matches(body, '{c}') THEN {bits}" for c, bits in secret_scan.CLASSES)} ELSE {secret_scan.OTHER_BITS} END GROUP BY 1, 2),
 every AS (SELECT * FROM base UNION ALL SELECT doc_id, 3, 'entropy', a + lo, a + hi FROM hit),
 g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
 string_agg(concat_ws(':', kind, a, z), ',' ORDER BY a, rank, z) FILTER (kind <> 'entropy') AS b, string_agg(concat_ws(':', kind, a, z), ',' ORDER BY a, rank, z) AS x FROM every GROUP BY 1)

@@ -108,3 +108,60 @@ def secrets(text):
 
 def sha(parts):
     return hashlib.sha256(",".join(parts).encode()).hexdigest()
+
+
+def url_verdicts(rows, op):
+    """(id, host, path, template, purity, verdict) of (id, url, y) rows by a plain walk of the template tree."""
+    parts = []
+    for i, url, y in rows:
+        host = path = ""
+        if url and "://" in url:
+            rest = url.split("://", 1)[1]
+            host = re.split("[/?#]", rest, maxsplit=1)[0]
+            path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+        shape = [re.sub("[0-9]+", "#", s) if len(s) <= 64 else "{long}" for s in path.removeprefix("/").split("/", op.DEPTH - 1)]
+        parts.append([i, host.translate(LOWER), path, shape, y])
+    for at in range(max(len(p[3]) for p in parts)):
+        for step in ("variable", "similar"):
+            nodes = defaultdict(list)
+            for p in parts:
+                if len(p[3]) > at and not (step == "similar" and p[3][at] == "*"):
+                    nodes[p[1], tuple(p[3][:at])].append(p)
+            star = []
+            for members in nodes.values():
+                children = defaultdict(list)
+                for p in members:
+                    children[p[3][at]].append(p)
+                if step == "variable":
+                    if len(children) > op.CHILDREN and max(map(len, children.values())) < op.MAJORITY * len(members):
+                        star += members
+                    continue
+                after = lambda ps: Counter(tuple(p[3][at + 1 :]) for p in ps)
+                known = lambda ps: [p[4] for p in ps if p[4] is not None]
+                whole, every = after(members), known(members)
+                for own in children.values() if len(children) > 1 else ():
+                    c, some = after(own), known(own)
+                    cosine = sum(n * whole[k] for k, n in c.items()) / (sum(n * n for n in c.values()) * sum(n * n for n in whole.values())) ** 0.5
+                    others, pool = len(every) - len(some), sum(every) / max(1, len(every))
+                    z = 0.0
+                    if some and others and 0 < pool < 1:
+                        z = abs(sum(some) / len(some) - (sum(every) - sum(some)) / others) / (pool * (1 - pool) * (1 / len(some) + 1 / others)) ** 0.5
+                    if z < op.Z and cosine >= op.SIMILAR:
+                        star += own
+            for p in star:
+                p[3][at] = "*"
+    tally = lambda ps: (sum(p[4] or 0 for p in ps), sum(p[4] is not None for p in ps))
+    bad, n = tally(parts)
+    share = bad / n if n else 0.0
+    out = []
+    groups, hosts = defaultdict(list), defaultdict(list)
+    for p in parts:
+        groups[p[1], tuple(p[3])].append(p)
+        hosts[p[1]].append(p)
+    for i, host, path, shape, _ in parts:
+        hb, hl = tally(hosts[host])
+        b, k = tally(groups[host, tuple(shape)])
+        prior = (hb + op.STRENGTH * share) / (hl + op.STRENGTH)
+        purity = 1 - (b + op.STRENGTH * prior) / (k + op.STRENGTH)
+        out.append((i, host, path, "/" + "/".join(shape), purity, "block" if 1 - purity >= op.REJECT else "allow"))
+    return out

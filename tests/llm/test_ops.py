@@ -75,6 +75,24 @@ def test_one_of_each_keeps_columns(spark):
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(["1", "2", "3", "None", "5", "6", "4"])
 
 
+def test_one_of_each_clashing_columns(spark):
+    df = docs_of(spark, ODD).selectExpr("*", "doc_id AS _id", "1 AS _th", "2 AS _n", "3 AS id", "4 AS key", "5 AS _stay_id")
+    got = ngram_join.one_of_each(df)
+    assert got.columns == df.columns and {(r._th, r._n, r.id, r.key, r._stay_id) for r in got.collect()} == {(1, 2, 3, 4, 5)}
+
+
+def test_op1_templates_and_hot_groups(spark):
+    rng = random.Random(11)
+    word = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    page, other = word(80), word(200)
+    rows = [(i, " ".join(page + word(22))) for i in range(60)]  # one template, just below the similarity
+    rows += [(100 + i, " ".join(other[: 199 - i % 3] + word(i % 2))) for i in range(90)]  # near copies, many equal
+    rows += [(300 + i, " ".join(word(rng.choice([6, 30])))) for i in range(20)] + [(400 + i, " ") for i in range(30)]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.components(rows))
+    assert {r.component_id for r in got if 100 <= r.id < 190} == {100}
+
+
 # ------------------------------------------------------------------ op2
 
 
@@ -102,6 +120,13 @@ def test_op2_odd(spark):
     assert quality.keep_good(df.limit(0)).count() == 0
 
 
+def test_op2_cleaned(spark):
+    good = "This is a line of plain prose that ends as it should.\nIt has a second sentence, of other words, so that nothing repeats too often here."
+    df = spark.createDataFrame([(1, good + "\nHome | About | Contact | Help", 99, "q"), (2, "short", 5, "q"), (3, None, 0, "q")], "doc_id long, text string, n_chars long, _quality_ string")
+    got = quality.cleaned(df).collect()
+    assert [(r.doc_id, r.text, r.n_chars, r._quality_) for r in got] == [(1, good, len(good), "q")]
+
+
 def test_op2_lines():
     assert quality.line_fails("Home | About | Contact | Help") == "navigation"
     assert quality.line_fails("All rights reserved.") == "boilerplate"
@@ -114,45 +139,101 @@ def test_op2_lines():
 # ------------------------------------------------------------------ op3
 
 
-def test_op3_against_a_sequential_pass(spark, texts):
+def removed_words(text, spans):
+    """Which words of a text begin inside spans."""
+    starts = [m.start() for m in brute.ALNUM.finditer(text.translate(brute.LOWER))]
+    return [any(a <= s < b for a, b in spans) for s in starts]
+
+
+def repeated_words(rows):
+    """Per document: words that may go (in an earlier whole line or run), and words that must (inside long repeats)."""
+    run, line, slack = substring_dedup.RUN, substring_dedup.LINE_WORDS, substring_dedup.SPREAD - 1
+    seen, may, must = set(), {}, {}
+    for i, text in rows:
+        w = brute.alnum(text)
+        a, b = [False] * len(w), [False] * len(w)
+        at, units = 0, []
+        for part in text.split("\n"):
+            n = len(brute.alnum(part))
+            if n >= line:
+                units.append((at, at + n, ("line", *w[at : at + n])))
+            at += n
+        k = 0
+        for k in range(len(w) - run + 1):
+            units.append((k, k + run, tuple(w[k : k + run])))
+        again = [False] * len(w)
+        for x, y, u in sorted(units):
+            if u in seen:
+                a[x:y] = [True] * (y - x)
+                if u[0] == "line":
+                    b[x:y] = [True] * (y - x)
+                else:
+                    again[x] = True
+            seen.add(u)
+        for x in range(len(w)):  # a run of SPREAD units that all stand earlier: all words but the outermost
+            if all(again[x : x + slack + 1]) and x + slack + run <= len(w):
+                for y in range(x + slack, x + run):
+                    b[y] = True
+        may[i], must[i] = a, b
+    return may, must
+
+
+def test_op3_against_brute_force(spark):
+    """On text without overlapping repeats: nothing goes that does not stand earlier, and long repeats go."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    fresh = lambda n: [rng.choice(words) + rng.choice("abcdefgh") for _ in range(n)]
+    passages = [fresh(n) for n in (20, 30, 55, 80, 200)]
+    rows = []
+    for i in range(60):
+        parts = fresh(rng.randint(0, 60))
+        for _ in range(rng.randint(0, 3)):
+            parts += rng.choice(passages) + fresh(rng.randint(0, 40))
+        text, k = "", 0
+        for w in parts:
+            text += w.upper() if rng.random() < 0.1 else w
+            text += rng.choice([" ", " ", " ", ", ", ".\n" if k % 9 == 0 else " ", "; "])
+            k += 1
+        rows.append((i, text))
+    rows.append((99, rows[0][1]))
+    out = {r.id: r for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()}
+    may, must = repeated_words(rows)
+    share = [0, 0]
+    for i, text in rows:
+        spans = [(s.start, s.end) for s in out[i].spans]
+        gone = removed_words(text, spans)
+        assert out[i].n_removed == len(spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+        assert not any(g and not m for g, m in zip(gone, may[i], strict=True)), i
+        assert not any(m and not g for g, m in zip(gone, must[i], strict=True)), i
+        share[0] += sum(g for g, m in zip(gone, may[i], strict=True) if m)
+        share[1] += sum(may[i])
+        keep = "".join(c for k, c in enumerate(text) if not any(a <= k < b for a, b in spans))
+        assert out[i].text == keep
+    assert share[0] > 0.95 * share[1]
+
+
+def test_op3_driver_table(spark, texts):
     df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
-    rows = {r.id: r for r in substring_dedup.dedup(df, with_text=True).collect()}
-    seen = set()
-    for i, (digests, starts, ends) in zip(sorted(texts), substring_dedup.units(pa.array([texts[i] for i in sorted(texts)])), strict=True):
-        gone = []
-        for h, a, b in zip(digests.tolist(), starts.tolist(), ends.tolist(), strict=True):
-            if h in seen:
-                gone.append((a, b))
-            seen.add(h)
-        assert rows[i].n_removed == len(gone)
-        keep = np.ones(len(texts[i]), bool)
-        for a, b in gone:
-            keep[a:b] = False
-        assert rows[i].text == "".join(c for c, k in zip(texts[i], keep, strict=True) if k)
-
-
-def test_op3_finds_a_passage_inside_lines(spark):
-    rng = random.Random(3)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
-    passage = " ".join(word() for _ in range(60))
-    rows = [(i, " ".join(word() for _ in range(40)) + " " + passage + " " + " ".join(word() for _ in range(40))) for i in range(8)]
-    rows.append((99, " ".join(word() for _ in range(120))))
-    out = {r.id: r for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert out[0].n_removed == 0 and out[99].n_removed == 0
-    for i in range(1, 8):
-        assert sum(s.end - s.start for s in out[i].spans) > len(passage) // 3
+    rows = {r.id: r for r in substring_dedup.dedup(df).collect()}
+    may, _ = repeated_words(sorted(texts.items()))
+    for i, t in texts.items():
+        assert not any(g and not m for g, m in zip(removed_words(t, [(s.start, s.end) for s in rows[i].spans]), may[i], strict=True))
 
 
 def test_op3_odd(spark, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "FLUSH", 3)
-    line = "the same long line of eight words here.\n"
-    rows = [*[(i, t) for i, t, _ in ODD if i != 5], (20, line + line), (21, line), (None, line), (20, line + line)]
-    out = substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert len(out) == len(rows)
-    gone = sorted((str(r.id), r.n_removed) for r in out)
-    assert [x for x in gone if x[0] in ("20", "21")] == [("20", 1), ("20", 1), ("21", 1)]
-    assert ("None", 1) in gone
-    assert substring_dedup.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    for flush in (400_000, 3):
+        monkeypatch.setattr(substring_dedup, "FLUSH", flush)
+        line = "the same long line of rather more than sixteen words so that it is a unit of its own here.\n"
+        rows = [*[(i, t) for i, t, _ in ODD], (20, line + line), (21, line), (None, line), (20, line + line)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _id", "2 AS th", "3 AS spans")
+        out = substring_dedup.dedup(df).collect()
+        assert len(out) == len(rows)
+        gone = sorted((str(r.id), r.n_removed) for r in out)
+        assert [x for x in gone if x[0] in ("20", "21")] == [("20", 1), ("20", 1), ("21", 1)]
+        assert ("None", 1) in gone
+        long = next(r for r in out if r.id == 5)  # one word over and over keeps one run
+        assert [(s.start, s.end) for s in long.spans] == [(5 * substring_dedup.RUN, 150_000)]
+        assert substring_dedup.dedup(df.limit(0)).count() == 0
 
 
 # ------------------------------------------------------------------ op4
@@ -185,6 +266,36 @@ def test_op4_rejects_impure_templates_and_merges(spark):
     assert out[2000].template == "/*/home"
 
 
+def test_op4_equal_rules_take_the_first(spark):
+    df = spark.createDataFrame([(1, "http://a.test/x")], "page_id long, url string")
+    for rules in ([("allow", "a.test/"), ("block", "a.test/")], [("block", "a.test/"), ("allow", "a.test/")]):
+        out = url_filter.judge(df.selectExpr("*", "CAST(NULL AS INT) AS y"), rules).collect()
+        assert out[0].verdict == rules[0][0]
+
+
+def test_op4_levels_below_a_wildcard(spark):
+    name = lambda k: "".join("abcdefghij"[int(c)] for c in str(k))
+    rows = [(100 * u + f, f"http://h.test/u{name(u)}x/f{name(100 * u + f)}/post-{name(f)}", 1) for u in range(60) for f in range(20)]
+    rows += [(10_000 + k, f"http://h.test/about/page-{name(k)}", 0) for k in range(500)]
+    out = {r.id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, y int"), []).collect()}
+    assert out[5].template.startswith("/*/*") and out[5].verdict == "block"
+    assert out[10_003].verdict == "allow"
+
+
+def test_op4_against_brute_force(spark):
+    rng = random.Random(4)
+    words = ["news", "blog", "shop", "user", "tag", "de", "en"]
+    rows = []
+    for k in range(1500):
+        host = rng.choice(["a.test", "b.test", "c.test"])
+        path = "/".join(rng.choice([rng.choice(words), rng.choice(words), str(rng.randrange(99)), f"s{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}"]) for _ in range(rng.randint(0, 4)))
+        rows.append((k, f"http://{host}/{path}", rng.choice([None, 0, 0, int("shop" in path)])))
+    rows += [(5000, None, 1), (5001, "http://a.test/" + "very/long/" * 2_000, None), (5002, "x://", 0), (5001, "http://a.test/news", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, y int").selectExpr("*", "'q' AS host", "'q' AS shape", "1 AS n", "2 AS origin")
+    got = sorted(((r.id, r.host, r.path, r.template, round(r.purity, 9), r.verdict) for r in url_filter.judge(df, []).collect()), key=str)
+    assert got == sorted(((i, h, p, t, round(q, 9), v) for i, h, p, t, q, v in brute.url_verdicts(rows, url_filter)), key=str)
+
+
 # ------------------------------------------------------------------ op5
 
 
@@ -196,11 +307,12 @@ def test_op5_driver_table(spark, sf, texts):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (n, hit, len(found), brute.sha(found), hit > 0)
 
 
-@pytest.mark.parametrize("inline", [30_000, 0])
-def test_op5_short_items_and_odd(spark, monkeypatch, inline):
-    monkeypatch.setattr(decontaminate, "INLINE", inline)
-    monkeypatch.setattr(decontaminate, "BROADCAST", inline)
-    docs = {1: "A b c d. e f g h i j k", 2: None, 3: "", 4: "x y hello world z", 5: "the quick", 6: "b c " * 40, None: "quick hello world"}
+@pytest.mark.parametrize(("bits", "broadcast"), [(26, 500_000), (8, 0)])
+def test_op5_short_items_and_odd(spark, monkeypatch, bits, broadcast):
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", 8)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", bits)  # with 8, most hashes pass for nothing
+    monkeypatch.setattr(decontaminate, "BROADCAST", broadcast)
+    docs = {1: "A b c d. e f g h i j k", 2: None, 3: "", 4: "x y hello world z", 5: "the quick", 6: "b c " * 40, 7: "long " * 50_000 + "b c d e f g h i j k", None: "quick hello world"}
     items = {1: "b c d e f g h i j k l", 2: "hello, World", 3: None, 4: "!!", 5: "quick", 6: "B c b c b c b c b c b c"}
     d = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     b = spark.createDataFrame([*items.items(), *items.items(), (None, "the quick")], "item_id long, text string")
@@ -209,6 +321,8 @@ def test_op5_short_items_and_odd(spark, monkeypatch, inline):
     assert decontaminate.contamination(d, b.limit(0)).where("n_hit > 0").count() == 0
     assert decontaminate.contamination(d.limit(0), b).count() == 0
     assert sorted(str(r.doc_id) for r in decontaminate.keep_clean(d, b).collect()) == ["2", "3"]
+    clash = d.selectExpr("*", "1 AS _id", "2 AS _th", "3 AS w", "4 AS _bad_id")
+    assert decontaminate.keep_clean(clash, b).columns == clash.columns
 
 
 # ------------------------------------------------------------------ op6
@@ -243,7 +357,7 @@ def test_op6_learns_order(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(f"a{k % 5} b{k % 5}" for k in range(i % 5, i % 5 + 60))) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    model = lm_score.fit(df)
+    model = lm_score.fit(df.selectExpr("*", "1 AS word", "2 AS n"))
     good, bad = rows[0][1], " ".join(rng.sample(rows[0][1].split(), 120))
     odd = spark.createDataFrame([(1, good), (2, bad), (3, None), (4, "")], "doc_id long, text string")
     got = {r.doc_id: r.s for r in odd.select("doc_id", lm_score.score(model, "text").alias("s")).collect()}
@@ -269,6 +383,54 @@ def test_op6_rare_words_by_their_counts(spark, tmp_path, monkeypatch, known):
     assert at[None].log_prob == at[""].log_prob == 0 and at[None].mean_log_prob is None
 
 
+def test_op6_brute_force_score(spark, texts):
+    """Scores from the model's own arrays, word by word, by a plain forward pass."""
+    df = spark.createDataFrame(sorted(texts.items())[:60], "doc_id long, text string")
+    model = lm_score.fit(df)
+    got = {r.doc_id: r for r in lm_score.scored(df.selectExpr("*", "0 AS _row", "1 AS rest"), model).collect()}
+    p = {k: v.astype(np.float64) for k, v in lm_score.shaped(model.params).items()}
+    counts = Counter(w for t in list(dict(sorted(texts.items())[:60]).values()) for w in brute.SPACE.findall((t or "").translate(brute.LOWER)))
+    inside = lm_score.space_words()
+    codes = lm_score.byte_codes(True, inside)
+
+    def token(w):
+        data = np.frombuffer(w.encode(), np.uint8)
+        h = lm_score.Words(data, np.array([0, len(data)]), inside, codes).hash[0]
+        at = np.searchsorted(model.vocab, h)
+        return int(model.ids[at]) if at < len(model.vocab) and model.vocab[at] == h else lm_score.VOCAB - 1
+
+    rare = {w: n for w, n in counts.items() if token(w) == lm_score.VOCAB - 1}
+    norm = np.log(sum(rare.values()) + len(rare) + 1)
+    soft = lambda z: z - np.log(np.exp(z - z.max()).sum()) - z.max()
+    for i, t in sorted(texts.items())[:12]:
+        words = brute.SPACE.findall((t or "").translate(brute.LOWER))
+        ids, total = [token(w) for w in words], 0.0
+        for k, w in enumerate(words[:400]):
+            near = [ids[k + d] if 0 <= k + d < len(ids) else lm_score.VOCAB for d in (-2, -1, 1, 2)]
+            h = np.tanh(p["e"][near].ravel() @ p["h"] + p["hb"])
+            c = ids[k] // lm_score.CLASS
+            total += soft(h @ p["c"] + p["cb"])[c] + soft(h @ p["w"][c] + p["wb"][c])[ids[k] % lm_score.CLASS]
+            total += np.log(counts[w] + 1) - norm if w in rare else 0.0
+        if len(words) <= 400:
+            assert got[i].n_tokens == len(words) and abs(got[i].log_prob - total) < 1e-3 * max(1, len(words))
+
+
+def test_op6_partitions_matter_little(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    means = []
+    for n in (1, 8):
+        d = docs.repartition(n, "doc_id")
+        r = lm_score.scored(d, lm_score.fit(d)).selectExpr("sum(log_prob) / sum(n_tokens)").first()[0]
+        means.append(r)
+    assert abs(means[0] - means[1]) < 0.1
+
+
+def test_op6_ties_in_the_vocabulary(spark):
+    df = spark.createDataFrame([(1, " ".join(f"t{i}" for i in range(1_500)))], "doc_id long, text string")
+    a, b = (lm_score.fit(df.repartition(n)) for n in (1, 3))
+    assert (a.vocab == b.vocab).all() and len(a.vocab) == lm_score.VOCAB - 1
+
+
 # ------------------------------------------------------------------ op7
 
 
@@ -294,6 +456,13 @@ def test_op7_templates_and_odd(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_op7_dense_text(spark):
+    words = " ".join(w for _, t, _ in license_scan.TEMPLATES for w in t.split())
+    df = spark.createDataFrame([(1, (words + " ") * 60), (2, words)], "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS codes")
+    rows = {r.id: r for r in license_scan.scan(df).collect()}
+    assert len(rows[1].found) >= 59 * (len(rows[2].found) - 1)
+
+
 def test_op7_every_start_is_scored(spark):
     texts = [
         "the author has waived all copyright and related or neighboring rights to this work",
@@ -361,18 +530,39 @@ def test_op8_entropy_windows(spark):
 
     rng = random.Random(5)
     samples = ["".join(rng.choice("abcdefgh0123456789ABCDEFXYZ") for _ in range(rng.randint(20, 60))) for _ in range(40)] + ["a1" * 30]
+    samples += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(20, 60))) for _ in range(20)]
 
     def windows(t):
-        bound = secret_scan.HEX_BITS if all(c in "0123456789abcdefABCDEF" for c in t) else secret_scan.OTHER_BITS
+        one_case = t.upper() == t or t.lower() == t
+        bound = secret_scan.HEX_BITS if all(c in "0123456789abcdefABCDEF" for c in t) else secret_scan.CASE_BITS if one_case else secret_scan.OTHER_BITS
         n = secret_scan.WINDOW
         high = [i for i in range(len(t) - n + 1) if -sum(c / n * np.log2(c / n) for c in Counter(t[i : i + n]).values()) >= bound - 1e-12]
         return (high[0], high[-1] + n) if high else (None, None)
 
     df = spark.createDataFrame([(s,) for s in samples], "t string")
-    for r in df.select("t", secret_scan._windows(F.col("t")).alias("w")).collect():
+    for r in df.select("t", F.expr(secret_scan._windows("t")).alias("w")).collect():
         assert (r.w.low, r.w.high) == windows(r.t)
 
 
+def test_op8_many_matches_and_masks(spark):
+    text = "é " + " ".join(f"api_key = 'Zx9Kq2Lm8Wp4Rt{i:06d}' deadbeefdeadbeefdeadbeef{i:06x}" for i in range(3_000)) + " token: password=secret123"
+    df = spark.createDataFrame([(1, text, 5), (2, "clean", 5), (3, None, 0)], "doc_id long, text string, n_chars long")
+    df = df.selectExpr("*", "'s' AS spans", "'t' AS _scan_hex", "'u' AS _spans_x", "'v' AS _new_")
+    rows = {r.doc_id: r for r in secret_scan.scan(df).collect()}
+    assert secret_scan.scan(df).columns.count("spans") == 1 and rows[1]._scan_hex == "t" and rows[1]._spans_x == "u"
+    base = [(s.start, s.end, s.kind) for s in rows[1].spans if s.kind != "entropy"]
+    assert base == [(a, b, k) for a, _, b, k in brute.secrets(text)]
+    want, at = "", 0
+    for s in rows[1].spans:
+        if s.start >= at:
+            want += text[at : s.start] + secret_scan.MASK
+        at = max(at, s.end)
+    want += text[at:]
+    got = {r.doc_id: r for r in secret_scan.masked(df).collect()}
+    assert got[1].text == want and got[1].n_chars == len(want) and got[1].spans == "s" and got[1]._new_ == "v"
+    assert (got[2].text, got[2].n_chars, got[3].text, got[3].n_chars) == ("clean", 5, None, 0)
+
+
 # ------------------------------------------------------------------ op9
 
 
@@ -406,7 +596,7 @@ def test_op9_beyond_the_bounds_as_within(spark, monkeypatch, chunk):
     sizes = {"src0": 161, "src1": 20, "src2": 7, "x": 33, "é": 12, None: 5}
     df = docs_of(spark, [(i, "t", s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))])
     kept = sorted(map(tuple, mixing.mix(df, block=2).collect()), key=str)
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    monkeypatch.setattr(mixing, "MAX_PATTERN", 1)
     monkeypatch.setattr(mixing, "CHUNK", chunk)
     assert sorted(map(tuple, mixing.mix(df, block=2).collect()), key=str) == kept
 
@@ -428,6 +618,9 @@ def test_op9_odd(spark):
     assert mixing.mix(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(df, weights={"a": 0})
+    clash = df.selectExpr("*", "98 AS _w", "97 AS _h", "96 AS _rank", "95 AS _mix_h", "94 AS block")
+    got = mixing.mix(clash).collect()
+    assert {(r._w, r._h, r._rank, r._mix_h) for r in got} == {(98, 97, 96, 95)} and all(r.block < 2 for r in got)
 
 
 # ------------------------------------------------------------------ op10
@@ -446,12 +639,8 @@ def test_op10_segments():
     rng = random.Random(2)
     for _ in range(200):
         n = rng.randint(1, 14)
-        at = sorted(rng.sample(range(n), rng.randint(1, n)))
-        gain = [rng.choice([0.9, 1.7, 2.3, 3.1]) + rng.random() / 100 for _ in at]
-        scores = [-0.75] * n
-        for i, g in zip(at, gain, strict=True):
-            scores[i] = g
-        got = toxicity.segments(np.array(at), np.array(gain), 0.75)
+        scores = [rng.choice([-1.9, -0.75, -0.75, 0.9, 1.7, 2.3, 3.1]) + rng.random() / 100 for _ in range(n)]
+        got = toxicity.segments(np.array(scores))
         want = segments_brute(scores)
         assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
         assert np.allclose([s for *_, s in got], [s for *_, s in want])
@@ -468,8 +657,44 @@ def test_op10_held_out(spark):
     assert sum(a == b for a, b in held) / len(held) > 0.93
 
 
+def test_op10_brute_force_score(spark):
+    """Scores of the registered query from the model's own log-odds, token by token."""
+    import math
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    assert (model.odds < 0).any() or len(model.odds) < 50
+    got = {r.doc_id: r.score for r in toxicity.op10_toxicity(spark, sf).collect()}
+    odds = dict(zip(model.words.tolist(), model.odds.tolist(), strict=True))
+    inside = toxicity.alnum_words()
+    codes = toxicity.byte_codes(True, inside)
+    for r in docs.where("doc_id % 40 = 0").collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        w = toxicity.Words(data, np.array([0, len(data)]), inside, codes)
+        every = [f.tolist() for f in toxicity.features(w, codes)]
+        scores = [next((odds[f[k]] for f in every if f[k] in odds), 0.0) - toxicity.DRIFT for k in range(len(w.hash))]
+        # the best segments one after the other, as the definition has them
+        x, todo = 0.0, [scores]
+        while todo:
+            part = todo.pop()
+            best, at = 0.0, None
+            total = np.concatenate([[0.0], np.cumsum(part)]) if part else np.zeros(1)
+            low = 0
+            for b in range(1, len(total)):
+                if total[b] - total[low] > best + 1e-12:
+                    best, at = total[b] - total[low], (low, b)
+                if total[b] < total[low]:
+                    low = b
+            if at:
+                log_e = math.log(model.k * max(len(scores), 1)) - model.lam * best
+                x -= log_e if log_e <= math.log(toxicity.MAX_E) else 0.0
+                todo += [part[: at[0]], part[at[1] :]]
+        assert abs(got[r.doc_id] - model.score(x)) < 1e-9
+
+
 def test_op10_odd(spark):
-    df = docs_of(spark, ODD)
+    df = docs_of(spark, ODD).selectExpr("*", "1 AS y", "2 AS word", "3 AS toxic")
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(df, none)
     out = df.select("doc_id", toxicity.toxicity(model, "text").alias("t")).collect()
