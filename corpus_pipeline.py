@@ -6,15 +6,15 @@ Each stage works on all that its predecessor kept, and is written as Parquet and
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodeworks.llm import decontaminate, mixing, ngram_join, quality, secret_scan
 from lodeworks.llm.common import table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or lose too much text by the line rules go; texts stay as they are."""
-    return quality.keep_good(docs)
+    """Documents that fail the base rules or lose too much text by the line rules go; of the others, failing lines go, and
+    n_chars follows."""
+    return quality.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,12 +29,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are masked, and n_chars follows; no document goes."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    masked = F.when(F.size("_spans") > 0, secret_scan.redact(text, F.col("_spans"))).otherwise(F.col("text"))
-    found = secret_scan.scan(docs, "text", "_spans").withColumn("_masked", masked)
-    n_chars = F.when(F.size("_spans") > 0, F.char_length("_masked")).otherwise(F.col("n_chars"))
-    changed = {"text": F.col("_masked"), "n_chars": n_chars.cast("long")}
-    return found.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
+    return secret_scan.masked(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
