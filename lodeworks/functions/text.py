@@ -6,6 +6,7 @@ where Spark can (lambdas over arrays are the only interpreted parts, and those a
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,12 +15,22 @@ from pyspark.sql import functions as F
 # --- fixed values: directionals, street types, place words, legal forms -------------------------------------------
 DIRECTIONALS = {"n": "north", "s": "south", "e": "east", "w": "west", "ne": "northeast", "nw": "northwest", "se": "southeast", "sw": "southwest"}
 STREET_TYPES = {
-    "st": "street", "str": "street", "ave": "avenue", "av": "avenue", "blvd": "boulevard", "rd": "road", "dr": "drive", "ln": "lane", "ct": "court", "cir": "circle",
-    "pl": "place", "pkwy": "parkway", "hwy": "highway", "ter": "terrace", "trl": "trail", "sq": "square",
+    "st": "street", "str": "street", "street": "street", "ave": "avenue", "av": "avenue", "avenue": "avenue", "rd": "road", "road": "road",
+    "blvd": "boulevard", "boulevard": "boulevard", "dr": "drive", "drive": "drive", "ln": "lane", "lane": "lane", "pl": "place", "place": "place",
+    "ct": "court", "court": "court", "cir": "circle", "circle": "circle", "pkwy": "parkway", "parkway": "parkway", "hwy": "highway", "highway": "highway",
+    "ter": "terrace", "terr": "terrace", "terrace": "terrace", "way": "way", "trl": "trail", "trail": "trail",
 }
-PLACE_WORDS = ["gainesville", "texas", "usa"]
-LEGAL_FORMS = ["llc", "lp", "llp", "lc", "inc", "ltd", "corp", "co", "company", "trust", "trustee", "incorporated", "corporation", "limited", "partnership", "etal"]
-UNIT = r"(?i)(?:apt|apartment|unit|suite|ste|#)\s*[a-z0-9\-]+"
+PLACE_WORDS = ["gainesville", "tx", "texas"]
+LEGAL_FORMS = ["llc", "lc", "ltd", "lp", "llp", "inc", "incorporated", "corp", "corporation", "co", "company", "trust", "tr", "partners", "partnership", "&"]
+UNIT = r"(?i)(?:apt|apartment|suite|ste|unit|#)\.?\s*([0-9a-z][0-9a-z\-]*)\b"
+ZIP = r"\b(\d{5})(?:-\d{4})?\b"
+#: Lower-case letters with one combining mark and what they compose to: built by Unicode's own rule.
+COMPOSED = {
+    c + m: n
+    for c in "abcdefghijklmnopqrstuvwxyz"
+    for m in map(chr, range(0x300, 0x370))
+    if len(n := unicodedata.normalize("NFC", c + m)) == 1
+}
 
 
 def _s(c: Column | str) -> Column:
@@ -46,33 +57,43 @@ def _mapped(token: Column, table: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(known, token), token)
 
 
+def composed(c: Column | str) -> Column:
+    """Lower-cased letters and their combining marks as one letter each (NFC for one mark a letter)."""
+    pairs = ", ".join(f"struct('{k}' as a, '{v}' as b)" for k, v in COMPOSED.items())
+    return F.when(_s(c).rlike("[\\u0300-\\u036f]"), F.aggregate(F.expr(f"array({pairs})"), _s(c), lambda at, p: F.replace(at, p["a"], p["b"]))).otherwise(_s(c))
+
+
+def _address_tokens(c: Column | str) -> Column:
+    bare = F.regexp_replace(F.regexp_replace(composed(F.lower(_s(c))), UNIT, " "), r"[.,]", " ")
+    tokens = F.filter(F.split(F.regexp_replace(bare, r"\bsuite\s+\d+", " "), r"\s+"), lambda t: t != "")
+    tokens = F.transform(tokens, lambda t: _mapped(t, DIRECTIONALS | STREET_TYPES))
+    return F.filter(tokens, lambda t: ~t.rlike(r"^\d{5}(-\d{4})?$") & ~t.rlike("^[a-z]{2}$") & ~t.isin(PLACE_WORDS))
+
+
 def address_normalise(c: Column | str) -> Column:
     """Lower-cased address with directionals and street types written out, without unit, zip, two-letter tokens and
     place words; NULL if nothing is left. The unit's pattern has no left word boundary."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(_s(c)), UNIT, " "), r"[.,]", " ")
-    tokens = F.filter(F.split(F.trim(bare), r"\s+"), lambda t: t != "")
-    tokens = F.transform(tokens, lambda t: _mapped(t, DIRECTIONALS | STREET_TYPES))
-    kept = F.filter(tokens, lambda t: ~t.rlike(r"^\d{5}(-\d{4})?$") & ~t.rlike("^[a-z]{2}$") & ~t.isin(PLACE_WORDS))
-    return F.nullif(F.array_join(kept, " "), F.lit(""))
+    return F.nullif(F.array_join(_address_tokens(c), " "), F.lit(""))
 
 
 def address_parts(c: Column | str) -> Column:
-    """Struct: number, token (first one that is no directional), unit, zip."""
-    low = F.lower(_s(c))
-    number = F.nullif(F.regexp_extract(F.trim(low), r"^(\d+)", 1), F.lit(""))
-    unit = F.nullif(F.regexp_extract(low, r"(?:apt|apartment|unit|suite|ste|#)\s*([a-z0-9\-]+)", 1), F.lit(""))
-    zip_ = F.nullif(F.regexp_extract(low, r"(\d{5})(?:-\d{4})?\s*$", 1), F.lit(""))
-    tokens = F.split(F.trim(F.regexp_replace(F.regexp_replace(low, UNIT, " "), r"[.,]", " ")), r"\s+")
-    names = F.filter(F.slice(tokens, 2, F.greatest(F.lit(1), F.size(tokens))), lambda t: ~t.isin([*DIRECTIONALS, *DIRECTIONALS.values()]))
-    return F.struct(number.alias("number"), F.get(names, F.lit(0)).alias("token"), unit.alias("unit"), zip_.alias("zip"))
+    """Struct: number (the normalised address's first token, if all digits), token (the first after it that is no
+    directional), unit and zip (wherever they stand in the raw text)."""
+    tokens = _address_tokens(c)
+    first = F.get(tokens, F.lit(0))
+    numbered = first.rlike("^[0-9]+$")
+    names = F.filter(F.slice(tokens, 2, F.greatest(F.lit(1), F.size(tokens))), lambda t: ~t.isin([*DIRECTIONALS.values()]))
+    unit = F.lower(F.nullif(F.regexp_extract(_s(c), UNIT, 1), F.lit("")))
+    zip_ = F.nullif(F.regexp_extract(_s(c), ZIP, 1), F.lit(""))
+    return F.struct(F.when(numbered, first).alias("number"), F.when(numbered, F.get(names, F.lit(0))).alias("token"), unit.alias("unit"), zip_.alias("zip"))
 
 
 def owner_normalise(c: Column | str) -> Column:
-    """Lower-cased owner without punctuation and legal forms; NULL if nothing is left."""
-    low = F.regexp_replace(F.regexp_replace(F.lower(_s(c)), r"\bl\.\s*l\.\s*c\.?", "llc"), r"\bl\.\s*p\.?", "lp")
-    tokens = F.split(F.trim(F.regexp_replace(low, r"[^a-z0-9\s]", " ")), r"\s+")
-    kept = F.filter(tokens, lambda t: (t != "") & ~t.isin(LEGAL_FORMS))
-    return F.nullif(F.array_join(kept, " "), F.lit(""))
+    """Lower-cased owner without points, commas and legal forms; '' if nothing is left, and for NULL."""
+    low = composed(F.lower(F.coalesce(_s(c), F.lit(""))))
+    low = F.regexp_replace(F.regexp_replace(low, r"\b([a-z])\.([a-z])\.([a-z])\.", "$1$2$3"), r"\b([a-z])\.([a-z])\.", "$1$2")
+    tokens = F.split(F.regexp_replace(low, r"[.,]", " "), r"\s+")
+    return F.array_join(F.filter(tokens, lambda t: (t != "") & ~t.isin(LEGAL_FORMS)), " ")
 
 
 def slug(c: Column | str, joint: str = "_") -> Column:
@@ -238,12 +259,13 @@ def natural_key(c: Column | str) -> Column:
 
 
 def dimension_score(value: Column, high: float, moderate: float, points: int, invert: bool = False) -> Column:
-    """Piecewise-linear score of a risk dimension, cut to an int: beyond `high` 0, below `moderate` all points, between
-    them in proportion but within 1 .. points - 1; NULL gives half."""
-    x = -value if invert else value
-    lo, hi = (-moderate, -high) if invert else (moderate, high)
-    part = F.floor(points * (F.lit(float(hi)) - x) / (hi - lo)).cast("int")
-    return F.when(value.isNull(), points // 2).when(x >= hi, 0).when(x <= lo, points).otherwise(F.least(F.lit(points - 1), F.greatest(F.lit(1), part)))
+    """Piecewise-linear score of a risk dimension, cut to an int: from `high` on 0, short of `moderate` all points, between
+    them in proportion but within 1 .. points - 1. With `invert` low values are the risk, and `moderate` itself gets all
+    points. NULL gives half."""
+    share = (value - high) / (moderate - high) if invert else 1 - (value - moderate) / (high - moderate)
+    part = F.least(F.lit(points - 1), F.greatest(F.lit(1), (points * share).cast("int")))
+    best, some = (value >= moderate, value > high) if invert else (value < moderate, value < high)
+    return F.when(value.isNull(), points // 2).when(best, points).when(some, part).otherwise(F.lit(0))
 
 
 def severity(category: Column, ordered: list[str], default: int = 3) -> Column:

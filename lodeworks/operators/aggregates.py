@@ -1,5 +1,4 @@
-"""Aggregations. Everything but medians combines on the map side. percentile() holds a group's distinct values: use
-large_quantiles where a group has very many."""
+"""Aggregations. Everything combines on the map side; exact quantiles by large_quantiles, in bounded memory."""
 
 from __future__ import annotations
 
@@ -21,16 +20,20 @@ def universe_summary(df: DataFrame, size: str, inside: Column) -> DataFrame:
 
 def quartiles(df: DataFrame, keys: list[str], value: str, per: str) -> DataFrame:
     """Per group: n, p25/p50/p75 of `value` cut to whole numbers, median of value / per (2 places)."""
-    p = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    ratio = F.percentile(F.col(value) / F.nullif(F.col(per), F.lit(0)), F.lit(0.5))
-    out = df.groupBy(*keys).agg(F.count(value).alias("n"), p.alias("_p"), F.round(ratio, 2).alias("median_per"))
-    return out.select(*keys, "n", *(F.get("_p", F.lit(i)).cast("bigint").alias(n) for i, n in enumerate(("p25", "p50", "p75"))), "median_per")
+    ratio = df.select(*keys, (F.col(value) / F.nullif(F.col(per), F.lit(0))).alias("_r"))
+    a = large_quantiles(df, keys, value, [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "_p")
+    b = large_quantiles(ratio, keys, "_r", [0.5]).select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.round(F.get("quantiles", F.lit(0)), 2).alias("median_per"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return a.join(b, on, "left").select(*keys, "n", *(F.get("_p", F.lit(i)).cast("bigint").alias(n) for i, n in enumerate(("p25", "p50", "p75"))), "median_per")
 
 
 def large_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = 100_000) -> DataFrame:
     """Exact interpolated quantiles by group (array `quantiles`, with n) in bounded memory, where percentile() would hold
     every distinct value of a group: mergeable sketches give a bracket around each quantile, one pass counts what lies
-    below and takes the nearest values outside, and only the rows within the brackets (about 4 in `accuracy`) are ranked."""
+    below and takes the nearest values outside, and only the values within the brackets (of about 4 rows in `accuracy`) are
+    ranked, each with the number of its rows, so that ties cost nothing."""
     step = 2.0 / accuracy
     ends = [min(1.0, max(0.0, p + d)) for p in probs for d in (-step, step)]
     d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*keys, F.col(value).cast("double").alias("_v"))
@@ -44,11 +47,16 @@ def large_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         F.array(*(F.struct(F.count_if(v < low(i)).alias("below"), F.max(F.when(v < low(i), v)).alias("prev"), F.min(F.when(v > high(i), v)).alias("next"), F.count_if(v.between(low(i), high(i))).alias("inside")) for i in range(len(probs)))).alias("_o"),
     )
     which = F.explode(F.filter(F.array(*(F.when(v.between(low(i), high(i)), F.lit(i)) for i in range(len(probs)))), lambda i: i.isNotNull()))
-    ranked = j.select(*keys, "n", "_v", which.alias("_i")).withColumn("_k", F.row_number().over(Window.partitionBy(*keys, "_i").orderBy("_v")) - 1)
+    values = j.select(*keys, "n", "_v", which.alias("_i")).groupBy(*keys, "n", "_v", "_i").agg(F.count("*").alias("_c"))
+    so_far = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.withColumn("_hi", F.sum("_c").over(so_far))
     p = F.get(F.array(*map(F.lit, map(float, probs))), F.col("_i"))
     r = (F.col("n") - 1) * p
-    both = ranked.alias("_d").join(out.alias("_s"), on).select(*(F.col(f"_d.{k}").alias(k) for k in keys), F.col("_d.n").alias("n"), "_i", "_v", (F.col("_k") + F.get("_o", F.col("_i"))["below"]).alias("_at"), F.get("_o", F.col("_i")).alias("_o"))
-    hit = lambda at: F.max(F.when(F.col("_at") == at, F.col("_v")))
+    below = F.get("_o", F.col("_i"))["below"]
+    both = ranked.alias("_d").join(out.alias("_s"), on).select(
+        *(F.col(f"_d.{k}").alias(k) for k in keys), F.col("_d.n").alias("n"), "_i", "_v", (F.col("_hi") - F.col("_c") + below).alias("_from"), (F.col("_hi") - 1 + below).alias("_to"), F.get("_o", F.col("_i")).alias("_o")
+    )
+    hit = lambda at: F.max(F.when((at >= F.col("_from")) & (at <= F.col("_to")), F.col("_v")))
     g = both.groupBy(*keys, "n", "_i").agg(hit(F.floor(r)).alias("_a"), hit(F.ceil(r)).alias("_b"), F.first("_o").alias("_o"))
     a, b = F.coalesce("_a", "_o.prev"), F.coalesce("_b", "_o.next")
     q = F.struct("_i", (a + (b - a) * (r - F.floor(r))).alias("q"))
@@ -67,8 +75,21 @@ def coverage(df: DataFrame, source: str, at: str, start: str, end: str) -> DataF
 
 
 def global_median(df: DataFrame, value: str, per: str) -> DataFrame:
-    ratio = F.col(value) / F.nullif(F.col(per), F.lit(0))
-    return df.agg(F.count("*").alias("n"), F.percentile(value, F.lit(0.5)).alias("median"), F.round(F.percentile(ratio, F.lit(0.5)), 4).alias("median_per"))
+    """One row: rows, median of `value`, and of value / per (4 places)."""
+    ratio = df.select((F.col(value) / F.nullif(F.col(per), F.lit(0))).alias("_r"))
+    one = df.agg(F.count("*").alias("n"))
+    a = large_quantiles(df, [], value, [0.5]).select(F.get("quantiles", F.lit(0)).alias("median"))
+    b = large_quantiles(ratio, [], "_r", [0.5]).select(F.round(F.get("quantiles", F.lit(0)), 4).alias("median_per"))
+    return one.join(a, F.lit(True), "left").join(b, F.lit(True), "left")  # rows of one each
+
+
+def divergence(df: DataFrame, local: Column, value: str, least: int = 10) -> DataFrame:
+    """One row: the median of the local rows less that of all, in percent too, and whether the local ones are few."""
+    a = large_quantiles(df.where(local), [], value, [0.5]).select(F.get("quantiles", F.lit(0)).alias("_a"), F.col("n").alias("_n"))
+    b = large_quantiles(df, [], value, [0.5]).select(F.get("quantiles", F.lit(0)).alias("_b"))
+    diff = F.col("_a") - F.col("_b")
+    one = b.join(a, F.lit(True), "left")  # rows of one each
+    return one.select(F.round(diff, 4).alias("diff"), F.round(100 * diff / F.col("_b"), 4).alias("pct"), (F.coalesce("_n", F.lit(0)) < least).alias("small"))
 
 
 def plan_summary(df: DataFrame, code: str, size: str, rent: str, bed: str | None = None, positive: bool = False) -> DataFrame:
@@ -155,9 +176,10 @@ def flows_net(inflow: DataFrame, outflow: DataFrame, key: str, measures: list[st
 
 
 def distribution(df: DataFrame, key: str) -> DataFrame:
-    """Rows and percent of all rows by key; the total is one number, joined in as a window over the groups."""
+    """Rows and percent of all rows by key; the total is one row, joined in."""
     out = df.groupBy(key).agg(F.count("*").alias("n"))
-    return out.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 2))
+    total = df.agg(F.count("*").alias("_total"))
+    return out.crossJoin(F.broadcast(total)).select(key, "n", F.round(100.0 * F.col("n") / F.col("_total"), 2).alias("pct"))
 
 
 def error_metrics(df: DataFrame, keys: list[str], actual: str, predicted: str) -> DataFrame:

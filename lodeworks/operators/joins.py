@@ -44,9 +44,10 @@ def band_join(left: DataFrame, right: DataFrame, axes: list[tuple[str, str]], wi
 
 
 def band_first(left: DataFrame, right: DataFrame, axes: list[tuple[str, str]], width: float, left_key: str, order: str) -> DataFrame:
-    """Of the matches of each left row the first by `order`."""
-    first = Window.partitionBy(left_key).orderBy(order)
-    return band_join(left, right, axes, width).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    """Of the matches of each left row the first by `order`: the key with the right row's columns. A map-side combined
+    minimum, so not all matches are shuffled."""
+    first = F.min(F.struct(order, *(c for c in right.columns if c != order))).alias("_m")
+    return band_join(left, right, axes, width).groupBy(left_key).agg(first).select(left_key, "_m.*")
 
 
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -55,22 +56,47 @@ def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Of each key the first row by `order`."""
+    rest = [c for c in df.columns if c not in keys and c != order]
+    return df.groupBy(*keys).agg(F.min(F.struct(order, *rest)).alias("_m")).select(*keys, "_m.*").select(*df.columns)
+
+
+def k_nearest(left: DataFrame, right: DataFrame, left_key: str, keys: list[tuple[str, str]], left_value: str, right_value: str, right_id: str, k: int) -> DataFrame:
+    """Per left row the k right rows of equal keys with the least |difference|, ties to the least id: (left_key, right_id,
+    diff, rank). Right rows are numbered within their key from either end; a left row learns where it stands among them
+    from one sort of both sides, and meets the k numbers on either side by an equi-join. The work is linear in both sides
+    and k, never in pairs; a key's rows are sorted in one task, which may spill. `left_key` must be unique."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    of = lambda df, cols: [F.col(c).alias(n) for c, n in zip(cols, names, strict=True)]
+    a = left.select(*of(left, [x for x, _ in keys]), F.col(left_key).alias("_a"), F.col(left_value).cast("double").alias("_v")).dropna(subset=["_v", *names])
+    b = right.select(*of(right, [y for _, y in keys]), F.col(right_id).alias("_id"), F.col(right_value).cast("double").alias("_v")).dropna(subset=["_v", *names])
+    by = Window.partitionBy(*names)
+    up, down = (F.row_number().over(by.orderBy(x, "_id")) for x in ("_v", F.desc("_v")))
+    b = b.select(*names, "_id", "_v", up.alias("_up"), down.alias("_down"), F.count("*").over(by).alias("_n"))
+    both = a.select(*names, "_v", "_a", F.lit(0).alias("_right")).unionByName(b.select(*names, "_v", F.lit(1).alias("_right")), allowMissingColumns=True)
+    before = F.sum("_right").over(by.orderBy("_v", "_right").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = both.select(*names, "_v", "_a", "_right", before.alias("_before"), F.sum("_right").over(by).alias("_all")).where("_right = 0 and _all > 0")
+    steps = F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_step")
+    q = placed.select(*names, F.col("_v").alias("_q"), "_a", "_before", "_all", steps)
+    above = q.withColumn("_up", (F.col("_before") + F.col("_step")).cast("int")).join(b.select(*names, "_up", "_id", "_v"), [*names, "_up"])
+    below = q.withColumn("_down", (F.col("_all") - F.col("_before") + F.col("_step")).cast("int")).join(b.select(*names, "_down", "_id", "_v"), [*names, "_down"])
+    found = above.select("_a", "_id", "_v", "_q").union(below.select("_a", "_id", "_v", "_q")).withColumn("diff", F.abs(F.col("_v") - F.col("_q")))
+    rank = F.row_number().over(Window.partitionBy("_a").orderBy("diff", "_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("_a").alias(left_key), F.col("_id").alias(right_id), "diff", "rank")
+
+
 def nearest(left: DataFrame, right: DataFrame, left_key: str, keys: list[tuple[str, str]], left_value: str, right_value: str, right_id: str) -> DataFrame:
-    """Per left row the right row of equal keys with the least |difference|, ties to the least id: (left_key, right_id,
-    diff). One shuffle by the keys and a map-side combined min_by."""
-    on = [F.col(x) == F.col(y) for x, y in keys]
-    diff = F.abs(F.col(left_value) - F.col(right_value))
-    best = F.min(F.struct(diff.alias("diff"), F.col(right_id).alias("id")))
-    return left.join(right, on).where(diff.isNotNull()).groupBy(left_key).agg(best.alias("_b")).select(left_key, F.col("_b.id").alias(right_id), F.col("_b.diff").alias("diff"))
+    """Per left row the right row of equal keys with the least |difference|, ties to the least id: (left_key, right_id, diff)."""
+    return k_nearest(left, right, left_key, keys, left_value, right_value, right_id, 1).drop("rank")
 
 
 def fallback_nearest(left: DataFrame, right: DataFrame, left_key: str, key: tuple[str, str], second: tuple[str, str], left_value: str, right_value: str, right_id: str, k: int) -> DataFrame:
-    """The k nearest right rows that agree in both keys, or, for left rows without any such, in the first key only."""
-    both = left.join(right, F.col(key[0]) == F.col(key[1])).withColumn("_exact", F.coalesce(F.col(second[0]) == F.col(second[1]), F.lit(False)))
-    any_ = F.max("_exact").over(Window.partitionBy(left_key))
-    kept = both.withColumn("_any", any_).where(F.col("_exact") | ~F.col("_any"))
-    w = Window.partitionBy(left_key).orderBy(F.abs(F.col(left_value) - F.col(right_value)), right_id)
-    return kept.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("_exact", "_any")
+    """The k nearest right rows that agree in both keys, or, for left rows without any such, in the first key only:
+    (left_key, right_id, diff, rank)."""
+    exact = k_nearest(left, right, left_key, [key, second], left_value, right_value, right_id, k)
+    rest = left.join(exact.select(left_key).distinct(), left_key, "left_anti")
+    return exact.union(k_nearest(rest, right, left_key, [key], left_value, right_value, right_id, k))
 
 
 def series_op(a: DataFrame, b: DataFrame, key: str, va: str, vb: str, op: str) -> DataFrame:

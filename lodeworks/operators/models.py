@@ -242,25 +242,71 @@ def boosted(df: DataFrame, y: str, xs: list[str], seed: int = 7, rounds: int = 2
     return model.transform(ready).drop("_x")
 
 
-def hilbert_phase(df: DataFrame, keys: list[str], at: str, value: str, least: int = 64, low: int = 16, high: int = 32) -> DataFrame:
-    """Phase of the cycle of 16 to 32 quarters: gaps interpolated, detrended, band-passed and made analytic by the Fourier
-    transform (an ideal filter, where others take a Butterworth one). Markets with fewer rows, or more than 30 % gaps,
-    give none. (keys, at, angle, phase)"""
+def butter_band(low: float, high: float, order: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients (b, a) of a Butterworth band pass between two frequencies, given as shares of the Nyquist frequency:
+    analog prototype, low pass to band pass, bilinear transform with pre-warped edges."""
+    edge = 4 * np.tan(np.pi * np.array([low, high]) / 2)
+    width, middle = edge[1] - edge[0], np.sqrt(edge[0] * edge[1])
+    k = np.arange(order)
+    half = np.exp(1j * np.pi * (2 * k + order + 1) / (2 * order)) * width / 2
+    root = np.sqrt(half**2 - middle**2)
+    poles = np.concatenate([half + root, half - root])
+    gain = width**order * np.real(4.0**order / np.prod(4 - poles))
+    zeros = np.concatenate([np.ones(order), -np.ones(order)])
+    return gain * np.poly(zeros), np.real(np.poly((4 + poles) / (4 - poles)))
+
+
+def _filter(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """Direct form II transposed."""
+    z, out = np.append(state, 0.0), np.empty(len(x))
+    for i, v in enumerate(x):
+        out[i] = b[0] * v + z[0]
+        z[:-1] = b[1:] * v + z[1:] - a[1:] * out[i]
+    return out
+
+
+def zero_phase(b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Filtered forwards and backwards, with odd extensions of 3 max(len) values and the steady state of a constant."""
+    n = 3 * max(len(a), len(b))
+    companion = np.eye(len(a) - 1, k=1)
+    companion[:, 0] -= a[1:]
+    state = np.linalg.solve(np.eye(len(a) - 1) - companion, b[1:] - a[1:] * b[0])
+    ext = np.concatenate([2 * x[0] - x[n:0:-1], x, 2 * x[-1] - x[-2 : -n - 2 : -1]])
+    y = _filter(b, a, ext, state * ext[0])
+    y = _filter(b, a, y[::-1], state * y[-1])[::-1]
+    return y[n:-n]
+
+
+def analytic(x: np.ndarray) -> np.ndarray:
+    """The signal with its Hilbert transform as imaginary part."""
+    n = len(x)
+    h = np.zeros(n)
+    h[0] = 1
+    h[1 : (n + 1) // 2] = 2
+    if n % 2 == 0:
+        h[n // 2] = 1
+    return np.fft.ifft(np.fft.fft(x) * h)
+
+
+def hilbert_phase(df: DataFrame, keys: list[str], at: str, value: str, low: int = 16, high: int = 32) -> DataFrame:
+    """Phase of the cycle of `low` to `high` rows: gaps interpolated, detrended, passed through a Butterworth band filter of
+    order 2 in both directions and made analytic; the phase, from 0 to 2 pi, gives the label by quarters. Markets with fewer
+    than 2 `high` rows, or more than 30 % gaps, give none. (keys, at, angle, amplitude, sin, cos, phase)"""
     key_types = [f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in keys]
-    names = ("expansion", "hypersupply", "recession", "recovery")
+    names = np.array(["EXPANSION", "PEAK", "CONTRACTION", "TROUGH"])
+    out = [*keys, at, "angle", "amplitude", "sin", "cos", "phase"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(at)
-        out = [*keys, at, "angle", "phase"]
-        if len(pdf) < least or pdf[value].isna().mean() > 0.3:
+        if len(pdf) < 2 * high or pdf[value].isna().mean() > 0.3:
             return pd.DataFrame(columns=out)
-        v = pdf[value].astype(float).interpolate(limit_direction="both").to_numpy()
+        v = pdf[value].astype(float).interpolate(method="linear").bfill().ffill().to_numpy()
         t = np.arange(len(v))
-        v = v - np.polyval(np.polyfit(t, v, 1), t)
-        f = np.fft.fftfreq(len(v))
-        z = np.fft.ifft(np.where((f >= 1 / high) & (f <= 1 / low), 2 * np.fft.fft(v), 0))
+        z = analytic(zero_phase(*butter_band(2 / high, 2 / low), v - np.polyval(np.polyfit(t, v, 1), t)))
         angle = np.angle(z)
-        quarter = (np.floor((angle + np.pi) / (np.pi / 2)).astype(int)) % 4
-        return pdf[keys].assign(**{at: pdf[at].to_numpy(), "angle": angle, "phase": [names[q] for q in quarter]})[out]
+        quarter = np.minimum(3, (angle % (2 * np.pi)) // (np.pi / 2)).astype(int)
+        more = {at: pdf[at].to_numpy(), "angle": angle, "amplitude": np.abs(z), "sin": np.sin(angle), "cos": np.cos(angle), "phase": names[quarter]}
+        return pdf[keys].assign(**more)[out]
 
-    return df.select(*keys, at, value).groupBy(*keys).applyInPandas(run, ", ".join([*key_types, f"{at} {dict(df.dtypes)[at]}", "angle double", "phase string"]))
+    ddl = ", ".join([*key_types, f"{at} {dict(df.dtypes)[at]}", "angle double, amplitude double, sin double, cos double, phase string"])
+    return df.select(*keys, at, value).groupBy(*keys).applyInPandas(run, ddl)

@@ -35,17 +35,19 @@ def slope(c: str, at: str, frame: WindowSpec, least: int, most: int | None = Non
     return F.when(ok, F.regr_slope(F.col(c), F.col(at)).over(frame))
 
 
-def cycle_phase(df: DataFrame, keys: list[str], at: str, vacancy: str, growth: str) -> DataFrame:
-    """Four phases by the level of vacancy against its rolling mean (20, at least 8) and its slope (8, at least 4)."""
+def cycle_phase(df: DataFrame, keys: list[str], at: str, vacancy: str, lookback: int = 8) -> DataFrame:
+    """Four phases by vacancy against its rolling mean (20 rows, at least 8 values) and its slope over row positions
+    (`lookback` rows, at least 4, none of them missing); UNKNOWN where either is missing."""
     w = Window.partitionBy(*keys).orderBy(at)
-    level = F.col(vacancy) - guarded_mean(vacancy, last_n(w, 20), 8)
-    trend = slope(vacancy, at, last_n(w, 8), 4)
+    mean = guarded_mean(vacancy, last_n(w, 20), 8)
+    df = df.withColumn("_at", F.row_number().over(w))
+    df = df.select("*", mean.alias("_mean"), slope(vacancy, "_at", last_n(w, lookback), 4, lookback).alias("_trend"))
+    low = F.col(vacancy) < F.col("_mean")
     label = (
-        F.when(F.col("_level").isNull() | F.col("_trend").isNull(), F.lit(None).cast("string"))
-        .when((F.col("_level") > 0) & (F.col("_trend") <= 0), "recovery").when((F.col("_level") <= 0) & (F.col("_trend") <= 0), "expansion")
-        .when((F.col("_level") <= 0) & (F.col("_trend") > 0), "hypersupply").otherwise("recession")
+        F.when(F.col(vacancy).isNull() | F.col("_mean").isNull() | F.col("_trend").isNull(), "UNKNOWN")
+        .when(low & (F.col("_trend") <= 0), "EXPANSION").when(low, "PEAK").when(F.col("_trend") > 0, "CONTRACTION").otherwise("TROUGH")
     )
-    return df.select("*", level.alias("_level"), trend.alias("_trend")).withColumn("phase", label).drop("_level", "_trend")
+    return df.withColumn("phase", label).drop("_at", "_mean", "_trend")
 
 
 def compound(growth: Column, w: WindowSpec) -> Column:
@@ -53,11 +55,18 @@ def compound(growth: Column, w: WindowSpec) -> Column:
     return F.product(1 + growth / 4).over(running(w))
 
 
-def z_regime(c: str, w: WindowSpec, lookback: int, sigmas: float) -> Column:
-    """Whether a value is more than so many deviations from its rolling mean."""
-    f = last_n(w, lookback)
-    sd = F.stddev_samp(c).over(f)
-    return F.when((F.count(c).over(f) >= lookback) & (sd > 0), F.abs(F.col(c) - F.avg(c).over(f)) / sd > sigmas)
+def regime_change(df: DataFrame, keys: list[str], at: str, value: str, lookback: int = 4, sigmas: float = 2.0, window: int = 20) -> DataFrame:
+    """Per key: whether any of the last `lookback` values is more than `sigmas` deviations from the mean of the last
+    `window` ones; false with fewer values, or if they don't differ."""
+    back = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(at)))
+    last = df.where(F.col(value).isNotNull()).withColumn("_back", back).where(F.col("_back") <= window)
+    g = last.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"),
+        F.collect_list(F.when(F.col("_back") <= lookback, F.col(value))).alias("_recent"),  # at most `lookback` values
+    )
+    far = F.exists("_recent", lambda v: F.abs(v - F.col("_mean")) / F.col("_sd") > sigmas)
+    flag = F.coalesce((F.col("_n") >= window) & (F.col("_sd") > 0) & far, F.lit(False))
+    return df.select(*keys).distinct().join(g, keys, "left").select(*keys, F.coalesce(flag, F.lit(False)).alias("regime_change"))
 
 
 def carry_forward(df: DataFrame, keys: list[str], order: str, value: Column, name: str) -> DataFrame:

@@ -97,10 +97,8 @@ def agg09(spark, sf_dir):
 @query("agg10_divergence", """SELECT round(a - b, 4) AS diff, round(100 * (a - b) / b, 4) AS pct, n < 10 AS small FROM
 (SELECT quantile_cont(o_totalprice, 0.5) AS a, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT'), (SELECT quantile_cont(o_totalprice, 0.5) AS b FROM orders)""")
 def agg10(spark, sf_dir):
-    """AGG-10: a local median against the index; one aggregation gives both."""
-    o, local = t(spark, sf_dir, "orders"), F.col("o_orderpriority") == "1-URGENT"
-    one = o.agg(F.percentile(F.when(local, F.col("o_totalprice")), F.lit(0.5)).alias("a"), F.count_if(local).alias("n"), F.percentile("o_totalprice", F.lit(0.5)).alias("b"))
-    return one.select(F.round(F.col("a") - F.col("b"), 4).alias("diff"), F.round(100 * (F.col("a") - F.col("b")) / F.col("b"), 4).alias("pct"), (F.col("n") < 10).alias("small"))
+    """AGG-10: a local median against the index."""
+    return agg.divergence(t(spark, sf_dir, "orders"), F.col("o_orderpriority") == "1-URGENT", "o_totalprice")
 
 
 @query("agg12_plan_summary", """SELECT coalesce(nullif(trim(p_brand), ''), 'Unknown') AS plan_code, count(*) AS units, round(avg(p_size), 0) AS sqft, round(avg(p_retailprice), 2) AS avg_rent,
@@ -300,7 +298,7 @@ def agg45(spark, sf_dir):
 
 @query("join03_last_wins", """SELECT n_name, s_suppkey FROM nation LEFT JOIN (SELECT s_nationkey, max(s_suppkey) AS s_suppkey FROM supplier GROUP BY 1) ON n_nationkey = s_nationkey""")
 def join03(spark, sf_dir):
-    """JOIN-03, JOIN-14, JOIN-21, JOIN-23, JOIN-24: lookup in which the last duplicate wins."""
+    """JOIN-03, JOIN-21, JOIN-23, JOIN-24: lookup in which the last duplicate wins."""
     s = joins.last_wins(t(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey"), ["s_nationkey"], "s_suppkey")
     return t(spark, sf_dir, "nation").join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").select("n_name", "s_suppkey")
 
@@ -355,16 +353,23 @@ def join11(spark, sf_dir):
 
 
 @query("join15_fallback_knn", """WITH j AS (SELECT s.p_partkey AS a, c.p_partkey AS b, s.p_size = c.p_size AS e, abs(s.p_retailprice - c.p_retailprice) AS d FROM part s JOIN part c ON s.p_brand = c.p_brand
-WHERE s.p_partkey % 100 = 0 AND c.p_partkey % 100 <> 0), k AS (SELECT *, max(CAST(e AS INT)) OVER (PARTITION BY a) AS x FROM j)
+WHERE s.p_partkey % 100 = 0), k AS (SELECT *, max(CAST(e AS INT)) OVER (PARTITION BY a) AS x FROM j)
 SELECT a, b, CAST(n AS INT) AS rank FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY d, b) AS n FROM k WHERE e OR x = 0) WHERE n <= 8""")
 def join15(spark, sf_dir):
-    """JOIN-15, JOIN-16, WIN-22: cohorts are the parts divisible by 100 (the operator's query set), against the others."""
+    """JOIN-15, JOIN-16, WIN-22: cohorts are the parts divisible by 100 (the operator's query set), against all parts."""
     p = t(spark, sf_dir, "part")
     a = p.where("p_partkey % 100 = 0").select(F.col("p_partkey").alias("a"), F.col("p_brand").alias("ab"), F.col("p_size").alias("as_"), F.col("p_retailprice").alias("ap"))
-    b = p.where("p_partkey % 100 <> 0").select(F.col("p_partkey").alias("b"), F.col("p_brand").alias("bb"), F.col("p_size").alias("bs"), F.col("p_retailprice").alias("bp"))
+    b = p.select(F.col("p_partkey").alias("b"), F.col("p_brand").alias("bb"), F.col("p_size").alias("bs"), F.col("p_retailprice").alias("bp"))
     return joins.fallback_nearest(a, b, "a", ("ab", "bb"), ("as_", "bs"), "ap", "bp", "b", 8).select("a", "b", "rank")
 
 
+@query("join14_first_wins", """SELECT n_name, s_suppkey, s_acctbal FROM nation JOIN (SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1) ON n_nationkey = s_nationkey""")
+def join14(spark, sf_dir):
+    """JOIN-14: lookup in which the first row of a key counts."""
+    s = joins.first_wins(t(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_acctbal"), ["s_nationkey"], "s_suppkey")
+    return t(spark, sf_dir, "nation").join(s, F.col("n_nationkey") == F.col("s_nationkey")).select("n_name", "s_suppkey", "s_acctbal")
+
+
 @query("join17_nearest", """SELECT c_custkey, s_suppkey, round(d, 2) AS diff FROM (SELECT c_custkey, s_suppkey, abs(c_acctbal - s_acctbal) AS d, row_number() OVER (PARTITION BY c_custkey ORDER BY abs(c_acctbal - s_acctbal), s_suppkey) AS n
 FROM customer JOIN supplier ON c_nationkey = s_nationkey) WHERE n = 1""")
 def join17(spark, sf_dir):
@@ -450,17 +455,25 @@ def win08(spark, sf_dir):
     return quarters(spark, sf_dir).select("o_orderpriority", "q", F.round(win.pct_change("n", w(), 4), 4).alias("n"))
 
 
-@query("win09_cycle_phase", f"""SELECT o_orderpriority, q, CASE WHEN l IS NULL OR s IS NULL THEN NULL WHEN l > 0 AND s <= 0 THEN 'recovery' WHEN l <= 0 AND s <= 0 THEN 'expansion' WHEN l <= 0 AND s > 0 THEN 'hypersupply' ELSE 'recession' END AS phase
-FROM (SELECT o_orderpriority, q, n - CASE WHEN count(n) {ROWS.format(19)} >= 8 THEN avg(n) {ROWS.format(19)} END AS l, CASE WHEN count(n) {ROWS.format(7)} >= 4 THEN regr_slope(n, q) {ROWS.format(7)} END AS s FROM {QUARTERS})""")
+_GAPPY = f"(SELECT o_orderpriority, q, CASE WHEN q % 13 <> 0 THEN n / 100 END AS v FROM {QUARTERS})"
+
+
+@query("win09_cycle_phase", f"""SELECT o_orderpriority, q, CASE WHEN v IS NULL OR m IS NULL OR s IS NULL THEN 'UNKNOWN' WHEN v < m AND s <= 0 THEN 'EXPANSION' WHEN v < m THEN 'PEAK' WHEN s > 0 THEN 'CONTRACTION' ELSE 'TROUGH' END AS phase
+FROM (SELECT o_orderpriority, q, v, CASE WHEN count(v) {ROWS.format(19)} >= 8 THEN avg(v) {ROWS.format(19)} END AS m, CASE WHEN count(v) {ROWS.format(7)} >= 4 AND count(v) {ROWS.format(7)} = count(*) {ROWS.format(7)} THEN regr_slope(v, i) {ROWS.format(7)} END AS s
+FROM (SELECT *, row_number() {OVER} AS i FROM {_GAPPY}))""")
 def win09(spark, sf_dir):
-    """WIN-09, PAN-05."""
-    return win.cycle_phase(quarters(spark, sf_dir), ["o_orderpriority"], "q", "n", "total").select("o_orderpriority", "q", "phase")
+    """WIN-09, PAN-05: quarters with missing values."""
+    df = quarters(spark, sf_dir).withColumn("v", F.when(F.col("q") % 13 != 0, F.col("n") / 100))
+    return win.cycle_phase(df, ["o_orderpriority"], "q", "v").select("o_orderpriority", "q", "phase")
 
 
-@query("win10_regime", f"""SELECT o_orderpriority, q, CASE WHEN count(n) {ROWS.format(7)} >= 8 AND stddev_samp(n) {ROWS.format(7)} > 0 THEN abs(n - avg(n) {ROWS.format(7)}) / stddev_samp(n) {ROWS.format(7)} > 1.5 END AS flag FROM {QUARTERS}""")
+@query("win10_regime", f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY q DESC) AS back FROM {_GAPPY} WHERE v IS NOT NULL),
+g AS (SELECT o_orderpriority, count(*) AS n, avg(v) AS m, stddev_samp(v) AS sd FROM r WHERE back <= 20 GROUP BY 1)
+SELECT o_orderpriority, coalesce(bool_or(n >= 20 AND sd > 0 AND abs(v - m) / sd > 2), false) AS regime_change FROM r JOIN g USING (o_orderpriority) WHERE back <= 4 GROUP BY 1""")
 def win10(spark, sf_dir):
-    """WIN-10, MOD-17."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", win.z_regime("n", w(), 8, 1.5).alias("flag"))
+    """WIN-10, MOD-17: the last 4 values against the mean of the last 20."""
+    df = quarters(spark, sf_dir).withColumn("v", F.when(F.col("q") % 13 != 0, F.col("n") / 100))
+    return win.regime_change(df, ["o_orderpriority"], "q", "v")
 
 
 @query("win12_compound_product", f"SELECT o_orderpriority, q, round(product(1 + 0.02 * (q % 5) / 4) {ROWS.format('UNBOUNDED')}, 6) AS level FROM {QUARTERS}")

@@ -15,18 +15,21 @@ from .registry import query
 _PAIRS = lambda d: ", ".join(f"'{k}': '{v}'" for k, v in d.items())
 _LIST = lambda xs: ", ".join(f"'{x}'" for x in xs)
 
-ADDRESS = "concat(c_custkey, ' N. ', c_mktsegment, ' ', ['St.', 'Ave', 'Blvd', 'Rd', 'Dr.'][c_custkey % 5 + 1], ', Apt ', c_nationkey, ', Gainesville, TX ', 76000 + c_nationkey)"
+ADDRESS = "concat(c_custkey, ' N. ', c_mktsegment, ' ', ['St.', 'Ave', 'Terr', 'Way', 'Dr.'][c_custkey % 5 + 1], [', Apt. ', ' #', ', Suite '][c_custkey % 3 + 1], c_nationkey, ', Gainesville, TX ', 76000 + c_nationkey, ['', ', USA'][c_custkey % 2 + 1])"
 
 
 def addresses(spark, sf_dir):
-    kinds = F.array(*map(F.lit, ("St.", "Ave", "Blvd", "Rd", "Dr.")))
+    pick = lambda xs, n: F.get(F.array(*map(F.lit, xs)), (F.col("c_custkey") % n).cast("int"))
     return t(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment",
-        F.concat(F.col("c_custkey").cast("string"), F.lit(" N. "), "c_mktsegment", F.lit(" "), F.get(kinds, (F.col("c_custkey") % 5).cast("int")), F.lit(", Apt "), F.col("c_nationkey").cast("string"), F.lit(", Gainesville, TX "), (76000 + F.col("c_nationkey")).cast("string")).alias("address"),
+        F.concat(
+            F.col("c_custkey").cast("string"), F.lit(" N. "), "c_mktsegment", F.lit(" "), pick(("St.", "Ave", "Terr", "Way", "Dr."), 5), pick((", Apt. ", " #", ", Suite "), 3),
+            F.col("c_nationkey").cast("string"), F.lit(", Gainesville, TX "), (76000 + F.col("c_nationkey")).cast("string"), pick(("", ", USA"), 2),
+        ).alias("address"),
     )
 
 
-@query("fn01_address_tokens", f"""WITH a AS (SELECT c_custkey, list_filter(string_split_regex(trim(regexp_replace(regexp_replace(lower({ADDRESS}), '(?:apt|apartment|unit|suite|ste|#)\\s*[a-z0-9\\-]+', ' ', 'g'), '[.,]', ' ', 'g')), '\\s+'), lambda x: x <> '') AS w FROM customer),
+@query("fn01_address_tokens", f"""WITH a AS (SELECT c_custkey, list_filter(string_split_regex(regexp_replace(regexp_replace(regexp_replace(lower(nfc_normalize({ADDRESS})), '(?:apt|apartment|suite|ste|unit|#)\\.?\\s*([0-9a-z][0-9a-z\\-]*)\\b', ' ', 'g'), '[.,]', ' ', 'g'), '\\bsuite\\s+\\d+', ' ', 'g'), '\\s+'), lambda x: x <> '') AS w FROM customer),
 m AS (SELECT c_custkey, list_transform(w, lambda x: coalesce(map_extract(MAP {{{_PAIRS(fn.DIRECTIONALS | fn.STREET_TYPES)}}}, x)[1], x)) AS w FROM a)
 SELECT c_custkey, nullif(array_to_string(list_filter(w, lambda x: NOT regexp_matches(x, '^\\d{{5}}(-\\d{{4}})?$') AND NOT regexp_matches(x, '^[a-z]{{2}}$') AND x NOT IN ({_LIST(fn.PLACE_WORDS)})), ' '), '') AS address FROM m""")
 def fn01(spark, sf_dir):
@@ -40,13 +43,16 @@ def fn02(spark, sf_dir):
     return addresses(spark, sf_dir).select("c_custkey", fn.address_parts("address").alias("p")).select("c_custkey", "p.number", "p.token", "p.unit", "p.zip")
 
 
-@query("fn03_owner_normalise", f"""WITH o AS (SELECT s_suppkey, concat(s_name, [' L.L.C.', ' & Co.', ', Trust', ' INC', ''][s_suppkey % 5 + 1]) AS n FROM supplier),
-w AS (SELECT s_suppkey, string_split_regex(trim(regexp_replace(regexp_replace(regexp_replace(lower(n), '\\bl\\.\\s*l\\.\\s*c\\.?', 'llc', 'g'), '\\bl\\.\\s*p\\.?', 'lp', 'g'), '[^a-z0-9\\s]', ' ', 'g')), '\\s+') AS w FROM o)
-SELECT s_suppkey, nullif(array_to_string(list_filter(w, lambda x: x <> '' AND x NOT IN ({_LIST(fn.LEGAL_FORMS)})), ' '), '') AS owner FROM w""")
+_OWNERS = (" L.L.C.", " & Co.", ", Trustee", " INC", " O'Brien Partners Tr", " L.P., et al.", " Ltd Holdings")
+
+
+@query("fn03_owner_normalise", f"""WITH o AS (SELECT s_suppkey, lower(nfc_normalize(concat(s_name, [{", ".join("'" + o.replace("'", "''") + "'" for o in _OWNERS)}][s_suppkey % 7 + 1]))) AS n FROM supplier),
+w AS (SELECT s_suppkey, string_split_regex(regexp_replace(regexp_replace(regexp_replace(n, '\\b([a-z])\\.([a-z])\\.([a-z])\\.', '\\1\\2\\3', 'g'), '\\b([a-z])\\.([a-z])\\.', '\\1\\2', 'g'), '[.,]', ' ', 'g'), '\\s+') AS w FROM o)
+SELECT s_suppkey, array_to_string(list_filter(w, lambda x: x <> '' AND x NOT IN ({_LIST(fn.LEGAL_FORMS)})), ' ') AS owner FROM w""")
 def fn03(spark, sf_dir):
     """FN-03."""
-    ends = F.array(*map(F.lit, (" L.L.C.", " & Co.", ", Trust", " INC", "")))
-    s = t(spark, sf_dir, "supplier").select("s_suppkey", F.concat("s_name", F.get(ends, (F.col("s_suppkey") % 5).cast("int"))).alias("n"))
+    ends = F.array(*map(F.lit, _OWNERS))
+    s = t(spark, sf_dir, "supplier").select("s_suppkey", F.concat("s_name", F.get(ends, (F.col("s_suppkey") % 7).cast("int"))).alias("n"))
     return s.select("s_suppkey", fn.owner_normalise("n").alias("owner"))
 
 
@@ -108,11 +114,11 @@ def fn21(spark, sf_dir):
     return t(spark, sf_dir, "orders").select("o_orderkey", fn.quarter(x).alias("q"), fn.quarter_kind(x).alias("kind"))
 
 
-@query("fn23_codes", """SELECT c_custkey, concat('C', substr(CAST(10000 + c_custkey AS VARCHAR), 1, 4)) AS area, concat(lpad(CAST(c_nationkey AS VARCHAR), 2, '0'), lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0')) AS fips FROM customer WHERE c_custkey < 90000""")
+@query("fn23_codes", """SELECT c_custkey, concat('C', substr(CAST(10000 + c_custkey % 90000 AS VARCHAR), 1, 4)) AS area, concat(lpad(CAST(c_nationkey AS VARCHAR), 2, '0'), lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0')) AS fips FROM customer""")
 def fn23(spark, sf_dir):
     """FN-23, FN-24, FN-25."""
-    c = t(spark, sf_dir, "customer").where("c_custkey < 90000")
-    return c.select("c_custkey", fn.area_code((10000 + F.col("c_custkey")).cast("string")).alias("area"), fn.fips(F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 1000).cast("string")).alias("fips"))
+    c = t(spark, sf_dir, "customer")
+    return c.select("c_custkey", fn.area_code((10000 + F.col("c_custkey") % 90000).cast("string")).alias("area"), fn.fips(F.col("c_nationkey").cast("string"), (F.col("c_custkey") % 1000).cast("string")).alias("fips"))
 
 
 @query("fn27_haversine", """SELECT vec_id, round(2 * 3958.8 * asin(sqrt(pow(sin((radians(x) - radians(33.6)) / 2), 2) + cos(radians(33.6)) * cos(radians(x)) * pow(sin((radians(y) - radians(-97.1)) / 2), 2))), 3) AS miles
@@ -150,10 +156,20 @@ def fn43(spark, sf_dir):
     return t(spark, sf_dir, "pages").select("page_id", F.md5(fn.strip_tags("html")).alias("digest"))
 
 
-@query("fn47_dimension_score", f"""SELECT o_orderpriority, q, CASE WHEN x >= 0.15 THEN 0 WHEN x <= 0.04 THEN 25 ELSE least(24, greatest(1, CAST(floor(25 * (CAST(0.15 AS DOUBLE) - x) / CAST(0.11 AS DOUBLE)) AS INT))) END AS score FROM (SELECT o_orderpriority, q, (n % 40) / 200 AS x FROM {QUARTERS})""")
+def score_sql(x: str, high: float, moderate: float, invert: bool) -> str:
+    """SQL of a risk dimension's score, 25 points at most."""
+    h, m = f"CAST({high} AS DOUBLE)", f"CAST({moderate} AS DOUBLE)"
+    part = f"least(24, greatest(1, CAST(trunc(25 * {{}}) AS INT)))"  # noqa: F541
+    if invert:
+        return f"CASE WHEN {x} IS NULL THEN 12 WHEN {x} >= {m} THEN 25 WHEN {x} > {h} THEN {part.format(f'(({x} - {h}) / ({m} - {h}))')} ELSE 0 END"
+    return f"CASE WHEN {x} IS NULL THEN 12 WHEN {x} < {m} THEN 25 WHEN {x} < {h} THEN {part.format(f'(1 - ({x} - {m}) / ({h} - {m}))')} ELSE 0 END"
+
+
+@query("fn47_dimension_score", f"""SELECT o_orderpriority, q, {score_sql('x', 0.15, 0.04, False)} AS score, {score_sql('x', 0.04, 0.15, True)} AS inverted FROM (SELECT o_orderpriority, q, (n % 40) / 200 AS x FROM {QUARTERS})""")
 def fn47(spark, sf_dir):
-    """FN-47."""
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", fn.dimension_score((F.col("n") % 40) / 200, 0.15, 0.04, 25).alias("score"))
+    """FN-47: both directions, thresholds themselves included."""
+    x = (F.col("n") % 40) / 200
+    return quarters(spark, sf_dir).select("o_orderpriority", "q", fn.dimension_score(x, 0.15, 0.04, 25).alias("score"), fn.dimension_score(x, 0.04, 0.15, 25, True).alias("inverted"))
 
 
 @query("fn_natural_key", """SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(p_brand, '(\\d+|\\D+)'), lambda p: CASE WHEN regexp_matches(p, '^\\d') THEN lpad(p, 10, '0') ELSE lower(p) END), '') AS k FROM part""")
@@ -289,42 +305,85 @@ def er01(spark, sf_dir):
 
 @query("er_fold_dedup")
 def er_fold(spark, sf_dir):
-    """ER-02 to ER-06: the fold over documents as listings (equal beginnings as addresses)."""
+    """ER-02 to ER-06: the fold over documents as listings (texts as addresses)."""
     d = t(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("ord"), F.substring("text", 1, 40).alias("addr"), (F.length("lang") + F.col("n_chars") % 3).cast("double").alias("beds"), (F.col("n_chars") % 2).cast("double").alias("baths"),
-        F.col("source").alias("zip"), F.col("lang").alias("number"), F.substring("text", 1, 3).alias("token"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"),
+        F.col("doc_id").alias("ord"), F.col("text").alias("addr"), (F.length("lang") + F.col("n_chars") % 3).cast("double").alias("beds"), (F.col("n_chars") % 2).cast("double").alias("baths"),
+        F.col("source").alias("zip"), F.col("lang").alias("number"), F.regexp_extract("text", r"^\S*", 0).alias("token"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"),
     )
     return entity.fold(d)
 
 
-@query("pan01_panel", f"""SELECT o_orderpriority, q, lag(n) OVER w AS lag_n, CAST(sum(n) OVER (PARTITION BY o_orderpriority ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS surplus,
-round(total / nullif(lag(total, 4) OVER w, 0) - 1, 4) AS growth FROM {QUARTERS} WINDOW w AS (PARTITION BY o_orderpriority ORDER BY q)""")
-def pan01(spark, sf_dir):
-    """PAN-01, PAN-04."""
-    w = Window.partitionBy("o_orderpriority").orderBy("q")
-    from lodeworks.operators import windows as win
+_PANEL = f"""SELECT o_orderpriority, q, q >= 7990 AS is_forecast, CASE WHEN q % 11 <> 0 THEN CAST(n * 10 AS DOUBLE) END AS inventory_units, CASE WHEN q % 13 <> 0 THEN (n % 20) / 100 END AS vacancy_rate, 0.05 AS stabilized_vacancy,
+CAST(n % 30 AS DOUBLE) AS under_construction, CAST(n % 17 AS DOUBLE) AS deliveries, CAST(n % 40 AS DOUBLE) AS deliveries_12mo, CAST(n % 50 - 10 AS DOUBLE) AS absorption_units_12mo, (n % 8) / 100 - CAST(0.03 AS DOUBLE) AS effective_rent_growth_yoy FROM {QUARTERS}"""
+
+
+def order_panel(spark, sf_dir):
+    """Orders by priority as a submarket's quarters."""
+    n = F.col("n")
+    return quarters(spark, sf_dir).select(
+        "o_orderpriority", "q", (F.col("q") >= 7990).alias("is_forecast"), F.when(F.col("q") % 11 != 0, (n * 10).cast("double")).alias("inventory_units"),
+        F.when(F.col("q") % 13 != 0, (n % 20) / 100).alias("vacancy_rate"), F.lit(0.05).alias("stabilized_vacancy"), (n % 30).alias("under_construction"), (n % 17).alias("deliveries"),
+        (n % 40).alias("deliveries_12mo"), (n % 50 - 10).alias("absorption_units_12mo"), ((n % 8) / 100 - F.lit(0.03)).alias("effective_rent_growth_yoy"),
+    )
+
 
-    return quarters(spark, sf_dir).select("o_orderpriority", "q", F.lag("n").over(w).alias("lag_n"), F.sum("n").over(win.running(w)).alias("surplus"), F.round(win.pct_change("total", w, 4), 4).alias("growth"))
+_W = "(PARTITION BY o_orderpriority ORDER BY q"
+_PAN01 = f"""WITH p AS ({_PANEL}), a AS (SELECT *, inventory_units * (1 - vacancy_rate) AS occ, last_value(inventory_units IGNORE NULLS) OVER {_W} ROWS UNBOUNDED PRECEDING) AS inv FROM p),
+b AS (SELECT *, occ - lag(occ) OVER {_W}) AS ab, inv / nullif(lag(inv, 4) OVER {_W}), 0) - 1 AS gr FROM a),
+c AS (SELECT *, deliveries - coalesce(ab, 0) AS ex, CASE WHEN count(vacancy_rate) OVER {_W} ROWS UNBOUNDED PRECEDING) >= 8 THEN avg(vacancy_rate) OVER {_W} ROWS UNBOUNDED PRECEDING) END AS eq,
+CASE WHEN count(ab) OVER {_W} ROWS 3 PRECEDING) >= 2 THEN avg(ab) OVER {_W} ROWS 3 PRECEDING) END AS pace, lag(inventory_units, 4) OVER {_W}) * CASE WHEN count(gr) OVER {_W} ROWS 7 PRECEDING) >= 8 THEN avg(gr) OVER {_W} ROWS 7 PRECEDING) END AS organic FROM b)
+SELECT o_orderpriority, q, round(vacancy_rate - CAST(0.05 AS DOUBLE), 6) AS vacancy_gap, round(under_construction / nullif(inventory_units, 0), 6) AS uc_share, round(deliveries_12mo / nullif(inventory_units, 0), 6) AS deliveries_12mo_share,
+round(absorption_units_12mo / nullif(inventory_units, 0), 6) AS absorption_12mo_share, round(absorption_units_12mo / nullif(deliveries_12mo, 0), 6) AS absorption_delivery_ratio, round(occ, 6) AS occupied_units, round(ab, 6) AS quarterly_absorption_implied,
+round(ex, 6) AS quarterly_excess, round(sum(ex) OVER {_W} ROWS UNBOUNDED PRECEDING), 4) AS cumulative_net_surplus, round(eq, 6) AS equilibrium_vacancy, round((vacancy_rate - eq) * inventory_units, 4) AS units_to_equilibrium,
+CASE WHEN pace > 0 THEN round((vacancy_rate - eq) * inventory_units / pace, 4) END AS quarters_to_equilibrium, round(gr, 6) AS inventory_growth_yoy, CASE WHEN organic > 0 THEN round(deliveries_12mo / organic, 4) END AS delivery_vs_organic_growth,
+round((deliveries_12mo - absorption_units_12mo) / nullif(inventory_units, 0), 6) AS supply_pressure FROM c"""
+_PLACES = {"cumulative_net_surplus": 4, "units_to_equilibrium": 4, "quarters_to_equilibrium": 4, "delivery_vs_organic_growth": 4}
+
+
+@query("pan01_panel", _PAN01)
+def pan01(spark, sf_dir):
+    """PAN-01: every derived column, with gaps in inventory and vacancy."""
+    p = panels.submarket_panel(order_panel(spark, sf_dir), ["o_orderpriority"])
+    return p.select("o_orderpriority", "q", *(F.round(c, _PLACES.get(c, 6)).alias(c) for c in panels.DERIVED))
 
 
 @query("pan02_cross_tier", f"""SELECT 'all' AS market, q, max(n) FILTER (o_orderpriority = '5-LOW') AS inventory, max(n) FILTER (o_orderpriority = '1-URGENT') AS high_inventory, CAST(sum(n) AS BIGINT) AS total_inventory,
 round(max(n) FILTER (o_orderpriority = '1-URGENT') / sum(n), 4) AS high_share FROM {QUARTERS} GROUP BY q HAVING max(n) FILTER (o_orderpriority = '5-LOW') IS NOT NULL""")
 def pan02(spark, sf_dir):
-    """PAN-02, PAN-03."""
+    """PAN-02."""
     p = quarters(spark, sf_dir).select(F.lit("all").alias("market"), "o_orderpriority", "q", F.col("n").alias("inventory"), F.col("total").alias("rent"))
     return panels.cross_tier(p, "market", "o_orderpriority", "5-LOW", "1-URGENT").select("market", "q", "inventory", "high_inventory", "total_inventory", F.round("high_share", 4).alias("high_share"))
 
 
-@query("pan08_risk_score", f"""WITH p AS (SELECT o_orderpriority, max_by(n % 20, q) AS a, max_by(n % 25, q) AS b, max_by(n % 150, q) AS c, max_by(n % 8, q) AS d FROM {QUARTERS} GROUP BY 1),
-s AS (SELECT o_orderpriority, CASE WHEN a / 100 >= 0.15 THEN 0 WHEN a / 100 <= 0.04 THEN 25 ELSE least(24, greatest(1, CAST(floor(25 * (CAST(0.15 AS DOUBLE) - a / 100) / (CAST(0.15 AS DOUBLE) - CAST(0.04 AS DOUBLE))) AS INT))) END
-+ CASE WHEN b / 100 >= 0.14 THEN 0 WHEN b / 100 <= 0.06 THEN 25 ELSE least(24, greatest(1, CAST(floor(25 * (CAST(0.14 AS DOUBLE) - b / 100) / (CAST(0.14 AS DOUBLE) - CAST(0.06 AS DOUBLE))) AS INT))) END
-+ CASE WHEN -c / 100 >= -0.4 THEN 0 WHEN -c / 100 <= -1.2 THEN 25 ELSE least(24, greatest(1, CAST(floor(25 * (CAST(-0.4 AS DOUBLE) + c / 100) / (CAST(-0.4 AS DOUBLE) + CAST(1.2 AS DOUBLE))) AS INT))) END
-+ CASE WHEN -(d / 100 - 0.02) >= 0.02 THEN 0 WHEN -(d / 100 - 0.02) <= -0.03 THEN 25 ELSE least(24, greatest(1, CAST(floor(25 * (CAST(0.02 AS DOUBLE) + (d / 100 - CAST(0.02 AS DOUBLE))) / (CAST(0.02 AS DOUBLE) + CAST(0.03 AS DOUBLE))) AS INT))) END AS score FROM p)
-SELECT o_orderpriority, CAST(score AS INT) AS score, CASE WHEN score >= 70 THEN 'PROCEED' WHEN score >= 40 THEN 'CAUTION' ELSE 'PASS' END AS verdict FROM s""")
+@query("pan03_metro_panel", f"""WITH p AS ({_PANEL}), g AS (SELECT q, bool_or(is_forecast) AS is_forecast, coalesce(sum(inventory_units), 0) AS inv, sum(under_construction) AS uc, sum(deliveries_12mo) AS d12, sum(absorption_units_12mo) AS a12,
+sum(vacancy_rate * inventory_units) FILTER (vacancy_rate IS NOT NULL AND inventory_units IS NOT NULL) / nullif(sum(inventory_units) FILTER (vacancy_rate IS NOT NULL AND inventory_units IS NOT NULL), 0) AS vac, count(*) AS n FROM p GROUP BY 1)
+SELECT q, is_forecast, inv AS inventory_units, round(vac, 6) AS vacancy_rate, n AS submarket_count, round(uc / nullif(inv, 0), 6) AS uc_share, round((d12 - a12) / nullif(inv, 0), 6) AS supply_pressure,
+round(CASE WHEN d12 > 0 THEN a12 / d12 WHEN a12 >= 0 THEN 2 ELSE 0 END, 6) AS absorption_delivery_ratio FROM g""")
+def pan03(spark, sf_dir):
+    """PAN-03: submarkets of a metro summed and weighted."""
+    p = panels.submarket_panel(order_panel(spark, sf_dir), ["o_orderpriority"]).withColumn("metro", F.lit("all"))
+    m = panels.metro_panel(p, ["metro"])
+    return m.select("q", "is_forecast", "inventory_units", F.round("vacancy_rate", 6).alias("vacancy_rate"), "submarket_count", *(F.round(c, 6).alias(c) for c in ("uc_share", "supply_pressure", "absorption_delivery_ratio")))
+
+
+_METRICS = f"""WITH p AS ({_PANEL}), r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, is_forecast ORDER BY CASE WHEN is_forecast THEN q ELSE -q END) AS k FROM p),
+l AS (SELECT *, inventory_units AS inv FROM r WHERE k = 1 AND NOT is_forecast), s AS (SELECT o_orderpriority, sum(deliveries) FILTER (is_forecast) AS nx, sum(deliveries) FILTER (NOT is_forecast) AS la FROM r WHERE k <= 4 GROUP BY 1),
+m AS (SELECT o_orderpriority, q AS as_of, under_construction / nullif(inv, 0) AS a, CASE WHEN nx IS NOT NULL AND inv > 0 THEN nx / inv ELSE deliveries_12mo / nullif(inv, 0) END AS b,
+CASE WHEN la > 0 THEN absorption_units_12mo / la WHEN absorption_units_12mo >= 0 THEN 2 WHEN absorption_units_12mo < 0 THEN 0 END AS c, effective_rent_growth_yoy AS d FROM l JOIN s USING (o_orderpriority))"""
+
+
+@query("pan08_risk_score", f"""{_METRICS}, x AS (SELECT *, {' + '.join(score_sql(v, *d[2:]) for v, d in zip("abcd", panels.DIMENSIONS, strict=True))} AS score FROM m)
+SELECT o_orderpriority, as_of, CAST(score AS INT) AS score, CASE WHEN score >= 70 THEN 'PROCEED' WHEN score >= 40 THEN 'CAUTION' ELSE 'PASS' END AS verdict FROM x""")
 def pan08(spark, sf_dir):
-    """PAN-08, PAN-06 by its phase inputs."""
-    p = quarters(spark, sf_dir).select("o_orderpriority", "q", ((F.col("n") % 20) / 100).alias("pipeline"), ((F.col("n") % 25) / 100).alias("vacancy"), ((F.col("n") % 150) / 100).alias("coverage"), ((F.col("n") % 8) / 100 - F.lit(0.02)).alias("rent_growth"))
-    return panels.risk_score(p, ["o_orderpriority"]).select("o_orderpriority", "score", "verdict")
+    """PAN-08: all four dimensions from a panel."""
+    p = panels.submarket_panel(order_panel(spark, sf_dir), ["o_orderpriority"])
+    return panels.risk_score(p, ["o_orderpriority"]).select("o_orderpriority", "as_of", "score", "verdict")
+
+
+@query("pan04_usable", f"""SELECT o_orderpriority, q, coalesce(count(a) OVER w >= 20 AND max(a) OVER w - min(a) OVER w + 1 - count(a) OVER w <= 2, false) AS usable FROM (SELECT *, CASE WHEN NOT is_forecast THEN q END AS a FROM ({_PANEL})) WINDOW w AS (PARTITION BY o_orderpriority)""")
+def pan04(spark, sf_dir):
+    """PAN-04: the gates of a panel's history."""
+    return panels.split_actual(order_panel(spark, sf_dir), ["o_orderpriority"], least=20).select("o_orderpriority", "q", "usable")
 
 
 @query("mod01_ols", """SELECT p_brand, count(*) AS n, round(regr_slope(p_retailprice, p_size), 4) AS p_size, round(regr_intercept(p_retailprice, p_size), 4) AS intercept, round(regr_r2(p_retailprice, p_size), 4) AS r2 FROM part GROUP BY 1 HAVING count(*) >= 8""")

@@ -17,7 +17,8 @@ def one(spark, column, value, kind="string"):
     ("raw", "want"),
     [
         ("123 Main St., Gainesville, TX 76240", "123 main street"), ("  123  N.  Main  St  ", "123 north main street"), ("456 W. Elm Ave., Suite 200", "456 west elm avenue"),
-        ("789 SE 4th Pl.", "789 southeast 4th place"), ("   ", None), (None, None),
+        ("789 SE 4th Pl.", "789 southeast 4th place"), ("   ", None), (None, None), ("12 Oak Terr Apt. 5", "12 oak terrace"), ("9 Kings Way, Unit. 7-B, TX", "9 kings way"),
+        ("1 Cafe\u0301 St", "1 caf\u00e9 street"), ("5 Elm Sq, USA", "5 elm usa"),
     ],
 )
 def test_address(spark, raw, want):
@@ -27,13 +28,18 @@ def test_address(spark, raw, want):
 def test_address_parts(spark):
     p = one(spark, fn.address_parts, "123 Main St #4B, Gainesville, TX 76240")
     assert (p.number, p.token, p.unit, p.zip) == ("123", "main", "4b", "76240")
+    p = one(spark, fn.address_parts, "1 Oak St, TX 76240, USA")
+    assert (p.number, p.token, p.unit, p.zip) == ("1", "oak", None, "76240")
+    p = one(spark, fn.address_parts, "7 St Apt. 9")
+    assert (p.number, p.token, p.unit, p.zip) == ("7", "street", "9", None)
+    assert tuple(one(spark, fn.address_parts, "PO Box 1")) == (None, None, None, None)
 
 
 def test_unit_pattern_eats_inside_words(spark):
     assert one(spark, fn.address_normalise, "1200 webster street") == "1200 web street"
 
 
-@pytest.mark.parametrize(("raw", "want"), [("KARL KLEMENT L.L.C.", "karl klement"), ("FOO BAR & ASSOCIATES", "foo bar associates"), ("XYZ TRUST", "xyz"), ("LLC", None)])
+@pytest.mark.parametrize(("raw", "want"), [("KARL KLEMENT L.L.C.", "karl klement"), ("FOO BAR & ASSOCIATES", "foo bar associates"), ("XYZ TRUST", "xyz"), ("LLC", ""), (None, ""), ("O'Brien Partners Tr", "o'brien"), ("Smith Trustee, et al.", "smith trustee et al"), ("A & B Limited L.P.", "a b limited")])
 def test_owner(spark, raw, want):
     assert one(spark, fn.owner_normalise, raw) == want
 

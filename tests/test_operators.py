@@ -182,18 +182,67 @@ def test_links(spark):
     assert {r.listing_id: r.property_id for r in entity.link_properties(lst, reg).collect()} == {1: "p2", 2: "p3", 3: None}
 
 
+def panel_rows(**more):
+    """50 actual quarters and 6 forecast ones of a steady market."""
+    return [{"m": "a", "q": q, "is_forecast": q >= 50, "inventory_units": 1000.0, "vacancy_rate": 0.08, "stabilized_vacancy": 0.07, "under_construction": 20.0, "deliveries": 5.0, "deliveries_12mo": 20.0, "absorption_units_12mo": 40.0, "effective_rent_growth_yoy": 0.04} | more for q in range(56)]
+
+
+PANEL = "m string, q int, is_forecast boolean, inventory_units double, vacancy_rate double, stabilized_vacancy double, under_construction double, deliveries double, deliveries_12mo double, absorption_units_12mo double, effective_rent_growth_yoy double"
+
+
+def scored(spark, **more):
+    return panels.risk_score(panels.submarket_panel(spark.createDataFrame(panel_rows(**more), PANEL), ["m"]), ["m"]).first()
+
+
 def test_risk_score(spark):
-    df = spark.createDataFrame([("bad", 1, 0.20, 0.20, 0.1, -0.1), ("good", 1, 0.02, 0.05, 2.0, 0.05), ("none", 1, None, None, None, None)], "m string, q int, pipeline double, vacancy double, coverage double, rent_growth double")
-    got = {r.m: r for r in panels.risk_score(df, ["m"]).collect()}
-    assert got["bad"].pipeline_score == 0 and got["bad"].verdict == "PASS" and got["good"].score == 100 and got["good"].verdict == "PROCEED" and got["none"].verdict == "UNKNOWN"
+    good = scored(spark)
+    assert (good.score, good.verdict, good.as_of) == (100, "PROCEED", 49)
+    deep = scored(spark, under_construction=150.0)
+    assert deep.pipeline_depth_score == 0 and deep.score == 75
+    edge = scored(spark, under_construction=50.0, effective_rent_growth_yoy=0.0)  # at the moderate thresholds
+    assert (edge.pipeline_depth_score, edge.rent_momentum_score) == (24, 25)
+    bad = scored(spark, under_construction=200.0, deliveries=30.0, absorption_units_12mo=10.0, effective_rent_growth_yoy=-0.05)
+    assert (bad.score, bad.verdict) == (0, "PASS")
+    none = scored(spark, deliveries=0.0, absorption_units_12mo=-1.0, effective_rent_growth_yoy=None)
+    assert (none.absorption_trend_score, none.rent_momentum_score) == (0, 12)
+    only = spark.createDataFrame([r | {"is_forecast": True} for r in panel_rows()], PANEL)
+    assert panels.risk_score(panels.submarket_panel(only, ["m"]), ["m"]).first().verdict == "UNKNOWN"
 
 
 def test_panel(spark):
-    df = spark.createDataFrame([("a", q, 100 + q, 90 + q, 5, 1000.0 * 1.01**q) for q in range(20)], "m string, q int, inventory int, occupied int, under_construction int, rent double")
-    last = panels.submarket(df, ["m"]).orderBy(F.desc("q")).first()
-    assert abs(last.vacancy - (1 - 109 / 119)) < 1e-12 and last.absorption == 1 and last.surplus == 0 and abs(last.rent_growth - (1.01**4 - 1)) < 1e-9 and last.trend_growth is not None
-    m = panels.metro(df.withColumn("is_forecast", F.lit(False)), "m").where("q = 3").first()
-    assert (m.inventory, m.rows, m.is_forecast) == (103, 1, False)
+    rows = panel_rows()
+    for r in rows:
+        r["inventory_units"], r["vacancy_rate"] = 1000.0 * 1.01 ** r["q"], None if r["q"] == 5 else 0.10 - 0.001 * r["q"]
+    got = {r.q: r for r in panels.submarket_panel(spark.createDataFrame(rows, PANEL), ["m"]).collect()}
+    assert got[0].quarterly_absorption_implied is None and got[0].quarterly_excess == 5.0 and got[5].occupied_units is None
+    want = 1000 * 1.01**20 * (1 - 0.08) - 1000 * 1.01**19 * (1 - 0.081)
+    assert abs(got[20].quarterly_absorption_implied - want) < 1e-9 and abs(got[20].quarterly_excess - (5 - want)) < 1e-9
+    assert got[7].equilibrium_vacancy is None and abs(got[8].equilibrium_vacancy - sum(0.10 - 0.001 * q for q in range(9) if q != 5) / 8) < 1e-12
+    assert abs(got[20].inventory_growth_yoy - (1.01**4 - 1)) < 1e-12 and got[10].delivery_vs_organic_growth is None and got[11].delivery_vs_organic_growth is not None
+    assert abs(got[11].delivery_vs_organic_growth - 20 / (1000 * 1.01**7 * (1.01**4 - 1))) < 1e-9
+    usable = panels.split_actual(spark.createDataFrame([r for r in rows if r["q"] not in (3, 9)], PANEL), ["m"])
+    assert {r.usable for r in usable.collect()} == {True}
+    assert {r.usable for r in panels.split_actual(spark.createDataFrame([r for r in rows if r["q"] not in (3, 9, 10)], PANEL), ["m"]).collect()} == {False}
+    metro = panels.metro_panel(panels.submarket_panel(spark.createDataFrame(rows, PANEL), ["m"]).union(panels.submarket_panel(spark.createDataFrame(panel_rows(), PANEL), ["m"])), ["m"])
+    r = metro.where("q = 20").first()
+    assert r.submarket_count == 2 and abs(r.vacancy_rate - (1000 * 1.01**20 * 0.08 + 80) / (1000 * 1.01**20 + 1000)) < 1e-12
+
+
+def test_cycle_phase_and_regime(spark):
+    level = lambda q: 0.05 + 0.02 * np.sin(2 * np.pi * q / 24)
+    df = spark.createDataFrame([("a", q, None if q == 40 else float(level(q))) for q in range(60)] + [("b", q, 0.05) for q in range(10)], "m string, q int, v double")
+    got = {(r.m, r.q): r.phase for r in win.cycle_phase(df, ["m"], "q", "v").collect()}
+    assert got["a", 3] == got["a", 40] == got["a", 45] == "UNKNOWN"
+    for q in (25, 30, 32):  # against the definition
+        past = [level(x) for x in range(max(0, q - 19), q + 1)]
+        trend = np.polyfit(range(8), [level(x) for x in range(q - 7, q + 1)], 1)[0]
+        low = level(q) < np.mean(past)
+        assert got["a", q] == ("EXPANSION" if low and trend <= 0 else "PEAK" if low else "CONTRACTION" if trend > 0 else "TROUGH")
+    assert {got["b", q] for q in (7, 8, 9)} <= {"TROUGH", "CONTRACTION", "EXPANSION", "PEAK"}  # a level series is never below its mean by more than rounding
+    flag = lambda rows: win.regime_change(spark.createDataFrame(rows, "m string, q int, v double"), ["m"], "q", "v").first().regime_change
+    calm = [("a", q, 0.03 + 0.001 * (q % 2)) for q in range(30)]
+    assert not flag(calm) and flag([*calm[:-1], ("a", 29, 0.2)]) and not flag(calm[:19]) and not flag([("a", q, 1.0) for q in range(30)])
+    assert not flag([*calm[:20], ("a", 20, 0.2), *[("a", q, 0.03 + 0.001 * (q % 2)) for q in range(21, 30)]])  # longer ago than 4
 
 
 def test_models(spark):
@@ -252,6 +301,15 @@ def test_cascade_boosted_phase(spark):
     wave = [("m", q, float(np.sin(2 * np.pi * q / 20))) for q in range(80)] + [("short", q, 1.0) for q in range(10)]
     p = models.hilbert_phase(spark.createDataFrame(wave, "m string, q int, v double"), ["m"], "q", "v").collect()
     assert {r.m for r in p} == {"m"} and len(p) == 80
+    middle = [r for r in p if 20 <= r.q < 60]
+    for r in middle:  # a sine's phase is that of the cosine a quarter behind
+        angle = (2 * np.pi * r.q / 20 - np.pi / 2) % (2 * np.pi)
+        assert abs(np.exp(1j * r.angle) - np.exp(1j * angle)) < 0.25 and abs(r.amplitude - 1) < 0.2
+        assert r.phase == ["EXPANSION", "PEAK", "CONTRACTION", "TROUGH"][int((r.angle % (2 * np.pi)) // (np.pi / 2))]
+    b, a = models.butter_band(2 / 32, 2 / 16)
+    gain = lambda f: abs(np.polyval(b, np.exp(2j * np.pi * f)) / np.polyval(a, np.exp(2j * np.pi * f)))
+    assert abs(gain(1 / 32) - 0.5**0.5) < 1e-9 and abs(gain(1 / 16) - 0.5**0.5) < 1e-9 and gain(1e-6) < 1e-6 and gain(0.4) < 0.05
+    assert abs(models.zero_phase(b, a, np.ones(100))).max() < 1e-9
     turns = np.unwrap([r.angle for r in sorted(p, key=lambda r: r.q)])
     assert abs((turns[60] - turns[20]) - 4 * np.pi) < 0.3
 
