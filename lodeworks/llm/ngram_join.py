@@ -10,7 +10,7 @@ and the components of its links.
    first hashes are all their own can link with nothing and are left out.
 4. Light nodes (n <= boundary) enumerate all 2-subsets of their extended prefix and meet under equal subsets; a heavy
    node scans the inverted lists of its prefix, which hold light and heavy nodes. The boundary is the one of least
-   estimated cost: subsets enumerated and pairs met under them, and pairs met in lists.
+   cost in rows: subsets enumerated, and members of lists scanned.
 5. Members meet only if the hashes from their common one on suffice for the similarity. Meeting is done in two rounds. First
    each subset or list links its members to the one that can share the largest part of itself (of a group of near copies,
    one with hardly any hashes of its own), which joins large groups in linear work. Then only members of different
@@ -285,9 +285,10 @@ def _can_link(na: str, nb: str, most_a: str, most_b: str) -> Column:
 
 
 def boundary(found: DataFrame) -> int:
-    """The cheapest of BOUNDARIES. Cost: subsets that light nodes enumerate, and members met in lists by heavy ones."""
-    lists = found.select("n", F.explode("p1").alias("h")).groupBy("h").agg(F.count("*").alias("m"), *(F.expr(f"sum(if(n > {b}, 1L, 0L)) AS h{b}") for b in BOUNDARIES))
-    scans = lists.agg(*(F.expr(f"sum(h{b} * m) AS s{b}") for b in BOUNDARIES)).first()
+    """The cheapest of BOUNDARIES, by the rows that meet: subsets that light nodes enumerate, and members of lists that hold a
+    heavy node (a list meets its centre, so its members count once each, not in pairs)."""
+    lists = found.select("n", F.explode("p1").alias("h")).groupBy("h").agg(F.count("*").alias("m"), F.max("n").alias("most"))
+    scans = lists.agg(*(F.expr(f"sum(if(most > {b}, m, 0)) AS s{b}") for b in BOUNDARIES)).first()
     found = found.select("n", F.expr("size(p2) * (size(p2) - 1) / 2 AS k"))
     subsets = found.agg(*(F.expr(f"sum(if(n <= {b}, k, 0D)) AS u{b}") for b in BOUNDARIES)).first()
     return min(BOUNDARIES, key=lambda b: ((subsets[f"u{b}"] or 0) + (scans[f"s{b}"] or 0), b))
