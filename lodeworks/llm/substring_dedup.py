@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from .common import Words, alnum_words, byte_codes, mix, redact, runs_of_text, table
 
 #: Least words of a line, words of a run, and consecutive runs of which the least digest is a unit.
-LINE_WORDS, RUN, SPREAD = 16, 24, 4
-#: Units that a mapper holds at a time, and that a dealt bucket holds on average; characters of text for a unit.
-FLUSH, BUCKET, PER_UNIT = 400_000, 400_000, 16
+LINE_WORDS, RUN, SPREAD = 16, 24, 8
+#: Units that a mapper holds at a time, and that a dealt bucket holds on average; characters of text for a unit; least number
+#: of buckets.
+FLUSH, BUCKET, PER_UNIT, LEAST_BUCKETS = 400_000, 1_500_000, 28, 32
 
 
 def _runs(w: Words) -> np.ndarray:
@@ -234,7 +235,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Per document of which something is removed: id, th (a hash of the text), spans (start, end; ascending, apart)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.char_length(text_col)), F.lit(0))).first()[0]
-    buckets = max(8, chars // (BUCKET * PER_UNIT) + 1)
+    buckets = max(LEAST_BUCKETS, chars // (BUCKET * PER_UNIT) + 1)
     dealt = rows.mapInArrow(_deal(buckets), _ROWS)
     gone = dealt.groupBy("bucket").applyInArrow(_removed, _GONE)
     gone = gone.groupBy("id", "th").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
