@@ -22,14 +22,20 @@ REGISTRY = [
     ("livebh", ["livebh.com"], ["data-floorplans="]),
     ("tonti_rentcafe", ["tontiproperties.com"], ["AvailableUnitsCount"]),
     ("apartments247", ["apartments247.com"], ["apartments247"]),
-    ("rentcafe", ["rentcafe.com", "securecafe.com"], ["rentcafe"]),
-    ("entrata", ["entrata.com"], ["entrata", '"MinRent"']),
 ]
 UNIT = "unit_number string, beds int, baths double, sqft double, rent double, rent_max double, available_date string, available_count int, floorplan_name string"
 
 
-def resolve(url: Column, html: Column, registry: list = REGISTRY, fallback: str = "llm") -> Column:
+def every_engine() -> list:
+    """(name, parts of addresses, marks, parser) of all engines, in the registry's order."""
+    from .site_engines import SITES
+
+    return [(*e, ENGINES[e[0]]) for e in REGISTRY] + SITES
+
+
+def resolve(url: Column, html: Column, registry: list | None = None, fallback: str = "llm") -> Column:
     """Name of the first engine with a part of its addresses in the url, else with a mark in the page, else the fallback."""
+    registry = every_engine() if registry is None else registry
     low = F.lower(F.coalesce(url, F.lit("")))
     out = F.lit(fallback)
     for tests in (lambda e: [F.coalesce(html.contains(m), F.lit(False)) for m in e[2]], lambda e: [low.contains(p.lower()) for p in e[1]]):
@@ -187,8 +193,16 @@ ENGINES = {"cortland": unit_objects, "sightmap": map_units, "knock": doorway_uni
 
 def extract_all(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
     """Units of all pages by the engines that claim them: (key, engine, unit columns). One branch an engine, each reading
-    its own pages only."""
+    its own pages only. Pages that no engine claims, or whose engine finds nothing, are in `page_status`."""
     from .reshape import union_all
 
     claimed = pages.withColumn("_e", resolve(F.col(url), F.col(payload)))
-    return union_all(*(f(claimed.where(F.col("_e") == name), key, payload).withColumn("engine", F.lit(name)) for name, f in ENGINES.items()))
+    return union_all(*(parser(claimed.where(F.col("_e") == name), key, payload).withColumn("engine", F.lit(name)) for name, _, _, parser in every_engine()))
+
+
+def page_status(pages: DataFrame, units: DataFrame, key: str, url: str, payload: str) -> DataFrame:
+    """Every page once: (key, engine, n_units, status), the status being ok, empty (its engine found no unit) or unclaimed."""
+    n = units.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("n_units"))
+    out = pages.select(key, resolve(F.col(url), F.col(payload)).alias("engine")).join(n, F.col(key) == F.col("_k"), "left")
+    status = F.when(F.col("engine") == "llm", "unclaimed").when(F.col("n_units").isNull(), "empty").otherwise("ok")
+    return out.select(key, "engine", F.coalesce("n_units", F.lit(0)).alias("n_units"), status.alias("status"))

@@ -152,7 +152,7 @@ def fn32(spark, sf_dir):
 @query("fn43_strip_tags", """SELECT page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->|<[^>]+>', ' ', 'g'),
 '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g'))) AS digest FROM pages""")
 def fn43(spark, sf_dir):
-    """FN-43, EXT-19."""
+    """FN-43."""
     return t(spark, sf_dir, "pages").select("page_id", F.md5(fn.strip_tags("html")).alias("digest"))
 
 
@@ -273,7 +273,7 @@ def prj37(spark, sf_dir):
 
 @query("ext_title_links", """SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, len(regexp_extract_all(html, '(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>')) AS n_links FROM pages""")
 def ext_title(spark, sf_dir):
-    """EXT-01 to EXT-05: titles and links."""
+    """Titles and number of links of pages."""
     p = t(spark, sf_dir, "pages")
     n = F.size(F.regexp_extract_all("html", F.lit(r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), F.lit(0))).cast("long")
     return p.select("page_id", extract.title("html").alias("title"), n.alias("n_links"))
@@ -282,13 +282,13 @@ def ext_title(spark, sf_dir):
 @query("ext_links", """WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>')) AS x, generate_subscripts(regexp_extract_all(html, '(?is)<a\\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), 1) AS i FROM pages)
 SELECT page_id, CAST(i - 1 AS INT) AS pos, regexp_extract(x, '(?i)href="([^"]*)"', 1) AS href FROM a""")
 def ext_links(spark, sf_dir):
-    """EXT-06 to EXT-10: a row a link."""
+    """A row a link."""
     return extract.links(t(spark, sf_dir, "pages"), "page_id", "html").select("page_id", "pos", "href")
 
 
 @query("ext_paragraphs", """WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<p[^>]*>(.*?)</p>', 1)) AS x FROM pages) SELECT page_id, count(*) AS n, CAST(sum(length(x)) AS BIGINT) AS chars FROM a GROUP BY 1""")
 def ext_paragraphs(spark, sf_dir):
-    """EXT-11 to EXT-18: repeated blocks of a page."""
+    """Repeated blocks of a page."""
     rows = t(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1))).alias("x"))
     return rows.groupBy("page_id").agg(F.count("*").alias("n"), F.sum(F.length("x")).alias("chars"))
 

@@ -56,3 +56,11 @@ def test_cards_and_lines(spark):
     text = "<p>Plan: A</p><p>Beds: 1</p><p>Rent: $900</p><p>Plan: B</p><p>Beds: 2</p>"
     got = engines.label_lines(spark.createDataFrame([(1, text)], "k int, h string"), "k", "h", {"name": r"Plan: (\w+)", "beds": r"Beds: (\d)", "rent": r"Rent: \$(\d+)"})
     assert sorted((r.floorplan_name, r.beds, r.rent) for r in got.collect()) == [("A", 1, 900.0), ("B", 2, 0.0)]
+
+
+def test_every_claimed_page_is_accounted_for(spark):
+    df = pages(spark).unionByName(spark.createDataFrame([(20, "https://x.securecafe.com", "<p>nothing</p>"), (21, "https://www.entrata.com", '[{"Beds":1,"MinRent":900,"Name":"A"}]'), (22, "https://maac.com/a", None)], "k int, url string, body string"))
+    units = engines.extract_all(df, "k", "url", "body")
+    got = {r.k: (r.engine, r.n_units, r.status) for r in engines.page_status(df, units, "k", "url", "body").collect()}
+    assert len(got) == len(PAGES) + 3
+    assert got[20] == ("rentcafe", 0, "empty") and got[21] == ("entrata", 1, "ok") and got[22] == ("maa", 0, "empty") and got[8] == ("llm", 0, "unclaimed") and got[1] == ("cortland", 2, "ok")
