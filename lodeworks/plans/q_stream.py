@@ -23,11 +23,11 @@ def _run(stream, spark, mode: str, keys: list[str]):
     at = f"{shared_dir(spark)}/lodeworks-stream-{uuid.uuid4().hex}"
 
     def batch(df, number: int) -> None:
-        df.withColumn("_batch", F.lit(number)).write.mode("append").parquet(f"{at}/rows")
+        df.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{at}/rows/part_no={number}")  # a batch tried again replaces itself
 
     q = stream.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    rows = spark.read.parquet(f"{at}/rows")
+    rows = spark.read.parquet(f"{at}/rows").drop("part_no")
     top = rows.groupBy(*keys).agg(F.max("_batch").alias("_batch"))
     return rows.join(top, [*keys, "_batch"]).drop("_batch")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.operators.joins import insert_if_absent
@@ -21,14 +21,15 @@ def replace_partitions(df: DataFrame, path: str, by: str, order: list[str] = ())
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table; any other failure of a read is an error and raised as such."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def append_absent(df: DataFrame, path: str, keys: list[str], order: str) -> None:
     """Rows whose key the table does not hold yet."""
-    spark = df.sparkSession
-    try:
-        old = spark.read.parquet(path)
-        old.schema
-    except Exception:  # no such table yet
-        old = df.limit(0)
+    old = df.sparkSession.read.parquet(path) if exists(df.sparkSession, path) else df.limit(0)
     insert_if_absent(old, df, keys, order).write.mode("append").parquet(path)
 
 

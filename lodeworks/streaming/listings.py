@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodeworks.operators.joins import insert_if_absent
+from lodeworks.sources.sinks import exists
 
 
 def fresh(stream: DataFrame, key: str, at: str, late: str = "2 days") -> DataFrame:
@@ -26,11 +27,7 @@ def append_once(stream: DataFrame, path: str, checkpoint: str, keys: list[str],
 
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession
-        try:
-            old = spark.read.schema(df.schema).parquet(path)
-            old.limit(1).count()
-        except Exception:  # no such table yet
-            old = df.limit(0)
+        old = spark.read.schema(df.schema).parquet(path) if exists(spark, path) else df.limit(0)
         insert_if_absent(old, df, keys, order).write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
