@@ -7,7 +7,7 @@ import pytest
 from lodeworks.plans import registry
 
 #: Queries that cross join one-row aggregates.
-ONE_ROW = {"agg34_totals_top_share"}
+ONE_ROW = {"agg06_global_median", "agg10_divergence", "agg31_distribution_pct", "agg34_totals_top_share"}
 #: These run jobs while their plan is made; they are run by the comparison with SQL.
 EAGER = {"er_fold_dedup", "stream01_window_counts", "stream02_first_of_key", "mod10_boosted"}
 
