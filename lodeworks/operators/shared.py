@@ -37,6 +37,11 @@ def table(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """The files under `path` go when the session ends."""
+    _WRITTEN[path] = spark
+
+
 def forget(written: DataFrame) -> None:
     """Delete the files of a `table` that nothing will read again."""
     path = written._lodeworks_path
