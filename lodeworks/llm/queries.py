@@ -3,7 +3,7 @@ held against brute force in tests/llm."""
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, lm_score, merkle, mixing, ngram_join, quality, secret_scan, substring_dedup, toxicity, url_filter
+from . import decontaminate, license_scan, lm_score, merkle, mixing, ngram_join, quality, secret_scan, substring_dedup, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_token_files": token_files.op12_token_files,
 }
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import random
+import zlib
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lodeworks.llm import merkle
+from lodeworks.llm import merkle, token_files
 
 from . import brute
 
@@ -53,3 +57,77 @@ def test_op11_odd(spark):
     assert proofs(spark, []).count() == 0
     lone = proofs(spark, [(1, "a", "en", 1, "x")]).first()
     assert lone.leaf == lone.subroot == lone.root == lone.folded_root and lone.verified
+
+
+# ------------------------------------------------------------------ op12
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1), st.integers(2**59, 2**61)), max_size=400), st.integers(1, 90))
+def test_op12_round_trip(values, block):
+    old, token_files.BLOCK = token_files.BLOCK, block
+    try:
+        words, blocks = token_files.pack(np.array(values, np.uint64))
+        assert token_files.unpack(words).tolist() == values
+        assert len(blocks) == -(-len(values) // block)
+        for k in range(len(blocks)):
+            assert token_files.unpack(words, blocks, k).tolist() == values[k * block : (k + 1) * block]
+    finally:
+        token_files.BLOCK = old
+
+
+def test_op12_packs_the_most_that_fit():
+    words, _ = token_files.pack(np.array([1] * 60 + [5] * 20 + [40_000] * 3 + [2**62, 7], np.uint64))
+    assert [int(w >> np.uint64(60)) for w in words] == [1, 3, 12, 0, 0, 14]
+    assert len(token_files.pack(np.zeros(6000, np.uint64))[0]) == 5 * 18 + 16  # blocks end with words of fewer values
+
+
+def plain(rows):
+    """The same by the library alone, text by text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    out, start = [], 0
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def tokens(spark, rows, path, digest=True, schema="doc_id long, text string"):
+    import public_tokenizers
+
+    token_files.write(spark.createDataFrame(rows, schema), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path, digest)
+
+
+def test_op12_driver_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert sorted_rows(token_files.op12_token_files(spark, sf).collect()) == sorted_rows(plain([tuple(r) for r in docs]))
+
+
+def test_op12_pieces_as_whole_texts():
+    """Texts of any marks, spaces and scripts: ids of pieces put together are those of the whole text."""
+    import public_tokenizers
+
+    rng = random.Random(5)
+    signs = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u2003", "\x1c", "'s", "'", "don't", "a", "Wort", "é", "e\u0301", "漢字", "1", "²", "12.5", ".", "...", "!?", ",", "\U0001f600", "_", "$", "<|endoftext|>", "ʰ", "ɏa", "\x00"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    e = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    ids, sizes = e.encode(texts, 2)
+    whole = [[*x.ids, 2] for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(w) for w in whole] and ids.tolist() == [i for w in whole for i in w]
+
+
+def test_op12_odd(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "RECORD", 50)
+    rows = [(None, "first of all"), (3, None), (2, ""), (2, ""), (9, "Wort " * 100_000), (9, "Wort " * 100_000), (-4, " \n "), (7, "é ß 漢字 \U0001f600 <|endoftext|> it's")] + [(10 + i, f"row {i}") for i in range(500)]
+    random.Random(1).shuffle(rows)
+    got = tokens(spark, [(*r, 1, "x") for r in rows], str(tmp_path / "a"), schema="doc_id long, text string, start int, words string").collect()
+    assert sorted_rows(got) == sorted_rows(plain(rows))
+    assert tokens(spark, [], str(tmp_path / "b")).count() == 0
+    ids = tokens(spark, [(5, "one two"), (4, None)], str(tmp_path / "c"), digest=False).orderBy("doc_id").collect()
+    assert [len(r.ids) for r in ids] == [1, 3] and all(r.ids[-1] == 2 for r in ids)
