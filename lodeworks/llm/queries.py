@@ -3,7 +3,7 @@ held against brute force in tests/llm."""
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, lm_score, merkle, mixing, ngram_join, quality, secret_scan, substring_dedup, token_files, toxicity, url_filter
+from . import decontaminate, license_scan, lm_score, merkle, mixing, ngram_join, quality, search, secret_scan, substring_dedup, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_token_files": token_files.op12_token_files,
+    "op13_lexical_search": search.op13_lexical_search,
 }
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
@@ -94,4 +95,37 @@ p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.d
 r AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT p.b AS id, r.c AS c FROM r JOIN p ON r.id = p.a)
 SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, m.c AS component_id FROM s JOIN (SELECT id, min(c) AS c FROM r GROUP BY 1) m ON m.id = s.doc_id"""
 
-ORACLE_SQL: dict[str, str] = {"op1_ngram_join": _OP1, "op2_quality_rules": _OP2, "op5_decontaminate": _OP5, "op8_secret_scan": _OP8}
+def _fields(text: str) -> str:
+    """The fields of a leaf, each with its length in bytes."""
+    return " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text))
+
+
+_OP11 = f"""
+WITH RECURSIVE f AS (SELECT *, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)) AS crc, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+v AS (SELECT doc_id, source, sha256({_fields('text')}) AS leaf, CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256({_fields('low')}) ELSE sha256({_fields('text')}) END AS forged FROM f),
+p AS (SELECT *, coalesce('=' || source, '') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS size FROM v),
+lv AS (SELECT tree, 0 AS level, i, leaf AS h, size AS n FROM p
+UNION ALL SELECT tree, level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16 FROM lv WHERE n > 1 GROUP BY tree, level, i // 16),
+sub AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM lv WHERE n = 1),
+tv AS (SELECT 0 AS level, i, subroot AS h, n FROM sub UNION ALL SELECT level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 15) // 16 FROM tv WHERE n > 1 GROUP BY level, i // 16),
+every AS (SELECT tree, level, i, h FROM lv WHERE n > 1 UNION ALL SELECT tree, 100 + tv.level, tv.i, tv.h FROM tv, (SELECT DISTINCT tree FROM lv) WHERE tv.n > 1),
+way AS (SELECT doc_id, leaf, p.tree, every.level, p.i // CAST(power(16, every.level) AS BIGINT) AS spot FROM p JOIN (SELECT DISTINCT tree, level FROM every WHERE level < 100) every USING (tree)
+UNION ALL SELECT doc_id, leaf, p.tree, l.level, sub.i // CAST(power(16, l.level - 100) AS BIGINT) AS spot FROM p JOIN sub USING (tree), (SELECT DISTINCT level FROM every WHERE level >= 100) l),
+step AS (SELECT doc_id, leaf, level, row_number() OVER (PARTITION BY doc_id, leaf ORDER BY level) AS k, coalesce(string_agg(h, '' ORDER BY every.i) FILTER (every.i < spot), '') AS l, coalesce(string_agg(h, '' ORDER BY every.i) FILTER (every.i > spot), '') AS r
+FROM way JOIN every USING (tree, level) WHERE every.i // 16 = spot // 16 GROUP BY doc_id, leaf, level),
+proof AS (SELECT doc_id, leaf, string_agg(l || r, '' ORDER BY k) AS s, max(k) AS k FROM step GROUP BY 1, 2),
+fold AS (SELECT doc_id, leaf, 0 AS k, forged AS h FROM p UNION ALL SELECT doc_id, leaf, fold.k + 1, sha256(l || h || r) FROM fold JOIN step USING (doc_id, leaf) WHERE step.k = fold.k + 1),
+root AS (SELECT h AS root FROM tv WHERE n = 1)
+SELECT p.doc_id, p.leaf, subroot, root, sha256(coalesce(proof.s, '')) AS proof_sha256, fold.h AS folded_root, fold.h = root AS verified
+FROM p JOIN sub USING (tree) LEFT JOIN proof ON proof.doc_id = p.doc_id AND proof.leaf = p.leaf JOIN fold ON fold.doc_id = p.doc_id AND fold.leaf = p.leaf AND fold.k = coalesce(proof.k, 0), root"""
+
+_OP13 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), q AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+t AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) AS BIGINT) AS score FROM q JOIN p USING (term) JOIN t USING (term), c GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op1_ngram_join": _OP1, "op2_quality_rules": _OP2, "op5_decontaminate": _OP5, "op8_secret_scan": _OP8, "op11_merkle_manifest": _OP11, "op13_lexical_search": _OP13}

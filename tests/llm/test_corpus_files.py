@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lodeworks.llm import merkle, token_files
+from lodeworks.llm import merkle, search, token_files
 
 from . import brute
 
@@ -131,3 +134,48 @@ def test_op12_odd(spark, tmp_path, monkeypatch):
     assert tokens(spark, [], str(tmp_path / "b")).count() == 0
     ids = tokens(spark, [(5, "one two"), (4, None)], str(tmp_path / "c"), digest=False).orderBy("doc_id").collect()
     assert [len(r.ids) for r in ids] == [1, 3] and all(r.ids[-1] == 2 for r in ids)
+
+
+# ------------------------------------------------------------------ op13
+
+
+def ranked(docs, items, k=10):
+    """(item_id, rank, doc_id, score) by counting every text for every item."""
+    cut = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda c: c[0].lower(), t or ""))
+    texts = [(i, cut(t)) for i, t in docs]
+    n_docs, total, df = sum(bool(w) for _, w in texts), sum(len(w) for _, w in texts), Counter(t for _, w in texts for t in set(w))
+    wanted = {}
+    for i, t in items:
+        wanted.setdefault(i, set()).update(cut(t))
+    out = []
+    for item, terms in wanted.items():
+        scores = []
+        for i, w in texts:
+            tf, m = Counter(w), 10 + (90 * len(w) * n_docs // total if total else 0)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 8 * m)) for t in terms if tf[t])
+            scores += [(-score, i is not None, i or 0)] if score else []
+        out += [(item, r, i if known else None, -score) for r, (score, known, i) in enumerate(sorted(scores)[:k], 1)]
+    return out
+
+
+def test_op13_driver_table(spark, sf):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    assert sorted_rows(search.op13_lexical_search(spark, sf).collect()) == sorted_rows(ranked(docs, items))
+
+
+@pytest.mark.parametrize(("terms", "pairs", "bits"), [(500_000, 500_000, 10), (500_000, 0, 1), (0, 0, 3)])
+def test_op13_odd(spark, monkeypatch, terms, pairs, bits):
+    """Nulls, equal ids, ties, repeated rows, long texts and clashing columns, within the bounds and beyond."""
+    monkeypatch.setattr(search, "MOST_TERMS", terms)
+    monkeypatch.setattr(search, "MOST_PAIRS", pairs)
+    monkeypatch.setattr(search, "BLOCK_BITS", bits)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40)] + ["É", "é", "漢字", "A1", "a_b", "x\u00a0y"]
+    docs = [(None, None), (1, ""), (2, " .,; "), (None, "w1 w2"), (None, "w1 w2"), (3, "w1 " * 200_000), (4, "W1-w2 é É"), (4, "w1 w2 é É")]
+    docs += [(10 + i, " ".join(rng.choices(words, k=rng.randint(1, 60)))) for i in range(200)] + [(300 + i, "w1 w2 w3") for i in range(30)]
+    items = [(None, "w1"), ("a", "W1 w2 w2"), ("a", "w39"), ("b", None), ("c", "nowhere 漢字 x"), ("d", "w1 w2 w3")]
+    d = spark.createDataFrame([(*r, 1, 2, "z") for r in docs], "doc_id long, text string, row int, t int, term string")
+    q = spark.createDataFrame([(*r, 3, 4) for r in items], "item_id string, text string, i int, item int")
+    assert sorted_rows(search.search(d, q).collect()) == sorted_rows(ranked(docs, items))
+    assert search.search(d.limit(0), q).count() == search.search(d, q.limit(0)).count() == 0
