@@ -131,7 +131,7 @@ def unpack(words: np.ndarray, blocks: np.ndarray | None = None, block: int | Non
 #: A piece of text ends where no token of the byte-level pattern goes on: before white space, and before marks that end a
 #: word of letters of Latin script. Other white space than these three may join tokens, so such texts are encoded whole.
 _PIECE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[.,;:!?]+(?:\s|$))|\s*\S+|\s+$")
-_OTHER_SPACE = re.compile(r"[^\S \t\n]")
+_OTHER_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n"]
 
 
 class Encoder:
@@ -148,7 +148,7 @@ class Encoder:
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.first, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def _add(self, pieces: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -168,18 +168,25 @@ class Encoder:
         """All ids, each text's followed by `end`, and how many each text has."""
         if len(self.number) > KNOWN:
             self.forget()
-        cut = [[t] if t and _OTHER_SPACE.search(t) else _PIECE.findall(t or "") for t in texts]
-        known = self.number
-        new = list(dict.fromkeys(p for c in cut for p in c if p not in known))
-        if new:
-            self._add(new)
-        pieces = np.fromiter((known[p] for c in cut for p in c), np.int64, sum(map(len, cut)))
-        size = self.size[pieces]
-        at = np.repeat(self.first[pieces] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        ids = self.ids[at]
-        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
-        stop = np.concatenate([[0], np.cumsum(size)])[ends]
-        return np.insert(ids, stop, np.uint32(end)), np.diff(stop, prepend=0) + 1
+        pieces, ends = [], []
+        for t in texts:
+            if t:
+                if any(c in t for c in _OTHER_SPACES):
+                    pieces.append(t)
+                else:
+                    pieces += _PIECE.findall(t)
+            ends.append(len(pieces))
+        found = list(map(self.number.get, pieces))
+        if None in found:
+            self._add(list(dict.fromkeys(p for p, k in zip(pieces, found, strict=True) if k is None)))
+            found = list(map(self.number.get, pieces))
+        which = np.array(found, np.int32)
+        size = self.size[which]
+        stop = np.cumsum(size)
+        at = np.repeat(self.first[which] - stop + size, size)
+        at += np.arange(len(at), dtype=np.int32)
+        last = np.concatenate([[0], stop])[np.array(ends, np.int64)]
+        return np.insert(self.ids[at], last, np.uint32(end)), np.diff(last, prepend=0) + 1
 
 
 def _encoder(path: str) -> Encoder:
