@@ -130,6 +130,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_key: str = "doc_i
     posted = posted.where("t IS NOT NULL")
     # floor(1000 ln((2 N + 2) / (2 df + 1))), in doubles.
     weight = posted.groupBy("t").agg(F.floor(F.lit(float(SCALE)) * F.ln(F.lit(2.0 * n + 2) / (2 * F.count("*") + 1))).cast("long").alias("w"))
+    if terms.count() <= MOST_TERMS:  # two numbers a term
+        weight = F.broadcast(weight)
     # A product of three counts may pass 64 bits on its way: decimals carry it.
     share = F.expr(f"cast(cast({LENGTH_SHARE} as decimal(3,0)) * cast(n as decimal(15,0)) * cast({n} as decimal(15,0)) div {max(total, 1)} as bigint)")
     m = SCALE // 10 - LENGTH_SHARE + share
