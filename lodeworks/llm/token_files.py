@@ -19,6 +19,7 @@ dealt to any number of tasks.
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 import types
@@ -38,8 +39,8 @@ COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
 BLOCK, RECORD = 1024, 1 << 18
 END = 2
-#: Distinct pieces of text whose ids a Python worker keeps; then it starts anew.
-KNOWN = 1 << 20
+#: Distinct pieces of text whose ids a Python worker keeps; then those go that it has met fewer than OFTEN times since.
+KNOWN, OFTEN = 1 << 20, 3
 
 _RECORD = "shard int, start long, docs array<long>, lengths array<long>, n_ids long, blocks array<int>, words binary"
 
@@ -139,16 +140,25 @@ class Encoder:
     numbered, and a text's ids are gathered from those of its pieces."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.forget()
-
-    def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+        self.first, self.size, self.met = (np.zeros(1 << 14, np.int32) for _ in range(3))
+
+    def forget(self) -> None:
+        kept = np.flatnonzero(self.met[: len(self.number)] >= OFTEN)
+        pieces = list(self.number)
+        self.number = {pieces[k]: i for i, k in enumerate(kept.tolist())}
+        first, size = self.first[kept], self.size[kept]
+        ends = np.cumsum(size)
+        self.used = int(size.sum())
+        self.ids[: self.used] = self.ids[np.repeat(first - ends + size, size) + np.arange(self.used)]
+        self.first[: len(kept)], self.size[: len(kept)] = ends - size, size
+        self.met[:] = 0
 
     def _add(self, pieces: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -158,7 +168,7 @@ class Encoder:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + m > len(self.first):
-            self.first, self.size = np.concatenate([self.first, np.zeros_like(self.first)]), np.concatenate([self.size, np.zeros_like(self.size)])
+            self.first, self.size, self.met = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.size, self.met))
         self.ids[self.used : self.used + len(flat)] = flat
         self.first[n : n + m], self.size[n : n + m] = self.used + np.cumsum(size) - size, size
         self.used += len(flat)
@@ -181,6 +191,7 @@ class Encoder:
             self._add(list(dict.fromkeys(p for p, k in zip(pieces, found, strict=True) if k is None)))
             found = list(map(self.number.get, pieces))
         which = np.array(found, np.int32)
+        self.met[: len(self.number)] += np.bincount(which, minlength=len(self.number)).astype(np.int32)
         size = self.size[which]
         stop = np.cumsum(size)
         at = np.repeat(self.first[which] - stop + size, size)
