@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .diagnostics import _types, adf
+from .diagnostics import _types, adf, beside
 
 LEAST, SEASON = 16, 4
 #: Seasonal orders tried (autoregressive, moving average).
@@ -159,8 +159,7 @@ def search(df: DataFrame, keys: list[str], at: str, value: str, most_p: int = 3,
     """Every order of every market: (keys, p, d, q, sp, sq, aic, mean, sd, rmse, ar, ma, forecast)."""
     orders = [(p, q, sp, sq) for p in range(most_p + 1) for q in range(most_q + 1) if p or q for sp, sq in seasonal]
     s = df.select(*keys, at, F.col(value).cast("double").alias("y")).where("y IS NOT NULL").groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(at), "y"))), lambda x: x["y"]).alias("series"))
-    d = differences(df, keys, at, value, most_d).select(*(F.col(k).alias(f"_{k}") for k in keys), "d")
-    s = s.where(F.size("series") >= LEAST).join(d, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).select(*keys, "d", "series")
+    s = beside(s.where(F.size("series") >= LEAST), differences(df, keys, at, value, most_d), keys)
     each = F.explode(F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(o, ("p", "q", "sp", "sq"), strict=True))) for o in orders)))
     rows = s.withColumn("o", each).select(*keys, "d", "series", "o.*")
     rows = rows.repartition(*keys, "p", "q", "sp", "sq")
@@ -184,4 +183,4 @@ def search(df: DataFrame, keys: list[str], at: str, value: str, most_p: int = 3,
 def best(found: DataFrame, keys: list[str]) -> DataFrame:
     """Of each market the order of the least AIC, the smaller one if equal."""
     order = F.struct("aic", "p", "q", "sp", "sq")
-    return found.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in found.columns if c not in keys]), order).alias("m")).select(*keys, "m.*")
+    return found.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in found.columns if c not in keys]), order).alias("_best")).select(*keys, "_best.*")

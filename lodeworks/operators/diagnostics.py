@@ -112,6 +112,12 @@ def _standard(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.withColumn("_n", F.count("*").over(w)).where(F.coalesce(*(F.col(c) for c in columns)).isNotNull())
 
 
+def beside(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join on `by`, nulls being equal; the right side's keys go, its other columns must be new."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in by})
+    return left.join(right, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in by], how).drop(*(f"_right_{k}" for k in by))
+
+
 def _types(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
 
@@ -184,8 +190,8 @@ def granger(df: DataFrame, keys: list[str], at: str, effect: str, cause: str, mo
 
 def _series(df: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
     """(keys, n, e): a market's values in order, less their mean."""
-    g = df.select(*keys, at, F.col(value).cast("double").alias("y")).where("y IS NOT NULL").groupBy(*keys).agg(F.count("*").alias("n"), F.avg("y").alias("m"), F.array_sort(F.collect_list(F.struct(F.col(at), "y"))).alias("s"))
-    return g.select(*keys, F.col("n").cast("int").alias("n"), F.transform("s", lambda x: x["y"] - F.col("m")).alias("e"))
+    g = df.select(*keys, at, F.col(value).cast("double").alias("y")).where("y IS NOT NULL").groupBy(*keys).agg(F.count("*").alias("n"), F.avg("y").alias("_mean"), F.array_sort(F.collect_list(F.struct(F.col(at).alias("_at"), "y"))).alias("_rows"))
+    return g.select(*keys, F.col("n").cast("int").alias("n"), F.transform("_rows", lambda x: x["y"] - F.col("_mean")).alias("e"))
 
 
 def _sum(a: Column) -> Column:
@@ -264,22 +270,18 @@ def accuracy(bt: DataFrame, keys: list[str], at: str) -> DataFrame:
         F.coalesce(F.covar_samp(own, F.col("e1")) / F.nullif(F.stddev_samp(own) * F.stddev_samp("e1"), F.lit(0.0)), F.lit(0.0)).alias("acf1"),
         F.avg(F.col("actual").between(F.col("lo"), F.col("hi")).cast("double")).alias("coverage"),
     )
-    lb = ljung_box(e, by, at, "e", (5,)).select(*(F.col(k).alias(f"_{k}") for k in by), F.col("p").alias("ljung_box_p"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]
-    out = g.join(lb, same, "left")
+    out = beside(g, ljung_box(e, by, at, "e", (5,)).select(*by, F.col("p").alias("ljung_box_p")), by, "left")
     return out.select(*by, "n", "rmse", "mae", "bias", F.when(F.col("n") >= 2, F.col("acf1")).alias("acf1"), F.when(F.col("n") >= 10, F.col("ljung_box_p")).alias("ljung_box_p"), "coverage")
 
 
 def diebold_mariano(bt: DataFrame, keys: list[str], at: str, against: str = "Naive") -> DataFrame:
     """Every model's squared errors against those of one model at the same origins: (keys, model, n, statistic, p), positive
     where the model is better. Models with other origins than `against`, or equal losses, have no row."""
-    loss = bt.select(*keys, "model", at, F.pow(F.col("actual") - F.col("predicted"), 2).alias("loss"))
-    base = loss.where(F.col("model") == against).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(at).alias("_at"), F.col("loss").alias("_loss"))
-    same = [*(F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys), F.col(at) == F.col("_at")]
-    count = loss.where(F.col("model") == against).groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.count("*").alias("_all"))
-    d = loss.where(F.col("model") != against).join(base, same).groupBy(*keys, "model").agg(F.count("*").alias("n"), F.avg(F.col("_loss") - F.col("loss")).alias("m"), F.var_samp(F.col("_loss") - F.col("loss")).alias("v"))
-    own = loss.groupBy(*keys, "model").agg(F.count("*").alias("_own")).select(*(F.col(k).alias(f"o_{k}") for k in [*keys, "model"]), "_own")
-    d = d.join(count, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).join(own, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in [*keys, "model"]])
-    d = d.where((F.col("n") == F.col("_all")) & (F.col("n") == F.col("_own")) & (F.col("v") > 0))
+    by, loss = [*keys, "model"], bt.select(*keys, "model", at, F.pow(F.col("actual") - F.col("predicted"), 2).alias("loss"))
+    base = loss.where(F.col("model") == against)
+    d = beside(loss.where(F.col("model") != against), base.select(*keys, at, F.col("loss").alias("base")), [*keys, at])
+    d = d.groupBy(*by).agg(F.count("*").alias("n"), F.avg(F.col("base") - F.col("loss")).alias("m"), F.var_samp(F.col("base") - F.col("loss")).alias("v"))
+    d = beside(d, base.groupBy(*keys).agg(F.count("*").alias("of_base")), keys)
+    d = beside(d, loss.groupBy(*by).agg(F.count("*").alias("own")), by)
     z = F.col("m") / F.sqrt(F.col("v") / F.col("n"))
-    return d.select(*keys, "model", "n", z.alias("statistic"), normal_two_sided(z).alias("p"))
+    return d.where("n = of_base AND n = own AND v > 0").select(*by, "n", z.alias("statistic"), normal_two_sided(z).alias("p"))
