@@ -40,7 +40,7 @@ WIDTHS = 60 // COUNTS
 BLOCK, RECORD = 1024, 1 << 18
 END = 2
 #: Distinct pieces of text whose ids a Python worker keeps; then those go that it has met fewer than OFTEN times since.
-KNOWN, OFTEN = 1 << 20, 3
+KNOWN, OFTEN = 1 << 19, 3
 
 _RECORD = "shard int, start long, docs array<long>, lengths array<long>, n_ids long, blocks array<int>, words binary"
 
