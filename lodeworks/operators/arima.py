@@ -67,7 +67,7 @@ def innovations(y: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarr
             size = cover[0, 0]
             gain = move @ cover[:, 0] / size
             cover = move @ cover @ move.T + noise - np.outer(gain, gain) * size
-            settled = abs(size - 1) < 1e-12
+            settled = abs(size - 1) < 1e-10
             sizes[t] = size
         errors[t] = y[t] - state[0]
         state = move @ state + np.outer(gain, errors[t])
@@ -84,15 +84,15 @@ def log_likelihood(y: np.ndarray, ar: np.ndarray, ma: np.ndarray, mean: bool) ->
     return -0.5 * (n * (math.log(2 * math.pi * s2) + 1) + float(np.log(f).sum())), mu, s2
 
 
-def minimise(f, x: np.ndarray, rounds: int = 60, tolerance: float = 1e-7) -> tuple[np.ndarray, float]:
-    """Quasi-Newton (BFGS) descent with central differences and a halving step."""
-    n = len(x)
+def minimise(f, x: np.ndarray, rounds: int = 60, tolerance: float = 1e-6) -> tuple[np.ndarray, float]:
+    """Quasi-Newton (BFGS) descent with differences and a halving step."""
+    n, h = len(x), 1e-6
 
-    def slope(at):
-        h = 1e-5
-        return np.array([(f(at + h * e) - f(at - h * e)) / (2 * h) for e in np.eye(n)])
+    def slope(at, value):
+        return np.array([(f(at + h * e) - value) / h for e in np.eye(n)])
 
-    now, g, inverse = f(x), slope(x), np.eye(n)
+    now = f(x)
+    g, inverse = slope(x, now), np.eye(n)
     for _ in range(rounds):
         way = -inverse @ g
         if way @ g >= 0:
@@ -107,14 +107,14 @@ def minimise(f, x: np.ndarray, rounds: int = 60, tolerance: float = 1e-7) -> tup
         else:
             break
         s = size * way
-        g1 = slope(x + s)
+        g1 = slope(x + s, after)
         d = g1 - g
         x, gain, now, g = x + s, now - after, after, g1
         if s @ d > 1e-12:
             rho = 1 / (s @ d)
             left = np.eye(n) - rho * np.outer(s, d)
             inverse = left @ inverse @ left.T + rho * np.outer(s, s)
-        if gain < tolerance and np.abs(g).max() < 1e-3:
+        if gain < tolerance and np.abs(g).max() < 1e-2:
             break
     return x, now
 

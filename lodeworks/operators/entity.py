@@ -8,8 +8,10 @@ the fold runs within the connected components of those keys: many small groups i
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.functions.text import address_normalise, address_parts, hashed_id
@@ -36,62 +38,200 @@ def match_keys(address: Column, beds: Column, baths: Column, lat: Column, lon: C
 def groups(obs: DataFrame) -> DataFrame:
     """`obs` with `grp`: observations of different groups never meet. A key's members are linked to its smallest one; a
     coordinate cell's also to the smallest of the neighbouring cells."""
-    cell = lambda c, d: (F.floor(F.col(c) / BOX) + d).cast("string")
-    near = [F.concat_ws("|", F.lit("c"), cell("lat", F.lit(i)), cell("lon", F.lit(j)), F.col("beds").cast("string")) for i in (0, 1) for j in (0, 1)]
-    here = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    # An observation looks around its rounded place, so two that meet are less than two boxes apart.
+    cell = lambda c, d: (F.floor(c / (2 * BOX)) + d).cast("string")
+    beds = F.col("beds").cast("string")
+    here = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array(F.struct("lat", "lon"))).otherwise(F.array().cast(_PLACES))
+    places = F.concat(here, F.col("places")) if "places" in obs.columns else here
+    near = F.flatten(F.transform(places, lambda p: F.array(*(F.concat_ws("|", F.lit("c"), cell(p["lat"], F.lit(i)), cell(p["lon"], F.lit(j)), beds) for i in (0, 1) for j in (0, 1)))))
     keys = F.array_compact(
-        F.array(
-            F.when(F.col("addr").isNotNull(), F.concat_ws("|", F.lit("a"), "addr", F.col("beds").cast("string"))),
-            F.when(F.col("zip").isNotNull() & F.col("number").isNotNull() & F.col("token").isNotNull(), F.concat_ws("|", F.lit("p"), "zip", "number", F.col("beds").cast("string"))),
-            *(F.when(here, k) for k in near),
+        F.concat(
+            F.array(
+                F.when(F.col("addr").isNotNull(), F.concat_ws("|", F.lit("a"), "addr", beds)),
+                F.when(F.col("zip").isNotNull() & F.col("number").isNotNull() & F.col("token").isNotNull(), F.concat_ws("|", F.lit("p"), "zip", "number", beds)),
+                F.when(F.col("zip").isNotNull() & F.col("addr").isNotNull(), F.concat_ws("|", F.lit("p"), "zip", F.regexp_extract("addr", r"^(\S*)", 1), beds)),
+            ),
+            near,
         )
     )
-    keyed = table(obs.where("beds is not null").select("ord", F.explode(keys).alias("k")), "keys")
+    keyed = table(obs.where("beds is not null").select("ord", F.explode(F.array_distinct(keys)).alias("k")), "keys")
     hubs = keyed.groupBy("k").agg(F.min("ord").alias("a"))
     comp = components(keyed.join(hubs, "k").select("a", F.col("ord").alias("b")), label="entities")
     return obs.join(comp, F.col("ord") == F.col("id"), "left").select(*obs.columns, F.coalesce("comp", "ord").alias("grp"))
 
 
 _OUT = "ord long, action string, canonical long, score double, tier string"
+_COLUMNS = ["ord", "addr", "beds", "baths", "zip", "number", "token", "lat", "lon"]
+_PLACES = "array<struct<lat:double,lon:double>>"
 
 
-def _fold(rows: pd.DataFrame) -> pd.DataFrame:
-    """In order: match against the canonical listings so far, tier by tier; merge, review, or create."""
-    canon: list[dict] = []
-    out = []
-    for r in rows.sort_values("ord").to_dict("records"):
-        miss = {k: None if pd.isna(r[k]) else r[k] for k in ("addr", "beds", "baths", "zip", "number", "token", "lat", "lon")}
-        hit, score, tier = None, 0.0, None
-        if miss["beds"] is not None:
-            same = [c for c in canon if c["beds"] == miss["beds"]]
-            tests = (
-                (STRICT, "strict", lambda c: miss["addr"] is not None and c["addr"] == miss["addr"] and miss["baths"] is not None and c["baths"] == miss["baths"]),
-                (FLEX, "flex", lambda c: miss["addr"] is not None and c["addr"] == miss["addr"]),
-                (PARTS, "parts", lambda c: None not in (miss["zip"], miss["number"], miss["token"]) and c["zip"] == miss["zip"] and (c["addr"] or "").startswith(f"{miss['number']} {miss['token']}")),
-                (NEAR, "near", lambda c: None not in (miss["lat"], miss["lon"]) and any(abs(a - miss["lat"]) < BOX and abs(b - miss["lon"]) < BOX for a, b in c["at"])),
-            )
-            for score, tier, test in tests:
-                hit = next((c for c in same if test(c)), None)
-                if hit:
-                    break
+class _Canonicals:
+    """The canonical listings so far, found by key: the first created one that a tier's test holds for. Every lookup costs the
+    same however many there are, but for a look at the places in the cells at the edge of a coordinate box."""
+
+    #: Cells a box is wide: those wholly inside need no look at their places.
+    FINE = 4
+
+    def __init__(self) -> None:
+        self.rows: list[dict] = []
+        self.strict, self.flex, self.prefix, self.cells = {}, {}, {}, {}
+
+    def add(self, id_: int, addr, beds, baths, zip_, places) -> int:
+        n = len(self.rows)
+        self.rows.append({"id": id_, "addr": addr, "beds": beds, "baths": baths, "zip": zip_, "at": {}})
+        if beds is not None and addr is not None:
+            self.flex.setdefault((addr, beds), n)
+            if baths is not None:
+                self.strict.setdefault((addr, beds, baths), n)
+            if zip_ is not None:
+                for k in range(1, len(addr) + 1):  # an address answers to each of its beginnings
+                    self.prefix.setdefault((zip_, beds, addr[:k]), n)
+        for place in places:
+            self.place(n, *place)
+        return n
+
+    def place(self, n: int, lat: float, lon: float) -> None:
+        row = self.rows[n]
+        row["at"][lat, lon] = None
+        least, points = self.cells.setdefault((row["beds"], math.floor(lat * self.FINE / BOX), math.floor(lon * self.FINE / BOX)), [n, {}])
+        points[lat, lon] = min(n, points.get((lat, lon), n))
+        if n < least:
+            self.cells[row["beds"], math.floor(lat * self.FINE / BOX), math.floor(lon * self.FINE / BOX)][0] = n
+
+    def near(self, beds, lat: float, lon: float) -> int | None:
+        i, j, best = math.floor(lat * self.FINE / BOX), math.floor(lon * self.FINE / BOX), None
+        for di in range(-self.FINE, self.FINE + 1):
+            for dj in range(-self.FINE, self.FINE + 1):
+                least, points = self.cells.get((beds, i + di, j + dj), (None, None))
+                if least is None or (best is not None and least >= best):
+                    continue
+                if max(abs(di), abs(dj)) < self.FINE - 1:  # wholly inside, rounding included
+                    best = least
+                    continue
+                inside = [n for (a, b), n in points.items() if abs(a - lat) < BOX and abs(b - lon) < BOX]
+                best = min([*inside, *([] if best is None else [best])], default=None)
+        return best
+
+    def find(self, r: dict) -> tuple[int | None, float, str | None]:
+        beds, addr = r["beds"], r["addr"]
+        if beds is None:
+            return None, 0.0, None
+        if addr is not None and r["baths"] is not None and (n := self.strict.get((addr, beds, r["baths"]))) is not None:
+            return n, STRICT, "strict"
+        if addr is not None and (n := self.flex.get((addr, beds))) is not None:
+            return n, FLEX, "flex"
+        if None not in (r["zip"], r["number"], r["token"]) and (n := self.prefix.get((r["zip"], beds, f"{r['number']} {r['token']}"))) is not None:
+            return n, PARTS, "parts"
+        if None not in (r["lat"], r["lon"]) and (n := self.near(beds, round(r["lat"], 3), round(r["lon"], 3))) is not None:
+            return n, NEAR, "near"
+        return None, 0.0, None
+
+
+def _resolve(rows: pd.DataFrame) -> tuple[pd.DataFrame, list[dict]]:
+    """In order: match against the canonical listings so far, tier by tier; merge, review, or create. Rows with `places` are
+    listings that earlier runs created. (decisions, all listings)"""
+    canon, out, touched = _Canonicals(), [], set()
+    for r in rows.sort_values(["kept", "ord"], ascending=[False, True]).to_dict("records"):
+        miss = {k: None if pd.isna(r[k]) else r[k] for k in _COLUMNS}
+        if r["kept"]:
+            canon.add(r["ord"], *(miss[k] for k in ("addr", "beds", "baths", "zip")), [(x["lat"], x["lon"]) for x in r["places"]])
+            continue
+        n, score, tier = canon.find(miss)
         place = [(miss["lat"], miss["lon"])] if None not in (miss["lat"], miss["lon"]) else []
-        if hit is None:
-            canon.append({"id": r["ord"], "addr": miss["addr"], "beds": miss["beds"], "baths": miss["baths"], "zip": miss["zip"], "at": place})
+        if n is None:
+            touched.add(canon.add(r["ord"], *(miss[k] for k in ("addr", "beds", "baths", "zip")), place))
             out.append((r["ord"], "new", r["ord"], 1.0, None))
-        elif score >= AUTO:
-            hit["at"] += place
-            hit["addr"] = hit["addr"] or miss["addr"]
-            out.append((r["ord"], "merged", hit["id"], score, tier))
-        else:
-            out.append((r["ord"], "review", hit["id"], score, tier))
-    return pd.DataFrame(out, columns=["ord", "action", "canonical", "score", "tier"])
+            continue
+        if score >= AUTO:
+            touched.add(n)
+            for at in place:
+                canon.place(n, *at)
+        out.append((r["ord"], "merged" if score >= AUTO else "review", canon.rows[n]["id"], score, tier))
+    return pd.DataFrame(out, columns=["ord", "action", "canonical", "score", "tier"]), [canon.rows[n] for n in sorted(touched)]
+
+
+def _fold(rows: pd.DataFrame) -> pd.DataFrame:
+    """The decisions on new observations alone."""
+    return _resolve(rows.assign(kept=False, places=None))[0]
 
 
 def fold(obs: DataFrame) -> DataFrame:
     """(ord, action new | merged | review, canonical, score, tier) for observations (ord, addr, beds, baths, zip, number,
     token, lat, lon, ...); canonical is the ord of the observation that created the listing."""
-    cols = ["ord", "addr", "beds", "baths", "zip", "number", "token", "lat", "lon"]
-    return groups(obs.select(*cols)).groupBy("grp").applyInPandas(_fold, _OUT)
+    return groups(obs.select(*_COLUMNS)).groupBy("grp").applyInPandas(_fold, _OUT)
+
+
+_LISTING = f"id long, addr string, beds double, baths double, zip string, places {_PLACES}"
+
+
+def fold_onto(listings: DataFrame, obs: DataFrame) -> DataFrame:
+    """One run over new observations, against the listings (id, addr, beds, baths, zip, places) of earlier runs: rows of `fold`
+    with `listing` null, and one row with `listing` for every listing created or changed. Only listings that share a key with
+    a new observation are read into its group, so a run's work grows with its observations."""
+    old = listings.select(
+        F.col("id").alias("ord"), "addr", F.col("beds").cast("double").alias("beds"), F.col("baths").cast("double").alias("baths"), "zip", F.regexp_extract(F.coalesce("addr", F.lit("")), r"^(\S+)", 1).alias("number"), F.lit("").alias("token"),
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit(True).alias("kept"), "places",
+    )
+    new = obs.select(*_COLUMNS, F.lit(False).alias("kept"), F.array().cast(_PLACES).alias("places"))
+    rows = groups(new.unionByName(old))
+    # Groups of listings alone decide nothing.
+    live = rows.where("NOT kept").select("grp").distinct()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        done, changed = _resolve(pdf)
+        done["listing"] = None
+        at = [{k: r[k] for k in ("id", "addr", "beds", "baths", "zip")} | {"places": [{"lat": a, "lon": b} for a, b in r["at"]]} for r in changed]
+        more = pd.DataFrame({"ord": [r["id"] for r in changed], "action": "listing", "canonical": [r["id"] for r in changed], "score": 1.0, "tier": None, "listing": at})
+        return pd.concat([d for d in (done, more) if len(d)], ignore_index=True)
+
+    listing = _LISTING.replace(" long", ":long").replace(" string", ":string").replace(" double", ":double").replace("places array", "places:array").replace(", ", ",")
+    return rows.join(live, "grp", "left_semi").groupBy("grp").applyInPandas(run, f"{_OUT}, listing struct<{listing}>")
+
+
+class Ledger:
+    """Incremental resolution kept in a folder: every run takes the observations that no run has decided, folds them onto the
+    listings of the last one, and writes a folder of its own. A run counts once its listings are whole; one that was cut off
+    is done again. Runs over parts in order equal one over all."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _whole(self) -> list[int]:
+        from lodeworks.sources.sinks import exists
+
+        n = 0
+        while exists(self.spark, f"{self.path}/run={n}/listings/_SUCCESS"):
+            n += 1
+        return list(range(n))
+
+    def decisions(self) -> DataFrame:
+        at = [f"{self.path}/run={n}/decisions" for n in self._whole()]
+        return self.spark.read.schema(_OUT).parquet(*at) if at else self.spark.createDataFrame([], _OUT)
+
+    def listings(self) -> DataFrame:
+        runs = self._whole()
+        return self.spark.read.schema(_LISTING).parquet(f"{self.path}/run={runs[-1]}/listings") if runs else self.spark.createDataFrame([], _LISTING)
+
+    def run(self, obs: DataFrame) -> None:
+        """Decide the rows of `obs` (as `fold` takes them) that are not decided yet."""
+        here = f"{self.path}/run={len(self._whole())}"
+        old = self.listings()
+        todo = obs.join(self.decisions().select("ord"), "ord", "left_anti")
+        both = table(fold_onto(old, todo), "fold")
+        both.where("listing IS NULL").select("ord", "action", "canonical", "score", "tier").write.mode("overwrite").parquet(f"{here}/decisions")
+        changed = both.where("listing IS NOT NULL").select("listing.*")
+        old.join(changed.select("id"), "id", "left_anti").unionByName(changed).write.mode("overwrite").parquet(f"{here}/listings")
+
+
+#: Version of the address rule.
+ADDRESS_VERSION = 1
+
+
+def renormalise(obs: DataFrame, address: str = "address", version: int = ADDRESS_VERSION) -> DataFrame:
+    """`obs` with addr and addr_version brought up to `version`: rows of an earlier version (or none) get the address by the
+    rule as it is now, the others stay as they are."""
+    old = F.coalesce(F.col("addr_version"), F.lit(0)) < version
+    return obs.withColumns({"addr": F.when(old, address_normalise(F.col(address))).otherwise(F.col("addr")), "addr_version": F.when(old, F.lit(version)).otherwise(F.col("addr_version"))})
 
 
 def observations(df: DataFrame, order: str, address: str) -> DataFrame:

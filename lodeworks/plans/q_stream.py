@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodeworks.operators import models
-from lodeworks.operators.shared import shared_dir
+from lodeworks.operators.shared import delete_at_end, shared_dir
+from lodeworks.streaming import listings
 
 from .q_relational import quarters
 from .registry import query
@@ -21,6 +22,7 @@ def _landed(spark, sf_dir: str, name: str):
 def _run(stream, spark, mode: str, keys: list[str]):
     """Run to the end of what has landed; every batch's changed rows are appended, and the latest of each key is read."""
     at = f"{shared_dir(spark)}/lodeworks-stream-{uuid.uuid4().hex}"
+    delete_at_end(spark, at)
 
     def batch(df, number: int) -> None:
         df.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{at}/rows/part_no={number}")  # a batch tried again replaces itself
@@ -47,6 +49,28 @@ def stream02(spark, sf_dir):
     return _run(s.select("user_id", "event_type"), spark, "append", ["user_id", "event_type"])
 
 
+@query("stream03_staleness", """WITH u AS (SELECT user_id, max(CAST(ts AS DATE)) AS seen FROM events GROUP BY 1) SELECT user_id, CASE WHEN date_diff('day', seen, DATE '2024-03-15') > 60 THEN 'rented_or_pulled'
+WHEN date_diff('day', seen, DATE '2024-03-15') > 30 THEN 'inactive_30d' ELSE 'active' END AS status FROM u""")
+def stream03(spark, sf_dir):
+    """Streaming, WIN-30, ER-07: users as listings; what landed is read, then the clock strikes and timers fire."""
+    at = f"{shared_dir(spark)}/lodeworks-stale-{uuid.uuid4().hex}"
+    delete_at_end(spark, at)
+    tick = lambda t: spark.sql(f"SELECT TIMESTAMP '{t}' AS at").write.mode("append").parquet(f"{at}/ticks")
+    tick("2000-01-01 00:00:00")
+
+    def batch(df, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{at}/rows/part_no={number}")
+
+    for strike in (None, "2024-03-15 00:00:00"):
+        if strike:
+            tick(strike)
+        ticks = spark.readStream.schema("at timestamp").parquet(f"{at}/ticks")
+        changes = listings.lifecycle_changes(_landed(spark, sf_dir, "events"), ticks, "user_id", "ts")
+        changes.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(f"{at}/rows")
+    return rows.groupBy("user_id").agg(F.max_by("status", F.struct("since", F.col("status") == "active")).alias("status"))
+
+
 @query("mod04_cascade")
 def mod04(spark, sf_dir):
     """MOD-04: tiers in order, each with the one above."""

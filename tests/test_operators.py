@@ -176,6 +176,85 @@ def test_fold_equals_one_global_fold(spark):
     assert got == sorted(zip(whole.ord, whole.action, whole.canonical, strict=True))
 
 
+def plain_fold(rows):
+    """Every canonical listing tried for every observation, in the order of their creation."""
+    canon, out = [], []
+    for i, addr, beds, baths, z, n, tok, lat, lon in rows:
+        tests = [
+            lambda c: None not in (addr, baths) and c["addr"] == addr and c["baths"] == baths, lambda c: addr is not None and c["addr"] == addr,
+            lambda c: None not in (z, n, tok) and c["zip"] == z and (c["addr"] or "").startswith(f"{n} {tok}"),
+            lambda c: None not in (lat, lon) and any(abs(a - round(lat, 3)) < entity.BOX and abs(b - round(lon, 3)) < entity.BOX for a, b in c["at"]),
+        ]
+        hit, tier = next(((c, k) for k, t in enumerate(tests) for c in canon if beds is not None and c["beds"] == beds and t(c)), (None, None))
+        here = [(lat, lon)] if None not in (lat, lon) else []
+        if hit is None:
+            canon.append({"id": i, "addr": addr, "beds": beds, "baths": baths, "zip": z, "at": here})
+            out.append((i, "new", i))
+        else:
+            if tier < 2:
+                hit["at"] += here
+            out.append((i, "merged" if tier < 2 else "review", hit["id"]))
+    return out
+
+
+def random_observations(seed, n):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        num, tok, z = str(rng.randint(1, 12)), rng.choice(["main", "oak"]), rng.choice(["76240", "76241", None])
+        addr = rng.choice([f"{num} {tok} street", f"{num} {tok}", f"{num}b {tok}", None])
+        here = rng.random() < 0.6
+        rows.append((i, addr, rng.choice([1.0, 2.0, None]), rng.choice([1.0, 2.0, None]), z, num, rng.choice([tok, tok[:2], None]), 33 + rng.randint(0, 400) / 20_000 if here else None, -97.0 + rng.randint(0, 3) / 3000 if here else None))
+    return rows
+
+
+FOLDED = "ord long, addr string, beds double, baths double, zip string, number string, token string, lat double, lon double"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_fold_equals_plain(spark, seed):
+    rows = random_observations(seed, 400)
+    got = sorted((r.ord, r.action, r.canonical) for r in entity.fold(spark.createDataFrame(rows, FOLDED)).collect())
+    assert got == plain_fold(rows)
+
+
+def test_ledger_runs_equal_one(spark, tmp_path):
+    """Observations landed in three parts, one of them twice; a run that was cut off is done again."""
+    rows = random_observations(7, 300)
+    whole = plain_fold(rows)
+    ledger = entity.Ledger(spark, str(tmp_path / "ledger"))
+    for part in (rows[:120], rows[:200], rows[:200], rows):
+        ledger.run(spark.createDataFrame(part, FOLDED))
+        done = sorted((r.ord, r.action, r.canonical) for r in ledger.decisions().collect())
+        assert done == whole[: len(part)]
+    assert {r.id for r in ledger.listings().collect()} == {i for i, a, _ in whole if a == "new"}
+    spark.createDataFrame([(5,)], "ord long").write.parquet(str(tmp_path / "ledger/run=4/decisions"))  # cut off: no listings
+    ledger.run(spark.createDataFrame(rows, FOLDED))
+    assert sorted((r.ord, r.action, r.canonical) for r in ledger.decisions().collect()) == whole
+
+
+def test_fold_of_a_hot_address_is_linear():
+    import time
+
+    import pandas as pd
+
+    def took(n):
+        rows = [(i, f"1 main street{i % 2 * (i // 1000)}", 2.0, 1.0, "76240", "1", "main", 33 + i % 977 * 1e-6, -97 - i % 991 * 1e-6) for i in range(n)]
+        began = time.process_time()
+        got = entity._fold(pd.DataFrame(rows, columns=entity._COLUMNS))
+        assert len(got) == n and (got.action == "new").sum() < n / 500
+        return time.process_time() - began
+
+    small, large = took(10_000), took(100_000)
+    assert large < 40 * small
+
+
+def test_renormalise(spark):
+    rows = [("12 Main St.", "old", 0), ("12 Main St.", "kept", entity.ADDRESS_VERSION), ("12 Main St.", None, None)]
+    got = entity.renormalise(spark.createDataFrame(rows, "address string, addr string, addr_version int")).collect()
+    assert got[1].addr == "kept" and got[0].addr == got[2].addr != "old" and {r.addr_version for r in got} == {entity.ADDRESS_VERSION}
+
+
 def test_links(spark):
     reg = spark.createDataFrame([("p1", 1, "1 main street", 33.0, -97.0), ("p2", 2, "1 main street", 33.1, -97.0), ("p3", 3, None, 33.2, -97.0)], "property_id string, property_ord int, addr string, lat double, lon double")
     lst = spark.createDataFrame([(1, "1 main street", None, None), (2, "x", 33.2002, -97.0001), (3, None, 10.0, 10.0)], "listing_id int, addr string, lat double, lon double")
