@@ -38,9 +38,46 @@ def ld_json(html: Column | str, schema: str) -> Column:
     return F.from_json(F.nullif(F.trim(F.regexp_extract(html, r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>', 1)), F.lit("")), schema)
 
 
+def closed(tail: Column) -> Column:
+    """The beginning of `tail`, which starts with a bracket, up to the bracket that closes it; NULL if none does. Brackets within
+    double-quoted strings, and quotes behind a backslash, don't count. One pass over the text's tokens."""
+    tokens = F.regexp_extract_all(tail, F.lit(r'(?s)\\.|["\[\]{}]|[^"\\\[\]{}]+'), F.lit(0))
+
+    def step(s: Column, t: Column) -> Column:
+        turn = F.when(s["inside"], 0).when(t.isin("[", "{"), 1).when(t.isin("]", "}"), -1).otherwise(0)
+        done = (s["end"] == 0) & (turn < 0) & (s["depth"] + turn == 0)
+        size = s["size"] + F.char_length(t)
+        return F.struct((s["depth"] + turn).alias("depth"), (s["inside"] != (t == '"')).alias("inside"), size.alias("size"), F.when(done, size).otherwise(s["end"]).alias("end"))
+
+    first = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("inside"), F.lit(0).alias("size"), F.lit(0).alias("end"))
+    end = F.aggregate(tokens, first, step, lambda s: s["end"])
+    # A one-element array names the end, so that the text is read once.
+    return F.get(F.transform(F.array(end), lambda e: F.when(e > 0, F.substring(tail, F.lit(1), e))), F.lit(0))
+
+
+def behind(text: Column, marker: str, within: int = 50) -> Column:
+    """The bracketed value that begins at most `within` characters behind the first match of the pattern `marker`, NULL if there
+    is none or it is cut off."""
+    tail = F.nullif(F.regexp_extract(text, rf"(?s){marker}[^\[{{]{{0,{within}}}?([\[{{].*)", 1), F.lit(""))
+    return closed(tail)
+
+
+def around(text: Column, marker: str, schema: str, holds, back: int = 5000) -> Column:
+    """The JSON array nearest around the first match of `marker` that can be read by `schema` and of which `holds` is true; at most
+    `back` characters before it are searched for its beginning."""
+    at = F.instr(text, F.lit(marker))
+    before = F.substring(text, F.greatest(F.lit(1), at - back), F.least(at - 1, F.lit(back)))
+    sizes = F.transform(F.split(before, r"\["), lambda x: F.char_length(x))
+    starts = F.transform(F.sequence(F.size(sizes) - 1, F.lit(1)), lambda k: F.aggregate(F.slice(sizes, 1, k), F.lit(0), lambda a, x: a + x) + k)
+    tail = lambda i: F.substring(text, F.greatest(F.lit(1), at - back) + i - 1, F.lit(2147483647))
+    read = F.transform(F.when(F.size(sizes) > 1, starts), lambda i: F.from_json(closed(tail(i)), schema))
+    return F.when(at > 0, F.get(F.filter(read, lambda x: x.isNotNull() & holds(x)), F.lit(0)))
+
+
 def script_variable(html: Column | str, name: str, schema: str) -> Column:
-    """A JSON array or object that a script assigns to a variable, up to the end of its statement."""
-    return F.from_json(F.regexp_extract(html, rf"(?is)\b{name}\s*=\s*(\[.*?\]|\{{.*?\}})\s*;", 1), schema)
+    """A JSON array or object that a script assigns to a variable."""
+    text = F.col(html) if isinstance(html, str) else html
+    return F.from_json(behind(text, rf"(?i)\b{name}\s*=", 10), schema)
 
 
 def plans(df: DataFrame, key: str, column: str) -> DataFrame:

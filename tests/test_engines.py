@@ -64,3 +64,30 @@ def test_every_claimed_page_is_accounted_for(spark):
     got = {r.k: (r.engine, r.n_units, r.status) for r in engines.page_status(df, units, "k", "url", "body").collect()}
     assert len(got) == len(PAGES) + 3
     assert got[20] == ("rentcafe", 0, "empty") and got[21] == ("entrata", 1, "ok") and got[22] == ("maa", 0, "empty") and got[8] == ("llm", 0, "unclaimed") and got[1] == ("cortland", 2, "ok")
+
+
+def test_long_cards_stay(spark):
+    """A card of over 5,000 characters is read up to there and keeps the one behind it."""
+    from lodeworks.operators import site_engines
+
+    card = '<div class="single-floorplan" listing-sqft="{0}" listing-price="{1}"><h3>B{0}</h3><p>2 Bed</p><p>1 Bath</p>{2}</div>'
+    page = card.format(700, 900, "x" * 5200) + card.format(800, 950, "") + '<div class="single-floorplan"'
+    got = site_engines.listing_cards(spark.createDataFrame([(1, page), (2, "none"), (3, None)], "id int, html string"), "id", "html").collect()
+    assert sorted((r.id, r.sqft, r.rent, r.floorplan_name) for r in got) == [(1, 700.0, 900.0, "B700"), (1, 800.0, 950.0, "B800")]
+
+
+def test_rentcafe_shapes(spark):
+    """Each page by the first shape that yields: the script's array with brackets in names, the page's own array, prices in the
+    text; malformed and cut-off ones give nothing."""
+    from lodeworks.operators import site_engines
+
+    pages = [
+        (1, 'ysi.fpList = [{"Name":"A [x]; ]","Beds":1,"Baths":"1","MaxSqFt":"600","MinRent":"$1,000"},{"Name":"b"}];'),
+        (2, '{"floorplans":[{"name":"C","beds":2,"baths":2,"sqft":900,"lowPrice":1500,"highPrice":1700,"units":[{"a":[1]}]},{"beds":0,"minRent":800},{"name":"unpriced"}]}'),
+        (3, "<p>1 Bed</p><p>1 Bath</p><b>650 sq ft</b> $1,200/mo <p>2 BR 2 BA 1,000 SF</p> $1,500 - $1,800 <i>1 bed 1 bath 650 SF</i> $1,200 / month $99/mo"),
+        (4, '{"floorplans":[{"name":"C","lowPrice":1500}'), (5, ""), (6, None),
+    ]
+    got = site_engines.rentcafe(spark.createDataFrame(pages, "id int, html string"), "id", "html").collect()
+    assert sorted((r.id, r.beds, r.baths, r.sqft, r.rent, r.floorplan_name) for r in got) == [
+        (1, 1, 1.0, 600.0, 1000.0, "A [x]; ]"), (2, 0, 1.0, 0.0, 800.0, "0BR/1BA"), (2, 2, 2.0, 900.0, 1500.0, "C"), (3, 1, 1.0, 650.0, 1200.0, "1BR/1BA 650SF"), (3, 2, 2.0, 1000.0, 1500.0, "2BR/2BA 1000SF"),
+    ]

@@ -255,6 +255,21 @@ def test_renormalise(spark):
     assert got[1].addr == "kept" and got[0].addr == got[2].addr != "old" and {r.addr_version for r in got} == {entity.ADDRESS_VERSION}
 
 
+def test_closed_brackets(spark):
+    """Nested arrays, brackets and escaped quotes in strings, cut-off values, and long ones."""
+    long = '["' + "x" * 300_000 + '", "' + '\\"]' * 30_000 + '"]'
+    rows = [('[1,[2,{"a":[]}],3] rest]', '[1,[2,{"a":[]}],3]'), ('{"a":"]}","b":"\\"}"} x', '{"a":"]}","b":"\\"}"}'), ("[1,[2]", None), ('["', None), ("[]", "[]"), (long + ";]", long), (None, None), ("x", None)]
+    got = spark.createDataFrame(rows, "text string, want string").select("want", extract.closed(F.col("text")).alias("got")).collect()
+    assert all(r.want == r.got for r in got)
+    page = [('<script>a=[1]; "floorplans" : [{"n":"]"},[0]]; "floorplans":[2]', '[{"n":"]"},[0]]'), ('"floorplans": ' + " " * 99 + "[1]", None), ("none", None)]
+    got = spark.createDataFrame(page, "text string, want string").select("want", extract.behind(F.col("text"), '"floorplans"').alias("got")).collect()
+    assert all(r.want == r.got for r in got)
+    doc = [('x=[[5],[{"m":[1,{"MinRent":"7"}]},{"MinRent":9,"Name":"a]b"}]]', 9), ('[{"MinRent":1}', None), ('"MinRent"', None), ("", None)]
+    read = extract.around(F.col("text"), '"MinRent"', "array<struct<MinRent:int>>", lambda x: F.exists(x, lambda p: p["MinRent"] == 9))
+    got = spark.createDataFrame(doc, "text string, want int").select("want", F.array_max(F.transform(read, lambda p: p["MinRent"])).alias("got")).collect()
+    assert all(r.want == r.got for r in got)
+
+
 def test_links(spark):
     reg = spark.createDataFrame([("p1", 1, "1 main street", 33.0, -97.0), ("p2", 2, "1 main street", 33.1, -97.0), ("p3", 3, None, 33.2, -97.0)], "property_id string, property_ord int, addr string, lat double, lon double")
     lst = spark.createDataFrame([(1, "1 main street", None, None), (2, "x", 33.2002, -97.0001), (3, None, 10.0, 10.0)], "listing_id int, addr string, lat double, lon double")
