@@ -224,7 +224,7 @@ def hashed_id(*parts: Column | str, prefix: str = "p_", length: int = 12) -> Col
 
 def size_class(units: Column | str) -> Column:
     u = _s(units)
-    return F.when(u >= 50, "mf-large").when(u >= 5, "mf-mid").when(u == 4, "fourplex").when(u == 2, "duplex").otherwise("mf-small")
+    return F.when(u >= 50, "mf-large").when(u >= 5, "mf-small").when(u == 4, "fourplex").when(u == 2, "duplex").otherwise("mf-small")
 
 
 def free_months(c: Column | str) -> Column:

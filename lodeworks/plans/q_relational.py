@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeworks.operators import aggregates as agg
-from lodeworks.operators import joins, reshape
+from lodeworks.operators import joins, reshape, spatial
 from lodeworks.operators import windows as win
 
 from .registry import query
@@ -389,11 +389,28 @@ def _edges(x, y):
 
 @query("join25_point_in_polygon", f"SELECT vec_id FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings) WHERE ({_edges('x', 'y')}) % 2 = 1")
 def join25(spark, sf_dir):
-    """JOIN-25, FN-51, ER-11."""
+    """JOIN-25: one polygon, whose box reaches the scan."""
     e = t(spark, sf_dir, "embeddings").select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
     return joins.inside_box_then_polygon(e, "x", "y", RING).select("vec_id")
 
 
+#: Corners of a supplier's area about its middle.
+CORNERS = [(-3.25, -2.125), (4.75, -1.875), (2.25, 5.125), (-1.5, 3.375)]
+_QUADS = "UNION ALL ".join(
+    f"SELECT s_suppkey, s_suppkey * 37 % 100 + {a[0]} AS x1, s_nationkey * 4 + {a[1]} AS y1, s_suppkey * 37 % 100 + {b[0]} AS x2, s_nationkey * 4 + {b[1]} AS y2 FROM supplier " for a, b in zip(CORNERS, CORNERS[1:] + CORNERS[:1], strict=True)
+)
+
+
+@query("join25_many_polygons", f"""WITH e AS ({_QUADS}), p AS (SELECT c_custkey, CAST(c_custkey * 73 % 1000 AS DOUBLE) / 10 AS x, CAST((c_acctbal + 1000) / 110 AS DOUBLE) AS y FROM customer)
+SELECT c_custkey, s_suppkey FROM p JOIN e ON (y1 > y) <> (y2 > y) AND x < CAST(x2 - x1 AS DOUBLE) * (y - CAST(y1 AS DOUBLE)) / CAST(y2 - y1 AS DOUBLE) + CAST(x1 AS DOUBLE) GROUP BY 1, 2 HAVING count(*) % 2 = 1""")
+def join25b(spark, sf_dir):
+    """JOIN-25, FN-51: customers as points, suppliers' areas as a table of polygons."""
+    x, y = F.col("s_suppkey") * 37 % 100, F.col("s_nationkey") * 4
+    areas = t(spark, sf_dir, "supplier").select("s_suppkey", F.array(*(F.struct((x + a).cast("double").alias("x"), (y + b).cast("double").alias("y")) for a, b in CORNERS)).alias("ring"))
+    points = t(spark, sf_dir, "customer").select("c_custkey", ((F.col("c_custkey") * 73 % 1000).cast("double") / 10).alias("x"), ((F.col("c_acctbal") + 1000) / 110).cast("double").alias("y"))
+    return spatial.within(points, "x", "y", areas, "s_suppkey", 4.0).select("c_custkey", "s_suppkey")
+
+
 @query("snk01_insert_if_absent", """SELECT c_custkey, o_orderkey FROM (SELECT o_custkey AS c_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders)
 WHERE n = 1 AND c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
 def snk01(spark, sf_dir):

@@ -135,7 +135,7 @@ def fn28(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", fn.hashed_id("c_name", F.col("c_nationkey").cast("string")).alias("id"))
 
 
-@query("fn30_size_class", """SELECT p_partkey, CASE WHEN p_size >= 50 THEN 'mf-large' WHEN p_size >= 5 THEN 'mf-mid' WHEN p_size = 4 THEN 'fourplex' WHEN p_size = 2 THEN 'duplex' ELSE 'mf-small' END AS kind FROM part""")
+@query("fn30_size_class", """SELECT p_partkey, CASE WHEN p_size >= 50 THEN 'mf-large' WHEN p_size >= 5 THEN 'mf-small' WHEN p_size = 4 THEN 'fourplex' WHEN p_size = 2 THEN 'duplex' ELSE 'mf-small' END AS kind FROM part""")
 def fn30(spark, sf_dir):
     """FN-30, FN-31, FN-40, FN-46, FN-48."""
     return t(spark, sf_dir, "part").select("p_partkey", fn.size_class("p_size").alias("kind"))

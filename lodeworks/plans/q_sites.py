@@ -49,6 +49,8 @@ CASES = [
     ("ext11_rest_plans", "EXT-11", engines.rest_plans, '{"floorplans":[{"FloorplanName":" <<name>> ","Beds":"<<beds>>","Baths":"<<baths>>","MinimumSQFT":"0","MaximumSQFT":"<<sqft>>","MinimumRent":"<<rent>>","AvailableUnitsCount":"3"},{"FloorplanName":"u"}]}', None),
     ("ext13_card_fields", "EXT-13", site_engines.rentcafe_cards, '<h2 data-selenium-id="Floorplan0Name"><b><<name>></b></h2><span data-selenium-id="Floorplan0Beds"></span><span data-selenium-id=\'Floorplan0BedsMobile\'><<beds>> Beds</span><i data-selenium-id="Floorplan0Baths"><<baths>></i><i data-selenium-id="Floorplan0SqFt">300 - <<sqft>> Sq.Ft.</i><i data-selenium-id="Floorplan0Rent">$<<more>> - $<<rent>></i><i data-selenium-id="Floorplan0Availability">Waitlist</i><i data-selenium-id="Floorplan1Name">unpriced</i>', None),
     ("ext13_script_array", "EXT-13", site_engines.rentcafe_array, '<script>ysi.fpList = [{"Name":"<<name>>","Beds":<<beds>>,"Baths":"<<baths>>","MinSqFt":"1","MaxSqFt":"<<sqft>>","Rentcol":"$<<rent>>-$<<more>>","UnitsAvailable":"2"},{"Name":"unpriced"}];</script>', None),
+    ("ext13_page_array", "EXT-13", site_engines.rentcafe_blob, '<script>w={"floorplans":[{"name":"<<name>>","beds":<<beds>>,"baths":"<<baths>>","sqft":<<sqft>>,"lowPrice":<<rent>>,"units":[{"note":"] } \\" ["}]},{"name":"unpriced"}]};</script>', None),
+    ("ext13_priced_text", "EXT-13", site_engines.priced_text, "<div><p><<beds>> Bed</p><p><<baths>> Bath</p><b><<sqft>> sq ft</b> $<<rent>> / month</div><i>$99/mo</i>", _MADE),
     ("ext14_json_array", "EXT-14", site_engines.entrata_array, 'x = [[1],[{"Beds":<<beds>>,"Baths":<<baths>>,"MinSqFt":<<sqft>>,"MinRent":<<rent>>,"MaxRent":null,"AvailableCount":1,"Name":""}]]', _MADE),
     ("ext14_portal_detail", "EXT-14", site_engines.portal_detail, '<title>x</title><h1 class="fp-name"><<name>></h1><div class="sticky-fp-info-wrapper"><<name>> | $<<rent>>/month | x</div><p><<sqft>> SqFt</p><p><<baths>> Bath</p><p>Studio, 1-2 Bedroom</p>', None),
     ("ext15_doorway_units", "EXT-15", engines.doorway_units, '{"units_data":{"units":[{"name":"7","layoutId":"q","price":"$<<rent>>"},{"name":"8","layoutId":"q","price":"5","leased":true}],"layouts":[{"id":"q","name":"<<name>>","bedrooms":"<<beds>>","bathrooms":"<<baths>>","area":"<<sqft>>"}]}}', None),
