@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.operators import engines, site_engines
+from lodeworks.operators import engines, listing_sites, site_engines
 
 from .q_relational import t
 from .registry import query
@@ -97,3 +97,42 @@ def ext_status(spark, sf_dir):
     p = pages(spark, sf_dir, CASES[14][3])
     p = p.select("p_partkey", F.when(kind == 0, "https://www.maac.com/x").otherwise("https://x.test/").alias("url"), F.when(kind == 1, F.col("body")).otherwise(F.lit("<p>none</p>")).alias("body"))
     return engines.page_status(p, engines.extract_all(p, "p_partkey", "url", "body"), "p_partkey", "url", "body")
+
+
+_SEARCH = (
+    '<script id="ld_searchpage_results">{"itemListElement":[{"item":{"name":"Home <<key>>"}},{"item":{"name":"Lost"}}]}</script><li class="cl-static-search-result"><a href="https://x.org/apa/d/<<key>>/1.html"><div class="title"> Home <<key>> </div></a></li>'
+    '<li class="cl-static-search-result"><div class="title">No link</div></li><li class="cl-static-search-result"><a href="https://x.org/apa/d/gone/1.html"><div class="title">Lost</div></a></li>'
+)
+_POST = (
+    '<span id="titletextonly">Apartment <<key>></span><span class="price">$<<rent>></span><b><<beds>>BR / <<baths>>Ba</b><i><<sqft>>sqft</i><script type="application/ld+json">{"broken</script>'
+    '<p class="mapaddress"><<key>> Oak St</p><section id="postingbody">A duplex near 76240-1234.</section>'
+)
+
+
+@query("ext17_posts", """SELECT 'https://x.org/apa/d/' || p_partkey || '/1.html' AS url, 'duplex' AS listing_kind, p_partkey || ' Oak St' AS address_raw, '76240' AS zip, 'Gainesville' AS city, CAST(p_size % 4 AS DOUBLE) AS beds, CAST(1 + p_size % 2 AS DOUBLE) AS baths,
+CASE WHEN 400 + 10 * p_size >= 100 THEN CAST(400 + 10 * p_size AS INTEGER) END AS sqft, CAST(500 + floor(p_retailprice) AS INTEGER) AS asking_rent, 'Apartment ' || p_partkey AS title FROM part WHERE p_partkey % 3 <> 0""")
+def ext17(spark, sf_dir):
+    """EXT-17, EXT-19, JOIN-23, PIPE-12: search pages joined to the pages of their posts, a third of which has not landed."""
+    results = listing_sites.search_results(pages(spark, sf_dir, _SEARCH), "p_partkey", "body")
+    key = F.col("p_partkey")
+    details = pages(spark, sf_dir, _POST).where(key % 3 != 0).select(F.concat(F.lit("https://x.org/apa/d/"), key.cast("string"), F.lit("/1.html")).alias("url"), F.col("body").alias("html"))
+    return listing_sites.posts(results, details, "run").select("url", "listing_kind", "address_raw", "zip", "city", "beds", "baths", "sqft", "asking_rent", "title")
+
+
+_PLACARDS = (
+    '<article class="placard placard-option-gold" data-listingid="a<<key>>" data-url="u<<key>>"><span class="js-placardTitle title"><<name>></span><div class="property-address" title="<<key>> Oak St, TX 76240"></div><div class="bedTextBox">1 Bed</div> <div class="priceTextBox"><span>$<<rent>>+</span></div>'
+    '<div class="bedTextBox">3 Beds, <<baths>> Baths, 1,<<rent>> sq ft</div><div class="priceTextBox"><span>$<<more>></span></div><div class="bedTextBox">Studio</div><div class="priceTextBox"><span>$1</span></div></article>'
+    '<div class="placard" data-listingid="b<<key>>" data-url="v"><div class="property-title" title="<<key>> Elm St"></div><p class="property-pricing">$<<rent>> - $<<more>></p><p class="property-beds"><<beds>> - 4 Beds</p></div><div class="placard">no id</div></body>'
+)
+
+
+@query("ext17_placards", """WITH p AS (SELECT p_partkey, CAST(1 + p_size % 2 AS DOUBLE) AS baths, p_size % 4 AS beds, CAST(500 + floor(p_retailprice) AS INTEGER) AS rent, CAST(600 + floor(p_retailprice) AS INTEGER) AS more FROM part)
+SELECT p_partkey, 'a' || p_partkey || '-1br' AS source_listing_id, p_partkey || ' Oak St, TX 76240' AS address_raw, '76240' AS zip, CAST(1 AS DOUBLE) AS beds, CAST(NULL AS DOUBLE) AS baths, CAST(NULL AS INTEGER) AS sqft, rent AS asking_rent, 'A' || p_partkey AS title FROM p
+UNION ALL SELECT p_partkey, 'a' || p_partkey || '-3br', p_partkey || ' Oak St, TX 76240', '76240', 3, baths, CAST('1' || rent AS INTEGER), more, 'A' || p_partkey FROM p
+UNION ALL SELECT p_partkey, 'b' || p_partkey, p_partkey || ' Elm St', NULL, beds, NULL, NULL, rent, p_partkey || ' Elm St — ' || beds || '-4BR/?-?BA' FROM p""")
+def ext17b(spark, sf_dir):
+    """EXT-17, EXT-19, SET-12: placards of both forms, one row a bed type or one with its ranges."""
+    cards = listing_sites.placards(pages(spark, sf_dir, _PLACARDS), "p_partkey", "body")
+    o = listing_sites.placard_observations(cards, "run")
+    key = F.regexp_extract("source_listing_id", r"^[ab](\d+)", 1).cast("long")
+    return o.select(key.alias("p_partkey"), "source_listing_id", "address_raw", "zip", "beds", "baths", "sqft", "asking_rent", "title")
