@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.operators import engines, listing_sites, site_engines
+from lodeworks.operators import engines, listing_sites, rent_points, site_engines
 
 from .q_relational import t
 from .registry import query
@@ -136,3 +136,16 @@ def ext17b(spark, sf_dir):
     o = listing_sites.placard_observations(cards, "run")
     key = F.regexp_extract("source_listing_id", r"^[ab](\d+)", 1).cast("long")
     return o.select(key.alias("p_partkey"), "source_listing_id", "address_raw", "zip", "beds", "baths", "sqft", "asking_rent", "title")
+
+
+_REPORT = (
+    "**Property:** Home <<key>>\n## 2-Bedroom\n| Property | SF | Effective | $/SF |\n|---|---|---|---|\n| **Home <<key>>** | <<sqft>> | $<<rent>> | - |\n| Other | 1,<<sqft>> | n/a | $1.5 |\n| Market Avg | 1 | 1 | 1 |\n| None | 0 | 1 | 1 |\n"
+    "### Studio\n| Community | Sq Ft | Effective Rent |\n|---|---|---|\n| Subject | <<sqft>> | <<more>> |\n| Subject | <<sqft>> | <<more>> |\n| short |\n## Taxes\n| Property | SF | $/SF |\n|---|---|---|\n| Other | 1 | 2 |"
+)
+
+
+@query("mod21_rent_points", """WITH p AS (SELECT p_partkey, CAST(400 + 10 * p_size AS DOUBLE) AS sf, 500 + floor(p_retailprice) AS rent, 600 + floor(p_retailprice) AS more, CAST('1' || (400 + 10 * p_size) AS DOUBLE) AS big FROM part)
+SELECT p_partkey, '2BR' AS unit_type, 'Home ' || p_partkey AS property_name, sf, round(rent / sf, 6) AS eff_psf, true AS is_subject FROM p UNION ALL SELECT p_partkey, '2BR', 'Other', big, 1.5, false FROM p UNION ALL SELECT p_partkey, 'Studio', 'Subject', sf, round(more / sf, 6), true FROM p""")
+def mod21(spark, sf_dir):
+    """MOD-21, SRC-29, FN-11, FN-50: points of reports with three tables, two of them of rents."""
+    return rent_points.rent_points(pages(spark, sf_dir, _REPORT), "p_partkey", "body").withColumn("eff_psf", F.round("eff_psf", 6))
