@@ -1,8 +1,8 @@
 """Small statistical models over panels: least squares from sums, ridge, vector autoregression, backtests, ensembles.
 
 Sums and cross products are aggregated by Spark; what is sequential (a refit at every origin) runs per group in numpy,
-groups being (market, model), of a few hundred rows. No library beyond numpy is used; the autoregression stands in for a
-seasonal ARIMA and is named so."""
+groups being (market, model), of a few hundred rows. No library beyond numpy is used. Models of whole panels
+are in `forecast`, seasonal ARIMA in `arima`, tests of series in `diagnostics`."""
 
 from __future__ import annotations
 
@@ -138,9 +138,9 @@ def _forecast(model: str, train: np.ndarray, lags: int = 4) -> float:
 MODELS = ("Naive", "Mean", "AR", "Ridge", "ElasticNet", "BVAR")
 
 
-def backtest(df: DataFrame, keys: list[str], at: str, y: str, models: tuple[str, ...] = MODELS, least: int = 12, most: int = 40) -> DataFrame:
-    """Expanding-window one-step forecasts: every (group, model) is a task of its own, refit at each of the last `most`
-    origins that leave `least` rows to learn from: (keys, model, at, actual, predicted, lo, hi)."""
+def backtest(df: DataFrame, keys: list[str], at: str, y: str, models: tuple[str, ...] = MODELS, least: int = 12, most: int | None = None) -> DataFrame:
+    """Expanding-window one-step forecasts: every (group, model) is a task of its own, refit at every origin
+    that leaves `least` rows to learn from, or the last `most` of them: (keys, model, at, actual, predicted, lo, hi)."""
     names = F.explode(F.array(*map(F.lit, models)))
     key_types = [f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in keys]
     schema = ", ".join([*key_types, "model string", f"{at} long", "actual double", "predicted double", "lo double", "hi double"])
@@ -149,7 +149,7 @@ def backtest(df: DataFrame, keys: list[str], at: str, y: str, models: tuple[str,
         pdf = pdf.dropna(subset=[y]).sort_values(at)
         v, when = pdf[y].to_numpy(float), pdf[at].to_numpy()
         rows, errors = [], []
-        for i in range(max(least, len(v) - most), len(v)):
+        for i in range(least if most is None else max(least, len(v) - most), len(v)):
             p = _forecast(group[-1], v[:i])
             sd = float(np.std(errors)) if len(errors) > 1 else float(np.std(np.diff(v[:i])))
             rows.append([*group[:-1], group[-1], int(when[i]), v[i], p, p - 1.28 * sd, p + 1.28 * sd])
@@ -196,8 +196,8 @@ def jarque_bera(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def confidence(rmse, sd):
-    """High, Medium or Low by an error's size against the series' deviation."""
-    return F.when(rmse <= 0.5 * sd, "High").when(rmse <= sd, "Medium").otherwise("Low")
+    """High, Medium or Low by an error's size against the series' deviation; Low for a series without any."""
+    return F.when(sd <= 0, "Low").when(rmse < 0.5 * sd, "High").when(rmse < sd, "Medium").otherwise("Low")
 
 
 def cascade(df: DataFrame, key: str, at: str, tier: str, y: str, tiers: tuple[str, ...], alphas: tuple[float, ...] = (0.1, 1.0, 10.0), least: int = 12) -> DataFrame:

@@ -171,7 +171,7 @@ def agg23(spark, sf_dir):
 
 @query("agg24_zero_fill", """SELECT n_name, count(s_suppkey) AS units, coalesce(round(min(s_acctbal), 2), 0) AS least FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey AND s_acctbal > 5000 GROUP BY 1""")
 def agg24(spark, sf_dir):
-    """AGG-24, AGG-25: groups without members are zero-filled."""
+    """AGG-24: groups without members are zero-filled."""
     s = t(spark, sf_dir, "supplier").where("s_acctbal > 5000").groupBy("s_nationkey").agg(F.count("*").alias("units"), F.min("s_acctbal").alias("least"))
     df = t(spark, sf_dir, "nation").join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left")
     return df.select("n_name", F.coalesce("units", F.lit(0)).alias("units"), F.coalesce(F.round("least", 2), F.lit(0.0)).alias("least"))
@@ -246,7 +246,7 @@ def agg35(spark, sf_dir):
 @query("agg36_error_metrics", f"""SELECT o_orderpriority, count(*) AS n, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, round(quantile_cont(abs(e), 0.5), 4) AS med_ae, round(max(abs(e)), 4) AS max_ae,
 round(avg(e), 4) AS bias FROM (SELECT o_orderpriority, n - lag(n) OVER (PARTITION BY o_orderpriority ORDER BY q) AS e FROM {QUARTERS}) WHERE e IS NOT NULL GROUP BY 1""")
 def agg36(spark, sf_dir):
-    """AGG-36, AGG-37, MOD-06: persistence as the forecast."""
+    """AGG-36, MOD-06: persistence as the forecast."""
     w = Window.partitionBy("o_orderpriority").orderBy("q")
     return agg.error_metrics(quarters(spark, sf_dir).withColumn("p", F.lag("n").over(w)), ["o_orderpriority"], "n", "p")
 
@@ -282,7 +282,7 @@ def agg40(spark, sf_dir):
 
 @query("agg42_worst_status", """SELECT o_custkey, CASE max(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END) WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS o_orderstatus FROM orders GROUP BY 1""")
 def agg42(spark, sf_dir):
-    """AGG-42, AGG-43."""
+    """AGG-42."""
     return agg.worst_of(t(spark, sf_dir, "orders"), ["o_custkey"], "o_orderstatus", {"F": 0, "O": 1, "P": 2})
 
 
@@ -620,7 +620,7 @@ def set01(spark, sf_dir):
 
 @query("set13_nested", """SELECT n_nationkey, n_name, array_to_string(list(s_name ORDER BY s_suppkey), ',') AS suppliers FROM nation JOIN supplier ON n_nationkey = s_nationkey GROUP BY 1, 2""")
 def set13(spark, sf_dir):
-    """SET-13, JOIN-19, JOIN-20, JOIN-22."""
+    """SET-13."""
     s = t(spark, sf_dir, "supplier").withColumn("n_nationkey", F.col("s_nationkey"))
     n = joins.nested(t(spark, sf_dir, "nation"), s, "n_nationkey", ["s_name"], "s_suppkey", "rows")
     return n.select("n_nationkey", "n_name", F.array_join(F.transform("rows", lambda r: r["s_name"]), ",").alias("suppliers"))

@@ -93,7 +93,7 @@ def fn14(spark, sf_dir):
 
 @query("fn16_longest_prefix", """SELECT p_partkey, CASE WHEN starts_with(p_brand, 'Brand#1') THEN CASE WHEN starts_with(p_brand, 'Brand#11') THEN '11' ELSE '1' END WHEN starts_with(p_brand, 'Brand#2') THEN '2' END AS bed FROM part""")
 def fn16(spark, sf_dir):
-    """FN-16, FN-34, FN-35, FN-39."""
+    """FN-16."""
     return t(spark, sf_dir, "part").select("p_partkey", fn.longest_prefix("p_brand", {"brand#1": "1", "BRAND#11": "11", "brand#2": "2"}).alias("bed"))
 
 
@@ -131,13 +131,13 @@ def fn27(spark, sf_dir):
 
 @query("fn28_sha1", "SELECT c_custkey, concat('p_', substr(sha1(concat(c_name, '|', c_nationkey)), 1, 12)) AS id FROM customer")
 def fn28(spark, sf_dir):
-    """FN-28, FN-29."""
+    """FN-28."""
     return t(spark, sf_dir, "customer").select("c_custkey", fn.hashed_id("c_name", F.col("c_nationkey").cast("string")).alias("id"))
 
 
 @query("fn30_size_class", """SELECT p_partkey, CASE WHEN p_size >= 50 THEN 'mf-large' WHEN p_size >= 5 THEN 'mf-small' WHEN p_size = 4 THEN 'fourplex' WHEN p_size = 2 THEN 'duplex' ELSE 'mf-small' END AS kind FROM part""")
 def fn30(spark, sf_dir):
-    """FN-30, FN-31, FN-40, FN-46, FN-48."""
+    """FN-30."""
     return t(spark, sf_dir, "part").select("p_partkey", fn.size_class("p_size").alias("kind"))
 
 
@@ -180,7 +180,7 @@ def fn_natural(spark, sf_dir):
 
 @query("fn_json_props", "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
 def fn_json(spark, sf_dir):
-    """FN-44, FN-53: JSON fields by a schema."""
+    """FN-44: JSON fields by a schema."""
     return t(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
@@ -237,7 +237,7 @@ def prj18(spark, sf_dir):
 
 @query("prj31_url_host", """SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/:?#]+)', 1)) AS host, lower(regexp_extract(url, '://([^/:?#]+)', 1)) = 'example.net' OR ends_with(lower(regexp_extract(url, '://([^/:?#]+)', 1)), '.example.net') AS listed FROM pages""")
 def prj31(spark, sf_dir):
-    """PRJ-31, PRJ-28."""
+    """PRJ-31."""
     return t(spark, sf_dir, "pages").select("page_id", fn.url_host("url").alias("host"), fn.host_listed(fn.url_host("url"), ["example.net"]).alias("listed"))
 
 
@@ -395,7 +395,7 @@ def mod01(spark, sf_dir):
 
 @query("mod12_backtest")
 def mod12(spark, sf_dir):
-    """MOD-02, MOD-03, MOD-06 to MOD-13, WIN-11: one-step backtests of six models."""
+    """MOD-06, WIN-11: one-step backtests of models of one series at every origin."""
     bt = models.backtest(quarters(spark, sf_dir).withColumn("n", F.col("n").cast("double")), ["o_orderpriority"], "q", "n")
     return bt.select("o_orderpriority", "model", "q", *(F.round(c, 4).alias(c) for c in ("actual", "predicted", "lo", "hi")))
 
@@ -404,7 +404,7 @@ def mod12(spark, sf_dir):
 e AS (SELECT o_orderpriority, 1 / sqrt(avg((n - n1) * (n - n1))) AS a, 1 / sqrt(avg((n - n4) * (n - n4))) AS c FROM b WHERE n4 IS NOT NULL GROUP BY 1)
 SELECT o_orderpriority, q, round((n1 * a + n4 * c) / (a + c), 4) AS predicted FROM b JOIN e USING (o_orderpriority) WHERE n4 IS NOT NULL""")
 def mod14(spark, sf_dir):
-    """MOD-14, MOD-15: inverse-RMSE ensemble of persistence and last year's value."""
+    """MOD-14: inverse-RMSE ensemble of persistence and last year's value."""
     w = Window.partitionBy("o_orderpriority").orderBy("q")
     b = quarters(spark, sf_dir).withColumn("lag1", F.lag("n").over(w).cast("double")).withColumn("lag4", F.lag("n", 4).over(w).cast("double")).where("lag4 is not null")
     long = b.unpivot(["o_orderpriority", "q", "n"], ["lag1", "lag4"], "model", "predicted")

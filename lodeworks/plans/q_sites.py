@@ -112,7 +112,7 @@ _POST = (
 @query("ext17_posts", """SELECT 'https://x.org/apa/d/' || p_partkey || '/1.html' AS url, 'duplex' AS listing_kind, p_partkey || ' Oak St' AS address_raw, '76240' AS zip, 'Gainesville' AS city, CAST(p_size % 4 AS DOUBLE) AS beds, CAST(1 + p_size % 2 AS DOUBLE) AS baths,
 CASE WHEN 400 + 10 * p_size >= 100 THEN CAST(400 + 10 * p_size AS INTEGER) END AS sqft, CAST(500 + floor(p_retailprice) AS INTEGER) AS asking_rent, 'Apartment ' || p_partkey AS title FROM part WHERE p_partkey % 3 <> 0""")
 def ext17(spark, sf_dir):
-    """EXT-17, EXT-19, JOIN-23, PIPE-12: search pages joined to the pages of their posts, a third of which has not landed."""
+    """EXT-17, EXT-19, FN-31, JOIN-23, PIPE-12: search pages joined to the pages of their posts, a third of which has not landed."""
     results = listing_sites.search_results(pages(spark, sf_dir, _SEARCH), "p_partkey", "body")
     key = F.col("p_partkey")
     details = pages(spark, sf_dir, _POST).where(key % 3 != 0).select(F.concat(F.lit("https://x.org/apa/d/"), key.cast("string"), F.lit("/1.html")).alias("url"), F.col("body").alias("html"))
