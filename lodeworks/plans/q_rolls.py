@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodeworks.operators import roll_rules
+from lodeworks.operators import ledgers, roll_rules
 
 from .q_relational import t
 from .registry import query
@@ -62,3 +62,31 @@ def fn20(spark, sf_dir):
     k = F.col("o_orderkey") % 4
     name = F.when(k == 0, F.concat(F.lit("RentRoll_"), d("yyyy-MM-dd"))).when(k == 1, F.concat(F.lit("RentRoll"), d("MM_dd_yyyy"))).when(k == 2, F.concat(F.lit("roll "), d("MMddyyyy"))).otherwise("roll")
     return t(spark, sf_dir, "orders").select("o_orderkey", roll_rules.snapshot_month(name).alias("month"))
+
+
+@query("prj21_ledger_units", """SELECT c_custkey FROM customer WHERE c_mktsegment NOT LIKE '%HOUSE%' AND c_mktsegment <> 'MACHINERY' AND c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AND c_name LIKE '%1'""")
+def prj21(spark, sf_dir):
+    """PRJ-21: segments before the key as ids, one of them a charge code; sizes and rents that are missing or text."""
+    key = F.col("c_custkey")
+    unit, plan = F.concat("c_mktsegment", F.when(F.col("c_mktsegment") != "MACHINERY", " 1").otherwise("")), F.when(F.col("c_name").endswith("1"), F.col("c_name")).otherwise(" ")
+    sqft, rent = F.when(key % 5 != 0, F.concat(F.lit("1,"), key.cast("string"))), F.when(key % 7 == 0, "total").otherwise("$5")
+    return t(spark, sf_dir, "customer").where(ledgers.ledger_unit(unit, plan, sqft, rent, ["house"], ["machinery"], ["[a-z]+"])).select("c_custkey")
+
+
+@query("prj22_listed_units", """WITH u AS (SELECT c_nationkey, c_custkey AS i, CASE WHEN c_custkey % 211 = 0 THEN 'Future Residents' WHEN c_custkey % 13 = 0 THEN '1-' || c_custkey WHEN c_custkey % 17 = 0 THEN c_custkey || ' Total' WHEN c_custkey % 3 = 0 THEN 'A' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS unit FROM customer),
+e AS (SELECT c_nationkey, min(i) AS e FROM u WHERE unit = 'Future Residents' GROUP BY 1) SELECT c_nationkey, i AS row_idx, unit FROM u LEFT JOIN e USING (c_nationkey) WHERE (e IS NULL OR i < e) AND unit NOT LIKE '%-%' AND unit NOT LIKE '%Total%' AND unit NOT LIKE 'Future%'""")
+def prj22(spark, sf_dir):
+    """PRJ-22: each nation's list up to the section that ends it."""
+    k = F.col("c_custkey")
+    text = k.cast("string")
+    unit = F.when(k % 211 == 0, "Future Residents").when(k % 13 == 0, F.concat(F.lit("1-"), text)).when(k % 17 == 0, F.concat(text, F.lit(" Total"))).when(k % 3 == 0, F.concat(F.lit("A"), text)).otherwise(text)
+    rows = t(spark, sf_dir, "customer").select("c_nationkey", k.alias("row_idx"), unit.alias("unit"))
+    return ledgers.listed_units(rows, ["c_nationkey"], "unit", skip=["total"], stop=["future residents"])
+
+
+@query("prj26_unit_numbers", "SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 AND p_partkey BETWEEN 100 AND 300 THEN CAST(p_partkey AS INTEGER) END AS unit FROM part")
+def prj26(spark, sf_dir):
+    """PRJ-26: numbers with and without decimals, and cells that are none."""
+    k = F.col("p_partkey")
+    cell = F.when(k % 4 == 0, "Total").when(k % 4 == 1, F.concat(k.cast("string"), F.lit(".0"))).otherwise(k.cast("string"))
+    return t(spark, sf_dir, "part").select("p_partkey", ledgers.unit_number(cell).alias("unit"))
