@@ -89,3 +89,42 @@ def required(df: DataFrame, columns: list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df
+
+
+def views_by_stem(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The Parquet files and folders of a folder by their names without suffix, each a temporary view of that name, too."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.parquet")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
+    out = {f.getPath().getName().removesuffix(".parquet"): spark.read.parquet(f.getPath().toString()) for f in found}
+    for stem, df in out.items():
+        df.createOrReplaceTempView(re.sub(r"\W", "_", stem))
+    return out
+
+
+#: Headers that a subject's floorplan sheet may have for each column (fixed values).
+SUBJECT = {"code": ["PlanCode", "plan_code", "Floorplan"], "bed_type": ["BedType", "bed_type", "Beds"], "units": ["Units", "UnitCount", "units"], "sqft": ["SqFt", "AvgSqFt", "sqft"], "rent": ["AvgMarketRent", "MarketRent", "avg_market_rent"]}
+
+
+def subject_floorplans(df: DataFrame) -> DataFrame:
+    """(code, bed_type, units, sqft, rent) by whichever header a column has; rows whose numbers can't be read go."""
+    first = lambda names: F.coalesce(*(F.nullif(F.trim(F.col(f"`{n}`").cast("string")), F.lit("")) for n in names if n in df.columns), F.lit(None).cast("string"))
+    number = lambda c: F.regexp_replace(c, r"[$,]", "").try_cast("double")
+    rows = df.select(first(SUBJECT["code"]).alias("code"), first(SUBJECT["bed_type"]).alias("bed_type"), *(number(first(SUBJECT[c])).alias(c) for c in ("units", "sqft", "rent")))
+    return rows.dropna(subset=["code", "units", "sqft", "rent"])
+
+
+def checked_config(text: str, keys: list[str]) -> dict:
+    """A YAML document that must hold `keys`, dotted ones below others."""
+    import yaml
+
+    config = yaml.safe_load(text) or {}
+    missing = []
+    for key in keys:
+        at = config
+        for part in key.split("."):
+            at = at.get(part) if isinstance(at, dict) else None
+        if at is None:
+            missing.append(key)
+    if missing:
+        raise ValueError(f"missing keys: {', '.join(missing)}")
+    return config

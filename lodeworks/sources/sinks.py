@@ -62,3 +62,41 @@ def log_event(spark, path: str, event: str, **fields: str) -> None:
     """One JSON line of an operations log."""
     row = spark.range(1).select(F.lit(event).alias("event"), F.current_timestamp().alias("at"), *(F.lit(v).alias(k) for k, v in fields.items()))
     row.write.mode("append").json(path)
+
+
+def write_submarkets(df: DataFrame, path: str, by: str, at: str, is_forecast: str = "is_forecast") -> None:
+    """One Parquet folder a submarket under `path`/data, and `path`/index: a CSV with each one's slug, actual and forecast rows, and
+    first and last period, counted from what was written."""
+    write_snapshot(df, f"{path}/data", [by])
+    fc = F.coalesce(F.col(is_forecast), F.lit(False))
+    index = df.sparkSession.read.parquet(f"{path}/data").groupBy(by).agg(F.count_if(~fc).alias("actual"), F.count_if(fc).alias("forecast"), F.min(at).alias("first"), F.max(at).alias("last"))
+    index.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/index")  # a row a submarket
+
+
+def write_forecasts(path: str, tag: str, comparison: DataFrame, backtests: DataFrame, ensemble: DataFrame) -> None:
+    """The CSV family of a forecast run under `path`: v2_forecast_<tag>, v2_backtest_<model>_<tag> for every model, v2_ensemble_<tag>.
+    Backtests are written once, in folders by model."""
+    for name, df in (("forecast", comparison), ("ensemble", ensemble)):
+        df.write.mode("overwrite").option("header", True).csv(f"{path}/v2_{name}_{tag}")
+    named = backtests.withColumn("v2_backtest", F.concat_ws("_", F.lower("model"), F.lit(tag)))
+    named.repartition("v2_backtest").write.mode("overwrite").option("header", True).partitionBy("v2_backtest").csv(f"{path}/v2_backtests_{tag}")
+
+
+def replace_by_key(new: DataFrame, path: str, key: str, order: list[str]) -> None:
+    """A history table with the rows of `new` in place of all that share their `key`, in the order asked for. The table is written to
+    a folder of its own first and takes the old one's place only when whole."""
+    spark = new.sparkSession
+    out = new
+    if exists(spark, path):
+        old = spark.read.parquet(path)
+        out = old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+    out.orderBy(*order).write.mode("overwrite").parquet(f"{path}.next")
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at, after, before = jvm(path), jvm(f"{path}.next"), jvm(f"{path}.before")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(before, True)
+    if fs.exists(at) and not fs.rename(at, before):
+        raise OSError(f"{path} could not be moved away")
+    if not fs.rename(after, at):
+        raise OSError(f"{path}.next could not take its place")
+    fs.delete(before, True)
