@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodeworks.operators import arima, diagnostics, forecast
 
 from .q_relational import t
+from .q_scalar import _PANEL, order_panel
 from .registry import query
 
 KEY = "o_orderpriority"
@@ -34,6 +35,19 @@ def panel(spark, sf_dir):
     return forecast.features(p, [KEY], "m")
 
 
+_W = "(PARTITION BY o_orderpriority ORDER BY q"
+_SHARES = ", ".join(f"coalesce({c} / nullif(inventory_units, 0), 0) AS {n}" for c, n in (("deliveries_12mo", "del"), ("absorption_units_12mo", "ab"), ("under_construction", "uc")))
+
+
+@query("pan04_features", f"""WITH p AS ({_PANEL}), f AS (SELECT o_orderpriority, q, {_SHARES}, last_value(effective_rent_growth_yoy IGNORE NULLS) OVER {_W} ROWS UNBOUNDED PRECEDING) AS g, last_value(vacancy_rate IGNORE NULLS) OVER {_W} ROWS UNBOUNDED PRECEDING) AS v FROM p)
+SELECT o_orderpriority, q, round(del, 6) AS deliveries_pct_inventory, round(ab, 6) AS absorption_pct_inventory, round(g, 6) AS rent_growth_yoy, round(v, 6) AS vacancy_rate, round(lag(v) OVER {_W}), 6) AS vacancy_rate_lag1, round(lag(del) OVER {_W}), 6) AS deliveries_pct_inventory_lag1,
+round(lag(ab) OVER {_W}), 6) AS absorption_pct_inventory_lag1, round(lag(g) OVER {_W}), 6) AS rent_growth_yoy_lag1, round(lag(uc) OVER {_W}), 6) AS uc_pct_inventory_lag1 FROM f""")
+def pan04b(spark, sf_dir):
+    """PAN-04: features of a panel with gaps in inventory and vacancy."""
+    f = forecast.features(order_panel(spark, sf_dir), [KEY], "q")
+    return f.select(KEY, "q", *(F.round(c, 6).alias(c) for c in ("deliveries_pct_inventory", "absorption_pct_inventory", "rent_growth_yoy", "vacancy_rate", *forecast.FEATURES)))
+
+
 _E = f"""s AS (SELECT {KEY}, m, CAST(n AS DOUBLE) - avg(n) OVER (PARTITION BY {KEY}) AS e, count(*) OVER (PARTITION BY {KEY}) AS t, row_number() OVER (PARTITION BY {KEY} ORDER BY m) AS i FROM {MONTHS}),
 g AS (SELECT a.{KEY}, any_value(a.t) AS t, CAST(a.i - b.i AS INT) AS k, sum(a.e * b.e) AS v FROM s a JOIN s b ON a.{KEY} = b.{KEY} AND a.i >= b.i GROUP BY 1, 3), own AS (SELECT {KEY}, v AS v0 FROM g WHERE k = 0)"""
 
