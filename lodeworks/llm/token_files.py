@@ -41,6 +41,8 @@ BLOCK, RECORD = 1024, 1 << 18
 END = 2
 #: Distinct pieces of text whose ids a Python worker keeps; then those go that it has met fewer than OFTEN times since.
 KNOWN, OFTEN = 1 << 19, 3
+#: New pieces that are encoded as one text.
+TOGETHER = 64
 
 _RECORD = "shard int, start long, docs array<long>, lengths array<long>, n_ids long, blocks array<int>, words binary"
 
@@ -145,6 +147,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))  # a character of the byte-level alphabet is a byte
         self.number: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.first, self.size, self.met = (np.zeros(1 << 14, np.int32) for _ in range(3))
@@ -160,11 +165,24 @@ class Encoder:
         self.first[: len(kept)], self.size[: len(kept)] = ends - size, size
         self.met[:] = 0
 
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each piece has) of pieces that begin with one space and end with none: put together, no token goes from one
+        to the next, and each one's ids are those that cover its bytes."""
+        runs = ["".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        flat = np.fromiter((i for f in found for i in f), np.uint32, sum(map(len, found)))
+        ends = np.searchsorted(np.cumsum(self.bytes[flat]), np.cumsum(np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces)))) + 1
+        return flat, np.diff(ends, prepend=0)
+
     def _add(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), np.uint32, int(size.sum()))
-        n, m = len(self.number), len(found)
+        some = [p for p in pieces if p[0] == " " and not p[1:2].isspace() and not p[-1].isspace()]
+        kept = set(some)
+        pieces = some + [p for p in pieces if p not in kept]
+        first, sizes = self._joined(some) if some else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[len(some) :], add_special_tokens=False)]
+        size = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found))])
+        flat = np.concatenate([first, np.fromiter((i for f in found for i in f), np.uint32, sum(map(len, found)))])
+        n, m = len(self.number), len(pieces)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + m > len(self.first):
