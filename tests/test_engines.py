@@ -91,3 +91,15 @@ def test_rentcafe_shapes(spark):
     assert sorted((r.id, r.beds, r.baths, r.sqft, r.rent, r.floorplan_name) for r in got) == [
         (1, 1, 1.0, 600.0, 1000.0, "A [x]; ]"), (2, 0, 1.0, 0.0, 800.0, "0BR/1BA"), (2, 2, 2.0, 900.0, 1500.0, "C"), (3, 1, 1.0, 650.0, 1200.0, "1BR/1BA 650SF"), (3, 2, 2.0, 1000.0, 1500.0, "2BR/2BA 1000SF"),
     ]
+
+
+def test_units_in_text(spark):
+    """Fields by their labels in each unit's part: two layouts, a unit without a rent, one without a plan, text before the first."""
+    from lodeworks.operators import site_engines
+
+    page = "<p>12 Beds, Rent starting at $9</p><script>Unit #0 1 Beds, 1 Baths 1 Sq. Ft. Rent starting at $1</script>"
+    page += "<div>Unit #4-101</div><p>2 Beds, 1.5 Baths</p><p>1,050 Sq. Ft.</p><i>The Long Oak 1,050 SF</i><p>Rent starting at</p><b>$</b><b>1,450</b><p>Move-in:</p><p>May 5</p>"
+    page += "<div>Unit #202 1 Bed, 1 Bath 700 Sq. Ft. Rent starting at $1,100</div><div>Unit #303 1 Bed 700 Sq. Ft. Call us</div>"
+    got = site_engines.text_units(spark.createDataFrame([(1, page), (2, ""), (3, None)], "id int, html string"), "id", "html").collect()
+    assert sorted((r.unit_number, r.beds, r.baths, r.sqft, r.rent, r.floorplan_name) for r in got) == [("202", 1, 1.0, 700.0, 1100.0, None), ("4-101", 2, 1.5, 1050.0, 1450.0, "The Long Oak")]
+    assert {r.unit_number: r.available_date for r in got} == {"4-101": "May 5", "202": None}
