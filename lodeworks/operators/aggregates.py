@@ -195,7 +195,8 @@ def error_metrics(df: DataFrame, keys: list[str], actual: str, predicted: str) -
 def inverse_weights(df: DataFrame, rmse: str, model: str, excluded: tuple[str, ...] = ("Naive",)) -> DataFrame:
     """1 / RMSE normalised over the models that take part."""
     ok = df.where(~F.col(model).isin(list(excluded)) & (F.col(rmse) > 0))
-    return ok.withColumn("weight", F.round((1 / F.col(rmse)) / F.sum(1 / F.col(rmse)).over(Window.partitionBy(F.lit(1))), 6))
+    total = F.broadcast(ok.agg(F.sum(1 / F.col(rmse)).alias("_total")))  # one row
+    return ok.crossJoin(total).withColumn("weight", F.round((1 / F.col(rmse)) / F.col("_total"), 6)).drop("_total")
 
 
 def iqr_outliers(df: DataFrame, keys: list[str], value: str, k: float = 1.5) -> DataFrame:
