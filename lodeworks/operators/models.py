@@ -114,7 +114,7 @@ def _lagged(values: np.ndarray, lags: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forecast(model: str, train: np.ndarray, lags: int = 4) -> float:
-    """One step ahead. Models: Naive, Mean, AR (least squares; stands in for ARIMA), Ridge, ElasticNet, BVAR."""
+    """One step ahead. Models: Naive, Mean, AR (least squares), Ridge, ElasticNet, BVAR."""
     if model == "Naive" or len(train) < lags + 4:
         return float(train[-1])
     if model == "Mean":
