@@ -37,10 +37,10 @@ from lodeworks.operators import shared
 #: Values a word packs, by selector from 1 on, and their bits.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
-BLOCK, RECORD = 1024, 1 << 18
+BLOCK, RECORD = 1024, 1 << 20
 END = 2
 #: Distinct pieces of text whose ids a Python worker keeps; then those go that it has met fewer than OFTEN times since.
-KNOWN, OFTEN = 1 << 19, 3
+KNOWN, OFTEN = 1 << 19, 2
 #: New pieces that are encoded as one text.
 TOGETHER = 64
 
@@ -49,8 +49,14 @@ _RECORD = "shard int, start long, docs array<long>, lengths array<long>, n_ids l
 # ----------------------------------------------------------------- the code
 
 
+#: Bit lengths, 1 at least, of values below 65,536.
+_SHORT = np.maximum(np.frexp(np.arange(1 << 16, dtype=float))[1], 1).astype(np.int8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bit lengths, 1 at least."""
+    if values.max(initial=0) < len(_SHORT):
+        return _SHORT[values]
     out = np.ones(len(values), np.int8)
     for b in (32, 16, 8, 4, 2, 1):
         high = values >> np.uint64(b)
@@ -68,7 +74,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     # The most values from each place on that fit in a word: widest value of 1, 2, ... values against their width.
     widest = _bits(values)
-    bits, best, fits = widest.copy(), np.ones(n, np.int64), {int(c): int(w) for c, w in zip(COUNTS, WIDTHS, strict=True)}
+    bits, best, fits = widest.copy(), np.ones(n, np.int8), {int(c): int(w) for c, w in zip(COUNTS, WIDTHS, strict=True)}
     for c in range(2, 61):
         widest = np.maximum(widest[:-1], bits[c - 1 :]) if len(widest) > 1 else widest[:0]
         if not len(widest) or int(widest.min()) * c > 60:
