@@ -4,6 +4,7 @@ The fold depends on order: an observation may match a canonical listing that an
 automatic score goes to review and creates nothing. Every tier asks for equal beds and either an equal address, an equal
 (zip, number, street token), or near coordinates. So observations that no chain of such keys connects never meet, and
 the fold runs within the connected components of those keys: many small groups instead of one for each number of beds.
+Addresses reach it as digests, with those beginnings of them that some observation asks for.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .shared import components, table
 #: Scores of the tiers, least score of an automatic merge, width of the coordinate box in degrees (fixed values).
 STRICT, FLEX, PARTS, NEAR = 1.00, 0.92, 0.78, 0.70
 AUTO, BOX = 0.85, 0.001
+#: Rows of a bucket of groups, about.
+BUCKET = 10_000
 
 
 def match_keys(address: Column, beds: Column, baths: Column, lat: Column, lon: Column) -> Column:
@@ -35,33 +38,57 @@ def match_keys(address: Column, beds: Column, baths: Column, lat: Column, lon: C
     )
 
 
+def fits(obs: DataFrame) -> DataFrame:
+    """(ord, zip, beds, query): for every observation the beginnings of its address that observations of equal zip and beds ask
+    for as "number token", by their digests. Addresses are cut at the lengths asked for alone, and only those whose first word
+    one of them has."""
+    word = lambda c: F.regexp_extract(c, r"^(\S*)", 1)
+    asked = obs.where("asks IS NOT NULL").select("zip", "beds", "asks").distinct()
+    asked = asked.select("zip", "beds", word("asks").alias("first"), F.length("asks").alias("n"), F.sha2("asks", 256).alias("query"))
+    lengths = asked.groupBy("zip", "beds", "first").agg(F.collect_set("n").alias("ns"))
+    told = obs.where("addr IS NOT NULL").select("ord", "zip", "beds", "addr", word("addr").alias("first")).join(lengths, ["zip", "beds", "first"])
+    begins = told.select("ord", "zip", "beds", F.explode(F.filter("ns", lambda n: n <= F.length("addr"))).alias("n"), "addr")
+    begins = begins.select("ord", "zip", "beds", F.sha2(F.substring("addr", F.lit(1), F.col("n")), 256).alias("query"))
+    return begins.join(asked.select("zip", "beds", "query"), ["zip", "beds", "query"], "left_semi").select("ord", "zip", "beds", "query")
+
+
+def keyed(obs: DataFrame) -> DataFrame:
+    """`obs` with texts as what the fold asks of them, so that its memory does not grow with their length: `addr` as a digest,
+    `asks` as the digest of "number token" if some address begins with it, else NULL, and `begins`, what is asked for that the
+    address begins with."""
+    asks = F.when(F.coalesce(F.col("kept"), F.lit(False)), F.lit(None)).otherwise(F.concat("number", F.lit(" "), "token")) if "kept" in obs.columns else F.concat("number", F.lit(" "), "token")
+    obs = obs.withColumn("asks", F.when(F.col("zip").isNotNull() & F.col("beds").isNotNull(), asks))
+    found = table(fits(obs), "fits")
+    begins = found.groupBy(F.col("ord").alias("_o")).agg(F.collect_set("query").alias("begins"))
+    some = found.select(F.col("zip").alias("_z"), F.col("beds").alias("_b"), F.col("query").alias("_q")).distinct()
+    slim = obs.withColumns({"addr": F.sha2("addr", 256), "asks": F.sha2("asks", 256)}).drop("number", "token")
+    slim = slim.join(begins, F.col("ord") == F.col("_o"), "left").join(some, (F.col("zip") == F.col("_z")) & (F.col("beds") == F.col("_b")) & (F.col("asks") == F.col("_q")), "left")
+    begins = F.coalesce("begins", F.array().cast("array<string>"))
+    return table(slim.withColumns({"asks": F.col("_q"), "begins": begins}).drop("_o", "_z", "_b", "_q"), "keyed")
+
+
 def groups(obs: DataFrame) -> DataFrame:
-    """`obs` with `grp`: observations of different groups never meet. A key's members are linked to its smallest one; a
-    coordinate cell's also to the smallest of the neighbouring cells."""
+    """`obs`, rows of `keyed`, with `grp`: observations of different groups never meet. A key's members are linked to its smallest
+    one; a coordinate cell's also to the smallest of the neighbouring cells."""
     # An observation looks around its rounded place, so two that meet are less than two boxes apart.
     cell = lambda c, d: (F.floor(c / (2 * BOX)) + d).cast("string")
     beds = F.col("beds").cast("string")
     here = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array(F.struct("lat", "lon"))).otherwise(F.array().cast(_PLACES))
     places = F.concat(here, F.col("places")) if "places" in obs.columns else here
     near = F.flatten(F.transform(places, lambda p: F.array(*(F.concat_ws("|", F.lit("c"), cell(p["lat"], F.lit(i)), cell(p["lon"], F.lit(j)), beds) for i in (0, 1) for j in (0, 1)))))
-    keys = F.array_compact(
-        F.concat(
-            F.array(
-                F.when(F.col("addr").isNotNull(), F.concat_ws("|", F.lit("a"), "addr", beds)),
-                F.when(F.col("zip").isNotNull() & F.col("number").isNotNull() & F.col("token").isNotNull(), F.concat_ws("|", F.lit("p"), "zip", "number", beds)),
-                F.when(F.col("zip").isNotNull() & F.col("addr").isNotNull(), F.concat_ws("|", F.lit("p"), "zip", F.regexp_extract("addr", r"^(\S*)", 1), beds)),
-            ),
-            near,
-        )
-    )
-    keyed = table(obs.where("beds is not null").select("ord", F.explode(F.array_distinct(keys)).alias("k")), "keys")
-    hubs = keyed.groupBy("k").agg(F.min("ord").alias("a"))
-    comp = components(keyed.join(hubs, "k").select("a", F.col("ord").alias("b")), label="entities")
-    return obs.join(comp, F.col("ord") == F.col("id"), "left").select(*obs.columns, F.coalesce("comp", "ord").alias("grp"))
+    met = F.transform(F.concat("begins", F.array("asks")), lambda q: F.when(q.isNotNull(), F.concat_ws("|", F.lit("p"), "zip", q, beds)))
+    keys = F.array_compact(F.concat(F.array(F.when(F.col("addr").isNotNull(), F.concat_ws("|", F.lit("a"), "addr", beds))), met, near))
+    keys = table(obs.where("beds is not null").select("ord", F.explode(F.array_distinct(keys)).alias("k")), "keys")
+    hubs = keys.groupBy("k").agg(F.min("ord").alias("a"))
+    comp = components(keys.join(hubs, "k").select("a", F.col("ord").alias("b")), label="entities")
+    # Most groups are of one row: a bucket of whole groups is folded at once, with the same decisions as each alone.
+    grp, n = F.coalesce("comp", "ord"), max(8, obs.count() // BUCKET)
+    return obs.join(comp, F.col("ord") == F.col("id"), "left").select(*obs.columns, grp.alias("grp"), F.pmod(F.xxhash64(grp), F.lit(n)).alias("bucket"))
 
 
 _OUT = "ord long, action string, canonical long, score double, tier string"
 _COLUMNS = ["ord", "addr", "beds", "baths", "zip", "number", "token", "lat", "lon"]
+_KEYED = ["ord", "addr", "beds", "baths", "zip", "asks", "lat", "lon"]
 _PLACES = "array<struct<lat:double,lon:double>>"
 
 
@@ -76,16 +103,15 @@ class _Canonicals:
         self.rows: list[dict] = []
         self.strict, self.flex, self.prefix, self.cells = {}, {}, {}, {}
 
-    def add(self, id_: int, addr, beds, baths, zip_, places) -> int:
+    def add(self, id_: int, addr, beds, baths, zip_, begins, places) -> int:
         n = len(self.rows)
-        self.rows.append({"id": id_, "addr": addr, "beds": beds, "baths": baths, "zip": zip_, "at": {}})
+        self.rows.append({"id": id_, "beds": beds, "baths": baths, "zip": zip_, "at": {}})
         if beds is not None and addr is not None:
             self.flex.setdefault((addr, beds), n)
             if baths is not None:
                 self.strict.setdefault((addr, beds, baths), n)
-            if zip_ is not None:
-                for k in range(1, len(addr) + 1):  # an address answers to each of its beginnings
-                    self.prefix.setdefault((zip_, beds, addr[:k]), n)
+            for query in begins:  # an address answers to each of its beginnings that is asked for
+                self.prefix.setdefault((zip_, beds, query), n)
         for place in places:
             self.place(n, *place)
         return n
@@ -120,7 +146,7 @@ class _Canonicals:
             return n, STRICT, "strict"
         if addr is not None and (n := self.flex.get((addr, beds))) is not None:
             return n, FLEX, "flex"
-        if None not in (r["zip"], r["number"], r["token"]) and (n := self.prefix.get((r["zip"], beds, f"{r['number']} {r['token']}"))) is not None:
+        if None not in (r["zip"], r["asks"]) and (n := self.prefix.get((r["zip"], beds, r["asks"]))) is not None:
             return n, PARTS, "parts"
         if None not in (r["lat"], r["lon"]) and (n := self.near(beds, round(r["lat"], 3), round(r["lon"], 3))) is not None:
             return n, NEAR, "near"
@@ -132,14 +158,14 @@ def _resolve(rows: pd.DataFrame) -> tuple[pd.DataFrame, list[dict]]:
     listings that earlier runs created. (decisions, all listings)"""
     canon, out, touched = _Canonicals(), [], set()
     for r in rows.sort_values(["kept", "ord"], ascending=[False, True]).to_dict("records"):
-        miss = {k: None if pd.isna(r[k]) else r[k] for k in _COLUMNS}
+        miss = {k: None if pd.isna(r[k]) else r[k] for k in _KEYED}
         if r["kept"]:
-            canon.add(r["ord"], *(miss[k] for k in ("addr", "beds", "baths", "zip")), [(x["lat"], x["lon"]) for x in r["places"]])
+            canon.add(r["ord"], *(miss[k] for k in ("addr", "beds", "baths", "zip")), r["begins"], [(x["lat"], x["lon"]) for x in r["places"]])
             continue
         n, score, tier = canon.find(miss)
         place = [(miss["lat"], miss["lon"])] if None not in (miss["lat"], miss["lon"]) else []
         if n is None:
-            touched.add(canon.add(r["ord"], *(miss[k] for k in ("addr", "beds", "baths", "zip")), place))
+            touched.add(canon.add(r["ord"], *(miss[k] for k in ("addr", "beds", "baths", "zip")), r["begins"], place))
             out.append((r["ord"], "new", r["ord"], 1.0, None))
             continue
         if score >= AUTO:
@@ -150,15 +176,24 @@ def _resolve(rows: pd.DataFrame) -> tuple[pd.DataFrame, list[dict]]:
     return pd.DataFrame(out, columns=["ord", "action", "canonical", "score", "tier"]), [canon.rows[n] for n in sorted(touched)]
 
 
+def _asked(rows: pd.DataFrame) -> pd.DataFrame:
+    """A frame with texts as `keyed` has them, undigested."""
+    asks = [None if pd.isna(n) or pd.isna(t) else f"{n} {t}" for n, t in zip(rows["number"], rows["token"], strict=True)]
+    known, lengths = set(asks), sorted({len(q) for q in asks if q is not None})
+    begins = [[] if pd.isna(a) else [a[:n] for n in lengths if n <= len(a) and a[:n] in known] for a in rows["addr"]]
+    return rows.assign(asks=asks, begins=begins)
+
+
 def _fold(rows: pd.DataFrame) -> pd.DataFrame:
     """The decisions on new observations alone."""
+    rows = rows if "asks" in rows.columns else _asked(rows)
     return _resolve(rows.assign(kept=False, places=None))[0]
 
 
 def fold(obs: DataFrame) -> DataFrame:
     """(ord, action new | merged | review, canonical, score, tier) for observations (ord, addr, beds, baths, zip, number,
     token, lat, lon, ...); canonical is the ord of the observation that created the listing."""
-    return groups(obs.select(*_COLUMNS)).groupBy("grp").applyInPandas(_fold, _OUT)
+    return groups(keyed(obs.select(*_COLUMNS))).groupBy("bucket").applyInPandas(_fold, _OUT)
 
 
 _LISTING = f"id long, addr string, beds double, baths double, zip string, places {_PLACES}"
@@ -173,19 +208,24 @@ def fold_onto(listings: DataFrame, obs: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), F.lit(True).alias("kept"), "places",
     )
     new = obs.select(*_COLUMNS, F.lit(False).alias("kept"), F.array().cast(_PLACES).alias("places"))
-    rows = groups(new.unionByName(old))
+    both = new.unionByName(old)
+    rows = groups(keyed(both))
     # Groups of listings alone decide nothing.
     live = rows.where("NOT kept").select("grp").distinct()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         done, changed = _resolve(pdf)
         done["listing"] = None
-        at = [{k: r[k] for k in ("id", "addr", "beds", "baths", "zip")} | {"places": [{"lat": a, "lon": b} for a, b in r["at"]]} for r in changed]
+        at = [{k: r[k] for k in ("id", "beds", "baths", "zip")} | {"addr": None, "places": [{"lat": a, "lon": b} for a, b in r["at"]]} for r in changed]
         more = pd.DataFrame({"ord": [r["id"] for r in changed], "action": "listing", "canonical": [r["id"] for r in changed], "score": 1.0, "tier": None, "listing": at})
         return pd.concat([d for d in (done, more) if len(d)], ignore_index=True)
 
     listing = _LISTING.replace(" long", ":long").replace(" string", ":string").replace(" double", ":double").replace("places array", "places:array").replace(", ", ",")
-    return rows.join(live, "grp", "left_semi").groupBy("grp").applyInPandas(run, f"{_OUT}, listing struct<{listing}>")
+    done = rows.join(live, "grp", "left_semi").groupBy("bucket").applyInPandas(run, f"{_OUT}, listing struct<{listing}>")
+    # The fold knows addresses by digest only; a listing's is that of the row that created it.
+    texts = both.select(F.col("ord").alias("_o"), F.col("addr").alias("_addr"))
+    done = done.join(texts, F.col("listing.id") == F.col("_o"), "left")
+    return done.select("ord", "action", "canonical", "score", "tier", F.when(F.col("listing").isNotNull(), F.col("listing").withField("addr", F.col("_addr"))).alias("listing"))
 
 
 class Ledger:

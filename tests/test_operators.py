@@ -430,3 +430,22 @@ def test_large_quantiles(spark):
             assert got[g].n == len(v) and np.allclose(got[g].quantiles, np.quantile(v, probs))
     one = agg.large_quantiles(df, [], "v", [0.5]).first()
     assert np.allclose(one.quantiles, np.median([x for _, x in rows if x is not None]))
+
+
+def test_fold_holds_no_texts(spark):
+    """Addresses as long as documents: what a fold keeps does not grow with their length, and decisions are those of texts."""
+    import tracemalloc
+
+    import pandas as pd
+
+    long = "12 oak " + "x" * 20_000
+    rows = [(1, long, 2.0, 1.0, "76240", "12", "oak", None, None), (2, "12 oakwood", 2.0, 1.0, "76240", "12", "oakw", None, None), (3, long, 2.0, 1.0, "76240", "12", "oak", None, None), (4, "12 oakwood lane", 2.0, None, "76240", "12", "oakw", None, None)]
+    want = [(1, "new", 1), (2, "new", 2), (3, "merged", 1), (4, "review", 2)]
+    tracemalloc.start()
+    got = entity._fold(pd.DataFrame(rows, columns=entity._COLUMNS))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(zip(got["ord"], got["action"], got["canonical"], strict=True)) == want and peak < 2_000_000
+    assert sorted((r.ord, r.action, r.canonical) for r in entity.fold(spark.createDataFrame(rows, FOLDED)).collect()) == want
+    keyed = entity.keyed(spark.createDataFrame(rows, FOLDED).select(*entity._COLUMNS))
+    assert max(len(r.addr) for r in keyed.collect()) == 64
