@@ -111,3 +111,18 @@ def test_report_and_gate(spark):
     assert sorted(map(tuple, val.validation_report(df, "id", ["name"], ["day"]).collect())) == [(1, "name", "missing"), (2, "day", "not_iso")]
     g = spark.createDataFrame([(100, 5, 2), (100, 4, 2), (10, 1, 1)], "u int, p int, k int").select(val.quality_gate(F.col("u"), F.col("p"), F.col("k")).alias("g"))
     assert [r.g for r in g.collect()] == [True, False, False]
+
+
+def test_house_numbers_of_five_digits_are_no_zips(spark):
+    p = one(spark, fn.address_parts, "12345 N. Oak St, Apt. 4, Gainesville, TX 76240")
+    assert (p.number, p.token, p.unit, p.zip) == ("12345", "oak", "4", "76240")
+    p = one(spark, fn.address_parts, " 12345 Elm St")
+    assert (p.number, p.token, p.zip) == ("12345", "elm", None)
+    assert one(spark, fn.address_parts, "76240, Gainesville").zip == "76240" and one(spark, fn.zip_code, "76240-1234 TX") == "76240"
+
+
+@pytest.mark.parametrize(("text", "want"), [("l'éthe und", "weak:the+und"), ("the_ und", None), ("THE Und", "weak:the+und"), ("for ſale", "sale")])
+def test_weak_patterns_have_ascii_boundaries(spark, text, want):
+    from lodeworks.functions import validate
+
+    assert one(spark, lambda c: validate.strong_or_weak(c, [("sale", "(?i)for sale")], [("the", r"(?i)\bthe\b"), ("und", r"(?i)\bund\b")]), text) == want
