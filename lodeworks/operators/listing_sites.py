@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.functions.text import address_normalise
+from lodeworks.functions.text import address_normalise, zip_code
 
 from .extract import attribute
 
@@ -71,7 +71,7 @@ def post(html: Column) -> Column:
     return F.struct(
         _got(html, r"(?i)post id:\s*(\d+)").alias("source_listing_id"), _got(html, r"(?i)(\d+(?:\.\d+)?)\s*BR\b").try_cast("double").alias("beds"), _got(html, r"(?i)(\d+(?:\.\d+)?)\s*Ba\b").try_cast("double").alias("baths"),
         sqft.try_cast("int").alias("sqft"), _number(_got(html, r'<span class="price">\s*\$([0-9,]+)\s*</span>')).cast("int").alias("asking_rent"), place(1).alias("lat"), place(2).alias("lon"),
-        F.coalesce(_got(body, five), _got(address, five)).alias("zip"), address.alias("address_raw"), _got(html, r'<span id="titletextonly">([^<]+)</span>').alias("title"), F.substring(F.coalesce(body, F.lit("")), 1, BODY).alias("body"),
+        F.coalesce(_got(body, five), zip_code(address)).alias("zip"), address.alias("address_raw"), _got(html, r'<span id="titletextonly">([^<]+)</span>').alias("title"), F.substring(F.coalesce(body, F.lit("")), 1, BODY).alias("body"),
     )
 
 
@@ -137,6 +137,6 @@ def placard_observations(cards: DataFrame, run_id: str) -> DataFrame:
     raw = F.coalesce("address_raw", F.lit(""))
     return cards.select(
         _id("apartments_com", F.col("listing_id"), run_id).alias("observation_id"), F.lit(run_id).alias("run_id"), F.lit("apartments_com").alias("source"), F.col("listing_id").alias("source_listing_id"), "url", F.lit("mf").alias("listing_kind"),
-        raw.alias("address_raw"), address_normalise(raw).alias("addr"), F.lit(HOME_CITY).alias("city"), _got(raw, r"\b(\d{5})\b").alias("zip"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"),
+        raw.alias("address_raw"), address_normalise(raw).alias("addr"), F.lit(HOME_CITY).alias("city"), zip_code(raw).alias("zip"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"),
         F.col("beds_min").alias("beds"), F.col("baths_min").alias("baths"), F.col("sqft_min").alias("sqft"), F.col("rent_min").alias("asking_rent"), title.alias("title"), F.lit(None).cast("string").alias("body"),
     )

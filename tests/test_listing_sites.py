@@ -81,3 +81,10 @@ def test_observations_feed_the_fold(spark):
     obs = entity.observations(both.drop("addr", "zip"), "n", "address_raw")
     got = {r.ord: (r.action, r.canonical) for r in entity.fold(obs).collect()}
     assert got == {1: ("new", 1), 2: ("merged", 1)}
+
+
+def test_placards_of_five_digit_houses(spark):
+    card = '<div class="placard" data-listingid="L{0}" data-url="u"><div class="property-title" title="{0}"></div><p class="property-beds">2 Beds</p></div>'
+    pages = spark.createDataFrame([(1, card.format("12345 Elm St") + card.format("12345 Oak St, TX 76240"))], "id int, html string")
+    got = {r.address_raw: r.zip for r in ls.placard_observations(ls.placards(pages, "id", "html"), "r").collect()}
+    assert got == {"12345 Elm St": None, "12345 Oak St, TX 76240": "76240"}
