@@ -59,6 +59,9 @@ CASES = [
 ]
 
 
+PAGES = {name: page for name, _, _, page, _ in CASES}
+
+
 def _register(name: str, entry: str, engine, page: str, plan: str | None) -> None:
     oracle = ORACLE.format(name=plan or "concat('A', p_partkey)")
     if name == "ext14_portal_detail":  # beds by the plan's first letter
@@ -85,7 +88,7 @@ def ext06(spark, sf_dir):
 @query("ext18_plausible", f"SELECT * FROM ({ORACLE.format(name=_MADE)}) WHERE rent > 1402 AND rent < 1450")
 def ext18(spark, sf_dir):
     """EXT-18: units whose rent is out of range go."""
-    units = site_engines.entrata_array(pages(spark, sf_dir, CASES[14][3]), "p_partkey", "body")
+    units = site_engines.entrata_array(pages(spark, sf_dir, PAGES["ext14_json_array"]), "p_partkey", "body")
     return engines.drop_implausible(units, 1_402, 1_450).select("p_partkey", "beds", "baths", "sqft", "rent", "floorplan_name")
 
 
@@ -94,7 +97,7 @@ CASE p_partkey % 3 WHEN 0 THEN 'empty' WHEN 1 THEN 'ok' ELSE 'unclaimed' END AS
 def ext_status(spark, sf_dir):
     """EXT-19: engines are chosen by address, then marks; every page is accounted for."""
     kind = F.col("p_partkey") % 3
-    p = pages(spark, sf_dir, CASES[14][3])
+    p = pages(spark, sf_dir, PAGES["ext14_json_array"])
     p = p.select("p_partkey", F.when(kind == 0, "https://www.maac.com/x").otherwise("https://x.test/").alias("url"), F.when(kind == 1, F.col("body")).otherwise(F.lit("<p>none</p>")).alias("body"))
     return engines.page_status(p, engines.extract_all(p, "p_partkey", "url", "body"), "p_partkey", "url", "body")
 

@@ -103,3 +103,10 @@ def test_units_in_text(spark):
     got = site_engines.text_units(spark.createDataFrame([(1, page), (2, ""), (3, None)], "id int, html string"), "id", "html").collect()
     assert sorted((r.unit_number, r.beds, r.baths, r.sqft, r.rent, r.floorplan_name) for r in got) == [("202", 1, 1.0, 700.0, 1100.0, None), ("4-101", 2, 1.5, 1050.0, 1450.0, "The Long Oak")]
     assert {r.unit_number: r.available_date for r in got} == {"4-101": "May 5", "202": None}
+
+
+def test_queries_name_their_page(spark, sf):
+    from lodeworks.plans import registry
+
+    assert registry.QUERIES["ext18_plausible"](spark, sf).count() > 0
+    assert {r.status for r in registry.QUERIES["ext_page_status"](spark, sf).select("status").distinct().collect()} == {"ok", "empty", "unclaimed"}
