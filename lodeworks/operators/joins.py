@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
+
+#: Grid cells are by so much wider than a band, as a difference that rounds to less than its width may be as wide.
+SLACK = 1 + 1e-6
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -28,18 +32,19 @@ def full_refresh(existing: DataFrame, new: DataFrame, provenance: Column) -> Dat
 
 def _cells(df: DataFrame, axes: list[str], width: float, spread: bool) -> DataFrame:
     for i, c in enumerate(axes):
-        cell = F.floor(F.col(c) / width)
+        cell = F.floor(F.col(c) / (width * SLACK))
         df = df.withColumn(f"_c{i}", F.explode(F.array(cell - 1, cell, cell + 1)) if spread else cell)
     return df
 
 
 def band_join(left: DataFrame, right: DataFrame, axes: list[tuple[str, str]], width: float, keys: list[tuple[str, str]] = ()) -> DataFrame:
-    """Pairs whose axes differ by less than `width` each, and whose keys are equal. `right`, the smaller side, is copied
-    to 3 cells an axis. NULLs match nothing."""
+    """Pairs whose axes differ by less than `width` each, in the axes' own type (32 bits where both are), and whose keys are
+    equal. `right`, the smaller side, is copied to 3 cells an axis. NULLs match nothing."""
     a = _cells(left, [x for x, _ in axes], width, False)
     b = _cells(right, [y for _, y in axes], width, True).withColumnsRenamed({f"_c{i}": f"_d{i}" for i in range(len(axes))})
     on = [F.col(f"_c{i}") == F.col(f"_d{i}") for i in range(len(axes))] + [F.col(x) == F.col(y) for x, y in keys]
-    near = [F.abs(F.col(x) - F.col(y)) < width for x, y in axes]
+    single = lambda x, y: isinstance(left.schema[x].dataType, FloatType) and isinstance(right.schema[y].dataType, FloatType)
+    near = [F.abs(F.col(x) - F.col(y)) < F.lit(width).cast("float" if single(x, y) else "double") for x, y in axes]
     return a.join(b, [*on, *near]).drop(*(f"_{k}{i}" for k in "cd" for i in range(len(axes))))
 
 

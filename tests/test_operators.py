@@ -449,3 +449,14 @@ def test_fold_holds_no_texts(spark):
     assert sorted((r.ord, r.action, r.canonical) for r in entity.fold(spark.createDataFrame(rows, FOLDED)).collect()) == want
     keyed = entity.keyed(spark.createDataFrame(rows, FOLDED).select(*entity._COLUMNS))
     assert max(len(r.addr) for r in keyed.collect()) == 64
+
+
+def test_box_in_single_precision(spark):
+    """32-bit axes are compared as such: a difference of 0.02 as a float is no less than 0.02."""
+    import numpy as np
+
+    y = float(np.float32(0.02))
+    a, b = spark.createDataFrame([(0.0,)], "x float"), spark.createDataFrame([(y,), (0.0199,)], "y float")
+    assert joins.band_join(a, b, [("x", "y")], 0.02).count() == 1
+    assert joins.band_join(a.select(F.col("x").cast("double")), b.select(F.col("y").cast("double")), [("x", "y")], 0.02).count() == 2
+
