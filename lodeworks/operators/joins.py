@@ -10,8 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
+from .windows import running
+
 #: Grid cells are by so much wider than a band, as a difference that rounds to less than its width may be as wide.
 SLACK = 1 + 1e-6
+#: Steps into which `_first_within` cuts half a band.
+STEPS = 1 << 16
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -49,10 +53,40 @@ def band_join(left: DataFrame, right: DataFrame, axes: list[tuple[str, str]], wi
 
 
 def band_first(left: DataFrame, right: DataFrame, axes: list[tuple[str, str]], width: float, left_key: str, order: str) -> DataFrame:
-    """Of the matches of each left row the first by `order`: the key with the right row's columns. A map-side combined
-    minimum, so not all matches are shuffled."""
-    first = F.min(F.struct(order, *(c for c in right.columns if c != order))).alias("_m")
-    return band_join(left, right, axes, width).groupBy(left_key).agg(first).select(left_key, "_m.*")
+    """Of the matches of each left row the first by `order`: the key with the right row's columns. On one axis no pairs are
+    made; on several a map-side combined minimum, so not all matches are shuffled."""
+    rest = F.struct(order, *(c for c in right.columns if c != order))
+    if len(axes) == 1:
+        met = _first_within(left, right.select(F.col(axes[0][1]).alias("_y"), rest.alias("_m")), axes[0][0], width)
+    else:
+        met = band_join(left, right, axes, width).withColumn("_m", rest)
+    return met.groupBy(left_key).agg(F.min("_m").alias("_m")).select(left_key, "_m.*")
+
+
+def _first_within(left: DataFrame, right: DataFrame, x: str, width: float) -> DataFrame:
+    """`left` rows with `_m`, the least of the `_m` of right rows whose `_y` differs from `x` by less than `width`. Both sides are
+    reduced to their different values; of those, work is linear. Values are cut into steps, small beside the width. What lies
+    wholly within the band is a run of steps as long as a block of them, so it is the end of one block and the beginning of
+    the next, each a running minimum over one sort of both sides. Values in the few steps about the band's ends are compared
+    one by one. Values up to 2^30 widths are told apart; a block's different values are sorted in one task, which may spill."""
+    step, block = width / STEPS, 2 * STEPS - 4
+    finite = lambda c: c.isNotNull() & (F.abs(c.cast("double")) < float("inf"))
+    values = right.where(finite(F.col("_y"))).groupBy("_y").agg(F.min("_m").alias("_m")).withColumn("_s", F.floor(F.col("_y") / step))
+    xs = left.select(F.col(x).alias("_x")).where(finite(F.col("_x"))).distinct().withColumn("_low", F.floor((F.col("_x") - width) / step))
+    ends = [*range(-1, 2), *range(block + 2, 2 * STEPS + 3)]
+    near = xs.select("_x", F.explode(F.array(*(F.col("_low") + d for d in ends))).alias("_s")).join(values, "_s")
+    found = near.where(F.abs(F.col("_x") - F.col("_y")) < width).select("_x", "_m")
+
+    def side(at: Column, order: Column) -> DataFrame:
+        # A value on the same step as a question comes before it.
+        both = values.select("_s", "_m").unionByName(xs.select("_x", at.alias("_s")), allowMissingColumns=True).withColumn("_b", F.floor(F.col("_s") / block))
+        w = running(Window.partitionBy("_b").orderBy(order, F.col("_x").isNotNull()))
+        return both.select("_x", F.min("_m").over(w).alias("_m")).where("_x IS NOT NULL AND _m IS NOT NULL")
+
+    first, last = F.col("_low") + 2, F.col("_low") + block + 1
+    found = found.unionByName(side(first, F.desc("_s"))).unionByName(side(last, F.col("_s")))
+    least = found.groupBy("_x").agg(F.min("_m").alias("_m"))
+    return left.join(least, F.col(x) == F.col("_x")).drop("_x")
 
 
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:

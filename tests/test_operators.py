@@ -460,3 +460,23 @@ def test_box_in_single_precision(spark):
     assert joins.band_join(a, b, [("x", "y")], 0.02).count() == 1
     assert joins.band_join(a.select(F.col("x").cast("double")), b.select(F.col("y").cast("double")), [("x", "y")], 0.02).count() == 2
 
+
+def test_first_of_a_band_makes_no_pairs(spark):
+    """As brute force, at the ends of bands too (in doubles), with repeats, nulls, NaN and infinities; and without a join of pairs."""
+    import random
+
+    rng = random.Random(3)
+    odd = [None, float("nan"), float("inf"), float("-inf")]
+    xs = [rng.randrange(-20_000, 20_000) / 100 for _ in range(600)] + [0.1, 0.1, *odd]
+    ys = [x + d for x in xs[:100] for d in (25.0, -25.0)] + [rng.randrange(-20_000, 20_000) / 100 for _ in range(40)] + odd
+    a, b = spark.createDataFrame(list(enumerate(xs)), "i int, x double"), spark.createDataFrame([(n * 7919 % 1009, y) for n, y in enumerate(ys)], "j int, y double")
+    want = {}
+    for i, x in enumerate(xs):
+        met = [n * 7919 % 1009 for n, y in enumerate(ys) if x is not None and y is not None and abs(x - y) < 25.0]
+        if met:
+            want[i] = min(met)
+    got = joins.band_first(a, b, [("x", "y")], 25.0, "i", "j")
+    assert {r.i: r.j for r in got.collect()} == want
+    one = spark.createDataFrame([(1, 0.0)] * 50, "i int, x double"), spark.createDataFrame([(j, 1.0) for j in range(50)], "j int, y double")
+    many = joins.band_first(*one, [("x", "y")], 25.0, "i", "j")
+    assert many.collect() == [(1, 0, 1.0)] and "Window" in many._jdf.queryExecution().executedPlan().toString()
