@@ -57,12 +57,18 @@ def cells(polygons: DataFrame, key: str, width: float) -> DataFrame:
 def within(points: DataFrame, x: str, y: str, polygons: DataFrame, key: str, width: float) -> DataFrame:
     """`points` with `key` of every polygon (key, ring) that holds them; `width` of the grid's cells is best about the size of a
     small polygon."""
-    index = cells(polygons, key, width)
+    # Polygons of equal rings are met once, by the least of their keys; what follows adds the others.
+    shapes = polygons.groupBy(key).agg(F.array_sort(F.collect_list("ring")).alias("rings")).withColumn("_shape", F.sha2(F.to_json("rings"), 256))
+    ones = shapes.groupBy("_shape").agg(F.min(key).alias("_p"), F.any_value("rings").alias("rings"))
+    same = shapes.select("_shape", key).join(ones.select("_shape", "_p"), "_shape").select("_p", key)
+    index = cells(ones.select("_p", F.explode("rings").alias("ring")), "_p", width)
+    # Points are few bytes and meet many polygons, so they are spread over all cores first.
+    points = points.repartition(4 * points.sparkSession.sparkContext.defaultParallelism)
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     met = points.withColumns({"_cx": F.floor(px / width), "_cy": F.floor(py / width)}).join(index, (F.col("_cx") == F.col("cx")) & (F.col("_cy") == F.col("cy")))
     crossed = lambda e: ((e["y1"] > py) != (e["y2"] > py)) & (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
     inside = (F.col("odd").cast("int") + F.size(F.filter("edges", crossed))) % 2 == 1
-    return met.where(inside).select(*points.columns, key)
+    return met.where(inside).select(*points.columns, "_p").join(same, "_p").select(*points.columns, key)
 
 
 #: Owners that lease equipment, not homes (fixed values).

@@ -83,3 +83,11 @@ def test_import_parcels(spark):
     assert sorted(got) == ["a", "b", "c", "d", "g"]
     assert {k: (r.in_city_limits, r.property_type) for k, r in got.items()} == {"a": (True, "mf-large"), "b": (True, "mf-small"), "c": (None, "fourplex"), "d": (False, "mf-small"), "g": (True, "mf-large")}
     assert got["a"].property_id.startswith("p_") and got["a"].owner_entity_normalized == "oak" and got["b"].lat == 2.0
+
+
+def test_equal_polygons_are_met_once(spark):
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
+    polygons = spark.createDataFrame([(k, ring) for k in range(50)] + [(99, [(x + 1, y) for x, y in ring])], "id int, ring array<struct<x:double,y:double>>")
+    out = spatial.within(spark.createDataFrame([(1, 0.5, 1.0), (2, 2.0, 2.0), (3, 9.0, 9.0)], "n int, x double, y double"), "x", "y", polygons, "id", 1.0)
+    assert sorted((r.n, r.id) for r in out.collect()) == [(1, k) for k in range(50)] + [(2, k) for k in [*range(50), 99]]
+    assert "_shape" in out._jdf.queryExecution().optimizedPlan().toString()
