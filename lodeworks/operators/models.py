@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Prior tightness, cross-variable shrinkage (fixed values).
 TIGHT, CROSS = 0.2, 0.5
 BANDS = {80: 1.28, 95: 1.96}
+#: Rows that one task trains trees on (fixed value).
+TASK_ROWS = 100_000
 
 
 def ols(df: DataFrame, keys: list[str], y: str, xs: list[str], least: int = 8) -> DataFrame:
@@ -233,12 +235,18 @@ def cascade(df: DataFrame, key: str, at: str, tier: str, y: str, tiers: tuple[st
 
 
 def boosted(df: DataFrame, y: str, xs: list[str], seed: int = 7, rounds: int = 20) -> DataFrame:
-    """Gradient-boosted trees over the whole frame with a fixed seed: `df` with `predicted`."""
+    """Gradient-boosted trees over the whole frame with a fixed seed: `df` with `predicted`. Training keeps points of all rows in
+    the partitions it is given and reads them in every round, so rows are dealt out evenly, to more partitions the more there
+    are; up to TASK_ROWS they stay where they are."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     ready = VectorAssembler(inputCols=xs, outputCol="_x", handleInvalid="skip").transform(df.where(F.col(y).isNotNull()))
-    model = GBTRegressor(featuresCol="_x", labelCol=y, predictionCol="predicted", seed=seed, maxIter=rounds, maxDepth=3).fit(ready)
+    points = ready.select("_x", y)
+    shares = -(-points.count() // TASK_ROWS)
+    if shares > 1:
+        points = points.repartition(shares)
+    model = GBTRegressor(featuresCol="_x", labelCol=y, predictionCol="predicted", seed=seed, maxIter=rounds, maxDepth=3).fit(points)
     return model.transform(ready).drop("_x")
 
 

@@ -385,6 +385,21 @@ def test_extract(spark):
     assert [(x.title, x.link) for x in extract.rss(spark.createDataFrame([(1, feed)], "k int, x string"), "k", "x").collect()] == [("Flat", "u")]
 
 
+def test_boosted_in_shares(spark, monkeypatch):
+    """Whatever the splits of the input, no task trains on more than a fixed number of rows; small frames stay as they are."""
+    from pyspark.ml.regression import GBTRegressor
+
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, points: seen.append(points) or fit(self, points))
+    x = spark.range(0, 250_000, 1, 1).select("id", (F.col("id") % 10).cast("double").alias("z"), F.when(F.col("id") % 10 > 4, 10.0).otherwise(0.0).alias("y"))
+    got = models.boosted(x, "y", ["z"], rounds=3)
+    shares = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 250_000 and max(shares) <= 100_000
+    assert got.select(F.count("*"), F.countDistinct("id"), F.max(F.abs(F.col("y") - F.col("predicted"))) < 1).first() == (250_000, 250_000, True)
+    models.boosted(x.limit(1000), "y", ["z"], rounds=1)
+    assert "RoundRobin" not in seen[1]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cascade_boosted_phase(spark):
     rng = np.random.default_rng(1)
     rows = [("m", q, t, float(rng.normal() + (q % 7))) for q in range(40) for t in ("a", "b", "c")]
